@@ -8,6 +8,7 @@ broken by id ascending.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -40,8 +41,23 @@ def norm(a) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
 
 
+def literal_norm(q: Sequence[float]) -> float:
+    """Norm of a literal query, folded in the same order as ``norm`` (same IEEE result)."""
+    s = 0.0
+    for x in q:
+        x = float(x)
+        s += x * x
+    return math.sqrt(s)
+
+
 def cosine(a, b) -> Column:
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
+    """Cosine similarity; a literal query's norm is computed once on the driver."""
+    nb = F.lit(literal_norm(b)) if _is_literal(b) else norm(b)
+    return F.try_divide(dot(a, b), norm(a) * nb)
+
+
+def _is_literal(v) -> bool:
+    return not isinstance(v, (Column, str))
 
 
 def score(vec, query, metric: str = COSINE) -> Column:

@@ -60,9 +60,12 @@ def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id
     if k <= 0:
         raise ValueError("k must be positive")
     df = points if where is None else points.where(where)
-    scored = (df.select(F.col(id_col).alias("id"), *keep, score(vector, query, metric).alias("score"))
-                .where(F.col("score").isNotNull()))
-    top = scored.orderBy(*_order()).limit(k)
+    scored = df.select(F.col(id_col).alias("id"), *keep, score(vector, query, metric).alias("score"))
+    # NULL scores (zero norm, size mismatch) sort last, so dropping them *after*
+    # the limit still leaves exactly min(k, matches) rows. Filtering before the
+    # limit would let Catalyst infer the predicate into the scan side and score
+    # every row twice, below the payload filter.
+    top = scored.orderBy(*_order()).limit(k).where(F.col("score").isNotNull())
     ranked = with_rank(top).select("rank", "id", "score", *keep)
     return join_payload(ranked, payload, k)
 
@@ -79,11 +82,13 @@ def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vec
     hit with a distributed top-``limit``; only ``limit`` group keys are broadcast.
     """
     df = points if where is None else points.where(where)
-    scored = (df.select(F.col(id_col).alias("id"), F.col(group_by).alias("group_id"),
-                        score(vector, query, metric).alias("score"))
-                .where(F.col("score").isNotNull() & F.col("group_id").isNotNull()))
+    scored = (df.where(F.col(group_by).isNotNull())
+                .select(F.col(id_col).alias("id"), F.col(group_by).alias("group_id"),
+                        score(vector, query, metric).alias("score")))
     w = Window.partitionBy("group_id").orderBy(*_order())
-    hits = scored.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= group_size)
+    # NULL scores rank last inside a group; dropping them after the cut is exact.
+    hits = (scored.withColumn("hit_rank", F.row_number().over(w))
+                  .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
     best = (hits.where(F.col("hit_rank") == 1)
                 .orderBy(*_order()).limit(limit)
                 .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())))
@@ -103,9 +108,9 @@ def knn_by_strategy(long_points: DataFrame, queries: dict[str, Sequence[float]],
     qmap = F.create_map(*[x for s, q in queries.items()
                           for x in (F.lit(s), F.array(*[F.lit(float(v)) for v in q]))])
     df = long_points.where(F.col(strategy).isin(list(queries)))
-    scored = (df.select(F.col(strategy).alias("strategy"), F.col(id_col).alias("id"),
-                        score(vector, F.element_at(qmap, F.col(strategy)), metric).alias("score"))
-                .where(F.col("score").isNotNull()))
+    scored = df.select(F.col(strategy).alias("strategy"), F.col(id_col).alias("id"),
+                       score(vector, F.element_at(qmap, F.col(strategy)), metric).alias("score"))
     w = Window.partitionBy("strategy").orderBy(*_order())
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (scored.withColumn("rank", F.row_number().over(w))
+                  .where((F.col("rank") <= k) & F.col("score").isNotNull())
                   .select("strategy", "rank", "id", "score"))

@@ -141,3 +141,26 @@ def knn_multi_strategy(spark, sf_dir):
     q = query_vector(spark, sf_dir)
     queries = {s: q[a - 1:a - 1 + n] for s, (a, n) in STRATEGIES.items()}
     return search.knn_by_strategy(strategy_points(spark, sf_dir), queries, k=K, metric=COSINE)
+
+
+def label_queries(spark, sf_dir):
+    """Query batch derived from the whole table: per label, its lowest-id embedding."""
+    emb = tables.read_table(spark, sf_dir, "embeddings")
+    return (emb.where(F.col("label").isNotNull())
+               .groupBy("label").agg(F.min_by("embedding", "vec_id").alias("vector"))
+               .select(F.col("label").cast("long").alias("qid"), "vector"))
+
+
+@register("knn_batch", f"""
+WITH {PTS_SQL},
+qs AS (SELECT label::BIGINT AS qid, arg_min(embedding, vec_id) AS q FROM embeddings
+       WHERE label IS NOT NULL GROUP BY label),
+s AS (SELECT qs.qid, p.id, {sql_score("p.vector", "qs.q")} AS score FROM pts p, qs),
+r AS (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank, id, score
+      FROM s WHERE score IS NOT NULL)
+SELECT * FROM r WHERE rank <= {K}""")
+def knn_batch(spark, sf_dir):
+    """KNN-11: many queries in one kNN join (Arrow matrix-product kernel)."""
+    from simsift.operators.knn_join import knn_join
+
+    return knn_join(tables.points(spark, sf_dir, payload=()), label_queries(spark, sf_dir), k=K)
