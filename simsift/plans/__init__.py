@@ -1,4 +1,4 @@
 """Named queries over the driver test tables (Spark builders + DuckDB oracle SQL)."""
 
-from simsift.plans import search_queries, feature_queries  # noqa: F401  (registers queries)
+from simsift.plans import search_queries, feature_queries, ingest_queries  # noqa: F401  (registers queries)
 from simsift.plans.registry import ORACLE, QUERIES  # noqa: F401
