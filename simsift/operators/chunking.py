@@ -11,7 +11,7 @@ space; sentences end at whitespace after '.', '!' or '?'.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsift.functions.text import MAX_TOKENS, tokens
@@ -23,6 +23,17 @@ SENTENCE_OVERLAP = 40
 FIXED, SENTENCE, SEMANTIC = "fixed", "sentence", "semantic"
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    Catalyst collapses adjacent projections by substituting column definitions
+    into their uses; a derived array used inside a higher-order function body
+    would then be recomputed on every iteration (quadratic). A lambda variable
+    is never substituted, so this binds the value exactly once per row.
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def _size_col(size) -> Column:
     return size if isinstance(size, Column) else F.lit(int(size))
 
@@ -41,14 +52,137 @@ def fixed_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, keep=("id",)) ->
     Empty text gives no rows. Output: ``keep.., chunk_index, chunk``.
     """
     sz = _size_col(size)
-    t = df.select(*keep, tokens(text).alias("_toks"), sz.alias("_size"))
-    n = F.size("_toks")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.col("_size"))).otherwise(F.array().cast("array<int>"))
-    pieces = F.transform(starts, lambda s: F.array_join(F.slice("_toks", s + 1, F.col("_size")), " "))
-    return t.select(*keep, F.posexplode(pieces).alias("chunk_index", "chunk"))
+
+    def pieces(v):
+        toks, n = v["toks"], F.size(v["toks"])
+        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, v["size"])).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, v["size"]), " "))
+
+    chunks = let(F.struct(tokens(text).alias("toks"), sz.alias("size")), pieces)
+    return df.select(*keep, F.posexplode(chunks).alias("chunk_index", "chunk"))
 
 
 def sentences(text) -> Column:
     """Sentences of a text, empties dropped."""
     c = F.col(text) if isinstance(text, str) else text
     return F.filter(F.split(c, SENTENCE_SPLIT), lambda s: F.size(tokens(s)) > 0)
+
+
+_BOUNDS = "array<struct<s:int,e:int>>"
+
+
+def _pieces(toks: Column, size: Column) -> Column:
+    """CHK-3 on one token array: consecutive slices of ``size`` tokens."""
+    n = F.size(toks)
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, size)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda s: F.slice(toks, s + 1, size))
+
+
+def sentence_units(text, size) -> Column:
+    """Sentences as token arrays; a sentence longer than ``size`` is cut by CHK-3."""
+    sz = _size_col(size)
+    return F.flatten(F.transform(sentences(text), lambda s: _pieces(tokens(s), sz)))
+
+
+def _pack(units: Column, counts: Column, size: Column, overlap: int) -> Column:
+    """Chunk bounds ``[(s, e)]`` over units by the packing rule (ordered fold, JVM-side).
+
+    Walk units in order; append while the chunk stays within ``size`` tokens;
+    otherwise close it and start the next chunk with the longest run of trailing
+    units of at most ``min(overlap, size - c)`` tokens (c = the new unit), so
+    the new chunk fits and adds at least the new unit.
+    """
+    m = F.size(units)
+    c_at = lambda i: F.element_at(counts, i + 1)
+
+    def step(acc, i):
+        c = c_at(i)
+        lim = F.least(F.lit(overlap), size - c)
+        back_idx = F.when(i - 1 >= acc["start"] + 1, F.sequence(i - 1, acc["start"] + 1, F.lit(-1))) \
+                    .otherwise(F.array().cast("array<int>"))
+        back = F.aggregate(
+            back_idx,
+            F.struct(F.lit(0).alias("r"), i.alias("best"), F.lit(0).alias("rb")),
+            lambda st, j: F.struct(
+                (st["r"] + c_at(j)).alias("r"),
+                F.when(st["r"] + c_at(j) <= lim, j).otherwise(st["best"]).alias("best"),
+                F.when(st["r"] + c_at(j) <= lim, st["r"] + c_at(j)).otherwise(st["rb"]).alias("rb")))
+        closed = F.struct(
+            back["best"].alias("start"), (back["rb"] + c).alias("total"),
+            F.concat(acc["bounds"], F.array(F.struct(acc["start"].alias("s"), i.alias("e")))).alias("bounds"))
+        grown = F.struct(acc["start"].alias("start"), (acc["total"] + c).alias("total"),
+                         acc["bounds"].alias("bounds"))
+        return F.when(acc["total"] + c <= size, grown).otherwise(closed)
+
+    init = F.struct(F.lit(0).alias("start"), F.lit(0).alias("total"), F.array().cast(_BOUNDS).alias("bounds"))
+    folded = F.aggregate(F.sequence(F.lit(0), m - 1), init, step,
+                         lambda acc: F.concat(acc["bounds"],
+                                              F.array(F.struct(acc["start"].alias("s"), m.alias("e")))))
+    return F.when(m > 0, folded).otherwise(F.array().cast(_BOUNDS))
+
+
+def sentence_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, overlap: int = SENTENCE_OVERLAP,
+                    keep=("id",)) -> DataFrame:
+    """CHK-4: sentences packed up to ``size`` tokens with up to ``overlap`` tokens of
+    trailing sentences repeated. Narrow (no shuffle). Output ``keep.., chunk_index, chunk``."""
+    sz = _size_col(size)
+
+    def texts(v):
+        u = v["u"]
+        counts = F.transform(u, lambda x: F.size(x))
+        bounds = let(F.struct(counts.alias("c")), lambda cv: _pack(u, cv["c"], v["size"], overlap))
+        return F.transform(bounds, lambda b: F.array_join(F.flatten(F.slice(u, b["s"] + 1, b["e"] - b["s"])), " "))
+
+    chunks = let(F.struct(sentence_units(text, sz).alias("u"), sz.alias("size")), texts)
+    return df.select(*keep, F.posexplode(chunks).alias("chunk_index", "chunk"))
+
+
+def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
+                    dim: int | None = None, partitions: int | None = None) -> DataFrame:
+    """CHK-5: break between sentences where the embedding distance jumps.
+
+    Window text of sentence i = sentences i-1, i, i+1; with the additive hashing
+    embedder its vector is the sum of the three sentence vectors. Distance
+    ``d_i = round(1 - cos(W_i, W_{i+1}), 6)``; threshold ``round(p95(d), 6)`` per
+    document; break after i when ``d_i > threshold``.
+
+    One shuffle: documents are hash-partitioned by ``key`` once; every later
+    aggregate, join and window is keyed by ``key`` first, so Spark reuses that
+    partitioning instead of shuffling again. Each document is one bounded row.
+    Output ``key, chunk_index, chunk`` (tokens rejoined with one space).
+    """
+    from simsift.operators.embed import EMBED_DIM, hashed_terms
+
+    dim = dim or EMBED_DIM
+    docs = df.select(key, text)
+    docs = docs.repartition(partitions, key) if partitions else docs.repartition(key)
+    st = docs.select(key, F.transform(sentences(text), lambda s: tokens(s)).alias("_st"))
+    sent = st.select(key, F.size("_st").alias("m"), F.posexplode("_st").alias("si", "toks"))
+    terms = hashed_terms(sent, [key, "si", "m"], "toks", dim, tokenized=True)
+    win = terms.select(key, "m", "bucket", "value",
+                       F.explode(F.array(F.col("si") - 1, F.col("si"), F.col("si") + 1)).alias("w"))
+    win = (win.where((F.col("w") >= 0) & (F.col("w") < F.col("m")))
+              .groupBy(key, "w", "bucket").agg(F.sum("value").cast("double").alias("v")))
+    norms = win.groupBy(key, "w").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm"))
+    a, b = win.alias("a"), win.alias("b")
+    dots = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.bucket") == F.col("b.bucket"))
+                   & (F.col("b.w") == F.col("a.w") + 1))
+             .groupBy(F.col(f"a.{key}").alias(key), F.col("a.w").alias("w"))
+             .agg(F.sum(F.col("a.v") * F.col("b.v")).alias("dot")))
+    na, nb = norms.alias("na"), norms.alias("nb")
+    pairs = (na.join(nb, (F.col(f"na.{key}") == F.col(f"nb.{key}")) & (F.col("nb.w") == F.col("na.w") + 1))
+               .select(F.col(f"na.{key}").alias(key), F.col("na.w").alias("w"),
+                       (F.col("na.nrm") * F.col("nb.nrm")).alias("den")))
+    dist = (pairs.join(dots, [key, "w"], "left")
+                 .select(key, "w", F.round(F.lit(1.0) - F.try_divide(F.coalesce("dot", F.lit(0.0)), F.col("den")),
+                                           6).alias("d")))
+    thr = dist.groupBy(key).agg(F.round(F.percentile("d", percentile), 6).alias("thr"))
+    brk = (dist.join(thr, key)
+               .select(key, "w", F.coalesce(F.col("d") > F.col("thr"), F.lit(False)).cast("int").alias("brk")))
+    cum = brk.withColumn("cum", F.sum("brk").over(
+        Window.partitionBy(key).orderBy("w").rowsBetween(Window.unboundedPreceding, 0)))
+    lab = (sent.join(cum.select(key, (F.col("w") + 1).alias("si"), "cum"), [key, "si"], "left")
+               .select(key, "si", "toks", F.coalesce("cum", F.lit(0)).alias("chunk_index")))
+    grouped = lab.groupBy(key, "chunk_index").agg(F.sort_array(F.collect_list(F.struct("si", "toks"))).alias("_p"))
+    return grouped.select(key, F.col("chunk_index").cast("int").alias("chunk_index"),
+                          F.array_join(F.flatten(F.transform("_p", lambda p: p["toks"])), " ").alias("chunk"))
