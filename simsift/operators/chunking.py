@@ -156,32 +156,34 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
     dim = dim or EMBED_DIM
     docs = df.select(key, text)
     docs = docs.repartition(partitions, key) if partitions else docs.repartition(key)
-    st = docs.select(key, F.transform(sentences(text), lambda s: tokens(s)).alias("_st"))
-    sent = st.select(key, F.size("_st").alias("m"), F.posexplode("_st").alias("si", "toks"))
+    rows = let(F.struct(F.transform(sentences(text), lambda s: tokens(s)).alias("st")),
+               lambda v: F.transform(v["st"], lambda x, i: F.struct(
+                   i.alias("si"), x.alias("toks"), F.size(v["st"]).alias("m"))))
+    sent = docs.select(key, F.inline(rows))
     terms = hashed_terms(sent, [key, "si", "m"], "toks", dim, tokenized=True)
+    # window vector W_w = S_{w-1} + S_w + S_{w+1}, in long form (key, w, bucket, v)
     win = terms.select(key, "m", "bucket", "value",
                        F.explode(F.array(F.col("si") - 1, F.col("si"), F.col("si") + 1)).alias("w"))
     win = (win.where((F.col("w") >= 0) & (F.col("w") < F.col("m")))
               .groupBy(key, "w", "bucket").agg(F.sum("value").cast("double").alias("v")))
-    norms = win.groupBy(key, "w").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm"))
-    a, b = win.alias("a"), win.alias("b")
-    dots = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.bucket") == F.col("b.bucket"))
-                   & (F.col("b.w") == F.col("a.w") + 1))
-             .groupBy(F.col(f"a.{key}").alias(key), F.col("a.w").alias("w"))
-             .agg(F.sum(F.col("a.v") * F.col("b.v")).alias("dot")))
-    na, nb = norms.alias("na"), norms.alias("nb")
-    pairs = (na.join(nb, (F.col(f"na.{key}") == F.col(f"nb.{key}")) & (F.col("nb.w") == F.col("na.w") + 1))
-               .select(F.col(f"na.{key}").alias(key), F.col("na.w").alias("w"),
-                       (F.col("na.nrm") * F.col("nb.nrm")).alias("den")))
-    dist = (pairs.join(dots, [key, "w"], "left")
-                 .select(key, "w", F.round(F.lit(1.0) - F.try_divide(F.coalesce("dot", F.lit(0.0)), F.col("den")),
+    # dot(W_w, W_{w+1}) pairs each bucket with the same bucket of the next window: a
+    # lead() within (key, bucket) instead of a self-join; norms in the same aggregate.
+    wb = Window.partitionBy(key, "bucket").orderBy("w")
+    nxt = win.select(key, "w", "v", F.lead("w").over(wb).alias("_nw"), F.lead("v").over(wb).alias("_nv"))
+    per_w = nxt.groupBy(key, "w").agg(
+        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm"),
+        F.sum(F.when(F.col("_nw") == F.col("w") + 1, F.col("v") * F.col("_nv")).otherwise(F.lit(0.0))).alias("dot"))
+    ww = Window.partitionBy(key).orderBy("w")
+    dist = (per_w.select(key, "w", "dot", "nrm", F.lead("w").over(ww).alias("_w2"),
+                         F.lead("nrm").over(ww).alias("_n2"))
+                 .where(F.col("_w2") == F.col("w") + 1)
+                 .select(key, "w", F.round(F.lit(1.0) - F.try_divide(F.col("dot"), F.col("nrm") * F.col("_n2")),
                                            6).alias("d")))
-    thr = dist.groupBy(key).agg(F.round(F.percentile("d", percentile), 6).alias("thr"))
-    brk = (dist.join(thr, key)
-               .select(key, "w", F.coalesce(F.col("d") > F.col("thr"), F.lit(False)).cast("int").alias("brk")))
-    cum = brk.withColumn("cum", F.sum("brk").over(
-        Window.partitionBy(key).orderBy("w").rowsBetween(Window.unboundedPreceding, 0)))
-    lab = (sent.join(cum.select(key, (F.col("w") + 1).alias("si"), "cum"), [key, "si"], "left")
+    thr = F.round(F.percentile("d", percentile).over(Window.partitionBy(key)), 6)
+    brk = dist.select(key, "w", F.coalesce(F.col("d") > thr, F.lit(False)).cast("int").alias("brk"))
+    cum = brk.select(key, (F.col("w") + 1).alias("si"), F.sum("brk").over(
+        ww.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    lab = (sent.join(cum, [key, "si"], "left")
                .select(key, "si", "toks", F.coalesce("cum", F.lit(0)).alias("chunk_index")))
     grouped = lab.groupBy(key, "chunk_index").agg(F.sort_array(F.collect_list(F.struct("si", "toks"))).alias("_p"))
     return grouped.select(key, F.col("chunk_index").cast("int").alias("chunk_index"),
