@@ -59,6 +59,9 @@ def embed(df: DataFrame, text: str, keys: Sequence[str], *, dim: int = EMBED_DIM
     Rows without tokens (empty text) get the zero vector, whose cosine is NULL,
     so an empty query finds nothing (EMB-3).
     """
+    # One shuffle: rows are clustered by the first key, and every later
+    # aggregate and the join back are keyed by it, so the partitioning is reused.
+    df = df.repartition(keys[0])
     vecs = densify(hashed_terms(df, keys, text, dim), keys, dim, out)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return df.join(vecs, list(keys), "left").withColumn(out, F.coalesce(F.col(out), zero))

@@ -114,3 +114,14 @@ def knn_by_strategy(long_points: DataFrame, queries: dict[str, Sequence[float]],
     return (scored.withColumn("rank", F.row_number().over(w))
                   .where((F.col("rank") <= k) & F.col("score").isNotNull())
                   .select("strategy", "rank", "id", "score"))
+
+
+def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: str, *, k: int = 3,
+                       where: Column | None = None, keep: Sequence[str] = (),
+                       payload: DataFrame | None = None, id_col: str = "id") -> DataFrame:
+    """KNN-6: search one named vector (``vec_<name>``) with an optional filter; ranked
+    rows with payload and the score formatted to 4 places."""
+    col = vector_name if vector_name in points.columns else f"vec_{vector_name}"
+    cond = F.col(col).isNotNull() if where is None else (where & F.col(col).isNotNull())
+    hits = knn(points, query, vector=col, id_col=id_col, k=k, where=cond, keep=keep, payload=payload)
+    return hits.withColumn("score_text", F.format_string("%.4f", F.col("score")))
