@@ -44,7 +44,8 @@ def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str
     if payload is None:
         return hits
     small = F.broadcast(hits) if k <= MAX_BROADCAST_K else hits
-    return small.join(payload, on=id_col, how="left")
+    extra = [c for c in payload.columns if c != id_col and c not in hits.columns]
+    return small.join(payload, on=id_col, how="left").select(*hits.columns, *extra)
 
 
 def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
