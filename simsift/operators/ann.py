@@ -73,25 +73,35 @@ def query_signatures(q, params: LshParams) -> list[int]:
             for t in range(params.tables)]
 
 
-def _sig_expr(vec: Column, table_planes) -> Column:
-    from simsift.functions.vectors import dot
-
-    bits = [F.when(dot(vec, plane) >= 0.0, F.lit(1 << b)).otherwise(F.lit(0)).cast("long")
-            for b, plane in enumerate(table_planes)]
-    out = bits[0]
-    for x in bits[1:]:
-        out = out + x
-    return out
+def _planes_sql(params: LshParams, dim: int) -> str:
+    """All hyperplanes as one nested array literal (one expression, not thousands of calls)."""
+    pl = planes(params, dim)
+    rows = ["array(" + ", ".join("1.0D" if x > 0 else "-1.0D" for x in plane) + ")"
+            for t in range(params.tables) for plane in pl[t]]
+    return "array(" + ", ".join(rows) + ")"
+
+
+def _sig_sql(vector: str, params: LshParams, dim: int, table: int) -> str:
+    """Signature of one table: bit b set when dot(vector, plane[table*bits + b]) >= 0.
+
+    The dot product is the same left fold in index order as ``functions.vectors.dot``.
+    """
+    b0 = table * params.bits
+    dot = (f"aggregate(zip_with(`{vector}`, element_at(_planes, {b0} + b + 1), (x, y) -> CAST(x AS DOUBLE) * y), "
+           f"0.0D, (a, z) -> a + z)")
+    return (f"aggregate(sequence(0, {params.bits - 1}), 0L, "
+            f"(acc, b) -> acc + IF({dot} >= 0.0D, shiftleft(1L, b), 0L))")
 
 
 def signatures(points: DataFrame, params: LshParams, dim: int, *, vector: str = "vector",
                id_col: str = "id") -> DataFrame:
     """ANN-1 build: ``(id, table_no, sig)`` for every point with a vector of ``dim`` values."""
-    pl = planes(params, dim)
-    arms = F.array(*[F.struct(F.lit(t).alias("table_no"), _sig_expr(F.col(vector), pl[t]).alias("sig"))
-                     for t in range(params.tables)])
+    arms = ", ".join(f"named_struct('table_no', {t}, 'sig', {_sig_sql(vector, params, dim, t)})"
+                     for t in range(params.tables))
     return (points.where(F.size(vector) == dim)
-                  .select(F.col(id_col).alias("id"), F.inline(arms)))
+                  .select(F.col(id_col).alias("id"), F.col(vector),
+                          F.expr(_planes_sql(params, dim)).alias("_planes"))
+                  .select("id", F.expr(f"inline(array({arms}))")))
 
 
 def write_signatures(sigs: DataFrame, path: str) -> None:

@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +54,58 @@ def densify(terms: DataFrame, keys: Sequence[str], dim: int = EMBED_DIM, out: st
     return m.select(*keys, dense.alias(out))
 
 
-def embed(df: DataFrame, text: str, keys: Sequence[str], *, dim: int = EMBED_DIM, out: str = "vector") -> DataFrame:
+_WS = r"[ \t\n\x0b\f\r]+"
+
+
+def hashed_vector_udf(dim: int = EMBED_DIM):
+    """Arrow-batched hashing embedder: narrow, one pass, no shuffle.
+
+    Per batch of texts: whitespace tokens, lower-cased, md5 -> (bucket, sign),
+    summed into a ``dim``-long float vector (token hashes are memoised per
+    batch). Same contract as the native long form below.
+    """
+    import hashlib
+    import re
+
+    split = re.compile(_WS).split
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def hashed(texts: pd.Series) -> pd.Series:
+        memo: dict[str, tuple[int, int]] = {}
+        out = []
+        for t in texts:
+            v = np.zeros(dim, dtype=np.float32)
+            if t is not None:
+                for tok in split(t):
+                    if not tok:
+                        continue
+                    hs = memo.get(tok)
+                    if hs is None:
+                        h = int(hashlib.md5(tok.lower().encode("utf-8")).hexdigest()[:8], 16)
+                        hs = memo[tok] = (h % dim, 1 - 2 * ((h // dim) % 2))
+                    v[hs[0]] += hs[1]
+            out.append(v)
+        return pd.Series(out)
+
+    return hashed
+
+
+def embed(df: DataFrame, text: str, keys: Sequence[str], *, dim: int = EMBED_DIM, out: str = "vector",
+          method: str = "arrow") -> DataFrame:
     """EMB-1: add ``out`` = hashed embedding of ``text`` to every row (``keys`` unique).
 
+    ``method="arrow"`` (default) is a narrow Arrow UDF: no shuffle, no join.
+    ``method="native"`` builds the same vectors with built-in expressions in long
+    form; it costs a shuffle of every token plus a join back, so it is kept for
+    cross-checking and for engines without Python workers.
+
     Rows without tokens (empty text) get the zero vector, whose cosine is NULL,
     so an empty query finds nothing (EMB-3).
     """
+    if method == "arrow":
+        return df.withColumn(out, hashed_vector_udf(dim)(F.col(text)))
+    if method != "native":
+        raise ValueError("method must be 'arrow' or 'native'")
     # One shuffle: rows are clustered by the first key, and every later
     # aggregate and the join back are keyed by it, so the partitioning is reused.
     df = df.repartition(keys[0])

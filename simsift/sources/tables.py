@@ -52,12 +52,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = True) -> DataFrame:
     """SRC-1: read with an explicit schema (no inference) when one is known."""
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(table_path(sf_dir, name))
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    A file with one row group is read by one task, which would serialise all
+    per-row work (tokenising, chunking, scoring). When, and only when, the scan
+    has fewer splits than ``defaultParallelism``, rows are dealt round-robin over
+    that many partitions. A large multi-file input already has more splits than
+    cores and is returned unchanged, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def points(spark: SparkSession, sf_dir: str, payload=PAYLOAD_COLS) -> DataFrame:

@@ -59,8 +59,9 @@ def test_hashing_embedder_spark_equals_python(spark):
     texts = ["The quick brown fox", "", "repeat repeat REPEAT words", "Ünïcode Wörter hier"]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     got = {r.id: list(r.vector) for r in embed.embed(df, "text", ["id"], dim=64).collect()}
+    nat = {r.id: list(r.vector) for r in embed.embed(df, "text", ["id"], dim=64, method="native").collect()}
     for i, t in enumerate(texts):
-        assert got[i] == embed.embed_query(spark, t, dim=64)
+        assert got[i] == nat[i] == embed.embed_query(spark, t, dim=64)
     assert got[1] == [0.0] * 64
 
 
