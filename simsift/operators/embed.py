@@ -90,6 +90,33 @@ def hashed_vector_udf(dim: int = EMBED_DIM):
     return hashed
 
 
+def hashed_sparse_udf(dim: int = EMBED_DIM):
+    """Arrow-batched hashing of token arrays into sparse ``struct<k: array<int>, v: array<int>>``
+    (non-zero buckets only, ascending) - the per-sentence input of the semantic splitter."""
+    import hashlib
+
+    @F.pandas_udf(T.StructType([T.StructField("k", T.ArrayType(T.IntegerType())),
+                                T.StructField("v", T.ArrayType(T.IntegerType()))]))
+    def hashed(toks: pd.Series) -> pd.DataFrame:
+        memo: dict[str, tuple[int, int]] = {}
+        ks, vs = [], []
+        for arr in toks:
+            acc: dict[int, int] = {}
+            if arr is not None:
+                for tok in arr:
+                    hs = memo.get(tok)
+                    if hs is None:
+                        h = int(hashlib.md5(tok.lower().encode("utf-8")).hexdigest()[:8], 16)
+                        hs = memo[tok] = (h % dim, 1 - 2 * ((h // dim) % 2))
+                    acc[hs[0]] = acc.get(hs[0], 0) + hs[1]
+            items = sorted((b, c) for b, c in acc.items() if c != 0)
+            ks.append([b for b, _ in items])
+            vs.append([c for _, c in items])
+        return pd.DataFrame({"k": ks, "v": vs})
+
+    return hashed
+
+
 def embed(df: DataFrame, text: str, keys: Sequence[str], *, dim: int = EMBED_DIM, out: str = "vector",
           method: str = "arrow") -> DataFrame:
     """EMB-1: add ``out`` = hashed embedding of ``text`` to every row (``keys`` unique).

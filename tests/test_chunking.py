@@ -57,8 +57,9 @@ def test_sentence_chunks_fit_budget(spark):
     assert df.where(tx.n_tokens("chunk") == 0).count() == 0
 
 
-def test_semantic_matches_brute(spark):
-    got = _collect(ch.semantic_chunks(_df(spark, TEXTS), "text", key="id"))
+@pytest.mark.parametrize("method", ["arrow", "native"])
+def test_semantic_matches_brute(spark, method):
+    got = _collect(ch.semantic_chunks(_df(spark, TEXTS), "text", key="id", method=method))
     for i, t in enumerate(TEXTS):
         assert got.get(i, []) == (brute.semantic_chunks(t) if brute.tokens(t) else []), i
 
@@ -68,9 +69,10 @@ def test_chunkers_on_real_documents(spark):
     texts = {r.id: r.text for r in docs.collect()}
     sen = _collect(ch.sentence_chunks(docs, "text", size=64, overlap=10))
     sem = _collect(ch.semantic_chunks(docs, "text", key="id"))
+    nat = _collect(ch.semantic_chunks(docs, "text", key="id", method="native"))
     for i, t in texts.items():
         assert sen.get(i, []) == brute.sentence_chunks(t, 64, 10), i
-        assert sem.get(i, []) == brute.semantic_chunks(t), i
+        assert sem.get(i, []) == nat.get(i, []) == brute.semantic_chunks(t), i
 
 
 def test_column_valued_budget(spark):
