@@ -126,3 +126,8 @@ def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: s
     cond = F.col(col).isNotNull() if where is None else (where & F.col(col).isNotNull())
     hits = knn(points, query, vector=col, id_col=id_col, k=k, where=cond, keep=keep, payload=payload)
     return hits.withColumn("score_text", F.format_string("%.4f", F.col("score")))
+
+
+def group_best(grouped: DataFrame) -> DataFrame:
+    """PRJ-12 / TOP-2: per group its id and best score (the ``hit_rank = 1`` row)."""
+    return grouped.where(F.col("hit_rank") == 1).select("group_rank", "group_id", F.col("score").alias("best_score"))

@@ -164,3 +164,29 @@ def knn_batch(spark, sf_dir):
     from simsift.operators.knn_join import knn_join
 
     return knn_join(tables.points(spark, sf_dir, payload=()), label_queries(spark, sf_dir), k=K)
+
+
+@register("knn_group_best", f"""
+WITH {PTS_SQL}, {QV_SQL},
+s AS (SELECT p.id, p.source AS group_id, {sql_score("p.vector", "qv.q")} AS score
+      FROM pts p, qv WHERE p.n_chars >= {FILTER_MIN_CHARS} AND p.source IS NOT NULL),
+b AS (SELECT group_id, id, score, row_number() OVER (PARTITION BY group_id ORDER BY score DESC, id) AS rn
+      FROM s WHERE score IS NOT NULL)
+SELECT row_number() OVER (ORDER BY score DESC, id) AS group_rank, group_id, score AS best_score
+FROM b WHERE rn = 1 ORDER BY score DESC, id LIMIT {GROUP_LIMIT}""")
+def knn_group_best(spark, sf_dir):
+    """PRJ-12: group id and its best score for the best groups of the grouped search."""
+    pts = tables.points(spark, sf_dir)
+    g = search.knn_grouped(pts, query_vector(spark, sf_dir), group_by="source", limit=GROUP_LIMIT,
+                           group_size=1, where=flt.range_("n_chars", gte=FILTER_MIN_CHARS))
+    return search.group_best(g)
+
+
+@register("vector_preview", """
+SELECT vec_id AS id, len(embedding)::INTEGER AS dim, embedding[1:5] AS head FROM embeddings""")
+def vector_preview(spark, sf_dir):
+    """PRJ-11: dimension and first five values of every vector."""
+    from simsift.functions.vectors import preview
+
+    emb = tables.read_table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").alias("id"), *preview("embedding", 5))

@@ -100,3 +100,18 @@ def vector_of(df: DataFrame, id_value, *, id_col: str = "id", vector: str = "vec
     if len(rows) != 1 or rows[0][0] is None:
         raise ValueError(f"expected exactly one vector for {id_col}={id_value!r}, got {len(rows)}")
     return [float(x) for x in rows[0][0]]
+
+
+def dataset_report(df: DataFrame, order_by: str) -> dict:
+    """SRC-4: size, schema, column names and the first row by ``order_by``.
+
+    Two small actions (a count and a top-1), nothing else reaches the driver.
+    """
+    first = df.orderBy(order_by).limit(1).collect()
+    return {"rows": df.count(), "columns": df.columns, "schema": df.schema.simpleString(),
+            "first": first[0].asDict() if first else None}
+
+
+def literal_points(spark: SparkSession, rows, schema) -> DataFrame:
+    """SRC-3: a small inline point list (e.g. a handful of hand-written points)."""
+    return spark.createDataFrame(rows, schema)
