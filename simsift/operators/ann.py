@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +33,9 @@ from simsift.operators import search
 MIN_BITS, MAX_BITS, DEFAULT_BITS = 4, 32, 8
 MAX_TABLES = 64
 FULL_SCAN_THRESHOLD = 10_000
+# Probe sets up to this many (table, sig) rows are enumerated and broadcast;
+# beyond it candidates are found by a Hamming-distance filter on the signatures.
+MAX_PROBES = 100_000
 
 
 @dataclass(frozen=True)
@@ -123,11 +127,27 @@ def probes(qsigs: list[int], params: LshParams, radius: int | None = None) -> li
     return out
 
 
+def n_probes(params: LshParams, radius: int | None = None) -> int:
+    r = params.radius if radius is None else radius
+    return params.tables * sum(math.comb(params.bits, d) for d in range(r + 1))
+
+
 def candidates(sigs: DataFrame, qsigs: list[int], params: LshParams, radius: int | None = None) -> DataFrame:
-    """Distinct candidate ids whose signature collides within the radius in any table."""
+    """Distinct candidate ids whose signature collides within the radius in any table.
+
+    Small probe sets (checked: at most ``MAX_PROBES`` rows) are broadcast and
+    equi-joined, which lets sorted signature files skip row groups; larger ones
+    would not fit, so the signatures are filtered by Hamming distance instead.
+    """
     spark = sigs.sparkSession
-    probe = spark.createDataFrame(probes(qsigs, params, radius), "table_no int, sig long")
-    return sigs.join(F.broadcast(probe), ["table_no", "sig"], "left_semi").select("id").distinct()
+    r = params.radius if radius is None else radius
+    if n_probes(params, r) <= MAX_PROBES:
+        probe = spark.createDataFrame(probes(qsigs, params, r), "table_no int, sig long")
+        hit = sigs.join(F.broadcast(probe), ["table_no", "sig"], "left_semi")
+    else:
+        qmap = F.create_map(*[x for t, s in enumerate(qsigs) for x in (F.lit(t), F.lit(s).cast("long"))])
+        hit = sigs.where(F.bit_count(F.col("sig").bitwiseXOR(F.element_at(qmap, F.col("table_no")))) <= r)
+    return hit.select("id").distinct()
 
 
 def ann_search(points: DataFrame, sigs: DataFrame, query, params: LshParams, *, k: int = 10,

@@ -56,7 +56,7 @@ def conflicts(old: DataFrame | None, new: DataFrame, *, id_col: str = "id", seq_
 
 def load_missing(new: DataFrame, existing: DataFrame, *, id_col: str = "id") -> DataFrame:
     """SNK-5: rows of ``new`` whose id is absent from ``existing`` (crash-safe resume)."""
-    return new.join(existing.select(id_col).distinct(), on=id_col, how="left_anti")
+    return new.join(existing.select(id_col), on=id_col, how="left_anti")
 
 
 def vector_profile(df: DataFrame, vectors: Sequence[str], *, digits: int = 6) -> DataFrame:

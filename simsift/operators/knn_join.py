@@ -1,7 +1,7 @@
 """Many queries at once (KNN-11): an exact kNN join.
 
-Plan: the query block (bounded, size-checked) is shipped to every task inside
-the ``mapInArrow`` closure; each task scores its Arrow batches with one matrix
+Plan: the query block (bounded, size-checked) is a broadcast variable that
+every ``mapInArrow`` task reads (shipped once per executor); each task scores its Arrow batches with one matrix
 product and keeps a partial top-k per query (ties by id), so a task emits at
 most ``queries x k`` rows. The partial lists are merged by a per-query
 ``row_number <= k`` window (WindowGroupLimit, partial before the shuffle).
@@ -43,11 +43,13 @@ def _topk_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return idx[order]
 
 
-def _kernel(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str, id_col: str, vector: str):
-    dim = qmat.shape[1]
-    qnorm = np.sqrt((qmat * qmat).sum(axis=1))
+def _kernel(block, k: int, metric: str, id_col: str, vector: str):
+    """``block`` is a broadcast of ``(qids, qmat)``: shipped once per executor, not per task."""
 
     def run(batches):
+        qids, qmat = block.value
+        dim = qmat.shape[1]
+        qnorm = np.sqrt((qmat * qmat).sum(axis=1))
         best_ids = [np.empty(0, dtype=np.int64) for _ in qids]
         best_sc = [np.empty(0, dtype=np.float64) for _ in qids]
         for rb in batches:
@@ -121,7 +123,8 @@ def knn_join(points: DataFrame, queries: DataFrame, *, k: int = 10, metric: str
         rows = [r for r in rows if r.qv is not None]
         qids = np.array([r.qid for r in rows], dtype=np.int64)
         qmat = np.array([list(r.qv) for r in rows], dtype=np.float64)
-        parts.append(pts.mapInArrow(_kernel(qids, qmat, k, metric, id_col, vector), _PARTIAL))
+        block = points.sparkSession.sparkContext.broadcast((qids, qmat))
+        parts.append(pts.mapInArrow(_kernel(block, k, metric, id_col, vector), _PARTIAL))
     if not parts:
         return points.sparkSession.createDataFrame([], "qid long, rank int, id long, score double")
     partial = parts[0]

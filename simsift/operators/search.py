@@ -94,7 +94,8 @@ def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vec
                 .orderBy(*_order()).limit(limit)
                 .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())))
                 .select("group_id", "group_rank"))
-    return (hits.join(F.broadcast(best), "group_id")
+    best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
+    return (hits.join(best, "group_id")
                 .select("group_rank", "group_id", "hit_rank", "id", "score"))
 
 

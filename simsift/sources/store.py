@@ -181,12 +181,27 @@ def upsert_into(spark: SparkSession, name: str, new: DataFrame, *, seq_col: str
 
 def load_missing_into(spark: SparkSession, name: str, new: DataFrame, *,
                       max_records_per_file: int | None = 10_000) -> dict:
-    """SNK-2/3/5: append only the ids the table lacks; skip entirely when complete."""
+    """SNK-2/3/5: append only the ids the table lacks; skip entirely when complete.
+
+    Append-only: the missing rows are written as new files in the current
+    version folder (existing files are never rewritten), in files of at most
+    ``max_records_per_file`` rows. A crash mid-load leaves whole files of a
+    subset; the next run's anti-join loads exactly the rest.
+    """
     from simsift.operators.ingest import load_missing
 
     current = spark.table(name)
     missing = load_missing(new, current)
     if missing.limit(1).count() == 0:
         return {"rows": 0, "location": describe(spark, name).location, "skipped": True}
-    return commit(spark, name, current.unionByName(missing, allowMissingColumns=True),
-                  max_records_per_file=max_records_per_file)
+    loc = describe(spark, name).location
+    target = current.schema
+    obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+    out = missing.select(*[F.col(f.name).cast(f.dataType) if f.name in missing.columns
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(loc)
+    spark.catalog.refreshTable(name)
+    return {"rows": obs.get["rows"], "location": loc}

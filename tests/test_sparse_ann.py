@@ -131,3 +131,15 @@ def test_contains_and_match_differ(spark):
 
 def test_brute_ranking_helper_sane():
     assert brute.ranking([{"id": 1, "vector": [1.0, 0.0]}], [1.0, 0.0], 5) == [(1, 1, 1.0)]
+
+
+def test_probe_fallback_equals_broadcast_probes(spark, pts, monkeypatch):
+    params = ann.LshParams(bits=8, tables=2, radius=2)
+    q = [float(x) for x in pts.where(F.col("id") == 11).collect()[0].vector]
+    sigs = ann.signatures(pts, params, 64)
+    qs = ann.query_signatures(q, params)
+    a = {r.id for r in ann.candidates(sigs, qs, params).collect()}
+    monkeypatch.setattr(ann, "MAX_PROBES", 0)
+    b = {r.id for r in ann.candidates(sigs, qs, params).collect()}
+    assert a == b and a
+    assert ann.n_probes(params) == 2 * (1 + 8 + 28)
