@@ -37,14 +37,26 @@ def _conflict(r: DataFrame) -> Column:
 
 
 def upsert(old: DataFrame | None, new: DataFrame, *, id_col: str = "id", seq_col: str = "seq",
-           check: bool = True) -> DataFrame:
-    """Merged table: latest row per id. With ``check`` a conflict raises ``UpsertConflict``."""
+           check: bool | str = True) -> DataFrame:
+    """Merged table: latest row per id.
+
+    ``check=True`` runs the conflict check eagerly (one extra job) and raises
+    ``UpsertConflict``; ``check="lazy"`` folds it into the result: the id column
+    is ``raise_error`` on a conflicting row, so whatever consumes the result
+    (e.g. the versioned commit) fails in the same single pass, before any
+    switch; ``check=False`` skips it.
+    """
     rows = new if old is None else old.unionByName(new, allowMissingColumns=True)
     r = _resolve(rows, id_col, seq_col)
-    if check:
+    if check is True:
         bad = r.where(_conflict(r)).select(id_col).limit(5).collect()
         if bad:
             raise UpsertConflict(f"different rows share (id, seq) for ids {[b[0] for b in bad]}")
+    if check == "lazy":
+        guarded = F.when(_conflict(r), F.raise_error(F.concat(
+            F.lit("upsert conflict: different rows share (id, seq) for id "), F.col(id_col).cast("string")))) \
+            .otherwise(F.col(id_col)).cast(rows.schema[id_col].dataType)
+        r = r.withColumn(id_col, guarded)
     return r.select(id_col, "_row.*").select(*rows.columns)
 
 

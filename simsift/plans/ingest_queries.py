@@ -22,8 +22,8 @@ def upsert_latest(spark, sf_dir):
     """
     ev = tables.read_table(spark, sf_dir, "events")
     is_view = F.col("event_type").eqNullSafe("view")
-    first = ingest.upsert(None, ev.where(is_view), id_col="user_id", seq_col="event_id")
-    return ingest.upsert(first, ev.where(~is_view), id_col="user_id", seq_col="event_id")
+    first = ingest.upsert(None, ev.where(is_view), id_col="user_id", seq_col="event_id", check="lazy")
+    return ingest.upsert(first, ev.where(~is_view), id_col="user_id", seq_col="event_id", check="lazy")
 
 
 @register("load_missing", """

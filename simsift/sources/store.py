@@ -175,7 +175,7 @@ def upsert_into(spark: SparkSession, name: str, new: DataFrame, *, seq_col: str
 
     current = spark.table(name)
     merged = upsert(current, new.select(*[c for c in new.columns if c in current.columns]),
-                    id_col="id", seq_col=seq_col)
+                    id_col="id", seq_col=seq_col, check="lazy")
     return commit(spark, name, merged)
 
 

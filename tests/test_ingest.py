@@ -38,6 +38,22 @@ def test_conflict_rejected(spark):
     assert [tuple(r) for r in ingest.conflicts(None, new).collect()] == [(1, 5)]
 
 
+def test_lazy_conflict_fails_the_consumer(spark, scratch):
+    ok = spark.createDataFrame([(1, 5, "x"), (1, 5, "x"), (2, 1, "y")], SCHEMA)
+    assert ingest.upsert(None, ok, check="lazy").count() == 2
+    bad = spark.createDataFrame([(1, 5, "x"), (1, 5, "y")], SCHEMA)
+    with pytest.raises(Exception, match="upsert conflict"):
+        ingest.upsert(None, bad, check="lazy").collect()
+    store.get_or_create_table(spark, "t_lazy", scratch)
+    mk = lambda rows: spark.createDataFrame(rows, "id long, vector array<float>, seq long")
+    store.upsert_into(spark, "t_lazy", mk([(1, [1.0, 0.0, 0.0, 0.0], 1)]))
+    before = store.describe(spark, "t_lazy").location
+    with pytest.raises(Exception, match="upsert conflict"):
+        store.upsert_into(spark, "t_lazy", mk([(1, [0.0, 1.0, 0.0, 0.0], 2), (1, [0.0, 0.0, 1.0, 0.0], 2)]))
+    assert store.describe(spark, "t_lazy").location == before
+    assert [r.seq for r in spark.table("t_lazy").collect()] == [1]
+
+
 def test_hot_key_upsert(spark):
     rows = [(7, i, f"v{i}") for i in range(3000)] + [(i, 0, "x") for i in range(1, 1000)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(8)
