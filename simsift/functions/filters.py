@@ -65,8 +65,9 @@ def text_match(field: str, query: str) -> Column:
     words = query_words(query)
     if not words:
         return F.lit(False)
-    toks = word_tokens(field)
-    return F.forall(F.array(*[F.lit(w) for w in words]), lambda w: F.array_contains(toks, w))
+    # the query words are distinct, so all are present iff the intersection keeps
+    # every one of them; the text is tokenised once (not once per word)
+    return F.size(F.array_intersect(F.array(*[F.lit(w) for w in words]), word_tokens(field))) == F.lit(len(words))
 
 
 def must(*conds: Column) -> Column:

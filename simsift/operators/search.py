@@ -48,6 +48,40 @@ def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str
     return small.join(payload, on=id_col, how="left").select(*hits.columns, *extra)
 
 
+# Filtered payload candidates up to this many rows are broadcast to the vector scan.
+MAX_BROADCAST_CANDIDATES = 2_000_000
+
+
+def score_split(vectors: DataFrame, payload: DataFrame, query: Sequence[float], *, where: Column | None = None,
+                keep: Sequence[str] = (), vector: str = "vector", id_col: str = "id",
+                metric: str = COSINE) -> DataFrame:
+    """Scores for vectors and payload kept in separate tables: ``(id, *keep, score)``.
+
+    The plan is chosen by a size check on the filtered payload (narrow columns,
+    filters pushed to its scan):
+
+    * at most ``MAX_BROADCAST_CANDIDATES`` rows: they are broadcast to the vector
+      scan and only matching vectors are scored (no shuffle at all);
+    * more: every vector is scored where it is read (narrow) and only
+      ``(id, score)`` is shuffled into the join, never the vectors themselves.
+    """
+    cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
+    vec = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("_v"))
+    sc = score("_v", query, metric).alias("score")
+    if cand.count() <= MAX_BROADCAST_CANDIDATES:
+        return vec.join(F.broadcast(cand), "id").select("id", *keep, sc)
+    return vec.select("id", sc).join(cand, "id").select("id", *keep, "score")
+
+
+def top_k(scored: DataFrame, k: int = DEFAULT_LIMIT, *, keep: Sequence[str] = (),
+          payload: DataFrame | None = None) -> DataFrame:
+    """Top-k of an ``(id, *keep, score)`` frame: ``(rank, id, score, *keep, *payload)``."""
+    if k <= 0:
+        raise ValueError("k must be positive")
+    top = scored.orderBy(*_order()).limit(k).where(F.col("score").isNotNull())
+    return join_payload(with_rank(top).select("rank", "id", "score", *keep), payload, k)
+
+
 def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
         metric: str = COSINE, k: int = DEFAULT_LIMIT, where: Column | None = None,
         keep: Sequence[str] = (), payload: DataFrame | None = None) -> DataFrame:

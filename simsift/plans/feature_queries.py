@@ -10,7 +10,7 @@ from simsift.operators import chunking, search
 from simsift.operators.ids import sequential_ids
 from simsift.plans.registry import register, sql_score
 from simsift.plans.search_queries import FILTERED_WHERE, FILTER_LANG, FILTER_MIN_CHARS, K, PTS_SQL, QV_SQL, \
-    query_vector
+    split_scores
 from simsift.sources import records as rec
 from simsift.sources import tables
 
@@ -31,10 +31,6 @@ def sql_words(t: str) -> str:
     return SQL_WORDS.format(t=t)
 
 
-def _text_points(spark, sf_dir):
-    return tables.points(spark, sf_dir, payload=tables.PAYLOAD_COLS + ("text",))
-
-
 def _filtered_sql(cond: str) -> str:
     return f"""
 WITH {PTS_SQL}, {QV_SQL},
@@ -47,16 +43,16 @@ FROM scored WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {K}"""
 @register("filter_text_contains", _filtered_sql(f"contains(d.text, '{CONTAINS_TERM}')"))
 def filter_text_contains(spark, sf_dir):
     """FLT-4 + KNN-4: substring filter (no index), then cosine top-10."""
-    return search.knn(_text_points(spark, sf_dir), query_vector(spark, sf_dir), k=K,
-                      where=flt.text_contains("text", CONTAINS_TERM), keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, where=flt.text_contains("text", CONTAINS_TERM),
+                                     payload_cols=tables.PAYLOAD_COLS + ("text",)), K, keep=tables.PAYLOAD_COLS)
 
 
 @register("filter_text_match", _filtered_sql(
     f"list_has_all({sql_words('d.text')}, {flt.query_words(MATCH_QUERY)!r})"))
 def filter_text_match(spark, sf_dir):
     """FLT-5 + KNN-4: all query words present as word tokens, then cosine top-10."""
-    return search.knn(_text_points(spark, sf_dir), query_vector(spark, sf_dir), k=K,
-                      where=flt.text_match("text", MATCH_QUERY), keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, where=flt.text_match("text", MATCH_QUERY),
+                                     payload_cols=tables.PAYLOAD_COLS + ("text",)), K, keep=tables.PAYLOAD_COLS)
 
 
 @register("text_features", f"""
@@ -146,8 +142,7 @@ SELECT rank, to_json({{'id': id, 'score': score,
         'payload': {{'lang': lang, 'source': source, 'n_chars': n_chars}}}})::VARCHAR AS json FROM t""")
 def results_json(spark, sf_dir):
     """SNK-8: filtered hits as JSON objects ``{id, score, payload}``."""
-    pts = tables.points(spark, sf_dir)
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    hits = search.knn(pts, query_vector(spark, sf_dir), k=K, where=cond, keep=tables.PAYLOAD_COLS)
+    hits = search.top_k(split_scores(spark, sf_dir, where=cond), K, keep=tables.PAYLOAD_COLS)
     return hits.select("rank", F.to_json(F.struct(
         "id", "score", F.struct(*tables.PAYLOAD_COLS).alias("payload"))).alias("json"))

@@ -22,6 +22,15 @@ PTS_SQL = """pts AS (
 QV_SQL = f"qv AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_ID})"
 
 
+def split_scores(spark, sf_dir, where=None, keep=tables.PAYLOAD_COLS, metric=COSINE, payload_cols=None):
+    """Scores over the two test tables kept apart (vectors in embeddings, payload in documents)."""
+    emb = tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
+                                                                F.col("embedding").alias("vector"))
+    cols = payload_cols or tables.PAYLOAD_COLS
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *cols)
+    return search.score_split(emb, docs, query_vector(spark, sf_dir), where=where, keep=keep, metric=metric)
+
+
 def query_vector(spark, sf_dir, qid=QUERY_ID):
     emb = tables.read_table(spark, sf_dir, "embeddings")
     return tables.vector_of(emb, qid, id_col="vec_id", vector="embedding")
@@ -45,22 +54,19 @@ FILTERED_WHERE = f"p.lang = '{FILTER_LANG}' AND p.n_chars >= {FILTER_MIN_CHARS}"
 @register("knn_filtered", _topk_sql(sql_score("p.vector", "qv.q"), FILTERED_WHERE, text=True))
 def knn_filtered(spark, sf_dir):
     """Minimum slice: keyword + range filter, cosine top-10, payload incl. text."""
-    pts = tables.points(spark, sf_dir)
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    return search.knn(pts, query_vector(spark, sf_dir), k=K, where=cond,
-                      keep=tables.PAYLOAD_COLS, payload=tables.doc_text(spark, sf_dir))
+    return search.top_k(split_scores(spark, sf_dir, where=cond), K, keep=tables.PAYLOAD_COLS,
+                        payload=tables.doc_text(spark, sf_dir))
 
 
 @register("knn_cosine", _topk_sql(sql_score("p.vector", "qv.q")))
 def knn_cosine(spark, sf_dir):
-    pts = tables.points(spark, sf_dir)
-    return search.knn(pts, query_vector(spark, sf_dir), k=K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir), K, keep=tables.PAYLOAD_COLS)
 
 
 @register("knn_dot", _topk_sql(sql_score("p.vector", "qv.q", DOT)))
 def knn_dot(spark, sf_dir):
-    pts = tables.points(spark, sf_dir)
-    return search.knn(pts, query_vector(spark, sf_dir), metric=DOT, k=K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, metric=DOT), K, keep=tables.PAYLOAD_COLS)
 
 
 # Named vectors: the 64-dim embedding is split into two named vectors.

@@ -143,3 +143,15 @@ def test_knn_join_blocks(spark, items):
     one = sorted(tuple(r) for r in knn_join(items, queries, k=2).collect())
     many = sorted(tuple(r) for r in knn_join(items, queries, k=2, block_rows=3).collect())
     assert one == many and len(one) == 22
+
+
+def test_score_split_both_plans_equal(spark, items, monkeypatch):
+    vec = items.select("id", "vector")
+    pay = items.select("id", "category", "price")
+    cond = flt.match_value("category", "gadgets")
+    a = _rows(search.top_k(search.score_split(vec, pay, QUERY, where=cond, keep=("category",)), 3,
+                           keep=("category",)))
+    monkeypatch.setattr(search, "MAX_BROADCAST_CANDIDATES", 0)
+    b = _rows(search.top_k(search.score_split(vec, pay, QUERY, where=cond, keep=("category",)), 3,
+                           keep=("category",)))
+    assert a == b == brute.ranking(_pts(), QUERY, 3, where=lambda p: p["category"] == "gadgets")
