@@ -65,11 +65,18 @@ def score_split(vectors: DataFrame, payload: DataFrame, query: Sequence[float],
     * more: every vector is scored where it is read (narrow) and only
       ``(id, score)`` is shuffled into the join, never the vectors themselves.
     """
+    from pyspark import StorageLevel
+
     cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
     vec = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("_v"))
     sc = score("_v", query, metric).alias("score")
-    if cand.count() <= MAX_BROADCAST_CANDIDATES:
-        return vec.join(F.broadcast(cand), "id").select("id", *keep, sc)
+    # The size probe keeps at most limit+1 rows; when under the limit it *is* the
+    # whole candidate set, so it is reused (persisted) as the broadcast side and
+    # an expensive filter (e.g. text match) is evaluated once.
+    probe = cand.limit(MAX_BROADCAST_CANDIDATES + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    if probe.count() <= MAX_BROADCAST_CANDIDATES:
+        return vec.join(F.broadcast(probe), "id").select("id", *keep, sc)
+    probe.unpersist()
     return vec.select("id", sc).join(cand, "id").select("id", *keep, "score")
 
 
