@@ -173,3 +173,15 @@ def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: s
 def group_best(grouped: DataFrame) -> DataFrame:
     """PRJ-12 / TOP-2: per group its id and best score (the ``hit_rank = 1`` row)."""
     return grouped.where(F.col("hit_rank") == 1).select("group_rank", "group_id", F.col("score").alias("best_score"))
+
+
+def results_as_json(hits: DataFrame, payload_cols: Sequence[str]) -> DataFrame:
+    """SNK-8: ``(rank, json)`` with ``json = {"id", "score", "payload": {...}}`` per hit."""
+    return hits.select("rank", F.to_json(F.struct(
+        "id", "score", F.struct(*payload_cols).alias("payload"))).alias("json"))
+
+
+def write_results_json(hits: DataFrame, payload_cols: Sequence[str], path: str) -> None:
+    """SNK-8: hits as JSON lines, ordered by rank, one small file (at most k rows)."""
+    results_as_json(hits, payload_cols).orderBy("rank").coalesce(1).select("json") \
+        .write.mode("overwrite").text(path)

@@ -144,5 +144,4 @@ def results_json(spark, sf_dir):
     """SNK-8: filtered hits as JSON objects ``{id, score, payload}``."""
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
     hits = search.top_k(split_scores(spark, sf_dir, where=cond), K, keep=tables.PAYLOAD_COLS)
-    return hits.select("rank", F.to_json(F.struct(
-        "id", "score", F.struct(*tables.PAYLOAD_COLS).alias("payload"))).alias("json"))
+    return search.results_as_json(hits, tables.PAYLOAD_COLS)

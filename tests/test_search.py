@@ -155,3 +155,13 @@ def test_score_split_both_plans_equal(spark, items, monkeypatch):
     b = _rows(search.top_k(search.score_split(vec, pay, QUERY, where=cond, keep=("category",)), 3,
                            keep=("category",)))
     assert a == b == brute.ranking(_pts(), QUERY, 3, where=lambda p: p["category"] == "gadgets")
+
+
+def test_write_results_json(spark, items, scratch):
+    import json
+
+    hits = search.knn(items, QUERY, k=3, keep=("category", "price"))
+    search.write_results_json(hits, ["category", "price"], f"{scratch}/out")
+    lines = [json.loads(r.value) for r in spark.read.text(f"{scratch}/out").collect()]
+    assert [x["id"] for x in lines] == [r[1] for r in brute.ranking(_pts(), QUERY, 3)]
+    assert set(lines[0]) == {"id", "score", "payload"} and set(lines[0]["payload"]) == {"category", "price"}
