@@ -126,11 +126,11 @@ def knn_join(points: DataFrame, queries: DataFrame, *, k: int = 10, metric: str
         block = points.sparkSession.sparkContext.broadcast((qids, qmat))
         parts.append(pts.mapInArrow(_kernel(block, k, metric, id_col, vector), _PARTIAL))
     if not parts:
-        return points.sparkSession.createDataFrame([], "qid long, rank int, id long, score double")
+        return points.sparkSession.createDataFrame([], "qid long, rank long, id long, score double")
     partial = parts[0]
     for p in parts[1:]:
         partial = partial.unionByName(p)
     scored = partial.select("qid", "id", F.round("raw_score", SCORE_DIGITS).alias("score"))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
                   .select("qid", "rank", "id", "score"))

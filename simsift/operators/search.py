@@ -36,7 +36,7 @@ def with_rank(top: DataFrame, name: str = "rank", partition_by: Sequence[str] =
     (at most k rows), so the single-partition window is bounded.
     """
     w = Window.partitionBy(*partition_by).orderBy(*_order()) if partition_by else Window.orderBy(*_order())
-    return top.withColumn(name, F.row_number().over(w))
+    return top.withColumn(name, F.row_number().over(w).cast("long"))
 
 
 def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str = "id") -> DataFrame:
@@ -129,11 +129,11 @@ def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vec
                         score(vector, query, metric).alias("score")))
     w = Window.partitionBy("group_id").orderBy(*_order())
     # NULL scores rank last inside a group; dropping them after the cut is exact.
-    hits = (scored.withColumn("hit_rank", F.row_number().over(w))
+    hits = (scored.withColumn("hit_rank", F.row_number().over(w).cast("long"))
                   .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
     best = (hits.where(F.col("hit_rank") == 1)
                 .orderBy(*_order()).limit(limit)
-                .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())))
+                .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())).cast("long"))
                 .select("group_id", "group_rank"))
     best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
     return (hits.join(best, "group_id")
@@ -154,7 +154,7 @@ def knn_by_strategy(long_points: DataFrame, queries: dict[str, Sequence[float]],
     scored = df.select(F.col(strategy).alias("strategy"), F.col(id_col).alias("id"),
                        score(vector, F.element_at(qmap, F.col(strategy)), metric).alias("score"))
     w = Window.partitionBy("strategy").orderBy(*_order())
-    return (scored.withColumn("rank", F.row_number().over(w))
+    return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
                   .where((F.col("rank") <= k) & F.col("score").isNotNull())
                   .select("strategy", "rank", "id", "score"))
 

@@ -72,13 +72,14 @@ def _query_terms(query_indices: Sequence[int], query_values: Sequence[float]) ->
 def _topk(scored: DataFrame, k: int) -> DataFrame:
     order = [F.col("score").desc(), F.col("id").asc()]
     top = scored.orderBy(*order).limit(k)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select("rank", "id", "score")
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
+    return top.withColumn("rank", rank).select("rank", "id", "score")
 
 
 def knn_scan(df: DataFrame, col: str, query_indices, query_values, *, k: int = 10, id_col: str = "id") -> DataFrame:
     terms = _query_terms(query_indices, query_values)
     if not terms:
-        return df.sparkSession.createDataFrame([], "rank int, id long, score double")
+        return df.sparkSession.createDataFrame([], "rank long, id long, score double")
     qmap = F.create_map(*[x for i, v in terms for x in (F.lit(i).cast("long"), F.lit(v).cast("double"))])
     pairs = F.arrays_zip(F.col(f"{col}.indices").alias("i"), F.col(f"{col}.values").alias("v"))
     shared = F.filter(pairs, lambda e: F.map_contains_key(qmap, e["i"]))
@@ -96,7 +97,7 @@ def knn_inverted(long: DataFrame, query_indices, query_values, *, k: int = 10) -
     terms = _query_terms(query_indices, query_values)
     spark = long.sparkSession
     if not terms:
-        return spark.createDataFrame([], "rank int, id long, score double")
+        return spark.createDataFrame([], "rank long, id long, score double")
     q = spark.createDataFrame(terms, "idx long, qval double")
     post = long.where(F.col("idx").isin([i for i, _ in terms]))
     scored = (post.join(F.broadcast(q), "idx")

@@ -56,9 +56,9 @@ def filter_text_match(spark, sf_dir):
 
 
 @register("text_features", f"""
-SELECT doc_id, length(text) AS length,
+SELECT doc_id, length(text)::INTEGER AS length,
        regexp_matches(text, '{tx.DIGIT_CLASS}') AS has_numbers,
-       len({sql_tokens('text')}) AS n_tokens
+       len({sql_tokens('text')})::INTEGER AS n_tokens
 FROM documents""")
 def text_features(spark, sf_dir):
     """PRJ-1/2 + CHK-1: derived payload of every document."""
