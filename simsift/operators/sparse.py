@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from simsift.functions.vectors import SCORE_DIGITS
 
 MAX_INDEX = 4_294_967_295
+# Query terms up to this many are broadcast (and pushed as an IN filter);
+# longer queries join the postings by a shuffle.
+MAX_BROADCAST_TERMS = 100_000
 
 
 def sparse_from_dense(dense, threshold: float):
@@ -99,8 +102,11 @@ def knn_inverted(long: DataFrame, query_indices, query_values, *, k: int = 10) -
     if not terms:
         return spark.createDataFrame([], "rank long, id long, score double")
     q = spark.createDataFrame(terms, "idx long, qval double")
-    post = long.where(F.col("idx").isin([i for i, _ in terms]))
-    scored = (post.join(F.broadcast(q), "idx")
+    if len(terms) <= MAX_BROADCAST_TERMS:
+        post, q = long.where(F.col("idx").isin([i for i, _ in terms])), F.broadcast(q)
+    else:
+        post = long
+    scored = (post.join(q, "idx")
                   .groupBy("id").agg(F.sum(F.col("val").cast("double") * F.col("qval")).alias("_s"))
                   .select("id", F.round("_s", SCORE_DIGITS).alias("score")))
     return _topk(scored, k)

@@ -43,6 +43,13 @@ def test_scan_equals_inverted_equals_brute(sp, qi, qv):
     assert sorted(scan) == sorted(inv) == _brute(qi, qv, 3)
 
 
+def test_long_query_uses_shuffle_join(sp, monkeypatch):
+    monkeypatch.setattr(sparse, "MAX_BROADCAST_TERMS", 1)
+    got = [(r["rank"], r.id, r.score) for r in
+           sparse.knn_inverted(sparse.to_long(sp, "sv"), [1, 5], [1.0, 2.0], k=3).collect()]
+    assert sorted(got) == _brute([1, 5], [1.0, 2.0], 3)
+
+
 def test_sparse_validation(sp, spark):
     assert sp.where(sparse.validate_sparse("sv")).count() == 4
     bad = spark.createDataFrame([(1, ([1, 1], [0.1, 0.2])), (2, ([-1], [0.1])), (3, ([1], [0.1, 0.2]))],
