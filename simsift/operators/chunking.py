@@ -197,12 +197,12 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
                      dim: int | None = None, partitions: int | None = None) -> DataFrame:
     """All-built-in long form of ``semantic_chunks`` (same result).
 
-    One row per (sentence, bucket) and per (window, bucket); the dot product of
-    neighbouring windows pairs each bucket with the same bucket of the next
-    window through ``lead`` within (key, bucket), norms in the same aggregate.
-    Documents are shuffled once by ``key``; every later step is keyed by it.
+    One row per (window, bucket); the dot product of neighbouring windows pairs
+    each bucket with the same bucket of the next window through ``lead`` within
+    (key, bucket), norms in the same aggregate. Documents are shuffled once by
+    ``key``; every later step is keyed by it.
     """
-    from simsift.operators.embed import EMBED_DIM, hashed_terms
+    from simsift.operators.embed import EMBED_DIM
 
     dim = dim or EMBED_DIM
     docs = df.select(key, text)
@@ -211,12 +211,16 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
                lambda v: F.transform(v["st"], lambda x, i: F.struct(
                    i.alias("si"), x.alias("toks"), F.size(v["st"]).alias("m"))))
     sent = docs.select(key, F.inline(rows))
-    terms = hashed_terms(sent, [key, "si", "m"], "toks", dim, tokenized=True)
-    # window vector W_w = S_{w-1} + S_w + S_{w+1}, in long form (key, w, bucket, v)
-    win = terms.select(key, "m", "bucket", "value",
-                       F.explode(F.array(F.col("si") - 1, F.col("si"), F.col("si") + 1)).alias("w"))
-    win = (win.where((F.col("w") >= 0) & (F.col("w") < F.col("m")))
-              .groupBy(key, "w", "bucket").agg(F.sum("value").cast("double").alias("v")))
+    # every token is hashed once and added straight into the three windows it
+    # belongs to (sentences i-1, i, i+1): W_w = S_{w-1} + S_w + S_{w+1}
+    tok = sent.select(key, "si", "m", F.explode("toks").alias("_tok"))
+    h = tok.select(key, "si", "m", F.conv(F.substring(F.md5(F.lower("_tok")), 1, 8), 16, 10)
+                   .cast("long").alias("_h"))
+    sg = h.select(key, "m", (F.col("_h") % F.lit(dim)).cast("int").alias("bucket"),
+                  F.expr(f"1 - 2 * pmod(_h div {dim}, 2)").cast("int").alias("_s"),
+                  F.explode(F.array(F.col("si") - 1, F.col("si"), F.col("si") + 1)).alias("w"))
+    win = (sg.where((F.col("w") >= 0) & (F.col("w") < F.col("m")))
+             .groupBy(key, "w", "bucket").agg(F.sum("_s").cast("double").alias("v")))
     # dot(W_w, W_{w+1}) pairs each bucket with the same bucket of the next window: a
     # lead() within (key, bucket) instead of a self-join; norms in the same aggregate.
     wb = Window.partitionBy(key, "bucket").orderBy("w")
