@@ -52,9 +52,9 @@ def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str
 MAX_BROADCAST_CANDIDATES = 2_000_000
 
 
-def score_split(vectors: DataFrame, payload: DataFrame, query: Sequence[float], *, where: Column | None = None,
+def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column | None = None,
                 keep: Sequence[str] = (), vector: str = "vector", id_col: str = "id",
-                metric: str = COSINE) -> DataFrame:
+                metric: str = COSINE, vector_keep: Sequence[str] = ()) -> DataFrame:
     """Scores for vectors and payload kept in separate tables: ``(id, *keep, score)``.
 
     The plan is chosen by a size check on the filtered payload (narrow columns,
@@ -68,8 +68,9 @@ def score_split(vectors: DataFrame, payload: DataFrame, query: Sequence[float],
     from pyspark import StorageLevel
 
     cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
-    vec = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("_v"))
+    vec = vectors.select(F.col(id_col).alias("id"), *vector_keep, F.col(vector).alias("_v"))
     sc = score("_v", query, metric).alias("score")
+    keep = tuple(vector_keep) + tuple(keep)
     # The size probe keeps at most limit+1 rows; when under the limit it *is* the
     # whole candidate set, so it is reused (persisted) as the broadcast side and
     # an expensive filter (e.g. text match) is evaluated once.
@@ -77,7 +78,7 @@ def score_split(vectors: DataFrame, payload: DataFrame, query: Sequence[float],
     if probe.count() <= MAX_BROADCAST_CANDIDATES:
         return vec.join(F.broadcast(probe), "id").select("id", *keep, sc)
     probe.unpersist()
-    return vec.select("id", sc).join(cand, "id").select("id", *keep, "score")
+    return vec.select("id", *vector_keep, sc).join(cand, "id").select("id", *keep, "score")
 
 
 def top_k(scored: DataFrame, k: int = DEFAULT_LIMIT, *, keep: Sequence[str] = (),
@@ -112,6 +113,30 @@ def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id
     return join_payload(ranked, payload, k)
 
 
+def grouped_top_k(scored: DataFrame, group_by: str, *, limit: int = DEFAULT_LIMIT,
+                  group_size: int = 1) -> DataFrame:
+    """KNN-7 over an ``(id, group_by, score)`` frame (see ``knn_grouped``)."""
+    scored = scored.where(F.col(group_by).isNotNull()).select("id", F.col(group_by).alias("group_id"), "score")
+    w = Window.partitionBy("group_id").orderBy(*_order())
+    hits = (scored.withColumn("hit_rank", F.row_number().over(w).cast("long"))
+                  .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
+    best = (hits.where(F.col("hit_rank") == 1)
+                .orderBy(*_order()).limit(limit)
+                .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())).cast("long"))
+                .select("group_id", "group_rank"))
+    best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
+    return (hits.join(best, "group_id")
+                .select("group_rank", "group_id", "hit_rank", "id", "score"))
+
+
+def top_k_per(scored: DataFrame, part: str, k: int = DEFAULT_LIMIT) -> DataFrame:
+    """Top-k per value of ``part`` (WindowGroupLimit): ``(part, rank, id, score)``."""
+    w = Window.partitionBy(part).orderBy(*_order())
+    return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
+                  .where((F.col("rank") <= k) & F.col("score").isNotNull())
+                  .select(part, "rank", "id", "score"))
+
+
 def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vector: str = "vector",
                 id_col: str = "id", metric: str = COSINE, limit: int = DEFAULT_LIMIT,
                 group_size: int = 1, where: Column | None = None) -> DataFrame:
@@ -125,19 +150,9 @@ def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vec
     """
     df = points if where is None else points.where(where)
     scored = (df.where(F.col(group_by).isNotNull())
-                .select(F.col(id_col).alias("id"), F.col(group_by).alias("group_id"),
-                        score(vector, query, metric).alias("score")))
-    w = Window.partitionBy("group_id").orderBy(*_order())
+                .select(F.col(id_col).alias("id"), F.col(group_by), score(vector, query, metric).alias("score")))
     # NULL scores rank last inside a group; dropping them after the cut is exact.
-    hits = (scored.withColumn("hit_rank", F.row_number().over(w).cast("long"))
-                  .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
-    best = (hits.where(F.col("hit_rank") == 1)
-                .orderBy(*_order()).limit(limit)
-                .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())).cast("long"))
-                .select("group_id", "group_rank"))
-    best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
-    return (hits.join(best, "group_id")
-                .select("group_rank", "group_id", "hit_rank", "id", "score"))
+    return grouped_top_k(scored, group_by, limit=limit, group_size=group_size)
 
 
 def knn_by_strategy(long_points: DataFrame, queries: dict[str, Sequence[float]], *,
@@ -153,10 +168,14 @@ def knn_by_strategy(long_points: DataFrame, queries: dict[str, Sequence[float]],
     df = long_points.where(F.col(strategy).isin(list(queries)))
     scored = df.select(F.col(strategy).alias("strategy"), F.col(id_col).alias("id"),
                        score(vector, F.element_at(qmap, F.col(strategy)), metric).alias("score"))
-    w = Window.partitionBy("strategy").orderBy(*_order())
-    return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
-                  .where((F.col("rank") <= k) & F.col("score").isNotNull())
-                  .select("strategy", "rank", "id", "score"))
+    return top_k_per(scored, "strategy", k)
+
+
+def strategy_queries(queries: dict[str, Sequence[float]], strategy: str = "strategy") -> Column:
+    """The per-row query of a long ``(strategy, ...)`` table, from a literal map."""
+    qmap = F.create_map(*[x for s, q in queries.items()
+                          for x in (F.lit(s), F.array(*[F.lit(float(v)) for v in q]))])
+    return F.element_at(qmap, F.col(strategy))
 
 
 def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: str, *, k: int = 3,

@@ -74,14 +74,6 @@ NAMED_SPLIT = 32
 NAMED_K = 5
 
 
-def named_points(spark, sf_dir):
-    """Points with two named vectors: ``vec_head`` (dot) and ``vec_tail`` (cosine)."""
-    pts = tables.points(spark, sf_dir)
-    return pts.select("id", F.slice("vector", 1, NAMED_SPLIT).alias("vec_head"),
-                      F.slice("vector", NAMED_SPLIT + 1, NAMED_SPLIT).alias("vec_tail"),
-                      *tables.PAYLOAD_COLS)
-
-
 @register("knn_named", f"""
 WITH {PTS_SQL}, {QV_SQL},
 np AS (SELECT id, vector[{NAMED_SPLIT + 1}:{2 * NAMED_SPLIT}] AS vec_tail, lang, source, n_chars FROM pts),
@@ -90,10 +82,14 @@ scored AS (SELECT p.id, {sql_score("p.vec_tail", f"qv.q[{NAMED_SPLIT + 1}:{2 * N
 SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score, lang, source, n_chars
 FROM scored WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {NAMED_K}""")
 def knn_named(spark, sf_dir):
-    """KNN-5: search the ``tail`` named vector only."""
+    """KNN-5: search the ``tail`` named vector only (scored where the vectors are read)."""
     q = query_vector(spark, sf_dir)[NAMED_SPLIT:2 * NAMED_SPLIT]
-    return search.knn(named_points(spark, sf_dir), q, vector="vec_tail", k=NAMED_K,
-                      where=F.col("vec_tail").isNotNull(), keep=tables.PAYLOAD_COLS)
+    emb = tables.read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.slice("embedding", NAMED_SPLIT + 1, NAMED_SPLIT).alias("vec_tail"))
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *tables.PAYLOAD_COLS)
+    scored = search.score_split(emb.where(F.col("vec_tail").isNotNull()), docs, q, vector="vec_tail",
+                                keep=tables.PAYLOAD_COLS)
+    return search.top_k(scored, NAMED_K, keep=tables.PAYLOAD_COLS)
 
 
 GROUP_LIMIT = 4
@@ -112,24 +108,14 @@ b AS (SELECT group_id, row_number() OVER (ORDER BY score DESC, id) AS group_rank
 SELECT b.group_rank, h2.group_id, h2.hit_rank, h2.id, h2.score FROM h2 JOIN b USING (group_id)""")
 def knn_grouped(spark, sf_dir):
     """KNN-7: grouped by source, range filter, best 2 per group, best 4 groups."""
-    pts = tables.points(spark, sf_dir)
-    return search.knn_grouped(pts, query_vector(spark, sf_dir), group_by="source",
-                              limit=GROUP_LIMIT, group_size=GROUP_SIZE,
-                              where=flt.range_("n_chars", gte=FILTER_MIN_CHARS))
+    scored = split_scores(spark, sf_dir, where=flt.range_("n_chars", gte=FILTER_MIN_CHARS), keep=("source",))
+    return search.grouped_top_k(scored, "source", limit=GROUP_LIMIT, group_size=GROUP_SIZE)
 
 
 # Strategies of the multi-strategy search: name -> (first element, length), 1-based.
 STRATEGIES = {"full": (1, 64), "head": (1, NAMED_SPLIT), "tail": (NAMED_SPLIT + 1, NAMED_SPLIT)}
 
 
-def strategy_points(spark, sf_dir):
-    """Long form ``(strategy, id, vector)``: one row per point and strategy."""
-    pts = tables.points(spark, sf_dir)
-    arms = F.array(*[F.struct(F.lit(s).alias("strategy"), F.slice("vector", a, n).alias("vector"))
-                     for s, (a, n) in STRATEGIES.items()])
-    return pts.select("id", F.inline(arms))
-
-
 def _strategy_sql() -> str:
     arms = " UNION ALL ".join(
         f"SELECT '{s}' AS strategy, p.id, {sql_score(f'p.vector[{a}:{a + n - 1}]', f'qv.q[{a}:{a + n - 1}]')} AS score "
@@ -143,10 +129,17 @@ SELECT * FROM r WHERE rank <= {K}"""
 
 @register("knn_multi_strategy", _strategy_sql())
 def knn_multi_strategy(spark, sf_dir):
-    """KNN-8: the same query over every strategy in one job."""
+    """KNN-8: the same query over every strategy in one job (vectors scored where read)."""
     q = query_vector(spark, sf_dir)
     queries = {s: q[a - 1:a - 1 + n] for s, (a, n) in STRATEGIES.items()}
-    return search.knn_by_strategy(strategy_points(spark, sf_dir), queries, k=K, metric=COSINE)
+    emb = tables.read_table(spark, sf_dir, "embeddings")
+    arms = F.array(*[F.struct(F.lit(s).alias("strategy"), F.slice("embedding", a, n).alias("vector"))
+                     for s, (a, n) in STRATEGIES.items()])
+    long = emb.select(F.col("vec_id").alias("id"), F.inline(arms))
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    scored = search.score_split(long, docs, search.strategy_queries(queries), vector_keep=("strategy",),
+                                metric=COSINE)
+    return search.top_k_per(scored, "strategy", K)
 
 
 def label_queries(spark, sf_dir):
@@ -182,10 +175,8 @@ SELECT row_number() OVER (ORDER BY score DESC, id) AS group_rank, group_id, scor
 FROM b WHERE rn = 1 ORDER BY score DESC, id LIMIT {GROUP_LIMIT}""")
 def knn_group_best(spark, sf_dir):
     """PRJ-12: group id and its best score for the best groups of the grouped search."""
-    pts = tables.points(spark, sf_dir)
-    g = search.knn_grouped(pts, query_vector(spark, sf_dir), group_by="source", limit=GROUP_LIMIT,
-                           group_size=1, where=flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    return search.group_best(g)
+    scored = split_scores(spark, sf_dir, where=flt.range_("n_chars", gte=FILTER_MIN_CHARS), keep=("source",))
+    return search.group_best(search.grouped_top_k(scored, "source", limit=GROUP_LIMIT, group_size=1))
 
 
 @register("vector_preview", """
