@@ -160,6 +160,33 @@ def ann_search(points: DataFrame, sigs: DataFrame, query, params: LshParams, *,
     return search.knn(pts, query, vector=vector, metric=metric, k=k, keep=keep)
 
 
+def ann_search_split(vectors: DataFrame, payload: DataFrame, sigs: DataFrame, query, params: LshParams, *,
+                     k: int = 10, metric: str = COSINE, where: Column | None = None, keep=(),
+                     vector: str = "vector") -> DataFrame:
+    """ANN-1/2 with vectors and payload in separate tables.
+
+    Candidate ids (signature probe) are intersected with the filtered payload;
+    that candidate set is what ``search.score_split`` size-checks and broadcasts
+    into the vector scan, so only candidates are re-ranked and no vector is
+    shuffled.
+    """
+    qsigs = query_signatures(query, params)
+    pay = payload if where is None else payload.where(where)
+    cand = pay.join(candidates(sigs, qsigs, params), "id", "left_semi")
+    return search.top_k(search.score_split(vectors, cand, query, keep=keep, vector=vector, metric=metric),
+                        k, keep=keep)
+
+
+def search_auto_split(vectors: DataFrame, payload: DataFrame, sigs: DataFrame, query, params: LshParams, *,
+                      k: int = 10, where: Column | None = None, keep=(), threshold: int = FULL_SCAN_THRESHOLD,
+                      vector: str = "vector") -> tuple[DataFrame, str]:
+    """ANN-3 with separate tables: the filtered payload is counted (narrow columns) once."""
+    pay = payload if where is None else payload.where(where)
+    if pay.limit(threshold).count() < threshold:
+        return search.top_k(search.score_split(vectors, pay, query, keep=keep, vector=vector), k, keep=keep), "exact"
+    return ann_search_split(vectors, payload, sigs, query, params, k=k, where=where, keep=keep, vector=vector), "ann"
+
+
 def search_auto(points: DataFrame, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
                 where: Column | None = None, keep=(), threshold: int = FULL_SCAN_THRESHOLD,
                 vector: str = "vector") -> tuple[DataFrame, str]:
@@ -171,8 +198,8 @@ def search_auto(points: DataFrame, sigs: DataFrame, query, params: LshParams, *,
     return ann_search(points, sigs, query, params, k=k, where=where, keep=keep, vector=vector), "ann"
 
 
-def recall_by_radius(points: DataFrame, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
-                     vector: str = "vector") -> DataFrame:
+def recall_by_radius(points: DataFrame | None, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
+                     vector: str = "vector", scored: DataFrame | None = None) -> DataFrame:
     """ANN-4: recall@k of the ANN answer against the exact one, for every radius 0..bits.
 
     A point is a candidate at radius r when its smallest Hamming distance over the
@@ -185,14 +212,15 @@ def recall_by_radius(points: DataFrame, sigs: DataFrame, query, params: LshParam
     ham = (sigs.select("id", F.bit_count(F.col("sig").bitwiseXOR(F.element_at(qmap, F.col("table_no"))))
                        .alias("h"))
                .groupBy("id").agg(F.min("h").alias("h")))
-    scored = (points.select(F.col("id"), score(vector, query).alias("score"))
-                    .join(ham, "id"))
+    if scored is None:                       # exact scores of every point: (id, score)
+        scored = points.select(F.col("id"), score(vector, query).alias("score"))
+    exact = search.top_k(scored, k).select("id", F.lit(1).alias("hit"))
+    scored = scored.select("id", "score").join(ham, "id")
     per_r = scored.select("id", "score", F.explode(F.sequence(F.col("h").cast("int"), F.lit(params.bits)))
                           .alias("radius"))
     w = Window.partitionBy("radius").orderBy(F.col("score").desc(), F.col("id").asc())
     topr = per_r.withColumn("rn", F.row_number().over(w)).where((F.col("rn") <= k) & F.col("score").isNotNull())
-    exact = search.knn(points, query, vector=vector, k=k).select("id", F.lit(1).alias("hit"))
-    radii = points.sparkSession.range(0, params.bits + 1).select(F.col("id").cast("int").alias("radius"))
+    radii = sigs.sparkSession.range(0, params.bits + 1).select(F.col("id").cast("int").alias("radius"))
     found = (topr.join(F.broadcast(exact), "id", "left")
                  .groupBy("radius").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("found"),
                                         F.count(F.lit(1)).alias("returned")))

@@ -165,15 +165,26 @@ def lsh_points(spark, sf_dir):
     return tables.points(spark, sf_dir)
 
 
+def lsh_vectors(spark, sf_dir):
+    return tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
+                                                                 F.col("embedding").alias("vector"))
+
+
+def lsh_payload(spark, sf_dir):
+    return tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *tables.PAYLOAD_COLS)
+
+
 def lsh_sigs(spark, sf_dir, q):
-    return ann.signatures(lsh_points(spark, sf_dir), LSH, len(q))
+    """Signatures computed where the vectors are read (a superset of the points;
+    candidates are intersected with the payload ids before re-ranking)."""
+    return ann.signatures(lsh_vectors(spark, sf_dir), LSH, len(q))
 
 
 @register("lsh_signatures", f"WITH {PTS_SQL}, {_sig_sql()} SELECT id, table_no, sig FROM sigs")
 def lsh_signatures(spark, sf_dir):
     """ANN-1 build: 4 tables x 8-bit random-hyperplane signatures of every point."""
     q = query_vector(spark, sf_dir)
-    return lsh_sigs(spark, sf_dir, q)
+    return ann.signatures(lsh_points(spark, sf_dir), LSH, len(q))
 
 
 def _ann_sql(where: str = "TRUE") -> str:
@@ -189,8 +200,8 @@ FROM s WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {K}"""
 def ann_search(spark, sf_dir):
     """ANN-1 search: probe radius 1 around the query signature, exact re-rank of candidates."""
     q = query_vector(spark, sf_dir)
-    return ann.ann_search(lsh_points(spark, sf_dir), lsh_sigs(spark, sf_dir, q), q, LSH, k=K,
-                          keep=tables.PAYLOAD_COLS)
+    return ann.ann_search_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir), lsh_sigs(spark, sf_dir, q),
+                                q, LSH, k=K, keep=tables.PAYLOAD_COLS)
 
 
 @register("ann_filtered", _ann_sql(FILTERED_WHERE))
@@ -198,8 +209,8 @@ def ann_filtered(spark, sf_dir):
     """ANN-2: the payload filter restricts the candidates before the exact re-rank."""
     q = query_vector(spark, sf_dir)
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    return ann.ann_search(lsh_points(spark, sf_dir), lsh_sigs(spark, sf_dir, q), q, LSH, k=K, where=cond,
-                          keep=tables.PAYLOAD_COLS)
+    return ann.ann_search_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir), lsh_sigs(spark, sf_dir, q),
+                                q, LSH, k=K, where=cond, keep=tables.PAYLOAD_COLS)
 
 
 @register("ann_switch", f"""
@@ -214,8 +225,8 @@ def ann_switch(spark, sf_dir):
     """ANN-3: exact search below the 10,000-row full-scan threshold, ANN above it."""
     q = query_vector(spark, sf_dir)
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    df, _mode = ann.search_auto(lsh_points(spark, sf_dir), lsh_sigs(spark, sf_dir, q), q, LSH, k=K,
-                                where=cond, keep=tables.PAYLOAD_COLS)
+    df, _mode = ann.search_auto_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir),
+                                      lsh_sigs(spark, sf_dir, q), q, LSH, k=K, where=cond, keep=tables.PAYLOAD_COLS)
     return df
 
 
@@ -235,7 +246,9 @@ FROM radii LEFT JOIN f USING (radius)""")
 def ann_recall(spark, sf_dir):
     """ANN-4: recall@10 of the LSH answer against exact search at every probe radius."""
     q = query_vector(spark, sf_dir)
-    return ann.recall_by_radius(lsh_points(spark, sf_dir), lsh_sigs(spark, sf_dir, q), q, LSH, k=K)
+    ids = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    scored = search.score_split(lsh_vectors(spark, sf_dir), ids, q)
+    return ann.recall_by_radius(None, lsh_sigs(spark, sf_dir, q), q, LSH, k=K, scored=scored)
 
 
 # ---- timing summary ----------------------------------------------------------

@@ -150,3 +150,18 @@ def test_probe_fallback_equals_broadcast_probes(spark, pts, monkeypatch):
     b = {r.id for r in ann.candidates(sigs, qs, params).collect()}
     assert a == b and a
     assert ann.n_probes(params) == 2 * (1 + 8 + 28)
+
+
+def test_split_ann_equals_joined(spark, pts):
+    params = ann.LshParams(bits=6, tables=3, radius=2)
+    vec = tables.read_table(spark, SF_SMALL, "embeddings").select(F.col("vec_id").alias("id"),
+                                                                  F.col("embedding").alias("vector"))
+    pay = tables.read_table(spark, SF_SMALL, "documents").select(F.col("doc_id").alias("id"), "lang")
+    q = [float(x) for x in pts.where(F.col("id") == 4).collect()[0].vector]
+    cond = flt.match_value("lang", "en")
+    a = ann.ann_search(pts, ann.signatures(pts, params, 64), q, params, k=10, where=cond, keep=("lang",))
+    b = ann.ann_search_split(vec, pay, ann.signatures(vec, params, 64), q, params, k=10, where=cond, keep=("lang",))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    c, mode = ann.search_auto_split(vec, pay, ann.signatures(vec, params, 64), q, params, k=10, where=cond,
+                                    keep=("lang",), threshold=1)
+    assert mode == "ann" and sorted(map(tuple, c.collect())) == sorted(map(tuple, b.collect()))
