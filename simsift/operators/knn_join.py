@@ -101,12 +101,35 @@ def _parallel(points: DataFrame) -> DataFrame:
     return points
 
 
+def restrict(points: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
+    """Points whose id is in ``members``: a broadcast semi-join when ``members`` is at most
+    ``search.MAX_BROADCAST_CANDIDATES`` rows (checked; vectors stay where they are
+    read), else a shuffle semi-join."""
+    from pyspark import StorageLevel
+
+    from simsift.operators.search import MAX_BROADCAST_CANDIDATES
+
+    ids = members.select(F.col(id_col))
+    probe = ids.limit(MAX_BROADCAST_CANDIDATES + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    if probe.count() <= MAX_BROADCAST_CANDIDATES:
+        return points.join(F.broadcast(probe), id_col, "left_semi")
+    probe.unpersist()
+    return points.join(ids, id_col, "left_semi")
+
+
 def knn_join(points: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = COSINE,
              vector: str = "vector", id_col: str = "id", qid_col: str = "qid",
-             qvector: str = "vector", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Exact top-k for every query row: ``(qid, rank, id, score)``."""
+             qvector: str = "vector", block_rows: int = DEFAULT_BLOCK_ROWS,
+             members: DataFrame | None = None) -> DataFrame:
+    """Exact top-k for every query row: ``(qid, rank, id, score)``.
+
+    ``members`` optionally restricts the points to ids present there (e.g. vectors
+    that have a payload row), see ``restrict``.
+    """
     if metric not in (COSINE, DOT):
         raise ValueError(f"unknown metric {metric!r}")
+    if members is not None:
+        points = restrict(points, members, id_col)
     q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvector).alias("qv"))
     n_queries = q.count()
     n_blocks = max(1, -(-n_queries // block_rows))

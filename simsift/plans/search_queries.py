@@ -162,7 +162,10 @@ def knn_batch(spark, sf_dir):
     """KNN-11: many queries in one kNN join (Arrow matrix-product kernel)."""
     from simsift.operators.knn_join import knn_join
 
-    return knn_join(tables.points(spark, sf_dir, payload=()), label_queries(spark, sf_dir), k=K)
+    emb = tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
+                                                                F.col("embedding").alias("vector"))
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return knn_join(emb, label_queries(spark, sf_dir), k=K, members=docs)
 
 
 @register("knn_group_best", f"""
