@@ -140,8 +140,10 @@ def postings_search(spark, sf_dir):
     """IDX-3 + ANN-2: text filter answered from the postings (semi-join), then cosine top-10."""
     docs = tables.read_table(spark, sf_dir, "documents")
     post = layout.postings(docs, "text", id_col="doc_id")
-    pts = layout.text_filter(tables.points(spark, sf_dir), post, MATCH_QUERY)
-    return search.knn(pts, query_vector(spark, sf_dir), k=K, keep=tables.PAYLOAD_COLS)
+    cand = layout.text_filter(lsh_payload(spark, sf_dir), post, MATCH_QUERY)
+    scored = search.score_split(lsh_vectors(spark, sf_dir), cand, query_vector(spark, sf_dir),
+                                keep=tables.PAYLOAD_COLS)
+    return search.top_k(scored, K, keep=tables.PAYLOAD_COLS)
 
 
 # ---- LSH ---------------------------------------------------------------------
