@@ -210,3 +210,20 @@ def test_bucketed_load_missing_and_commit(spark, scratch):
     assert store.load_missing_into(spark, "t_bk2", rows).get("skipped")
     store.commit(spark, "t_bk2", spark.table("t_bk2").where("id < 5"))
     assert sorted(r.id for r in spark.table("t_bk2").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_stream_into_bucketed_table(spark, scratch):
+    src = os.path.join(scratch, "incoming_b")
+    os.makedirs(src)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("vector", T.ArrayType(T.FloatType())),
+                           T.StructField("seq", T.LongType())])
+    batches = [[(i % 11, [float(i), 1.0, 0.0, 0.0], i) for i in range(b * 9, b * 9 + 9)] for b in range(3)]
+    for b, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"b{b}"))
+    store.get_or_create_table(spark, "t_stream_b", scratch, buckets=4)
+    upsert_stream(spark, os.path.join(src, "*"), schema, "t_stream_b",
+                  checkpoint=os.path.join(scratch, "ckb"), max_files_per_trigger=1)
+    got = sorted((r.id, r.seq) for r in spark.table("t_stream_b").collect())
+    exp = sorted((r.id, r.seq) for r in ingest.upsert(
+        None, spark.createDataFrame([r for b in batches for r in b], schema)).collect())
+    assert got == exp
