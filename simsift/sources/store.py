@@ -115,14 +115,15 @@ def get_or_create_table(spark: SparkSession, name: str, root: str, *,
                         vectors: VectorParams | dict[str, VectorParams] | None = None,
                         sparse: list[str] | None = None, build: dict | None = None,
                         id_type: str = "long", payload: T.StructType | None = None,
-                        rebuild_on_change: bool = False, buckets: int | None = None) -> TableInfo:
+                        rebuild_on_change: bool = False, buckets: int | None = None,
+                        clean: bool = False) -> TableInfo:
     """SNK-4 (+SNK-6): return the existing table, or create it.
 
     ``vectors=None`` with ``sparse`` given makes a sparse-only table (no dense
     column); with neither, one unnamed size-4 cosine vector. An existing table
     must carry the declared config, else ``ValueError``. When only the build
     parameters differ and ``rebuild_on_change`` is set, the table is dropped and
-    recreated empty (a clean rebuild).
+    recreated empty (a clean rebuild). ``clean=True`` always drops and recreates.
     """
     if isinstance(vectors, VectorParams):
         vectors = {"": vectors}
@@ -130,6 +131,8 @@ def get_or_create_table(spark: SparkSession, name: str, root: str, *,
     if vectors is None:
         vectors = {} if sparse else {"": VectorParams(4, COSINE)}
     build = dict(build or {})
+    if clean and spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(name):
         info = describe(spark, name)
         if info.vectors != vectors or info.sparse != sparse:

@@ -227,3 +227,12 @@ def test_stream_into_bucketed_table(spark, scratch):
     exp = sorted((r.id, r.seq) for r in ingest.upsert(
         None, spark.createDataFrame([r for b in batches for r in b], schema)).collect())
     assert got == exp
+
+
+def test_clean_rebuild(spark, scratch):
+    store.get_or_create_table(spark, "t_clean", scratch)
+    store.commit(spark, "t_clean", spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0], 1)],
+                                                         "id long, vector array<float>, seq long"))
+    assert spark.table("t_clean").count() == 1
+    info = store.get_or_create_table(spark, "t_clean", scratch, clean=True)
+    assert info.created and spark.table("t_clean").count() == 0
