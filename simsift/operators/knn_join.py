@@ -95,10 +95,23 @@ def _parallel(points: DataFrame) -> DataFrame:
 
     Large inputs already arrive in many splits and are left untouched (no shuffle).
     """
-    target = points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < target:
-        return points.repartition(target)
-    return points
+    from simsift.sources.tables import spread_small
+
+    return spread_small(points)
+
+
+class _Local:
+    """Stand-in for a broadcast variable where none can be created (ships in the closure)."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _broadcast(spark, value):
+    try:
+        return spark.sparkContext.broadcast(value)
+    except Exception:  # noqa: BLE001
+        return _Local(value)
 
 
 def restrict(points: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
@@ -146,7 +159,7 @@ def knn_join(points: DataFrame, queries: DataFrame, *, k: int = 10, metric: str
         rows = [r for r in rows if r.qv is not None]
         qids = np.array([r.qid for r in rows], dtype=np.int64)
         qmat = np.array([list(r.qv) for r in rows], dtype=np.float64)
-        block = points.sparkSession.sparkContext.broadcast((qids, qmat))
+        block = _broadcast(points.sparkSession, (qids, qmat))
         parts.append(pts.mapInArrow(_kernel(block, k, metric, id_col, vector), _PARTIAL))
     if not parts:
         return points.sparkSession.createDataFrame([], "qid long, rank long, id long, score double")
