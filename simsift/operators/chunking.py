@@ -195,12 +195,19 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
 
 def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
                      dim: int | None = None, partitions: int | None = None) -> DataFrame:
-    """All-built-in long form of ``semantic_chunks`` (same result).
+    """All-built-in form of ``semantic_chunks`` (same result).
 
-    One row per (window, bucket); the dot product of neighbouring windows pairs
-    each bucket with the same bucket of the next window through ``lead`` within
-    (key, bucket), norms in the same aggregate. Documents are shuffled once by
-    ``key``; every later step is keyed by it.
+    Window vectors are sums of sentence vectors, so with sentence-pair products
+    ``A_i = <S_i,S_i>``, ``B_i = <S_i,S_i+1>``, ``C_i = <S_i,S_i+2>``, ``D_i = <S_i,S_i+3>``:
+
+        |W_w|^2          = A_w-1 + A_w + A_w+1 + 2 (B_w-1 + B_w) + 2 C_w-1
+        <W_w, W_w+1>     = B_w-1 + C_w-1 + D_w-1 + A_w + 2 B_w + C_w + A_w+1 + B_w+1
+
+    (terms outside the document are 0). The products come from one row per
+    (sentence, bucket) and ``lead`` up to 3 within (document, bucket); all sums
+    are of integers, so the distances equal the direct window computation
+    bit for bit. Documents are shuffled once by ``key``; every later aggregate
+    and window is keyed by it.
     """
     from simsift.operators.embed import EMBED_DIM
 
@@ -211,29 +218,37 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
                lambda v: F.transform(v["st"], lambda x, i: F.struct(
                    i.alias("si"), x.alias("toks"), F.size(v["st"]).alias("m"))))
     sent = docs.select(key, F.inline(rows))
-    # every token is hashed once and added straight into the three windows it
-    # belongs to (sentences i-1, i, i+1): W_w = S_{w-1} + S_w + S_{w+1}
-    tok = sent.select(key, "si", "m", F.explode("toks").alias("_tok"))
-    h = tok.select(key, "si", "m", F.conv(F.substring(F.md5(F.lower("_tok")), 1, 8), 16, 10)
+    tok = sent.select(key, "si", F.explode("toks").alias("_tok"))
+    h = tok.select(key, "si", F.conv(F.substring(F.md5(F.lower("_tok")), 1, 8), 16, 10)
                    .cast("long").alias("_h"))
-    sg = h.select(key, "m", (F.col("_h") % F.lit(dim)).cast("int").alias("bucket"),
-                  F.expr(f"1 - 2 * pmod(_h div {dim}, 2)").cast("int").alias("_s"),
-                  F.explode(F.array(F.col("si") - 1, F.col("si"), F.col("si") + 1)).alias("w"))
-    win = (sg.where((F.col("w") >= 0) & (F.col("w") < F.col("m")))
-             .groupBy(key, "w", "bucket").agg(F.sum("_s").cast("double").alias("v")))
-    # dot(W_w, W_{w+1}) pairs each bucket with the same bucket of the next window: a
-    # lead() within (key, bucket) instead of a self-join; norms in the same aggregate.
-    wb = Window.partitionBy(key, "bucket").orderBy("w")
-    nxt = win.select(key, "w", "v", F.lead("w").over(wb).alias("_nw"), F.lead("v").over(wb).alias("_nv"))
-    per_w = nxt.groupBy(key, "w").agg(
-        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm"),
-        F.sum(F.when(F.col("_nw") == F.col("w") + 1, F.col("v") * F.col("_nv")).otherwise(F.lit(0.0))).alias("dot"))
+    sv = (h.select(key, "si", (F.col("_h") % F.lit(dim)).cast("int").alias("bucket"),
+                   F.expr(f"1 - 2 * pmod(_h div {dim}, 2)").cast("long").alias("_s"))
+           .groupBy(key, "si", "bucket").agg(F.sum("_s").alias("v"))
+           .where(F.col("v") != 0))
+    wb = Window.partitionBy(key, "bucket").orderBy("si")
+    nxt = sv.select(key, "si", "v", *[x for o in (1, 2, 3) for x in (
+        F.lead("si", o).over(wb).alias(f"_s{o}"), F.lead("v", o).over(wb).alias(f"_v{o}"))])
+
+    def at(off):   # product with the entry `off` sentences ahead, 0 when absent
+        terms = [F.when(F.col(f"_s{o}") == F.col("si") + off, F.col("v") * F.col(f"_v{o}")) for o in (1, 2, 3)]
+        return F.coalesce(*terms, F.lit(0))
+
+    pairs = nxt.groupBy(key, "si").agg(F.sum(F.col("v") * F.col("v")).alias("A"), F.sum(at(1)).alias("B"),
+                                       F.sum(at(2)).alias("C"), F.sum(at(3)).alias("D"))
+    base = sent.select(key, "si", "m").join(pairs, [key, "si"], "left").na.fill(0, ["A", "B", "C", "D"])
+    ww = Window.partitionBy(key).orderBy("si")
+    prev = lambda c: F.coalesce(F.lag(c).over(ww), F.lit(0))
+    nxt1 = lambda c: F.coalesce(F.lead(c).over(ww), F.lit(0))
+    q = base.select(key, "si", "m",
+                    (prev("A") + F.col("A") + nxt1("A") + 2 * (prev("B") + F.col("B")) + 2 * prev("C")).alias("n2"),
+                    (prev("B") + prev("C") + prev("D") + F.col("A") + 2 * F.col("B") + F.col("C")
+                     + nxt1("A") + nxt1("B")).alias("dot"))
+    q = q.select(key, "si", "m", "dot", "n2", F.lead("n2").over(ww).alias("_n2next"))
+    dist = (q.where(F.col("si") < F.col("m") - 1)
+             .select(key, F.col("si").alias("w"), F.round(F.lit(1.0) - F.try_divide(
+                 F.col("dot").cast("double"), F.sqrt(F.col("n2").cast("double")) * F.sqrt(F.col("_n2next").cast("double"))),
+                 6).alias("d")))
     ww = Window.partitionBy(key).orderBy("w")
-    dist = (per_w.select(key, "w", "dot", "nrm", F.lead("w").over(ww).alias("_w2"),
-                         F.lead("nrm").over(ww).alias("_n2"))
-                 .where(F.col("_w2") == F.col("w") + 1)
-                 .select(key, "w", F.round(F.lit(1.0) - F.try_divide(F.col("dot"), F.col("nrm") * F.col("_n2")),
-                                           6).alias("d")))
     thr = F.round(F.percentile("d", percentile).over(Window.partitionBy(key)), 6)
     brk = dist.select(key, "w", F.coalesce(F.col("d") > thr, F.lit(False)).cast("int").alias("brk"))
     cum = brk.select(key, (F.col("w") + 1).alias("si"), F.sum("brk").over(
