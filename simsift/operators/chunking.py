@@ -138,7 +138,8 @@ def sentence_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, overlap: int =
 
 
 def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
-                    dim: int | None = None, partitions: int | None = None, method: str = "native") -> DataFrame:
+                    dim: int | None = None, partitions: int | None = None, method: str = "native",
+                    keep=()) -> DataFrame:
     """CHK-5: break between sentences where the embedding distance jumps.
 
     Window text of sentence i = sentences i-1, i, i+1; with the additive hashing
@@ -156,9 +157,14 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
     time at sf0.1 and give identical chunks (tested).
     """
     if method == "native":
-        return _semantic_native(df, text, key=key, percentile=percentile, dim=dim, partitions=partitions)
+        return _semantic_native(df, text, key=key, percentile=percentile, dim=dim, partitions=partitions,
+                                keep=keep)
     if method != "arrow":
         raise ValueError("method must be 'arrow' or 'native'")
+    if keep:
+        out = semantic_chunks(df, text, key=key, percentile=percentile, dim=dim, partitions=partitions,
+                              method="arrow")
+        return out.join(df.select(key, *keep), key)
     from simsift.operators.embed import EMBED_DIM, hashed_sparse_udf
 
     dim = dim or EMBED_DIM
@@ -194,7 +200,7 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
 
 
 def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
-                     dim: int | None = None, partitions: int | None = None) -> DataFrame:
+                     dim: int | None = None, partitions: int | None = None, keep=()) -> DataFrame:
     """All-built-in form of ``semantic_chunks`` (same result).
 
     Window vectors are sums of sentence vectors, so with sentence-pair products
@@ -212,12 +218,13 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
     from simsift.operators.embed import EMBED_DIM
 
     dim = dim or EMBED_DIM
-    docs = df.select(key, text)
+    keep = tuple(keep)
+    docs = df.select(key, text, *keep)
     docs = docs.repartition(partitions, key) if partitions else docs.repartition(key)
     rows = let(F.struct(F.transform(sentences(text), lambda s: tokens(s)).alias("st")),
                lambda v: F.transform(v["st"], lambda x, i: F.struct(
                    i.alias("si"), x.alias("toks"), F.size(v["st"]).alias("m"))))
-    sent = docs.select(key, F.inline(rows))
+    sent = docs.select(key, *keep, F.inline(rows))
     tok = sent.select(key, "si", F.explode("toks").alias("_tok"))
     h = tok.select(key, "si", F.conv(F.substring(F.md5(F.lower("_tok")), 1, 8), 16, 10)
                    .cast("long").alias("_h"))
@@ -254,7 +261,8 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
     cum = brk.select(key, (F.col("w") + 1).alias("si"), F.sum("brk").over(
         ww.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
     lab = (sent.join(cum, [key, "si"], "left")
-               .select(key, "si", "toks", F.coalesce("cum", F.lit(0)).alias("chunk_index")))
-    grouped = lab.groupBy(key, "chunk_index").agg(F.sort_array(F.collect_list(F.struct("si", "toks"))).alias("_p"))
+               .select(key, "si", "toks", *keep, F.coalesce("cum", F.lit(0)).alias("chunk_index")))
+    grouped = lab.groupBy(key, "chunk_index").agg(
+        F.sort_array(F.collect_list(F.struct("si", "toks"))).alias("_p"), *[F.first(c).alias(c) for c in keep])
     return grouped.select(key, F.col("chunk_index").cast("int").alias("chunk_index"),
-                          F.array_join(F.flatten(F.transform("_p", lambda p: p["toks"])), " ").alias("chunk"))
+                          F.array_join(F.flatten(F.transform("_p", lambda p: p["toks"])), " ").alias("chunk"), *keep)

@@ -154,8 +154,8 @@ def chunk_budgeted_df(spark, sf_dir):
                .withColumn("chunking", F.lit(ch.FIXED)),
              ch.sentence_chunks(r, "description", size=F.col("budget"), keep=keep)
                .withColumn("chunking", F.lit(ch.SENTENCE)),
-             ch.semantic_chunks(r, "description", key="id", percentile=PCT, dim=EMBED_DIM)
-               .join(r.select(*keep), "id").withColumn("chunking", F.lit(ch.SEMANTIC))]
+             ch.semantic_chunks(r, "description", key="id", percentile=PCT, dim=EMBED_DIM, keep=("menu_text",))
+               .withColumn("chunking", F.lit(ch.SEMANTIC))]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.select("id", "chunking", "chunk_index",
                     tx.point_id(F.col("id"), F.col("chunking"), F.col("chunk_index")).alias("point_id"),

@@ -88,3 +88,11 @@ def test_token_report(spark):
     assert (rows[0].n_tokens, rows[0].excess, rows[0].over_limit) == (3, 0, False)
     assert rows[1].n_tokens == 0
     assert (rows[2].n_tokens, rows[2].excess, rows[2].over_limit) == (300, 44, True)
+
+
+@pytest.mark.parametrize("method", ["native", "arrow"])
+def test_semantic_carries_keep_columns(spark, method):
+    df = spark.createDataFrame([(i, t, f"tag{i}") for i, t in enumerate(TEXTS)], "id long, text string, tag string")
+    rows = ch.semantic_chunks(df, "text", key="id", keep=("tag",), method=method).collect()
+    assert rows and all(r.tag == f"tag{r.id}" for r in rows)
+    assert {r.id for r in rows} == {i for i, t in enumerate(TEXTS) if brute.tokens(t)}
