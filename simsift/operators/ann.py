@@ -109,7 +109,8 @@ def signatures(points: DataFrame, params: LshParams, dim: int, *, vector: str =
 
 
 def write_signatures(sigs: DataFrame, path: str) -> None:
-    sigs.repartitionByRange("table_no", "sig").sortWithinPartitions("table_no", "sig") \
+    # the id tiebreak splits a crowded signature bucket over several files
+    sigs.repartitionByRange("table_no", "sig", "id").sortWithinPartitions("table_no", "sig", "id") \
         .write.mode("overwrite").parquet(path)
 
 

@@ -24,16 +24,29 @@ from pyspark.sql import functions as F
 from simsift.functions.filters import query_words, word_tokens
 
 
-def write_keyword_layout(df: DataFrame, field: str, path: str, *, partition: bool = True) -> None:
+def _n(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def write_keyword_layout(df: DataFrame, field: str, path: str, *, partition: bool = True,
+                         salts: int = 16, partitions: int | None = None) -> None:
+    """A hot keyword value (say a third of all rows) is spread over ``salts`` tasks by a
+    deterministic row hash, so it is written in parallel into its own partition folder."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+    spread = df.repartition(_n(df, partitions), F.col(field), salt)
     if partition:
-        df.repartition(field).write.mode("overwrite").partitionBy(field).parquet(path)
+        spread.write.mode("overwrite").partitionBy(field).parquet(path)
     else:
-        df.repartition(field).sortWithinPartitions(field).write.mode("overwrite").parquet(path)
+        spread.sortWithinPartitions(field).write.mode("overwrite").parquet(path)
 
 
-def write_range_layout(df: DataFrame, field: str, path: str, *, partitions: int | None = None) -> None:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, field).sortWithinPartitions(field).write.mode("overwrite").parquet(path)
+def write_range_layout(df: DataFrame, field: str, path: str, *, partitions: int | None = None,
+                       tiebreak: str | None = "id") -> None:
+    """Range layout; ``tiebreak`` splits a hot value over several files (equal keys otherwise
+    land in one range partition)."""
+    keys = [field] + ([tiebreak] if tiebreak and tiebreak in df.columns else [])
+    df.repartitionByRange(_n(df, partitions), *keys).sortWithinPartitions(*keys) \
+        .write.mode("overwrite").parquet(path)
 
 
 def postings(df: DataFrame, text: str, *, id_col: str = "id") -> DataFrame:
@@ -43,8 +56,9 @@ def postings(df: DataFrame, text: str, *, id_col: str = "id") -> DataFrame:
 
 
 def write_postings(post: DataFrame, path: str, *, partitions: int | None = None) -> None:
-    n = partitions or int(post.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    post.repartitionByRange(n, "token").sortWithinPartitions("token", "id").write.mode("overwrite").parquet(path)
+    """Sorted by (token, id); ranges on both keys, so a very common token spans several files."""
+    post.repartitionByRange(_n(post, partitions), "token", "id").sortWithinPartitions("token", "id") \
+        .write.mode("overwrite").parquet(path)
 
 
 def match_ids(post: DataFrame, query: str | Sequence[str]) -> DataFrame:

@@ -59,7 +59,8 @@ def build_inverted(df: DataFrame, col: str, path: str, *, id_col: str = "id", pa
     """Write the inverted index sorted by ``idx`` (range-partitioned, so files hold disjoint idx ranges)."""
     long = to_long(df, col, id_col)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    long.repartitionByRange(n, "idx").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
+    # (idx, id) ranges: a hot index spans several files instead of one task
+    long.repartitionByRange(n, "idx", "id").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
 
 
 def _query_terms(query_indices: Sequence[int], query_values: Sequence[float]) -> list[tuple[int, float]]:
