@@ -163,10 +163,6 @@ qsig AS (SELECT table_no, sig AS qs FROM sigs WHERE id = 0),
 ham AS (SELECT s.id, min(bit_count(xor(s.sig, q.qs))) AS h FROM sigs s JOIN qsig q USING (table_no) GROUP BY s.id)"""
 
 
-def lsh_points(spark, sf_dir):
-    return tables.points(spark, sf_dir)
-
-
 def lsh_vectors(spark, sf_dir):
     return tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                                  F.col("embedding").alias("vector"))
@@ -184,9 +180,13 @@ def lsh_sigs(spark, sf_dir, q):
 
 @register("lsh_signatures", f"WITH {PTS_SQL}, {_sig_sql()} SELECT id, table_no, sig FROM sigs")
 def lsh_signatures(spark, sf_dir):
-    """ANN-1 build: 4 tables x 8-bit random-hyperplane signatures of every point."""
+    """ANN-1 build: 4 tables x 8-bit random-hyperplane signatures of every point.
+
+    Signatures are computed where the vectors are read; only the small
+    ``(id, table_no, sig)`` rows are semi-joined to the payload ids."""
     q = query_vector(spark, sf_dir)
-    return ann.signatures(lsh_points(spark, sf_dir), LSH, len(q))
+    ids = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return lsh_sigs(spark, sf_dir, q).join(ids, "id", "left_semi")
 
 
 def _ann_sql(where: str = "TRUE") -> str:
