@@ -46,11 +46,8 @@ def token_report(df: DataFrame, text: str, *, keep=("id",), limit: int = MAX_TOK
                      (n > F.lit(limit)).alias("over_limit"))
 
 
-def fixed_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, keep=("id",)) -> DataFrame:
-    """CHK-3: windows of ``size`` tokens (a column or an int), no overlap, last short.
-
-    Empty text gives no rows. Output: ``keep.., chunk_index, chunk``.
-    """
+def fixed_chunk_array(text, size=MAX_TOKENS) -> Column:
+    """CHK-3 as a column: the array of chunk strings of one text."""
     sz = _size_col(size)
 
     def pieces(v):
@@ -58,8 +55,15 @@ def fixed_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, keep=("id",)) ->
         starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, v["size"])).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, v["size"]), " "))
 
-    chunks = let(F.struct(tokens(text).alias("toks"), sz.alias("size")), pieces)
-    return df.select(*keep, F.posexplode(chunks).alias("chunk_index", "chunk"))
+    return let(F.struct(tokens(text).alias("toks"), sz.alias("size")), pieces)
+
+
+def fixed_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, keep=("id",)) -> DataFrame:
+    """CHK-3: windows of ``size`` tokens (a column or an int), no overlap, last short.
+
+    Empty text gives no rows. Output: ``keep.., chunk_index, chunk``.
+    """
+    return df.select(*keep, F.posexplode(fixed_chunk_array(text, size)).alias("chunk_index", "chunk"))
 
 
 def sentences(text) -> Column:
@@ -125,6 +129,19 @@ def sentence_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, overlap: int =
                     keep=("id",)) -> DataFrame:
     """CHK-4: sentences packed up to ``size`` tokens with up to ``overlap`` tokens of
     trailing sentences repeated. Narrow (no shuffle). Output ``keep.., chunk_index, chunk``."""
+    return df.select(*keep, F.posexplode(sentence_chunk_array(text, size, overlap)).alias("chunk_index", "chunk"))
+
+
+def tagged_chunks(df: DataFrame, arrays: dict, *, keep=("id",)) -> DataFrame:
+    """Several per-row chunkings in one pass: ``arrays`` maps a strategy name to a
+    chunk-array column; output ``keep.., chunking, chunk_index, chunk``."""
+    arms = F.array(*[F.struct(F.lit(n).alias("chunking"), c.alias("chunks")) for n, c in arrays.items()])
+    return (df.select(*keep, F.inline(arms))
+              .select(*keep, "chunking", F.posexplode("chunks").alias("chunk_index", "chunk")))
+
+
+def sentence_chunk_array(text, size=MAX_TOKENS, overlap: int = SENTENCE_OVERLAP) -> Column:
+    """CHK-4 as a column: the array of packed chunk strings of one text."""
     sz = _size_col(size)
 
     def texts(v):
@@ -133,8 +150,7 @@ def sentence_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, overlap: int =
         bounds = let(F.struct(counts.alias("c")), lambda cv: _pack(u, cv["c"], v["size"], overlap))
         return F.transform(bounds, lambda b: F.array_join(F.flatten(F.slice(u, b["s"] + 1, b["e"] - b["s"])), " "))
 
-    chunks = let(F.struct(sentence_units(text, sz).alias("u"), sz.alias("size")), texts)
-    return df.select(*keep, F.posexplode(chunks).alias("chunk_index", "chunk"))
+    return let(F.struct(sentence_units(text, sz).alias("u"), sz.alias("size")), texts)
 
 
 def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,

@@ -117,11 +117,12 @@ def chunk_semantic(spark, sf_dir):
 
 def chunk_union_df(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    parts = [ch.fixed_chunks(docs, "text", keep=("doc_id",)).withColumn("chunking", F.lit(ch.FIXED)),
-             ch.sentence_chunks(docs, "text", keep=("doc_id",)).withColumn("chunking", F.lit(ch.SENTENCE)),
-             ch.semantic_chunks(docs, "text", key="doc_id", percentile=PCT, dim=EMBED_DIM)
-               .withColumn("chunking", F.lit(ch.SEMANTIC))]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # fixed and sentence chunks come out of one narrow pass over the documents
+    narrow = ch.tagged_chunks(docs, {ch.FIXED: ch.fixed_chunk_array("text"),
+                                     ch.SENTENCE: ch.sentence_chunk_array("text")}, keep=("doc_id",))
+    sem = (ch.semantic_chunks(docs, "text", key="doc_id", percentile=PCT, dim=EMBED_DIM)
+             .withColumn("chunking", F.lit(ch.SEMANTIC)))
+    u = narrow.unionByName(sem)
     return u.select("doc_id", "chunking", "chunk_index",
                     tx.point_id(F.col("doc_id"), F.col("chunking"), F.col("chunk_index")).alias("point_id"),
                     "chunk", tx.n_tokens("chunk").alias("n_tokens"))
@@ -150,13 +151,12 @@ def chunk_budgeted_df(spark, sf_dir):
             .withColumn("menu_text", tx.menu_highlights("menu_items"))
             .withColumn("budget", tx.chunk_budget("menu_text")))
     keep = ("id", "menu_text")
-    parts = [ch.fixed_chunks(r, "description", size=F.col("budget"), keep=keep)
-               .withColumn("chunking", F.lit(ch.FIXED)),
-             ch.sentence_chunks(r, "description", size=F.col("budget"), keep=keep)
-               .withColumn("chunking", F.lit(ch.SENTENCE)),
-             ch.semantic_chunks(r, "description", key="id", percentile=PCT, dim=EMBED_DIM, keep=("menu_text",))
-               .withColumn("chunking", F.lit(ch.SEMANTIC))]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # fixed and sentence chunks (menu-adjusted budget) in one pass over the records
+    narrow = ch.tagged_chunks(r, {ch.FIXED: ch.fixed_chunk_array("description", F.col("budget")),
+                                  ch.SENTENCE: ch.sentence_chunk_array("description", F.col("budget"))}, keep=keep)
+    sem = (ch.semantic_chunks(r, "description", key="id", percentile=PCT, dim=EMBED_DIM, keep=("menu_text",))
+             .withColumn("chunking", F.lit(ch.SEMANTIC)))
+    u = narrow.unionByName(sem)
     return u.select("id", "chunking", "chunk_index",
                     tx.point_id(F.col("id"), F.col("chunking"), F.col("chunk_index")).alias("point_id"),
                     tx.prepend_menu("chunk", "menu_text").alias("chunk"))
