@@ -96,3 +96,39 @@ def test_semantic_carries_keep_columns(spark, method):
     rows = ch.semantic_chunks(df, "text", key="id", keep=("tag",), method=method).collect()
     assert rows and all(r.tag == f"tag{r.id}" for r in rows)
     assert {r.id for r in rows} == {i for i, t in enumerate(TEXTS) if brute.tokens(t)}
+
+
+def _random_texts(n=300, seed=7):
+    import random
+
+    rnd = random.Random(seed)
+    words = ["alpha", "Beta", "gamma", "DELTA", "x", "yy", "zzz", "über", "año", "1999", "a.b", "?!"]
+    ends = [".", "!", "?", "", ",", "..."]
+    spaces = [" ", "  ", "\n", "\t", " \n "]
+    out = []
+    for _ in range(n):
+        parts = []
+        for _s in range(rnd.randint(0, 30)):
+            length = rnd.choice([1, 2, 5, 12, 40, 300])
+            sent = " ".join(rnd.choice(words) for _ in range(length)) + rnd.choice(ends)
+            parts.append(sent)
+        out.append("".join(p + rnd.choice(spaces) for p in parts))
+    return out
+
+
+@pytest.mark.parametrize("size,overlap", [(1, 40), (7, 3), (50, 40), (256, 40)])
+def test_random_texts_match_brute(spark, size, overlap):
+    texts = _random_texts()
+    df = _df(spark, texts)
+    fx = _collect(ch.fixed_chunks(df, "text", size=size))
+    sn = _collect(ch.sentence_chunks(df, "text", size=size, overlap=overlap))
+    for i, t in enumerate(texts):
+        assert fx.get(i, []) == brute.fixed_chunks(t, size), i
+        assert sn.get(i, []) == brute.sentence_chunks(t, size, overlap), i
+
+
+def test_random_texts_semantic_match_brute(spark):
+    texts = _random_texts(seed=11)
+    got = _collect(ch.semantic_chunks(_df(spark, texts), "text", key="id"))
+    for i, t in enumerate(texts):
+        assert got.get(i, []) == (brute.semantic_chunks(t) if brute.tokens(t) else []), i
