@@ -23,6 +23,9 @@ from simsift.functions.vectors import COSINE, score
 DEFAULT_LIMIT = 10
 # k rows are broadcast for the payload join; above this the join stays a shuffle join.
 MAX_BROADCAST_K = 100_000
+# TakeOrderedAndProject merges k rows from every task in one task; above this k
+# the ranking is done by range partitioning instead (exact, distributed).
+MAX_SINGLE_MERGE_K = 100_000
 
 
 def _order(score_col: str = "score", id_col: str = "id") -> list[Column]:
@@ -86,10 +89,23 @@ def top_k(scored: DataFrame, k: int = DEFAULT_LIMIT, *, keep: Sequence[str] = ()
     """Top-k of an ``(id, *keep, score)`` frame: ``(rank, id, score, *keep, *payload)``."""
     if k <= 0:
         raise ValueError("k must be positive")
+    if k > MAX_SINGLE_MERGE_K:
+        return join_payload(_top_k_distributed(scored, k).select("rank", "id", "score", *keep), payload, k)
     top = scored.orderBy(*_order()).limit(k).where(F.col("score").isNotNull())
     return join_payload(with_rank(top).select("rank", "id", "score", *keep), payload, k)
 
 
+def _top_k_distributed(scored: DataFrame, k: int) -> DataFrame:
+    """Exact top-k for a large k: global rank from a range-partitioned sort
+    (per-partition counts -> broadcast offsets, see ``ids.sequential_ids``); no
+    single task ever holds more than its own range."""
+    from simsift.operators.ids import sequential_ids
+
+    s = scored.where(F.col("score").isNotNull()).withColumn("_neg", -F.col("score"))
+    ranked = sequential_ids(s, ["_neg", "id"], name="rank", start=1)
+    return ranked.where(F.col("rank") <= k).drop("_neg")
+
+
 def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
         metric: str = COSINE, k: int = DEFAULT_LIMIT, where: Column | None = None,
         keep: Sequence[str] = (), payload: DataFrame | None = None) -> DataFrame:
@@ -108,9 +124,7 @@ def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id
     # the limit still leaves exactly min(k, matches) rows. Filtering before the
     # limit would let Catalyst infer the predicate into the scan side and score
     # every row twice, below the payload filter.
-    top = scored.orderBy(*_order()).limit(k).where(F.col("score").isNotNull())
-    ranked = with_rank(top).select("rank", "id", "score", *keep)
-    return join_payload(ranked, payload, k)
+    return top_k(scored, k, keep=keep, payload=payload)
 
 
 def grouped_top_k(scored: DataFrame, group_by: str, *, limit: int = DEFAULT_LIMIT,
@@ -120,10 +134,8 @@ def grouped_top_k(scored: DataFrame, group_by: str, *, limit: int = DEFAULT_LIMI
     w = Window.partitionBy("group_id").orderBy(*_order())
     hits = (scored.withColumn("hit_rank", F.row_number().over(w).cast("long"))
                   .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
-    best = (hits.where(F.col("hit_rank") == 1)
-                .orderBy(*_order()).limit(limit)
-                .withColumn("group_rank", F.row_number().over(Window.orderBy(*_order())).cast("long"))
-                .select("group_id", "group_rank"))
+    best = (top_k(hits.where(F.col("hit_rank") == 1).select("id", "group_id", "score"), limit, keep=("group_id",))
+                .select("group_id", F.col("rank").alias("group_rank")))
     best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
     return (hits.join(best, "group_id")
                 .select("group_rank", "group_id", "hit_rank", "id", "score"))

@@ -165,3 +165,10 @@ def test_write_results_json(spark, items, scratch):
     lines = [json.loads(r.value) for r in spark.read.text(f"{scratch}/out").collect()]
     assert [x["id"] for x in lines] == [r[1] for r in brute.ranking(_pts(), QUERY, 3)]
     assert set(lines[0]) == {"id", "score", "payload"} and set(lines[0]["payload"]) == {"category", "price"}
+
+
+def test_large_k_distributed_ranking_is_exact(spark, items, monkeypatch):
+    monkeypatch.setattr(search, "MAX_SINGLE_MERGE_K", 2)
+    got = _rows(search.knn(items, QUERY, k=5))
+    assert got == brute.ranking(_pts(), QUERY, 5)
+    assert _rows(search.knn(items, QUERY, k=50)) == brute.ranking(_pts(), QUERY, 50)
