@@ -236,3 +236,13 @@ def test_clean_rebuild(spark, scratch):
     assert spark.table("t_clean").count() == 1
     info = store.get_or_create_table(spark, "t_clean", scratch, clean=True)
     assert info.created and spark.table("t_clean").count() == 0
+
+
+def test_validate_against_declared_sizes(spark, scratch):
+    info = store.get_or_create_table(spark, "t_valid", scratch,
+                                     vectors={"a": store.VectorParams(2), "b": store.VectorParams(3, "dot")})
+    from simsift.sources.tables import literal_points
+
+    df = literal_points(spark, [(1, [1.0, 0.0], [1.0, 1.0, 1.0]), (2, [1.0], None), (3, None, [1.0, None, 1.0]),
+                                (4, None, None)], "id long, vec_a array<float>, vec_b array<float>")
+    assert sorted(r.id for r in store.validate(df, info).collect()) == [1, 4]

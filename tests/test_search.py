@@ -172,3 +172,11 @@ def test_large_k_distributed_ranking_is_exact(spark, items, monkeypatch):
     got = _rows(search.knn(items, QUERY, k=5))
     assert got == brute.ranking(_pts(), QUERY, 5)
     assert _rows(search.knn(items, QUERY, k=50)) == brute.ranking(_pts(), QUERY, 50)
+
+
+def test_check_query_dimension():
+    from simsift.functions.vectors import check_query
+
+    assert check_query([1, 2], 2) == [1.0, 2.0]
+    with pytest.raises(ValueError):
+        check_query([1, 2, 3], 2)

@@ -165,3 +165,14 @@ def test_split_ann_equals_joined(spark, pts):
     c, mode = ann.search_auto_split(vec, pay, ann.signatures(vec, params, 64), q, params, k=10, where=cond,
                                     keep=("lang",), threshold=1)
     assert mode == "ann" and sorted(map(tuple, c.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_written_signatures_search_equals_in_memory(spark, pts, scratch):
+    params = ann.LshParams(bits=6, tables=2, radius=1)
+    q = [float(x) for x in pts.where(F.col("id") == 9).collect()[0].vector]
+    sigs = ann.signatures(pts, params, 64)
+    ann.write_signatures(sigs, f"{scratch}/sigs")
+    back = spark.read.parquet(f"{scratch}/sigs")
+    a = sorted(map(tuple, ann.ann_search(pts, sigs, q, params, k=10).collect()))
+    b = sorted(map(tuple, ann.ann_search(pts, back, q, params, k=10).collect()))
+    assert a == b and a

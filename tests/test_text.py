@@ -1,6 +1,5 @@
 """Native text functions against Python semantics (PRJ-1/2/4/5/6/7, EMB-1/2/3)."""
 
-import sys
 import uuid
 
 import pytest
