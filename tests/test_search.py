@@ -187,3 +187,27 @@ def test_search_and_inspect_formats(spark):
     got = search.search_and_inspect(df, [1.0, 0.0], "a", k=3, keep=("rating",), formats={"rating": "%.1f"})
     rows = sorted((r["rank"], r.score_text, r.rating_text) for r in got.collect())
     assert rows == [(1, "1.0000", "3.5"), (2, "0.6000", "4.0")]
+
+
+def test_random_vectors_with_ties_and_zeros(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(-3, 4, size=(60, 6)).astype(float)
+    base[10] = base[3]                     # exact duplicates -> tied scores
+    base[11] = base[3]
+    base[20] = 0.0                         # zero vector -> never a hit
+    rows = [(i, [float(x) for x in v] if i != 30 else None, "g" + str(i % 4)) for i, v in enumerate(base)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>, g string")
+    pts = [{"id": i, "vector": v, "g": g} for i, v, g in rows]
+    queries = [list(map(float, base[3])), list(map(float, rng.normal(size=6))), [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]]
+    for metric in ("cosine", "dot"):
+        for q in queries:
+            exp = brute.ranking(pts, q, 12, metric=metric)
+            assert _rows(search.knn(df, q, k=12, metric=metric)) == exp
+            split = search.score_split(df.select("id", "vector"), df.select("id", "g"), q, metric=metric)
+            assert _rows(search.top_k(split, 12)) == exp
+    qdf = spark.createDataFrame([(j, q) for j, q in enumerate(queries)], "qid long, vector array<double>")
+    got = knn_join(df, qdf, k=12).collect()
+    for j, q in enumerate(queries):
+        assert sorted((r["rank"], r.id, r.score) for r in got if r.qid == j) == brute.ranking(pts, q, 12)
