@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 from simsift.functions.text import MAX_TOKENS, tokens
 
-# Sentence boundary and overlap of the sentence splitter.
+# Sentence boundary and overlap of the sentence splitter; the
+# semantic splitter's breakpoint percentile and its neighbour buffer (one
+# sentence on each side, built into the window sums below).
 SENTENCE_SPLIT = r"(?<=[.!?])\s+"
 SENTENCE_OVERLAP = 40
+SEMANTIC_PERCENTILE = 0.95
+SEMANTIC_BUFFER = 1
 
 FIXED, SENTENCE, SEMANTIC = "fixed", "sentence", "semantic"
 
@@ -153,7 +157,7 @@ def sentence_chunk_array(text, size=MAX_TOKENS, overlap: int = SENTENCE_OVERLAP)
     return let(F.struct(sentence_units(text, sz).alias("u"), sz.alias("size")), texts)
 
 
-def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
+def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: float = SEMANTIC_PERCENTILE,
                     dim: int | None = None, partitions: int | None = None, method: str = "native",
                     keep=()) -> DataFrame:
     """CHK-5: break between sentences where the embedding distance jumps.
@@ -215,7 +219,7 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
                           F.array_join(F.flatten(F.transform("_p", lambda p: p["toks"])), " ").alias("chunk"))
 
 
-def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: float = 0.95,
+def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: float = SEMANTIC_PERCENTILE,
                      dim: int | None = None, partitions: int | None = None, keep=()) -> DataFrame:
     """All-built-in form of ``semantic_chunks`` (same result).
 

@@ -12,7 +12,7 @@ from simsift.sources import records as rec
 from simsift.sources import tables
 
 EMBED_DIM = 256
-PCT = 0.95
+PCT = ch.SEMANTIC_PERCENTILE
 
 # ---- DuckDB mirrors ----------------------------------------------------------
 
