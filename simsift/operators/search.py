@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from simsift.functions.vectors import COSINE, score
 
+# Fixed value: number of hits returned when no limit is given.
 DEFAULT_LIMIT = 10
 # k rows are broadcast for the payload join; above this the join stays a shuffle join.
 MAX_BROADCAST_K = 100_000
