@@ -61,8 +61,9 @@ def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column
                 metric: str = COSINE, vector_keep: Sequence[str] = ()) -> DataFrame:
     """Scores for vectors and payload kept in separate tables: ``(id, *keep, score)``.
 
-    The plan is chosen by a size check on the filtered payload (narrow columns,
-    filters pushed to its scan):
+    Without a filter every vector is scored where it is read and only
+    ``(id, score)`` meets the payload ids. With a filter the plan is chosen by a
+    size check on the filtered payload (narrow columns, filters pushed to its scan):
 
     * at most ``MAX_BROADCAST_CANDIDATES`` rows: they are broadcast to the vector
       scan and only matching vectors are scored (no shuffle at all);
@@ -75,6 +76,10 @@ def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column
     vec = vectors.select(F.col(id_col).alias("id"), *vector_keep, F.col(vector).alias("_v"))
     sc = score("_v", query, metric).alias("score")
     keep = tuple(vector_keep) + tuple(keep)
+    if where is None:
+        # no filter: the candidates are the whole payload table, so skip the probe;
+        # vectors are scored where read and AQE may still broadcast a small payload
+        return vec.select("id", *vector_keep, sc).join(cand, "id").select("id", *keep, "score")
     # The size probe keeps at most limit+1 rows; when under the limit it *is* the
     # whole candidate set, so it is reused (persisted) as the broadcast side and
     # an expensive filter (e.g. text match) is evaluated once.
