@@ -56,9 +56,48 @@ def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str
 MAX_BROADCAST_CANDIDATES = 2_000_000
 
 
+def arrow_scores(vectors: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
+                 metric: str = COSINE) -> DataFrame:
+    """``(id, score)`` for every vector, scored in Arrow batches with one numpy
+    matrix-vector product per batch (for high-dimensional vectors, where the
+    per-element JVM fold is the slow part). NULL for a zero norm or wrong size."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from simsift.functions.vectors import SCORE_DIGITS
+
+    q = np.asarray([float(x) for x in query], dtype=np.float64)
+    qn = float(np.sqrt(q @ q))
+    dim = len(q)
+
+    def run(batches):
+        for rb in batches:
+            ids = rb.column(0)
+            vec = rb.column(1)
+            lens = pc.fill_null(pc.list_value_length(vec), -1).to_numpy(zero_copy_only=False)
+            good = lens == dim
+            out = np.full(rb.num_rows, np.nan)
+            if good.any():
+                x = pc.list_flatten(pc.filter(vec, pa.array(good))).to_numpy(zero_copy_only=False)
+                x = x.astype(np.float64).reshape(-1, dim)
+                s = x @ q
+                if metric == COSINE:
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        s = s / (np.sqrt((x * x).sum(axis=1)) * qn)
+                out[good] = s
+            out[~np.isfinite(out)] = np.nan
+            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.float64(), mask=np.isnan(out))],
+                                             names=["id", "raw"])
+
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector))
+    raw = src.mapInArrow(run, "id long, raw double")
+    return raw.select("id", F.round("raw", SCORE_DIGITS).alias("score"))
+
+
 def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column | None = None,
                 keep: Sequence[str] = (), vector: str = "vector", id_col: str = "id",
-                metric: str = COSINE, vector_keep: Sequence[str] = ()) -> DataFrame:
+                metric: str = COSINE, vector_keep: Sequence[str] = (), engine: str = "native") -> DataFrame:
     """Scores for vectors and payload kept in separate tables: ``(id, *keep, score)``.
 
     Without a filter every vector is scored where it is read and only
@@ -72,6 +111,14 @@ def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column
     """
     from pyspark import StorageLevel
 
+    if engine == "arrow":
+        if vector_keep or isinstance(query, Column):
+            raise ValueError("engine='arrow' takes one literal query and no vector-side columns")
+        cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
+        return arrow_scores(vectors, query, vector=vector, id_col=id_col, metric=metric) \
+            .join(cand, "id").select("id", *keep, "score")
+    if engine != "native":
+        raise ValueError("engine must be 'native' or 'arrow'")
     cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
     vec = vectors.select(F.col(id_col).alias("id"), *vector_keep, F.col(vector).alias("_v"))
     sc = score("_v", query, metric).alias("score")

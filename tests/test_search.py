@@ -211,3 +211,21 @@ def test_random_vectors_with_ties_and_zeros(spark):
     got = knn_join(df, qdf, k=12).collect()
     for j, q in enumerate(queries):
         assert sorted((r["rank"], r.id, r.score) for r in got if r.qid == j) == brute.ranking(pts, q, 12)
+
+
+def test_arrow_scoring_engine_equals_native(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    vecs = rng.normal(size=(80, 48))
+    vecs[5] = 0.0
+    rows = [(i, [float(x) for x in v] if i != 7 else [1.0, 2.0], f"c{i % 3}") for i, v in enumerate(vecs)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>, c string")
+    q = [float(x) for x in rng.normal(size=48)]
+    for metric in ("cosine", "dot"):
+        for where in (None, flt.match_value("c", "c1")):
+            a = _rows(search.top_k(search.score_split(df.select("id", "vector"), df.select("id", "c"), q,
+                                                      where=where, metric=metric), 15))
+            b = _rows(search.top_k(search.score_split(df.select("id", "vector"), df.select("id", "c"), q,
+                                                      where=where, metric=metric, engine="arrow"), 15))
+            assert a == b and len(a) == 15
