@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from simsift.functions.vectors import COSINE, score
 
@@ -57,7 +58,7 @@ MAX_BROADCAST_CANDIDATES = 2_000_000
 
 
 def arrow_scores(vectors: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
-                 metric: str = COSINE) -> DataFrame:
+                 metric: str = COSINE, keep: Sequence[str] = ()) -> DataFrame:
     """``(id, score)`` for every vector, scored in Arrow batches with one numpy
     matrix-vector product per batch (for high-dimensional vectors, where the
     per-element JVM fold is the slow part). NULL for a zero norm or wrong size."""
@@ -71,10 +72,13 @@ def arrow_scores(vectors: DataFrame, query: Sequence[float], *, vector: str = "v
     qn = float(np.sqrt(q @ q))
     dim = len(q)
 
+    keep = tuple(keep)
+
     def run(batches):
         for rb in batches:
             ids = rb.column(0)
             vec = rb.column(1)
+            passthrough = [rb.column(2 + i) for i in range(len(keep))]
             lens = pc.fill_null(pc.list_value_length(vec), -1).to_numpy(zero_copy_only=False)
             good = lens == dim
             out = np.full(rb.num_rows, np.nan)
@@ -87,12 +91,13 @@ def arrow_scores(vectors: DataFrame, query: Sequence[float], *, vector: str = "v
                         s = s / (np.sqrt((x * x).sum(axis=1)) * qn)
                 out[good] = s
             out[~np.isfinite(out)] = np.nan
-            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.float64(), mask=np.isnan(out))],
-                                             names=["id", "raw"])
+            yield pa.RecordBatch.from_arrays(
+                [ids, *passthrough, pa.array(out, pa.float64(), mask=np.isnan(out))], names=["id", *keep, "raw"])
 
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector))
-    raw = src.mapInArrow(run, "id long, raw double")
-    return raw.select("id", F.round("raw", SCORE_DIGITS).alias("score"))
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector), *keep)
+    schema = T.StructType([src.schema["id"], *[src.schema[c] for c in keep], T.StructField("raw", T.DoubleType())])
+    raw = src.mapInArrow(run, schema)
+    return raw.select("id", *keep, F.round("raw", SCORE_DIGITS).alias("score"))
 
 
 def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column | None = None,
@@ -161,7 +166,7 @@ def _top_k_distributed(scored: DataFrame, k: int) -> DataFrame:
 
 def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
         metric: str = COSINE, k: int = DEFAULT_LIMIT, where: Column | None = None,
-        keep: Sequence[str] = (), payload: DataFrame | None = None) -> DataFrame:
+        keep: Sequence[str] = (), payload: DataFrame | None = None, engine: str = "native") -> DataFrame:
     """Top-k by similarity (KNN-1/2/3/4/5).
 
     ``where`` filters before ranking (KNN-4); ``vector`` picks a named vector
@@ -172,6 +177,11 @@ def knn(points: DataFrame, query: Sequence[float], *, vector: str = "vector", id
     if k <= 0:
         raise ValueError("k must be positive")
     df = points if where is None else points.where(where)
+    if engine == "arrow":          # numpy matrix-vector product per Arrow batch (high dims)
+        return top_k(arrow_scores(df, query, vector=vector, id_col=id_col, metric=metric, keep=keep), k,
+                     keep=keep, payload=payload)
+    if engine != "native":
+        raise ValueError("engine must be 'native' or 'arrow'")
     scored = df.select(F.col(id_col).alias("id"), *keep, score(vector, query, metric).alias("score"))
     # NULL scores (zero norm, size mismatch) sort last, so dropping them *after*
     # the limit still leaves exactly min(k, matches) rows. Filtering before the

@@ -229,3 +229,10 @@ def test_arrow_scoring_engine_equals_native(spark):
             b = _rows(search.top_k(search.score_split(df.select("id", "vector"), df.select("id", "c"), q,
                                                       where=where, metric=metric, engine="arrow"), 15))
             assert a == b and len(a) == 15
+
+
+def test_knn_arrow_engine_with_payload(items):
+    cond = flt.match_value("category", "gadgets")
+    a = search.knn(items, QUERY, k=4, where=cond, keep=("category", "price")).collect()
+    b = search.knn(items, QUERY, k=4, where=cond, keep=("category", "price"), engine="arrow").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 4
