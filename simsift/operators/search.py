@@ -113,6 +113,10 @@ def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column
       scan and only matching vectors are scored (no shuffle at all);
     * more: every vector is scored where it is read (narrow) and only
       ``(id, score)`` is shuffled into the join, never the vectors themselves.
+
+    The probe (at most ``MAX_BROADCAST_CANDIDATES`` narrow rows) stays cached
+    for the lifetime of the returned plan; long-running services can release it
+    with ``spark.catalog.clearCache()`` between requests.
     """
     from pyspark import StorageLevel
 
