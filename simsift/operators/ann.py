@@ -98,8 +98,17 @@ def _sig_sql(vector: str, params: LshParams, dim: int, table: int) -> str:
 
 
 def signatures(points: DataFrame, params: LshParams, dim: int, *, vector: str = "vector",
-               id_col: str = "id") -> DataFrame:
-    """ANN-1 build: ``(id, table_no, sig)`` for every point with a vector of ``dim`` values."""
+               id_col: str = "id", engine: str = "native") -> DataFrame:
+    """ANN-1 build: ``(id, table_no, sig)`` for every point with a vector of ``dim`` values.
+
+    ``engine="arrow"`` computes all ``tables x bits`` projections of a batch with
+    one matrix product (for high dimensions); a projection that lands exactly on
+    a plane (|dot| ~ 1e-12) may get the other bit than the JVM fold.
+    """
+    if engine == "arrow":
+        return _signatures_arrow(points, params, dim, vector=vector, id_col=id_col)
+    if engine != "native":
+        raise ValueError("engine must be 'native' or 'arrow'")
     arms = ", ".join(f"named_struct('table_no', {t}, 'sig', {_sig_sql(vector, params, dim, t)})"
                      for t in range(params.tables))
     return (points.where(F.size(vector) == dim)
@@ -108,6 +117,36 @@ def signatures(points: DataFrame, params: LshParams, dim: int, *, vector: str =
                   .select("id", F.expr(f"inline(array({arms}))")))
 
 
+def _signatures_arrow(points: DataFrame, params: LshParams, dim: int, *, vector: str, id_col: str) -> DataFrame:
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    planes_mat = np.array([p for t in planes(params, dim) for p in t], dtype=np.float64)   # (T*B, dim)
+    weights = (1 << np.arange(params.bits)).astype(np.int64)
+    block = points.sparkSession.sparkContext.broadcast(planes_mat)
+
+    def run(batches):
+        pm = block.value
+        for rb in batches:
+            vec = rb.column(1)
+            lens = pc.fill_null(pc.list_value_length(vec), -1).to_numpy(zero_copy_only=False)
+            good = lens == dim
+            if not good.any():
+                continue
+            ids = rb.column(0).to_numpy(zero_copy_only=False)[good].astype(np.int64)
+            x = pc.list_flatten(pc.filter(vec, pa.array(good))).to_numpy(zero_copy_only=False)
+            bits = (x.astype(np.float64).reshape(-1, dim) @ pm.T) >= 0.0                    # (n, T*B)
+            sig = (bits.reshape(len(ids), params.tables, params.bits) * weights).sum(axis=2)   # (n, T)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids, params.tables)),
+                 pa.array(np.tile(np.arange(params.tables, dtype=np.int32), len(ids))),
+                 pa.array(sig.reshape(-1).astype(np.int64))], names=["id", "table_no", "sig"])
+
+    src = points.select(F.col(id_col).cast("long").alias("id"), F.col(vector))
+    return src.mapInArrow(run, "id long, table_no int, sig long")
+
+
 def write_signatures(sigs: DataFrame, path: str) -> None:
     # the id tiebreak splits a crowded signature bucket over several files
     sigs.repartitionByRange("table_no", "sig", "id").sortWithinPartitions("table_no", "sig", "id") \

@@ -176,3 +176,10 @@ def test_written_signatures_search_equals_in_memory(spark, pts, scratch):
     a = sorted(map(tuple, ann.ann_search(pts, sigs, q, params, k=10).collect()))
     b = sorted(map(tuple, ann.ann_search(pts, back, q, params, k=10).collect()))
     assert a == b and a
+
+
+def test_arrow_signatures_equal_native(spark, pts):
+    params = ann.LshParams(bits=8, tables=3)
+    a = sorted(map(tuple, ann.signatures(pts, params, 64).collect()))
+    b = sorted(map(tuple, ann.signatures(pts, params, 64, engine="arrow").collect()))
+    assert a == b and len(a) == 3 * pts.count()
