@@ -218,7 +218,7 @@ def top_k_per(scored: DataFrame, part: str, k: int = DEFAULT_LIMIT) -> DataFrame
 
 def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vector: str = "vector",
                 id_col: str = "id", metric: str = COSINE, limit: int = DEFAULT_LIMIT,
-                group_size: int = 1, where: Column | None = None) -> DataFrame:
+                group_size: int = 1, where: Column | None = None, engine: str = "native") -> DataFrame:
     """KNN-7 grouped top-k: best ``group_size`` hits per group, best ``limit`` groups.
 
     The per-group cut is a ``row_number <= n`` window that Spark plans as a
@@ -227,9 +227,11 @@ def knn_grouped(points: DataFrame, query: Sequence[float], *, group_by: str, vec
     of the table costs no more than any other. Groups are ranked by their best
     hit with a distributed top-``limit``; only ``limit`` group keys are broadcast.
     """
-    df = points if where is None else points.where(where)
-    scored = (df.where(F.col(group_by).isNotNull())
-                .select(F.col(id_col).alias("id"), F.col(group_by), score(vector, query, metric).alias("score")))
+    df = (points if where is None else points.where(where)).where(F.col(group_by).isNotNull())
+    if engine == "arrow":
+        scored = arrow_scores(df, query, vector=vector, id_col=id_col, metric=metric, keep=(group_by,))
+    else:
+        scored = df.select(F.col(id_col).alias("id"), F.col(group_by), score(vector, query, metric).alias("score"))
     # NULL scores rank last inside a group; dropping them after the cut is exact.
     return grouped_top_k(scored, group_by, limit=limit, group_size=group_size)
 

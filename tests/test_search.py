@@ -236,3 +236,9 @@ def test_knn_arrow_engine_with_payload(items):
     a = search.knn(items, QUERY, k=4, where=cond, keep=("category", "price")).collect()
     b = search.knn(items, QUERY, k=4, where=cond, keep=("category", "price"), engine="arrow").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 4
+
+
+def test_grouped_arrow_engine(items):
+    a = search.knn_grouped(items, QUERY, group_by="category", limit=2, group_size=2).collect()
+    b = search.knn_grouped(items, QUERY, group_by="category", limit=2, group_size=2, engine="arrow").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and a
