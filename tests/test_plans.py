@@ -45,3 +45,15 @@ def test_semantic_splitter_shuffles_once(spark):
 def test_sparse_inverted_broadcasts_query_terms(spark):
     p = plan(spark, "sparse_knn_inverted")
     assert "BroadcastHashJoin" in p and "PushedFilters" in p
+
+
+@pytest.mark.parametrize("name", ["knn_filtered", "knn_cosine", "knn_dot", "knn_named", "knn_grouped",
+                                  "knn_group_best", "knn_multi_strategy", "filter_text_contains",
+                                  "filter_text_match", "results_json", "postings_search", "ann_search",
+                                  "ann_filtered", "ann_switch", "knn_batch"])
+def test_vectors_are_not_shuffled(spark, name):
+    p = plan(spark, name)
+    # the vector scan is never hash-partitioned (only round-robin spreading of the
+    # single-row-group test file) and no sort-merge join carries vectors
+    assert "hashpartitioning(vec_id" not in p
+    assert not re.search(r"SortMergeJoin[^\n]*\n[^\n]*embedding", p)
