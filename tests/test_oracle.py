@@ -29,3 +29,10 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     same_rows(df, con, entry.oracle_sql()[name])
+
+
+def test_entry_schema_is_stable(spark):
+    a = entry.entry(spark).schema.simpleString()
+    b = entry.entry(spark).schema.simpleString()
+    assert a == b == ("struct<rank:bigint,id:bigint,score:double,lang:string,source:string,"
+                      "n_chars:bigint,text:string>")
