@@ -262,13 +262,14 @@ def strategy_queries(queries: dict[str, Sequence[float]], strategy: str = "strat
 def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: str, *, k: int = 3,
                        where: Column | None = None, keep: Sequence[str] = (),
                        payload: DataFrame | None = None, id_col: str = "id",
-                       formats: dict[str, str] | None = None) -> DataFrame:
+                       formats: dict[str, str] | None = None, engine: str = "native") -> DataFrame:
     """KNN-6: search one named vector (``vec_<name>``) with an optional filter; ranked
     rows with payload, the score formatted to 4 places and any ``formats``
     (column -> printf pattern, e.g. ``{"rating": "%.1f"}``) as ``<col>_text``."""
     col = vector_name if vector_name in points.columns else f"vec_{vector_name}"
     cond = F.col(col).isNotNull() if where is None else (where & F.col(col).isNotNull())
-    hits = knn(points, query, vector=col, id_col=id_col, k=k, where=cond, keep=keep, payload=payload)
+    hits = knn(points, query, vector=col, id_col=id_col, k=k, where=cond, keep=keep, payload=payload,
+               engine=engine)
     hits = hits.withColumn("score_text", F.format_string("%.4f", F.col("score")))
     for c, fmt in (formats or {}).items():
         hits = hits.withColumn(f"{c}_text", F.format_string(fmt, F.col(c)))

@@ -184,9 +184,11 @@ def test_check_query_dimension():
 
 def test_search_and_inspect_formats(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 3.46), (2, [0.6, 0.8], 4.0)], "id long, vec_a array<float>, rating double")
-    got = search.search_and_inspect(df, [1.0, 0.0], "a", k=3, keep=("rating",), formats={"rating": "%.1f"})
-    rows = sorted((r["rank"], r.score_text, r.rating_text) for r in got.collect())
-    assert rows == [(1, "1.0000", "3.5"), (2, "0.6000", "4.0")]
+    for engine in ("native", "arrow"):
+        got = search.search_and_inspect(df, [1.0, 0.0], "a", k=3, keep=("rating",), formats={"rating": "%.1f"},
+                                        engine=engine)
+        rows = sorted((r["rank"], r.score_text, r.rating_text) for r in got.collect())
+        assert rows == [(1, "1.0000", "3.5"), (2, "0.6000", "4.0")]
 
 
 def test_random_vectors_with_ties_and_zeros(spark):
