@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import langid, tokens, toxicity
+from simsift.llm import decontaminate, exact_dedup, langid, mixing, sharding, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.registry import register
 
@@ -42,3 +42,36 @@ def op8_toxicity(spark, sf_dir):
     held_out = crc_bucket(F.col("doc_id"), 5) == 0
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held_out)
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@register("op2_exact_dedup", """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+FROM d
+""")
+def op2_exact_dedup(spark, sf_dir):
+    """Stateful streaming deduplication of all documents; the largest id of equal texts stays."""
+    return exact_dedup.exact_dedup(spark, f"{sf_dir.rstrip('/')}/documents.parquet", max_bytes=64 << 30)
+
+
+@register("op3_mixing")
+def op3_mixing(spark, sf_dir):
+    """Mix of all documents with the source weights 5, 2, 1."""
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("source")
+
+
+@register("op7_decontamination")
+def op7_decontamination(spark, sf_dir):
+    """Every benchmark item found in every document."""
+    return decontaminate.find_hits(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op9_sharding")
+def op9_sharding(spark, sf_dir):
+    """40 shards of all documents along a Hilbert curve."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return sharding.assign_shards(docs, 40).drop("curve")
