@@ -74,3 +74,15 @@ def slices(offsets: np.ndarray, budget: int):
         b = min(max(b, a + 1), n)
         yield a, b
         a = b
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps now.
+
+    The cleaner acts when the driver's garbage is collected, which otherwise
+    happens every ``spark.cleaner.periodicGC.interval``.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import decontaminate, exact_dedup, langid, mixing, sharding, tokens, toxicity
+from simsift.llm import chat, decontaminate, exact_dedup, langid, mixing, sharding, substring_dedup, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.registry import register
 
@@ -75,3 +75,18 @@ def op9_sharding(spark, sf_dir):
     """40 shards of all documents along a Hilbert curve."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return sharding.assign_shards(docs, 40).drop("curve")
+
+
+@register("op6_chat_formatting")
+def op6_chat_formatting(spark, sf_dir):
+    """Recover the turns of all conversations from raw transcripts; learned where the id hash is not 0 modulo 5."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    raw = turns.withColumn("text", chat.raw_transcripts(turns))
+    model = chat.learn(raw.where(crc_bucket(F.col("conv_id"), 5) != 0), "conv_id", "turn", "text", "role")
+    return chat.parse(raw.drop("role"), model)
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf_dir):
+    """Remove repeated strings of 50 bytes from all documents."""
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
