@@ -86,3 +86,14 @@ def release(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+BROADCAST_BYTES = 64 << 20
+
+
+def sized_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when its counted rows fit ``limit``; otherwise as it is (a shuffle join).
+
+    The join's result is the same either way. ``df`` should be cheap to count.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df

@@ -143,10 +143,16 @@ def training_windows(df: DataFrame, text: str, label: str, key: str, learn: Colu
     """
     labelled = df.where(learn & F.col(label).isNotNull() & F.col(text).isNotNull())
     top = labelled.groupBy(label).count().orderBy(F.desc("count"), F.asc(label)).limit(TRAIN_LANGS)
-    classes = sorted(r[label] for r in top.collect())
+    counts = {r[label]: r["count"] for r in top.collect()}       # at most TRAIN_LANGS rows
+    classes = sorted(counts)
     if not classes:
         return np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64), []
-    ranked = (labelled.where(F.col(label).isin(classes))
+    # a hash range that holds about four times the bound, so that no label is ranked as a whole
+    span = F.lit(0.0)
+    for c in classes:
+        span = F.when(F.col(label) == c, F.lit(min(1.0, 4.0 * docs_per_label / counts[c]))).otherwise(span)
+    near = F.pmod(F.xxhash64(F.lit(3), F.col(key)), F.lit(1 << 20)) < span * (1 << 20)
+    ranked = (labelled.where(F.col(label).isin(classes) & near)
               .select(F.col(key).alias("__k"), F.col(label).alias("__l"), F.xxhash64(F.col(key)).alias("__h"))
               .withColumn("__r", F.row_number().over(Window.partitionBy("__l").orderBy("__h", "__k")))
               .where(F.col("__r") <= docs_per_label).select("__k").distinct())

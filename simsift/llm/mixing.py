@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simsift.llm.common import cut
+from simsift.llm.common import cut, sized_broadcast
 
 WEIGHTS = (5, 2, 1)
 CAP = 3                          # no document is repeated more often
@@ -102,9 +102,9 @@ def play(units: DataFrame, level: int, seed: int) -> DataFrame:
     return cut(folded.select("source", "bucket", "r.done", "r.cur"))
 
 
-def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 20, text: str = "text",
-        key: str = "doc_id", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken): one row per row of ``df``."""
+def decide(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 20, text: str = "text",
+           key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """Units (source, doc_id, size, m, k), ``m`` equal rows taken ``k`` times in all, and the table of sources."""
     rows = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(source).alias("source"),
                      word_count(F.col(text)).alias("size"))
     units = cut(rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("m")))
@@ -142,9 +142,32 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed:
     decided = parts[0]
     for p in parts[1:]:
         decided = decided.unionByName(p)
+    return decided, per_source
+
+
+def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 20, text: str = "text",
+        key: str = "doc_id", source: str = "source") -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken): one row per row of ``df``."""
+    decided, per_source = decide(df, weights, cap, seed, text, key, source)
     spread = decided.select("source", "doc_id", "size", "m", "k",
                             F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))).alias("r"))
     copies = F.expr("k div m") + (F.col("r") <= F.col("k") % F.col("m")).cast("bigint")
     named = per_source.select(F.col("source").alias("s"), "source_size", "target")
     return spread.join(named, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
+
+
+def take(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 20, text: str = "text",
+         key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The mixed rows themselves: every row of ``df`` as often as the mix takes it, with its columns."""
+    decided, _ = decide(df, weights, cap, seed, text, key, source)
+    units = decided.select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("size").alias("__n"),
+                           F.col("m").alias("__m"), F.col("k").alias("__k"))
+    met = df.join(sized_broadcast(units, 64), F.col(source).eqNullSafe(F.col("__s"))
+                  & F.col(key).cast("bigint").eqNullSafe(F.col("__d")) & (word_count(F.col(text)) == F.col("__n")))
+    once = met.where(F.col("__m") == 1).withColumn("__c", F.col("__k"))
+    nth = F.row_number().over(Window.partitionBy("__s", "__d", "__n").orderBy(F.xxhash64(F.col(text))))
+    again = met.where(F.col("__m") > 1).withColumn(
+        "__c", F.expr("__k div __m") + (nth <= F.col("__k") % F.col("__m")).cast("bigint"))
+    copies = once.unionByName(again).where(F.col("__c") > 0)
+    return copies.withColumn("__r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).select(*df.columns)

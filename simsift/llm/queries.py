@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import chat, decontaminate, exact_dedup, langid, mixing, sharding, substring_dedup, tokens, toxicity
+from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, mixing, sharding, substring_dedup, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.registry import register
 
@@ -90,3 +90,9 @@ def op6_chat_formatting(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     """Remove repeated strings of 50 bytes from all documents."""
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op4_jaccard_join")
+def op4_jaccard_join(spark, sf_dir):
+    """Classes and numbers of links of all documents at a similarity of 0.8 on five-word shingles."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from simsift.llm.common import slices, utf8
 
@@ -336,6 +337,24 @@ def score(df: DataFrame, model: dict | None, text: str = "text", key: str = "doc
     return src.mapInArrow(run, SCHEMA)
 
 
+def mark(df: DataFrame, model: dict | None, flag: str, text: str = "text") -> DataFrame:
+    """``df`` with a boolean column ``flag`` (predicted toxic). Rows are passed through in place."""
+    if model is None:
+        return df.withColumn(flag, F.lit(False))
+    at = df.columns.index(text)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*df.schema.fields, T.StructField(flag, T.BooleanType())])
+
+    def run(batches):
+        net = shared.value
+        for b in batches:
+            raw, off = utf8(b.column(at))
+            bad = net["a"] * (worst_words(net, raw, off) - net["b"]) >= 0
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bad, pa.bool_())], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def worst_words(net: dict, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """The largest decision value over the words of each row."""
     best = np.full(len(off) - 1, min(-3.0, net["b"] - 1.0))
