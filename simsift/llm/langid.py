@@ -47,8 +47,8 @@ def cut_windows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     start = np.minimum(start, np.maximum(0, lengths[rows] - WINDOW)) + offsets[:-1][rows]
     at = start[:, None] + np.arange(WINDOW)
     inside = at < offsets[1:][rows][:, None]
-    padded = np.append(raw, np.uint8(0))
-    return np.where(inside, padded[np.minimum(at, len(raw))], PAD).astype(np.int16), rows
+    symbols = np.append(raw, np.uint8(0)).astype(np.int16)
+    return np.where(inside, symbols[np.minimum(at, len(raw))], np.int16(PAD)), rows
 
 
 def unfold(emb: np.ndarray, width: int) -> np.ndarray:
