@@ -11,7 +11,8 @@ trained. As the kernel has an explicit feature space, the trained machine folds
 into one weight per subsequence, so that a text is scored by table lookups.
 
 Labels exist per text, so training alternates between picking the most toxic
-word of each toxic text and refitting against the worst words of clean texts.
+word of each toxic text (first by the log odds of its grams; never a word about
+as frequent in clean texts) and refitting against the worst words of clean texts.
 A text's score is the calibrated maximum over its words.
 
 Symbols: letters are folded to lower case; blanks end a word; single letters
@@ -30,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from simsift.llm.common import slices, utf8
 
@@ -43,6 +43,8 @@ SPAN = 6
 SYMBOLS = 64
 PIECE = 24
 ROUNDS = 3
+TELLING = 8                     # times more frequent in toxic texts
+STRONG = 0.02                   # share of toxic texts
 BLANK, MARK = 0, 27             # word end; any other ASCII sign or digit
 SCHEMA = "doc_id bigint, score double, predicted int"
 
@@ -199,6 +201,22 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, steps
     return w
 
 
+def grams(word: bytes) -> list[bytes]:
+    """Runs of four symbols of the framed word (the whole word when it is shorter)."""
+    w = b"\0" + word + b"\0"
+    return [w[i:i + 4] for i in range(max(1, len(w) - 3))]
+
+
+def gram_counts(docs: list[list[bytes]], y: np.ndarray) -> list[dict[bytes, int]]:
+    """In how many clean and toxic texts each gram occurs."""
+    out: list[dict[bytes, int]] = [{}, {}]
+    for words, label in zip(docs, y):
+        d = out[label]
+        for g in {g for w in words for g in grams(w)}:
+            d[g] = d.get(g, 0) + 1
+    return out
+
+
 def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict | None:
     """Fit on texts given as lists of words (symbol strings) with labels 0/1."""
     y = np.asarray(y)
@@ -210,13 +228,25 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
         for w in set(words):
             d[w] = d.get(w, 0) + 1
     nt, nc = int(y.sum()), int((1 - y).sum())
+    gram_df = gram_counts(docs, y)
 
-    def odds(w):
-        a, b = df[1].get(w, 0), df[0].get(w, 0)
+    def odds(g):
+        a, b = gram_df[1].get(g, 0), gram_df[0].get(g, 0)
         return a / nt * np.log((a + 0.01) / nt / ((b + 0.5) / nc))
 
-    words = sorted(df[1], key=lambda w: (-odds(w), w))
-    toxic_marks = words[:LANDMARKS]
+    def evidence(w):                                        # a word is as telling as its most telling gram
+        return max((odds(g), g) for g in grams(w))
+
+    # words that clean texts use nearly as often are no evidence
+    telling = {w: evidence(w) for w, n in df[1].items() if n / nt >= TELLING * df[0].get(w, 0) / nc}
+    toxic_marks, per_gram = [], {}
+    for w in sorted(telling, key=lambda w: (-telling[w][0], -df[1][w], w)):
+        g = telling[w][1]
+        if per_gram.get(g, 0) < 3:
+            per_gram[g] = per_gram.get(g, 0) + 1
+            toxic_marks.append(w)
+        if len(toxic_marks) == LANDMARKS:
+            break
     clean_marks = sorted(df[0], key=lambda w: (-df[0][w], w))[:LANDMARKS]
     marks = list(dict.fromkeys(toxic_marks + clean_marks))
     sym, starts = frame(marks)
@@ -235,8 +265,14 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
     vocab = sorted(set(flat))
     pos_of = {w: i for i, w in enumerate(vocab)}
     doc_words = [np.array(sorted({pos_of[w] for w in d}), np.int64) for d in docs]
-    rank = np.array([odds(w) for w in vocab])
-    wit = {i: int(d[rank[d].argmax()]) for i, d in enumerate(doc_words) if y[i] == 1 and len(d)}
+    suspects = {i: d for i, d in ((i, np.array([j for j in d if vocab[j] in telling], np.int64))
+                                  for i, d in enumerate(doc_words) if y[i] == 1) if len(d)}
+    if not suspects:
+        return None
+    rank = np.array([telling[w][0] if w in telling else -np.inf for w in vocab])
+    wit = {i: int(d[rank[d].argmax()]) for i, d in suspects.items()}
+    # a telling word that many toxic texts use counts even where a worse one stands beside it
+    strong = [j for j, w in enumerate(vocab) if w in telling and df[1][w] >= STRONG * nt for _ in range(df[1][w] // 4)]
     clean_vocab = sorted(pos_of[w] for w in df[0])
     rng = np.random.default_rng(11)
     neg = set(sorted(clean_vocab, key=lambda i: -df[0][vocab[i]])[:2000])
@@ -244,8 +280,8 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
     vsym, vstarts = frame(vocab)
     beta, bias, f = None, 0.0, None
     for _ in range(rounds):
-        pos_words, pos_n = np.unique(list(wit.values()), return_counts=True)
-        negs = np.array(sorted(neg - {w for w in wit.values() if df[0].get(vocab[w], 0) == 0}), np.int64)
+        pos_words, pos_n = np.unique([*wit.values(), *strong], return_counts=True)
+        negs = np.array(sorted(neg - set(pos_words.tolist())), np.int64)
         rows = np.concatenate([pos_words, negs])
         x = kernel_rows([vocab[i] for i in rows], lookup, table) @ whiten
         t = np.concatenate([np.ones(len(pos_words)), -np.ones(len(negs))])
@@ -255,7 +291,7 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
         beta[used] = table @ (whiten @ w[:-1])
         bias = float(w[-1])
         f = word_sums(vsym, vstarts, beta) + bias
-        wit = {i: int(d[f[d].argmax()]) for i, d in enumerate(doc_words) if y[i] == 1 and len(d)}
+        wit = {i: int(d[f[d].argmax()]) for i, d in suspects.items()}
         worst = np.array(clean_vocab)[np.argsort(-f[clean_vocab])[:3000]]
         neg |= set(int(i) for i in worst)
     return {"beta": beta, "bias": bias, "a": 4.0, "b": 0.0}
@@ -264,7 +300,7 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
 def calibrate(model: dict, docs: list[list[bytes]], y: np.ndarray) -> dict:
     """Set the cut on texts that were not fitted.
 
-    Halfway between the worst clean text and the second percentile of the toxic
+    Halfway between the worst clean text and the first percentile of the toxic
     ones when these are in order, else at the least balanced error.
     """
     def top(words):
@@ -274,7 +310,7 @@ def calibrate(model: dict, docs: list[list[bytes]], y: np.ndarray) -> dict:
     f = np.array([top(d) for d in docs])
     if len(f) == 0 or y.min() == y.max():
         return model
-    high, low = f[y == 0].max(), np.quantile(f[y == 1], 0.02)
+    high, low = f[y == 0].max(), np.quantile(f[y == 1], 0.01)
     if high < low:
         return model | {"b": float((high + low) / 2)}
     order = np.argsort(f)
@@ -337,22 +373,20 @@ def score(df: DataFrame, model: dict | None, text: str = "text", key: str = "doc
     return src.mapInArrow(run, SCHEMA)
 
 
-def mark(df: DataFrame, model: dict | None, flag: str, text: str = "text") -> DataFrame:
-    """``df`` with a boolean column ``flag`` (predicted toxic). Rows are passed through in place."""
+def drop_toxic(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic, filtered in place with all their columns."""
     if model is None:
-        return df.withColumn(flag, F.lit(False))
+        return df
     at = df.columns.index(text)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*df.schema.fields, T.StructField(flag, T.BooleanType())])
 
     def run(batches):
         net = shared.value
         for b in batches:
             raw, off = utf8(b.column(at))
-            bad = net["a"] * (worst_words(net, raw, off) - net["b"]) >= 0
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bad, pa.bool_())], schema.names)
+            yield b.filter(pa.array(net["a"] * (worst_words(net, raw, off) - net["b"]) < 0))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def worst_words(net: dict, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
