@@ -62,15 +62,19 @@ def update_state(stream: DataFrame, checkpoint: str, text: str = "text", key: st
                          F.col("_metadata.file_path").alias("location"))
     state = seen.groupBy("digest").agg(F.max(F.struct("doc_id", "location")).alias("kept"),
                                        F.count(F.lit(1)).alias("group_size"))
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, PROVIDER)
+    # a finished run leaves no store open on the executors, whose local files would stay
+    settings = {"spark.sql.streaming.stateStore.providerClass": PROVIDER,
+                "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        spark.conf.set(setting, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     stored = spark.read.format("statestore").load(checkpoint)
     kept, size = [f"value.`{f.name}`" for f in stored.schema["value"].dataType.fields]
     return stored.select(F.col("key.digest").alias("digest"), F.col(f"{kept}.doc_id").alias("keep_id"),
