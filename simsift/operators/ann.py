@@ -10,7 +10,7 @@ query's signature.
   same planes; the planes are a bounded literal (tables x bits x dim).
 * signatures ``(table_no, sig, id)``: one narrow pass; written sorted by
   ``(table_no, sig)`` so Parquet statistics skip files at probe time.
-* search: the probe set (all signatures within the radius, at most
+* search: the radius widens until k (filtered) candidates exist; the probe set (all signatures within the radius, at most
   tables x sum C(bits, r) rows, enumerated on the driver from the parameters)
   is broadcast and equi-joined with the signatures; candidate ids are
   de-duplicated, semi-joined to the (filtered) points and re-ranked exactly.
@@ -32,7 +32,6 @@ from simsift.operators import search
 # Fixed parameter ranges (checked before any job starts).
 MIN_BITS, MAX_BITS, DEFAULT_BITS = 4, 32, 8
 MAX_TABLES = 64
-FULL_SCAN_THRESHOLD = 10_000
 # Probe sets up to this many (table, sig) rows are enumerated and broadcast;
 # beyond it candidates are found by a Hamming-distance filter on the signatures.
 MAX_PROBES = 100_000
@@ -190,52 +189,83 @@ def candidates(sigs: DataFrame, qsigs: list[int], params: LshParams, radius: int
     return hit.select("id").distinct()
 
 
+def distances(sigs: DataFrame, qsigs: list[int]) -> DataFrame:
+    """``(id, h)``: the smallest Hamming distance of each point's signatures to the query's."""
+    qmap = F.create_map(*[x for t, s in enumerate(qsigs) for x in (F.lit(t), F.lit(s).cast("long"))])
+    h = F.bit_count(F.col("sig").bitwiseXOR(F.element_at(qmap, F.col("table_no"))))
+    return sigs.select("id", h.alias("h")).groupBy("id").agg(F.min("h").alias("h"))
+
+
+def widened_radius(eligible: DataFrame | None, sigs: DataFrame, qsigs: list[int], params: LshParams, k: int) -> int:
+    """The probe radius, widened from ``params.radius`` until ``k`` eligible candidates exist.
+
+    ``eligible`` holds the ids that pass the filter (None: all). The usual radius
+    is probed first; only when it falls short are the distances of all points
+    counted (one row per distance reaches the driver).
+    """
+    first = candidates(sigs, qsigs, params)
+    if eligible is not None:
+        first = first.join(eligible, "id", "left_semi")
+    if first.limit(k).count() >= k:
+        return params.radius
+    dist = distances(sigs, qsigs)
+    if eligible is not None:
+        dist = dist.join(eligible, "id", "left_semi")
+    counts = {r["h"]: r["n"] for r in dist.groupBy("h").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for radius in range(params.radius, params.bits):
+        if sum(n for h, n in counts.items() if h <= radius) >= k:
+            return radius
+    return params.bits
+
+
 def ann_search(points: DataFrame, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
                metric: str = COSINE, where: Column | None = None, keep=(), vector: str = "vector") -> DataFrame:
-    """ANN-1/2: candidates from the signature join, filter applied to candidates, exact re-rank."""
+    """ANN-1/2: candidates from the signatures, the filter applied to them, exact re-rank.
+
+    The radius widens until ``k`` filtered candidates exist, so ``min(k, matches)``
+    hits come back; ``radius`` says how far it had to go.
+    """
     qsigs = query_signatures(query, params)
-    cand = candidates(sigs, qsigs, params)
     pts = points if where is None else points.where(where)
-    pts = pts.join(cand, "id", "left_semi")
-    return search.knn(pts, query, vector=vector, metric=metric, k=k, keep=keep)
+    radius = widened_radius(None if where is None else pts.select("id"), sigs, qsigs, params, k)
+    pts = pts.join(candidates(sigs, qsigs, params, radius), "id", "left_semi")
+    return search.knn(pts, query, vector=vector, metric=metric, k=k, keep=keep).withColumn("radius", F.lit(radius))
 
 
 def ann_search_split(vectors: DataFrame, payload: DataFrame, sigs: DataFrame, query, params: LshParams, *,
                      k: int = 10, metric: str = COSINE, where: Column | None = None, keep=(),
                      vector: str = "vector") -> DataFrame:
-    """ANN-1/2 with vectors and payload in separate tables.
+    """ANN-1/2 with vectors and (optional) payload in separate tables.
 
-    Candidate ids (signature probe) are intersected with the filtered payload;
-    that candidate set is what ``search.score_split`` size-checks and broadcasts
-    into the vector scan, so only candidates are re-ranked and no vector is
-    shuffled.
+    Candidate ids come from the signatures, with a filter intersected with the
+    filtered payload; they are broadcast into the vector scan when they fit, so
+    only candidates are re-ranked and no vector is shuffled. ``keep`` columns of
+    the payload are fetched for the hits.
     """
     qsigs = query_signatures(query, params)
-    pay = payload if where is None else payload.where(where)
-    cand = pay.join(candidates(sigs, qsigs, params), "id", "left_semi")
-    return search.top_k(search.score_split(vectors, cand, query, keep=keep, vector=vector, metric=metric),
-                        k, keep=keep)
-
-
-def search_auto_split(vectors: DataFrame, payload: DataFrame, sigs: DataFrame, query, params: LshParams, *,
-                      k: int = 10, where: Column | None = None, keep=(), threshold: int = FULL_SCAN_THRESHOLD,
-                      vector: str = "vector") -> tuple[DataFrame, str]:
-    """ANN-3 with separate tables: the filtered payload is counted (narrow columns) once."""
-    pay = payload if where is None else payload.where(where)
-    if pay.limit(threshold).count() < threshold:
-        return search.top_k(search.score_split(vectors, pay, query, keep=keep, vector=vector), k, keep=keep), "exact"
-    return ann_search_split(vectors, payload, sigs, query, params, k=k, where=where, keep=keep, vector=vector), "ann"
-
-
-def search_auto(points: DataFrame, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
-                where: Column | None = None, keep=(), threshold: int = FULL_SCAN_THRESHOLD,
-                vector: str = "vector") -> tuple[DataFrame, str]:
-    """ANN-3: exact search when the filtered set is below ``threshold`` rows, else ANN."""
-    pts = points if where is None else points.where(where)
-    n = pts.count()
-    if n < threshold:
-        return search.knn(pts, query, vector=vector, k=k, keep=keep), "exact"
-    return ann_search(points, sigs, query, params, k=k, where=where, keep=keep, vector=vector), "ann"
+    eligible = None if where is None else payload.where(where).select("id")
+    radius = widened_radius(eligible, sigs, qsigs, params, k)
+    cand = candidates(sigs, qsigs, params, radius)
+    if eligible is not None:
+        cand = cand.join(eligible, "id", "left_semi")
+    small = search.sized_broadcast(cand)
+    vec = vectors.select("id", F.col(vector).alias("_v"))
+    sc = score("_v", query, metric).alias("score")
+    scored = vec.join(small, "id", "left_semi").select("id", sc) if small is not None else \
+        vec.select("id", sc).join(cand, "id", "left_semi")
+    hits = search.top_k(scored, k, payload=payload.select("id", *keep) if keep else None)
+    return hits.withColumn("radius", F.lit(radius))
+
+
+def search_by_mode(vectors: DataFrame, payload: DataFrame, sigs: DataFrame | None, query, params: LshParams, *,
+                   mode: str, k: int = 10, where: Column | None = None, keep=(), vector: str = "vector") -> DataFrame:
+    """ANN-3: the caller says ``mode="exact"`` or ``mode="ann"``; nothing switches by size."""
+    if mode == "exact":
+        scored = search.score_split(vectors, payload, query, where=where, vector=vector)
+        return search.top_k(scored, k, payload=payload.select("id", *keep) if keep else None)
+    if mode == "ann":
+        return ann_search_split(vectors, payload, sigs, query, params, k=k, where=where, keep=keep, vector=vector)
+    raise ValueError(f"mode must be 'exact' or 'ann', not {mode!r}")
 
 
 def recall_by_radius(points: DataFrame | None, sigs: DataFrame, query, params: LshParams, *, k: int = 10,
@@ -243,23 +273,26 @@ def recall_by_radius(points: DataFrame | None, sigs: DataFrame, query, params: L
     """ANN-4: recall@k of the ANN answer against the exact one, for every radius 0..bits.
 
     A point is a candidate at radius r when its smallest Hamming distance over the
-    tables is <= r, so one pass gives all radii: each scored point is repeated for
-    the radii it qualifies for (at most bits + 1 times) and cut per radius with a
-    ``WindowGroupLimit``; the exact top-k is the radius = bits row set.
+    tables is <= r. The best ``k`` of each distance are cut first (partial
+    ``WindowGroupLimit``), and only these ``k * (bits + 1)`` rows are repeated for
+    the radii they qualify for.
     """
     qsigs = query_signatures(query, params)
-    qmap = F.create_map(*[x for t, s in enumerate(qsigs) for x in (F.lit(t), F.lit(s).cast("long"))])
-    ham = (sigs.select("id", F.bit_count(F.col("sig").bitwiseXOR(F.element_at(qmap, F.col("table_no"))))
-                       .alias("h"))
-               .groupBy("id").agg(F.min("h").alias("h")))
     if scored is None:                       # exact scores of every point: (id, score)
         scored = points.select(F.col("id"), score(vector, query).alias("score"))
+    order = [F.col("score").desc(), F.col("id").asc()]
+    near = scored.select("id", "score").join(distances(sigs, qsigs), "id")
+    per_h = near.withColumn("rn", F.row_number().over(Window.partitionBy("h").orderBy(*order))) \
+        .where((F.col("rn") <= k) & F.col("score").isNotNull())
+    per_r = per_h.select("id", "score", F.explode(F.sequence(F.col("h").cast("int"), F.lit(params.bits))).alias("radius"))
+    w = Window.partitionBy("radius").orderBy(*order)
+    topr = per_r.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
     exact = search.top_k(scored, k).select("id", F.lit(1).alias("hit"))
-    scored = scored.select("id", "score").join(ham, "id")
-    per_r = scored.select("id", "score", F.explode(F.sequence(F.col("h").cast("int"), F.lit(params.bits)))
-                          .alias("radius"))
-    w = Window.partitionBy("radius").orderBy(F.col("score").desc(), F.col("id").asc())
-    topr = per_r.withColumn("rn", F.row_number().over(w)).where((F.col("rn") <= k) & F.col("score").isNotNull())
+    if k <= search.MAX_BROADCAST_K:
+        exact = F.broadcast(exact)
+    found = (topr.join(exact, "id", "left")
+                 .groupBy("radius").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("found"),
+                                        F.count(F.lit(1)).alias("returned")))
     radii = sigs.sparkSession.range(0, params.bits + 1).select(F.col("id").cast("int").alias("radius"))
     found = (topr.join(F.broadcast(exact), "id", "left")
                  .groupBy("radius").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("found"),

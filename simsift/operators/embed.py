@@ -8,8 +8,7 @@ exact in every engine.
 
 The vector is built in long form, ``(key, bucket, value)``: tokens are exploded,
 summed per bucket, then densified with one bounded ``collect_list`` per key
-(at most ``dim`` entries). Callers that already cluster rows by the key (see
-``semantic_chunks``) pay no extra shuffle.
+(at most ``dim`` entries).
 
 External models plug in through ``embed_with_model`` (Arrow batches, the model
 is loaded once per Python worker), for when a real encoder is installed.
@@ -60,9 +59,10 @@ _WS = r"[ \t\n\x0b\f\r]+"
 def hashed_vector_udf(dim: int = EMBED_DIM):
     """Arrow-batched hashing embedder: narrow, one pass, no shuffle.
 
-    Per batch of texts: whitespace tokens, lower-cased, md5 -> (bucket, sign),
-    summed into a ``dim``-long float vector (token hashes are memoised per
-    batch). Same contract as the native long form below.
+    The distinct tokens of a batch are hashed once (md5 -> bucket and sign); the
+    vectors are summed by one scatter-add over (row, bucket). Same contract as
+    the native long form below. Non-deterministic only for the optimizer, so
+    that a plan that uses the vector twice still computes it once.
     """
     import hashlib
     import re
@@ -71,50 +71,19 @@ def hashed_vector_udf(dim: int = EMBED_DIM):
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def hashed(texts: pd.Series) -> pd.Series:
-        memo: dict[str, tuple[int, int]] = {}
-        out = []
-        for t in texts:
-            v = np.zeros(dim, dtype=np.float32)
-            if t is not None:
-                for tok in split(t):
-                    if not tok:
-                        continue
-                    hs = memo.get(tok)
-                    if hs is None:
-                        h = int(hashlib.md5(tok.lower().encode("utf-8")).hexdigest()[:8], 16)
-                        hs = memo[tok] = (h % dim, 1 - 2 * ((h // dim) % 2))
-                    v[hs[0]] += hs[1]
-            out.append(v)
-        return pd.Series(out)
-
-    return hashed
-
-
-def hashed_sparse_udf(dim: int = EMBED_DIM):
-    """Arrow-batched hashing of token arrays into sparse ``struct<k: array<int>, v: array<int>>``
-    (non-zero buckets only, ascending) - the per-sentence input of the semantic splitter."""
-    import hashlib
-
-    @F.pandas_udf(T.StructType([T.StructField("k", T.ArrayType(T.IntegerType())),
-                                T.StructField("v", T.ArrayType(T.IntegerType()))]))
-    def hashed(toks: pd.Series) -> pd.DataFrame:
-        memo: dict[str, tuple[int, int]] = {}
-        ks, vs = [], []
-        for arr in toks:
-            acc: dict[int, int] = {}
-            if arr is not None:
-                for tok in arr:
-                    hs = memo.get(tok)
-                    if hs is None:
-                        h = int(hashlib.md5(tok.lower().encode("utf-8")).hexdigest()[:8], 16)
-                        hs = memo[tok] = (h % dim, 1 - 2 * ((h // dim) % 2))
-                    acc[hs[0]] = acc.get(hs[0], 0) + hs[1]
-            items = sorted((b, c) for b, c in acc.items() if c != 0)
-            ks.append([b for b, _ in items])
-            vs.append([c for _, c in items])
-        return pd.DataFrame({"k": ks, "v": vs})
-
-    return hashed
+        parts = [[x for x in split(t) if x] if t is not None else [] for t in texts]
+        flat = [x for p in parts for x in p]
+        known = {}
+        for x in set(flat):
+            h = int(hashlib.md5(x.lower().encode("utf-8")).hexdigest()[:8], 16)
+            known[x] = (h % dim) * 2 + (h // dim) % 2
+        code = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        out = np.zeros((len(parts), dim), np.float32)
+        np.add.at(out, (row, code >> 1), 1 - 2 * (code & 1))
+        return pd.Series(list(out))
+
+    return hashed.asNondeterministic()
 
 
 def embed(df: DataFrame, text: str, keys: Sequence[str], *, dim: int = EMBED_DIM, out: str = "vector",

@@ -25,8 +25,8 @@ def sequential_ids(df: DataFrame, order_by: list[str], *, name: str = "row_id",
                    start: int = 0, partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    count = [partitions] if partitions else []            # unset: sized by Spark
+    ranged = (df.repartitionByRange(*count, *order_by).sortWithinPartitions(*order_by)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_local", F.monotonically_increasing_id()
                             - F.shiftleft(F.spark_partition_id().cast("long"), 33))

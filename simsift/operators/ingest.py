@@ -4,11 +4,11 @@ Upsert contract: per id the row with the highest ``seq`` wins and replaces the
 whole row; identical repeats collapse (a replayed batch changes nothing); two
 *different* rows with the same ``(id, seq)`` are a conflict and are rejected.
 
-One aggregation does it: ``max_by(row, (seq, h))`` picks the winner while
-``max((seq, h))`` and ``max((seq, -h))`` expose whether the rows tied at the top
-``seq`` differ (``h`` = xxhash64 of the row). It is a plain hash aggregate with
-map-side partial aggregation, so an id holding a third of all updates is
-collapsed inside every map task before the shuffle.
+Winners are decided on narrow rows ``(id, seq, h)`` with ``h`` the hash of the
+row: two hash aggregates with map-side partial aggregation, so an id holding a
+third of all updates is collapsed inside every map task. Only then the winning
+rows themselves are picked by a join on the three, and exact repeats of a winner
+(counted on the way) are dropped.
 """
 
 from __future__ import annotations
@@ -23,17 +23,21 @@ class UpsertConflict(ValueError):
     pass
 
 
-def _resolve(rows: DataFrame, id_col: str, seq_col: str) -> DataFrame:
-    cols = [c for c in rows.columns if c != id_col]
-    h = F.xxhash64(*[F.col(c) for c in rows.columns])
-    return rows.groupBy(id_col).agg(
-        F.max_by(F.struct(*cols), F.struct(F.col(seq_col), h)).alias("_row"),
-        F.max(F.struct(F.col(seq_col).alias("s"), h.alias("h"))).alias("_hi"),
-        F.max(F.struct(F.col(seq_col).alias("s"), (-h).alias("h"))).alias("_lo"))
+def _hashed(rows: DataFrame, id_col: str, seq_col: str) -> DataFrame:
+    return rows.withColumn("_h", F.xxhash64(*[F.col(c) for c in rows.columns]))
 
 
-def _conflict(r: DataFrame) -> Column:
-    return (F.col("_hi.s") == F.col("_lo.s")) & (F.col("_hi.h") != -F.col("_lo.h"))
+def _winners(rows: DataFrame, id_col: str, seq_col: str) -> DataFrame:
+    """Narrow ``(_id, _seq, _lo, _hi, _n)``: per id its top seq, the hash range and number of rows there."""
+    per_seq = _hashed(rows, id_col, seq_col).groupBy(F.col(id_col).alias("_id"), F.col(seq_col).alias("_seq")).agg(
+        F.min("_h").alias("_lo"), F.max("_h").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    top = per_seq.groupBy(F.col("_id").alias("_top_id")).agg(F.max("_seq").alias("_top_seq"))
+    return per_seq.join(top, F.col("_id").eqNullSafe(F.col("_top_id")) & F.col("_seq").eqNullSafe(F.col("_top_seq"))) \
+        .select("_id", "_seq", "_lo", "_hi", "_n")
+
+
+def _conflict() -> Column:
+    return F.col("_lo") != F.col("_hi")
 
 
 def upsert(old: DataFrame | None, new: DataFrame, *, id_col: str = "id", seq_col: str = "seq",
@@ -47,23 +51,32 @@ def upsert(old: DataFrame | None, new: DataFrame, *, id_col: str = "id", seq_col
     switch; ``check=False`` skips it.
     """
     rows = new if old is None else old.unionByName(new, allowMissingColumns=True)
-    r = _resolve(rows, id_col, seq_col)
+    win = _winners(rows, id_col, seq_col)
     if check is True:
-        bad = r.where(_conflict(r)).select(id_col).limit(5).collect()
+        bad = win.where(_conflict()).select("_id").limit(5).collect()
         if bad:
             raise UpsertConflict(f"different rows share (id, seq) for ids {[b[0] for b in bad]}")
     if check == "lazy":
-        guarded = F.when(_conflict(r), F.raise_error(F.concat(
-            F.lit("upsert conflict: different rows share (id, seq) for id "), F.col(id_col).cast("string")))) \
-            .otherwise(F.col(id_col)).cast(rows.schema[id_col].dataType)
-        r = r.withColumn(id_col, guarded)
-    return r.select(id_col, "_row.*").select(*rows.columns)
+        win = win.withColumn("_hi", F.when(_conflict(), F.raise_error(F.concat(
+            F.lit("upsert conflict: different rows share (id, seq) for id "), F.col("_id").cast("string"))).cast("long"))
+            .otherwise(F.col("_hi")))
+    best = _hashed(rows, id_col, seq_col).join(
+        win, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(seq_col).eqNullSafe(F.col("_seq"))
+        & (F.col("_h") == F.col("_hi")))
+    once = best.where(F.col("_n") == 1).select(*rows.columns)
+    repeated = best.where(F.col("_n") > 1).dropDuplicates([id_col]).select(*rows.columns)
+    return once.unionByName(repeated)
 
 
 def conflicts(old: DataFrame | None, new: DataFrame, *, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
     rows = new if old is None else old.unionByName(new, allowMissingColumns=True)
-    r = _resolve(rows, id_col, seq_col)
-    return r.where(_conflict(r)).select(id_col, F.col("_hi.s").alias(seq_col))
+    return _winners(rows, id_col, seq_col).where(_conflict()).select(F.col("_id").alias(id_col), F.col("_seq").alias(seq_col))
+
+
+def one_row_per_id(rows: DataFrame, *, id_col: str = "id") -> DataFrame:
+    """Identical repeats collapse; two different rows for one id fail whatever consumes the result."""
+    return upsert(None, rows.withColumn("_one", F.lit(0).cast("long")), id_col=id_col, seq_col="_one",
+                  check="lazy").drop("_one")
 
 
 def load_missing(new: DataFrame, existing: DataFrame, *, id_col: str = "id") -> DataFrame:

@@ -1,171 +1,136 @@
 """Many queries at once (KNN-11): an exact kNN join.
 
-Plan: the query block (bounded, size-checked) is a broadcast variable that
-every ``mapInArrow`` task reads (shipped once per executor); each task scores its Arrow batches with one matrix
-product and keeps a partial top-k per query (ties by id), so a task emits at
-most ``queries x k`` rows. The partial lists are merged by a per-query
-``row_number <= k`` window (WindowGroupLimit, partial before the shuffle).
-
-Query sets larger than one block are cut into blocks by a hash of the query id;
-each block is fetched on its own (at most ``block_rows`` rows on the driver at a
-time) and the per-block results are unioned. The work is inherently
-queries x points; blocking only bounds memory.
+Queries and points are dealt into blocks, and every pair of a query block and a
+point block is one task: one matrix product, then a partial top-k per query.
+The partial lists are merged by a per-query ``row_number <= k`` window
+(WindowGroupLimit, partial before the shuffle).
+
+A query set of at most ``block_rows`` rows is one block: it is broadcast and
+meets the points where they are read, without a shuffle. A larger set never
+passes through the driver; its blocks meet the point blocks in a cogrouped
+shuffle, points repeated once per query block. The work is inherently
+queries x points; blocks only bound memory.
+
+Ranking is decided by Spark's own rounding: a task keeps every row within half a
+rounding step of its k-th best raw score, and the final window breaks ties by id.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from simsift.functions.vectors import COSINE, DOT, SCORE_DIGITS
 
 # A block of 4,096 queries x 1,536 float64 dims is 48 MiB inside each task.
 DEFAULT_BLOCK_ROWS = 4096
-
-
-def _topk_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best by (rounded score desc, id asc); NaN never selected."""
-    ok = ~np.isnan(scores)
-    if not ok.any():
-        return np.empty(0, dtype=np.int64)
-    idx = np.nonzero(ok)[0]
-    r = np.round(scores[idx], SCORE_DIGITS)
-    if len(idx) > k:
-        # every row tied with the k-th best stays a candidate, then exact order
-        kth = np.partition(-r, k - 1)[k - 1]
-        keep = -r <= kth
-        idx, r = idx[keep], r[keep]
-    order = np.lexsort((ids[idx], -r))[:k]
-    return idx[order]
-
-
-def _kernel(block, k: int, metric: str, id_col: str, vector: str):
-    """``block`` is a broadcast of ``(qids, qmat)``: shipped once per executor, not per task."""
-
-    def run(batches):
-        qids, qmat = block.value
-        dim = qmat.shape[1]
-        qnorm = np.sqrt((qmat * qmat).sum(axis=1))
-        best_ids = [np.empty(0, dtype=np.int64) for _ in qids]
-        best_sc = [np.empty(0, dtype=np.float64) for _ in qids]
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            vec = rb.column(vector)
-            lens = pc.fill_null(pc.list_value_length(vec), -1).to_numpy(zero_copy_only=False)
-            good = lens == dim
-            if not good.any():
-                continue
-            sub = pc.filter(vec, pa.array(good))
-            x = pc.list_flatten(sub).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-            ids = ids[good]
-            s = x @ qmat.T                                    # (n, q)
-            if metric == COSINE:
-                xn = np.sqrt((x * x).sum(axis=1))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    s = s / (xn[:, None] * qnorm[None, :])
-                s[~np.isfinite(s)] = np.nan
-            for j in range(len(qids)):
-                cand_ids = np.concatenate([best_ids[j], ids])
-                cand_sc = np.concatenate([best_sc[j], s[:, j]])
-                pick = _topk_rows(cand_ids, cand_sc, k)
-                best_ids[j], best_sc[j] = cand_ids[pick], cand_sc[pick]
-        out_q = np.concatenate([np.full(len(b), q, dtype=np.int64) for q, b in zip(qids, best_ids)]) \
-            if len(qids) else np.empty(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out_q, pa.int64()),
-             pa.array(np.concatenate(best_ids) if best_ids else np.empty(0, np.int64), pa.int64()),
-             pa.array(np.concatenate(best_sc) if best_sc else np.empty(0), pa.float64())],
-            names=["qid", "id", "raw_score"])
-
-    return run
-
-
-_PARTIAL = T.StructType([T.StructField("qid", T.LongType()), T.StructField("id", T.LongType()),
-                         T.StructField("raw_score", T.DoubleType())])
-
-
-def _parallel(points: DataFrame) -> DataFrame:
-    """Spread a tiny input (one file = one task) over the cluster's cores.
-
-    Large inputs already arrive in many splits and are left untouched (no shuffle).
-    """
-    from simsift.sources.tables import spread_small
-
-    return spread_small(points)
-
-
-class _Local:
-    """Stand-in for a broadcast variable where none can be created (ships in the closure)."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def _broadcast(spark, value):
-    try:
-        return spark.sparkContext.broadcast(value)
-    except Exception:  # noqa: BLE001
-        return _Local(value)
-
-
-def restrict(points: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
-    """Points whose id is in ``members``: a broadcast semi-join when ``members`` is at most
-    ``search.MAX_BROADCAST_CANDIDATES`` rows (checked; vectors stay where they are
-    read), else a shuffle semi-join."""
-    from pyspark import StorageLevel
-
-    from simsift.operators.search import MAX_BROADCAST_CANDIDATES
-
-    ids = members.select(F.col(id_col))
-    probe = ids.limit(MAX_BROADCAST_CANDIDATES + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    if probe.count() <= MAX_BROADCAST_CANDIDATES:
-        return points.join(F.broadcast(probe), id_col, "left_semi")
-    probe.unpersist()
-    return points.join(ids, id_col, "left_semi")
+# Points of one block of the cogrouped form.
+POINT_BLOCK_ROWS = 50_000
+
+_PARTIAL = "qid long, id long, raw_score double"
+
+
+def _scorer(k: int, metric: str):
+    """Returns ``best(qids, qmat, ids, x) -> (qid, id, raw)``; self-contained, as it runs on executors."""
+    cosine, slack = metric == COSINE, 10.0 ** -SCORE_DIGITS
+
+    def best(qids, qmat, ids, x):
+        import numpy as np
+
+        s = x @ qmat.T
+        if cosine:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                s = s / (np.sqrt((x * x).sum(axis=1))[:, None] * np.sqrt((qmat * qmat).sum(axis=1))[None, :])
+        s = np.where(np.isfinite(s), s, -np.inf)
+        if len(ids) > k:
+            kth = np.partition(s, len(ids) - k, axis=0)[len(ids) - k]
+            rows, cols = np.nonzero((s >= kth - slack) & (s > -np.inf))
+        else:
+            rows, cols = np.nonzero(s > -np.inf)
+        return qids[cols], ids[rows], s[rows, cols]
+
+    return best
+
+
+def _functions(k: int, metric: str):
+    """The two Arrow functions: against a broadcast block, and over a cogroup of blocks."""
+    best = _scorer(k, metric)
+
+    def matrix(col, dim: int | None):
+        """``(usable rows, matrix)`` of an Arrow list column; rows of another length or with NULLs are unusable."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if isinstance(col, pa.ChunkedArray):
+            col = col.combine_chunks()
+        lens = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False)
+        if dim is None:
+            dim = int(lens.max()) if len(lens) else 0
+        good = lens == dim
+        flat = pc.list_flatten(pc.filter(col, pa.array(good))).to_numpy(zero_copy_only=False)
+        return good, flat.astype(np.float64).reshape(int(good.sum()), dim)
+
+    def against(block):
+        def run(batches):
+            import pyarrow as pa
+
+            qids, qmat = block.value
+            for rb in batches:
+                good, x = matrix(rb.column(1), qmat.shape[1])
+                ids = rb.column(0).to_numpy(zero_copy_only=False)[good]
+                got = best(qids, qmat, ids, x) if len(ids) else ([], [], [])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
+                    names=["qid", "id", "raw_score"])
+        return run
+
+    def cogroup(points, queries):
+        import pyarrow as pa
+
+        got = ([], [], [])
+        if points.num_rows and queries.num_rows:
+            known, qmat = matrix(queries.column("qv"), None)
+            good, x = matrix(points.column("v"), qmat.shape[1])
+            ids = points.column("id").to_numpy()[good]
+            if len(ids):
+                got = best(queries.column("qid").to_numpy()[known], qmat, ids, x)
+        return pa.table([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
+                        names=["qid", "id", "raw_score"])
+
+    return against, cogroup
 
 
 def knn_join(points: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = COSINE,
              vector: str = "vector", id_col: str = "id", qid_col: str = "qid",
              qvector: str = "vector", block_rows: int = DEFAULT_BLOCK_ROWS,
-             members: DataFrame | None = None) -> DataFrame:
-    """Exact top-k for every query row: ``(qid, rank, id, score)``.
+             point_block_rows: int = POINT_BLOCK_ROWS) -> DataFrame:
+    """Exact top-k for every query row: ``(qid, rank, id, score)``."""
+    import numpy as np
 
-    ``members`` optionally restricts the points to ids present there (e.g. vectors
-    that have a payload row), see ``restrict``.
-    """
     if metric not in (COSINE, DOT):
         raise ValueError(f"unknown metric {metric!r}")
-    if members is not None:
-        points = restrict(points, members, id_col)
-    q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvector).alias("qv"))
-    n_queries = q.count()
-    n_blocks = max(1, -(-n_queries // block_rows))
-    pts = _parallel(points.select(F.col(id_col).cast("long").alias(id_col), F.col(vector)))
-    parts = []
-    for b in range(n_blocks):
-        blk = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == b)
-        rows = blk.collect()                     # <= ~block_rows rows by construction
-        if not rows:
-            continue
-        dims = {len(r.qv) for r in rows if r.qv is not None}
-        if len(dims) != 1:
-            raise ValueError(f"query vectors must share one dimension, got {sorted(dims)}")
-        rows = [r for r in rows if r.qv is not None]
-        qids = np.array([r.qid for r in rows], dtype=np.int64)
-        qmat = np.array([list(r.qv) for r in rows], dtype=np.float64)
-        block = _broadcast(points.sparkSession, (qids, qmat))
-        parts.append(pts.mapInArrow(_kernel(block, k, metric, id_col, vector), _PARTIAL))
-    if not parts:
+    q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvector).alias("qv")).where(F.col("qv").isNotNull())
+    shape = q.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("qv")).alias("lo"), F.max(F.size("qv")).alias("hi")).collect()[0]
+    if not shape["n"]:
         return points.sparkSession.createDataFrame([], "qid long, rank long, id long, score double")
-    partial = parts[0]
-    for p in parts[1:]:
-        partial = partial.unionByName(p)
+    if shape["lo"] != shape["hi"]:
+        raise ValueError(f"query vectors must share one dimension, got {shape['lo']} to {shape['hi']}")
+    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"))
+    against, cogroup = _functions(k, metric)
+    if shape["n"] <= block_rows:
+        rows = q.collect()                                   # at most block_rows rows
+        block = points.sparkSession.sparkContext.broadcast(
+            (np.array([r.qid for r in rows], np.int64), np.array([list(r.qv) for r in rows], np.float64)))
+        partial = pts.mapInArrow(against(block), _PARTIAL)
+    else:
+        nq = -(-shape["n"] // block_rows)
+        np_ = max(1, -(-pts.count() // point_block_rows))
+        left = pts.withColumn("pb", F.pmod(F.xxhash64("id"), F.lit(np_))) \
+            .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))))
+        right = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(nq))) \
+            .withColumn("pb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(np_ - 1).cast("long"))))
+        partial = left.groupBy("pb", "qb").cogroup(right.groupBy("pb", "qb")).applyInArrow(cogroup, _PARTIAL)
     scored = partial.select("qid", "id", F.round("raw_score", SCORE_DIGITS).alias("score"))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
     return (scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)

@@ -24,16 +24,14 @@ from pyspark.sql import functions as F
 from simsift.functions.filters import query_words, word_tokens
 
 
-def _n(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def write_keyword_layout(df: DataFrame, field: str, path: str, *, partition: bool = True) -> None:
+    """One folder per keyword value, or (``partition=False``) files sorted by the field.
 
-
-def write_keyword_layout(df: DataFrame, field: str, path: str, *, partition: bool = True,
-                         salts: int = 16, partitions: int | None = None) -> None:
-    """A hot keyword value (say a third of all rows) is spread over ``salts`` tasks by a
-    deterministic row hash, so it is written in parallel into its own partition folder."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    spread = df.repartition(_n(df, partitions), F.col(field), salt)
+    Rows are dealt by value and rebalanced by size: Spark's adaptive execution
+    splits a large value over as many tasks as its bytes need and joins small
+    ones, so a hot value never meets in one task.
+    """
+    spread = df.hint("rebalance", F.col(field))
     if partition:
         spread.write.mode("overwrite").partitionBy(field).parquet(path)
     else:
@@ -45,8 +43,8 @@ def write_range_layout(df: DataFrame, field: str, path: str, *, partitions: int
     """Range layout; ``tiebreak`` splits a hot value over several files (equal keys otherwise
     land in one range partition)."""
     keys = [field] + ([tiebreak] if tiebreak and tiebreak in df.columns else [])
-    df.repartitionByRange(_n(df, partitions), *keys).sortWithinPartitions(*keys) \
-        .write.mode("overwrite").parquet(path)
+    count = [partitions] if partitions else []            # unset: sized by Spark
+    df.repartitionByRange(*count, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
 def postings(df: DataFrame, text: str, *, id_col: str = "id") -> DataFrame:
@@ -57,7 +55,8 @@ def postings(df: DataFrame, text: str, *, id_col: str = "id") -> DataFrame:
 
 def write_postings(post: DataFrame, path: str, *, partitions: int | None = None) -> None:
     """Sorted by (token, id); ranges on both keys, so a very common token spans several files."""
-    post.repartitionByRange(_n(post, partitions), "token", "id").sortWithinPartitions("token", "id") \
+    count = [partitions] if partitions else []
+    post.repartitionByRange(*count, "token", "id").sortWithinPartitions("token", "id") \
         .write.mode("overwrite").parquet(path)
 
 

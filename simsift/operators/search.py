@@ -4,7 +4,7 @@ Plan shape for one query (checked with ``explain``):
 
     Scan(pushed payload filters, pruned columns) -> Filter -> Project(score)
       -> TakeOrderedAndProject(k)            # per-partition top-k, k*P rows merged
-      -> [BroadcastHashJoin payload on id]   # only k rows are broadcast
+      -> payload scan filtered by the ids of the k hits, broadcast to them
 
 The score is added *after* the filter so Catalyst keeps the filter (and any
 payload join) below the scoring projection. Wide payload (text) is joined back
@@ -23,8 +23,13 @@ from simsift.functions.vectors import COSINE, score
 
 # Fixed value: number of hits returned when no limit is given.
 DEFAULT_LIMIT = 10
-# k rows are broadcast for the payload join; above this the join stays a shuffle join.
+# At most this many hits (rank, id, score and narrow columns) are fetched and
+# broadcast for the payload join; above this the join stays a shuffle join.
 MAX_BROADCAST_K = 100_000
+# Up to this many ids go to the payload scan as a pushed IN filter.
+MAX_PUSHED_IDS = 1_000
+# Filtered candidates are broadcast to the vector scan up to this size.
+MAX_BROADCAST_BYTES = 64 << 20
 # TakeOrderedAndProject merges k rows from every task in one task; above this k
 # the ranking is done by range partitioning instead (exact, distributed).
 MAX_SINGLE_MERGE_K = 100_000
@@ -45,16 +50,39 @@ def with_rank(top: DataFrame, name: str = "rank", partition_by: Sequence[str] =
 
 
 def join_payload(hits: DataFrame, payload: DataFrame | None, k: int, id_col: str = "id") -> DataFrame:
-    """PRJ-9: attach payload columns to at most ``k`` hits."""
+    """PRJ-9: attach payload columns to at most ``k`` hits.
+
+    The hits are fetched (at most ``k`` narrow rows), so that the ranking runs
+    once and the payload scan is filtered by a broadcast of their ids: the payload
+    table itself is never shuffled or broadcast. Beyond ``MAX_BROADCAST_K`` hits
+    the join is a shuffle join.
+    """
     if payload is None:
         return hits
-    small = F.broadcast(hits) if k <= MAX_BROADCAST_K else hits
     extra = [c for c in payload.columns if c != id_col and c not in hits.columns]
-    return small.join(payload, on=id_col, how="left").select(*hits.columns, *extra)
+    wanted = payload.select(id_col, *extra)
+    if k <= MAX_BROADCAST_K:
+        rows = hits.collect()
+        hits = hits.sparkSession.createDataFrame(rows, hits.schema)
+        if len(rows) <= MAX_PUSHED_IDS:
+            wanted = wanted.where(F.col(id_col).isin([r[id_col] for r in rows]))     # reaches the scan
+        else:
+            wanted = wanted.join(F.broadcast(hits.select(id_col)), id_col, "left_semi")
+        wanted = F.broadcast(wanted)
+    return hits.join(wanted, on=id_col, how="left").select(*hits.columns, *extra)
+
 
+def row_bytes(df: DataFrame) -> int:
+    """Estimated size of one broadcast row, from the schema."""
+    return 24 + sum(48 if isinstance(f.dataType, (T.StringType, T.ArrayType, T.StructType)) else 8 for f in df.schema)
 
-# Filtered payload candidates up to this many rows are broadcast to the vector scan.
-MAX_BROADCAST_CANDIDATES = 2_000_000
+
+def sized_broadcast(df: DataFrame) -> DataFrame | None:
+    """``df`` with a broadcast hint when its counted rows fit ``MAX_BROADCAST_BYTES``, else None.
+
+    The answer of the caller's plan is the same either way.
+    """
+    return F.broadcast(df) if df.count() * row_bytes(df) <= MAX_BROADCAST_BYTES else None
 
 
 def arrow_scores(vectors: DataFrame, query: Sequence[float], *, vector: str = "vector", id_col: str = "id",
@@ -105,45 +133,33 @@ def score_split(vectors: DataFrame, payload: DataFrame, query, *, where: Column
                 metric: str = COSINE, vector_keep: Sequence[str] = (), engine: str = "native") -> DataFrame:
     """Scores for vectors and payload kept in separate tables: ``(id, *keep, score)``.
 
-    Without a filter every vector is scored where it is read and only
-    ``(id, score)`` meets the payload ids. With a filter the plan is chosen by a
-    size check on the filtered payload (narrow columns, filters pushed to its scan):
-
-    * at most ``MAX_BROADCAST_CANDIDATES`` rows: they are broadcast to the vector
-      scan and only matching vectors are scored (no shuffle at all);
-    * more: every vector is scored where it is read (narrow) and only
-      ``(id, score)`` is shuffled into the join, never the vectors themselves.
+    Every vector is scored; a vector without payload has NULL in ``keep``. With a
+    filter only the points whose payload satisfies it remain. The filtered
+    payload is counted (narrow columns, filters pushed to its scan) and either
 
-    The probe (at most ``MAX_BROADCAST_CANDIDATES`` narrow rows) stays cached
-    for the lifetime of the returned plan; long-running services can release it
-    with ``spark.catalog.clearCache()`` between requests.
+    * broadcast to the vector scan, when it fits ``MAX_BROADCAST_BYTES``: only
+      matching vectors are scored, without any shuffle; or
+    * joined with the ``(id, score)`` of every vector, never with the vectors.
     """
-    from pyspark import StorageLevel
-
     if engine == "arrow":
         if vector_keep or isinstance(query, Column):
             raise ValueError("engine='arrow' takes one literal query and no vector-side columns")
-        cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
-        return arrow_scores(vectors, query, vector=vector, id_col=id_col, metric=metric) \
-            .join(cand, "id").select("id", *keep, "score")
-    if engine != "native":
+        scored = arrow_scores(vectors, query, vector=vector, id_col=id_col, metric=metric)
+    elif engine != "native":
         raise ValueError("engine must be 'native' or 'arrow'")
-    cand = (payload if where is None else payload.where(where)).select(F.col(id_col).alias("id"), *keep)
     vec = vectors.select(F.col(id_col).alias("id"), *vector_keep, F.col(vector).alias("_v"))
     sc = score("_v", query, metric).alias("score")
+    if engine == "native":
+        scored = vec.select("id", *vector_keep, sc)
     keep = tuple(vector_keep) + tuple(keep)
+    narrow = payload.select(F.col(id_col).alias("id"), *[c for c in keep if c not in vector_keep]) if where is None else \
+        payload.where(where).select(F.col(id_col).alias("id"), *[c for c in keep if c not in vector_keep])
     if where is None:
-        # no filter: the candidates are the whole payload table, so skip the probe;
-        # vectors are scored where read and AQE may still broadcast a small payload
-        return vec.select("id", *vector_keep, sc).join(cand, "id").select("id", *keep, "score")
-    # The size probe keeps at most limit+1 rows; when under the limit it *is* the
-    # whole candidate set, so it is reused (persisted) as the broadcast side and
-    # an expensive filter (e.g. text match) is evaluated once.
-    probe = cand.limit(MAX_BROADCAST_CANDIDATES + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    if probe.count() <= MAX_BROADCAST_CANDIDATES:
-        return vec.join(F.broadcast(probe), "id").select("id", *keep, sc)
-    probe.unpersist()
-    return vec.select("id", *vector_keep, sc).join(cand, "id").select("id", *keep, "score")
+        return (scored if narrow.columns == ["id"] else scored.join(narrow, "id", "left")).select("id", *keep, "score")
+    small = sized_broadcast(narrow)
+    if small is not None and engine == "native":
+        return vec.join(small, "id").select("id", *keep, sc)
+    return scored.join(narrow if small is None else small, "id").select("id", *keep, "score")
 
 
 def top_k(scored: DataFrame, k: int = DEFAULT_LIMIT, *, keep: Sequence[str] = (),
@@ -201,11 +217,12 @@ def grouped_top_k(scored: DataFrame, group_by: str, *, limit: int = DEFAULT_LIMI
     w = Window.partitionBy("group_id").orderBy(*_order())
     hits = (scored.withColumn("hit_rank", F.row_number().over(w).cast("long"))
                   .where((F.col("hit_rank") <= group_size) & F.col("score").isNotNull()))
-    best = (top_k(hits.where(F.col("hit_rank") == 1).select("id", "group_id", "score"), limit, keep=("group_id",))
-                .select("group_id", F.col("rank").alias("group_rank")))
-    best = F.broadcast(best) if limit <= MAX_BROADCAST_K else best
-    return (hits.join(best, "group_id")
-                .select("group_rank", "group_id", "hit_rank", "id", "score"))
+    # one row per group with its cut hits, so the groups are ranked without a second pass over the scores
+    groups = hits.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("hit_rank", "id", "score"))).alias("hits"))
+    best = top_k(groups.select("group_id", F.col("hits")[0]["id"].alias("id"), F.col("hits")[0]["score"].alias("score"),
+                               "hits"), limit, keep=("group_id", "hits"))
+    return best.select(F.col("rank").alias("group_rank"), "group_id", F.inline("hits")) \
+        .select("group_rank", "group_id", "hit_rank", "id", "score")
 
 
 def top_k_per(scored: DataFrame, part: str, k: int = DEFAULT_LIMIT) -> DataFrame:
@@ -267,8 +284,8 @@ def search_and_inspect(points: DataFrame, query: Sequence[float], vector_name: s
     rows with payload, the score formatted to 4 places and any ``formats``
     (column -> printf pattern, e.g. ``{"rating": "%.1f"}``) as ``<col>_text``."""
     col = vector_name if vector_name in points.columns else f"vec_{vector_name}"
-    cond = F.col(col).isNotNull() if where is None else (where & F.col(col).isNotNull())
-    hits = knn(points, query, vector=col, id_col=id_col, k=k, where=cond, keep=keep, payload=payload,
+    # NULL vectors score NULL and are no hits; a filter on them would compute a derived vector twice
+    hits = knn(points, query, vector=col, id_col=id_col, k=k, where=where, keep=keep, payload=payload,
                engine=engine)
     hits = hits.withColumn("score_text", F.format_string("%.4f", F.col("score")))
     for c, fmt in (formats or {}).items():
@@ -284,10 +301,9 @@ def group_best(grouped: DataFrame) -> DataFrame:
 def results_as_json(hits: DataFrame, payload_cols: Sequence[str]) -> DataFrame:
     """SNK-8: ``(rank, json)`` with ``json = {"id", "score", "payload": {...}}`` per hit."""
     return hits.select("rank", F.to_json(F.struct(
-        "id", "score", F.struct(*payload_cols).alias("payload"))).alias("json"))
+        "id", "score", F.struct(*payload_cols).alias("payload")), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def write_results_json(hits: DataFrame, payload_cols: Sequence[str], path: str) -> None:
-    """SNK-8: hits as JSON lines, ordered by rank, one small file (at most k rows)."""
-    results_as_json(hits, payload_cols).orderBy("rank").coalesce(1).select("json") \
-        .write.mode("overwrite").text(path)
+    """SNK-8: hits as JSON lines in rank order (part files in order; one file for a small ``k``)."""
+    results_as_json(hits, payload_cols).orderBy("rank").select("json").write.mode("overwrite").text(path)

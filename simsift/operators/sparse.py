@@ -4,8 +4,8 @@ A sparse vector is ``STRUCT<indices: ARRAY<BIGINT>, values: ARRAY<FLOAT>>``
 (indices up to 4,294,967,295, so BIGINT). Hits are points sharing at least one
 index with the query; score = sum of products over shared indices, rounded to 6.
 
-* scan: every row folds its own arrays against the query held as a literal map;
-  narrow, no shuffle.
+* scan: every row folds its own arrays against the query held as a literal array
+  (queries of at most ``MAX_SCAN_TERMS`` terms); narrow, no shuffle.
 * inverted: the long table ``(idx, id, val)`` (written sorted by ``idx`` so
   Parquet min/max statistics skip row groups) is semi-filtered to the query's
   indices, joined with the broadcast query terms (at most the query's non-zeros)
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsift.functions.vectors import SCORE_DIGITS
@@ -29,6 +29,10 @@ MAX_INDEX = 4_294_967_295
 # Query terms up to this many are broadcast (and pushed as an IN filter);
 # longer queries join the postings by a shuffle.
 MAX_BROADCAST_TERMS = 100_000
+# Longer queries search the long form instead of comparing every entry with every term.
+MAX_SCAN_TERMS = 64
+# Up to this many query indices reach the scan as a pushed IN filter.
+MAX_PUSHED_TERMS = 1_000
 
 
 def sparse_from_dense(dense, threshold: float):
@@ -55,12 +59,38 @@ def to_long(df: DataFrame, col: str, id_col: str = "id") -> DataFrame:
               .select(F.col("_e.idx").alias("idx"), "id", F.col("_e.val").alias("val")))
 
 
-def build_inverted(df: DataFrame, col: str, path: str, *, id_col: str = "id", partitions: int | None = None) -> None:
+def term_counts(df: DataFrame, text: str, id_col: str = "id") -> DataFrame:
+    """Long sparse vectors ``(idx, id, val)`` of texts: per lower-cased token its hash (32 bits) and count."""
+    from simsift.functions.text import tokens
+
+    tok = df.select(F.col(id_col).alias("id"), F.explode(tokens(text)).alias("_tok"))
+    idx = F.conv(F.substring(F.md5(F.lower("_tok")), 1, 8), 16, 10).cast("long")
+    return tok.groupBy(idx.alias("idx"), "id").agg(F.count(F.lit(1)).cast("float").alias("val"))
+
+
+def query_terms(text: str) -> tuple[list[int], list[float]]:
+    """A query text as ``(indices, values)``, hashed and counted like :func:`term_counts`."""
+    import hashlib
+    import re
+    from collections import Counter
+
+    counts = Counter(int(hashlib.md5(t.lower().encode("utf-8")).hexdigest()[:8], 16)
+                     for t in re.split(r"[ \t\n\x0b\f\r]+", text) if t)
+    return list(counts), [float(n) for n in counts.values()]
+
+
+def collect_vectors(long: DataFrame, out: str = "sp") -> DataFrame:
+    """Long form ``(idx, id, val)`` -> ``(id, out struct<indices, values>)``, indices ascending."""
+    e = F.sort_array(F.collect_list(F.struct("idx", "val")))
+    return (long.groupBy("id").agg(e.alias("_e"))
+                .select("id", F.struct(F.col("_e.idx").alias("indices"), F.col("_e.val").alias("values")).alias(out)))
+
+
+def build_inverted(df: DataFrame, col: str, path: str, *, id_col: str = "id") -> None:
     """Write the inverted index sorted by ``idx`` (range-partitioned, so files hold disjoint idx ranges)."""
     long = to_long(df, col, id_col)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # (idx, id) ranges: a hot index spans several files instead of one task
-    long.repartitionByRange(n, "idx", "id").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
+    long.repartitionByRange("idx", "id").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
 
 
 def _query_terms(query_indices: Sequence[int], query_values: Sequence[float]) -> list[tuple[int, float]]:
@@ -74,21 +104,25 @@ def _query_terms(query_indices: Sequence[int], query_values: Sequence[float]) ->
 
 
 def _topk(scored: DataFrame, k: int) -> DataFrame:
-    order = [F.col("score").desc(), F.col("id").asc()]
-    top = scored.orderBy(*order).limit(k)
-    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return top.withColumn("rank", rank).select("rank", "id", "score")
+    from simsift.operators.search import top_k
+
+    return top_k(scored, k)
 
 
 def knn_scan(df: DataFrame, col: str, query_indices, query_values, *, k: int = 10, id_col: str = "id") -> DataFrame:
     terms = _query_terms(query_indices, query_values)
     if not terms:
         return df.sparkSession.createDataFrame([], "rank long, id long, score double")
-    qmap = F.create_map(*[x for i, v in terms for x in (F.lit(i).cast("long"), F.lit(v).cast("double"))])
+    if len(terms) > MAX_SCAN_TERMS:
+        return knn_inverted(to_long(df.where(F.col(col).isNotNull()), col, id_col), query_indices, query_values, k=k)
+    terms = sorted(terms)
+    keys = F.array(*[F.lit(i).cast("long") for i, _ in terms])
+    weights = F.array(*[F.lit(v).cast("double") for _, v in terms])
     pairs = F.arrays_zip(F.col(f"{col}.indices").alias("i"), F.col(f"{col}.values").alias("v"))
-    shared = F.filter(pairs, lambda e: F.map_contains_key(qmap, e["i"]))
+    hits = F.transform(pairs, lambda e: F.struct(F.array_position(keys, e["i"]).alias("p"), e["v"].alias("v")))
+    shared = F.filter(hits, lambda e: e["p"] > 0)
     dot = F.aggregate(shared, F.lit(0.0).cast("double"),
-                      lambda acc, e: acc + e["v"].cast("double") * F.element_at(qmap, e["i"]))
+                      lambda acc, e: acc + e["v"].cast("double") * F.element_at(weights, e["p"].cast("int")))
     scored = (df.where(F.col(col).isNotNull())
                 .select(F.col(id_col).alias("id"), F.size(shared).alias("_n"),
                         F.round(dot, SCORE_DIGITS).alias("score"))
@@ -104,7 +138,8 @@ def knn_inverted(long: DataFrame, query_indices, query_values, *, k: int = 10) -
         return spark.createDataFrame([], "rank long, id long, score double")
     q = spark.createDataFrame(terms, "idx long, qval double")
     if len(terms) <= MAX_BROADCAST_TERMS:
-        post, q = long.where(F.col("idx").isin([i for i, _ in terms])), F.broadcast(q)
+        post = long.where(F.col("idx").isin([i for i, _ in terms])) if len(terms) <= MAX_PUSHED_TERMS else long
+        q = F.broadcast(q)
     else:
         post = long
     scored = (post.join(q, "idx")

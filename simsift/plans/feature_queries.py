@@ -43,16 +43,16 @@ FROM scored WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {K}"""
 @register("filter_text_contains", _filtered_sql(f"contains(d.text, '{CONTAINS_TERM}')"))
 def filter_text_contains(spark, sf_dir):
     """FLT-4 + KNN-4: substring filter (no index), then cosine top-10."""
-    return search.top_k(split_scores(spark, sf_dir, where=flt.text_contains("text", CONTAINS_TERM),
-                                     payload_cols=tables.PAYLOAD_COLS + ("text",)), K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, where=flt.text_contains("text", CONTAINS_TERM), payload_cols=("text",)), K,
+                        payload=tables.payload(spark, sf_dir))
 
 
 @register("filter_text_match", _filtered_sql(
     f"list_has_all({sql_words('d.text')}, {flt.query_words(MATCH_QUERY)!r})"))
 def filter_text_match(spark, sf_dir):
     """FLT-5 + KNN-4: all query words present as word tokens, then cosine top-10."""
-    return search.top_k(split_scores(spark, sf_dir, where=flt.text_match("text", MATCH_QUERY),
-                                     payload_cols=tables.PAYLOAD_COLS + ("text",)), K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, where=flt.text_match("text", MATCH_QUERY), payload_cols=("text",)), K,
+                        payload=tables.payload(spark, sf_dir))
 
 
 @register("text_features", f"""
@@ -143,5 +143,5 @@ SELECT rank, to_json({{'id': id, 'score': score,
 def results_json(spark, sf_dir):
     """SNK-8: filtered hits as JSON objects ``{id, score, payload}``."""
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    hits = search.top_k(split_scores(spark, sf_dir, where=cond), K, keep=tables.PAYLOAD_COLS)
+    hits = search.top_k(split_scores(spark, sf_dir, where=cond), K, payload=tables.payload(spark, sf_dir))
     return search.results_as_json(hits, tables.PAYLOAD_COLS)

@@ -11,12 +11,11 @@ from simsift.plans.feature_queries import FIXED_SQL, MATCH_QUERY, _filtered_sql,
 from simsift.plans.registry import register, sql_dot, sql_score
 from simsift.plans.search_queries import FILTERED_WHERE, FILTER_LANG, FILTER_MIN_CHARS, K, PTS_SQL, QV_SQL, \
     query_vector
-from simsift.sources import tables
+from simsift.sources import indexes, tables
 
 # Fixed query parameters.
 TEXT_QUERY = "the old house by the river"
 TEXT_K = 5
-SPARSE_THRESHOLD = 0.15
 LSH = ann.LshParams(bits=8, tables=4, radius=1)
 
 
@@ -88,40 +87,41 @@ def text_search(spark, sf_dir):
 
 # ---- sparse ------------------------------------------------------------------
 
-def sparse_points(spark, sf_dir):
-    emb = tables.read_table(spark, sf_dir, "embeddings")
-    return emb.select(F.col("vec_id").alias("id"),
-                      sparse.sparse_from_dense("embedding", SPARSE_THRESHOLD).alias("sp"))
+def sparse_terms(spark, sf_dir):
+    """Inverted index over every term of every document, stored sorted by index."""
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
+    def write(path):
+        long = sparse.term_counts(docs, "text")
+        long.repartitionByRange("idx", "id").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
 
-def sparse_query(spark, sf_dir):
-    row = sparse_points(spark, sf_dir).where(F.col("id") == 0).select("sp").limit(2).collect()
-    if len(row) != 1:
-        raise ValueError("sparse query point not found")
-    return list(row[0].sp.indices), list(row[0].sp.values)
+    return indexes.stored(spark, "sparse", sf_dir, write)
 
 
+_Q_TERMS = ", ".join(f"({i}::BIGINT, {v}::DOUBLE)" for i, v in zip(*sparse.query_terms(TEXT_QUERY)))
 SPARSE_SQL = f"""
-WITH lp AS (SELECT id, idx, val FROM (
-              SELECT vec_id AS id, unnest(range(len(embedding))) AS idx, unnest(embedding)::DOUBLE AS val FROM embeddings)
-            WHERE abs(val) > {SPARSE_THRESHOLD}::DOUBLE),
-q AS (SELECT idx, val AS qval FROM lp WHERE id = 0),
+WITH lp AS (SELECT id, idx, count(*)::DOUBLE AS val FROM (
+              SELECT doc_id AS id, ('0x' || substr(md5(lower(tok)), 1, 8))::BIGINT AS idx
+              FROM (SELECT doc_id, unnest({sql_tokens('text')}) AS tok FROM documents)) GROUP BY ALL),
+q AS (SELECT * FROM (VALUES {_Q_TERMS}) t(idx, qval)),
 s AS (SELECT lp.id, round(sum(lp.val * q.qval), 6) AS score FROM lp JOIN q USING (idx) GROUP BY lp.id)
 SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score FROM s ORDER BY score DESC, id LIMIT {K}"""
 
 
 @register("sparse_knn_scan", SPARSE_SQL)
 def sparse_knn_scan(spark, sf_dir):
-    """KNN-9/10 full-scan path: each row folds its own arrays against the query map."""
-    qi, qv = sparse_query(spark, sf_dir)
-    return sparse.knn_scan(sparse_points(spark, sf_dir), "sp", qi, qv, k=K)
+    """KNN-9/10 full-scan path: each row folds its own arrays of all its terms against the query."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    pts = sparse.collect_vectors(sparse.term_counts(docs, "text", "doc_id"))
+    qi, qv = sparse.query_terms(TEXT_QUERY)
+    return sparse.knn_scan(pts, "sp", qi, qv, k=K)
 
 
 @register("sparse_knn_inverted", SPARSE_SQL)
 def sparse_knn_inverted(spark, sf_dir):
-    """KNN-10 inverted path: long (idx, id, val) table joined with the query terms."""
-    qi, qv = sparse_query(spark, sf_dir)
-    return sparse.knn_inverted(sparse.to_long(sparse_points(spark, sf_dir), "sp"), qi, qv, k=K)
+    """KNN-10 inverted path: the stored long (idx, id, val) table joined with the query terms."""
+    qi, qv = sparse.query_terms(TEXT_QUERY)
+    return sparse.knn_inverted(sparse_terms(spark, sf_dir), qi, qv, k=K)
 
 
 # ---- postings ----------------------------------------------------------------
@@ -137,13 +137,19 @@ def postings_build(spark, sf_dir):
 @register("postings_search", _filtered_sql(
     f"list_has_all({sql_words('d.text')}, {flt.query_words(MATCH_QUERY)!r})"))
 def postings_search(spark, sf_dir):
-    """IDX-3 + ANN-2: text filter answered from the postings (semi-join), then cosine top-10."""
+    """IDX-3 + ANN-2: text filter answered from the stored postings, then cosine top-10."""
     docs = tables.read_table(spark, sf_dir, "documents")
-    post = layout.postings(docs, "text", id_col="doc_id")
-    cand = layout.text_filter(lsh_payload(spark, sf_dir), post, MATCH_QUERY)
-    scored = search.score_split(lsh_vectors(spark, sf_dir), cand, query_vector(spark, sf_dir),
-                                keep=tables.PAYLOAD_COLS)
-    return search.top_k(scored, K, keep=tables.PAYLOAD_COLS)
+    post = indexes.stored(spark, "postings", sf_dir, lambda path: layout.write_postings(
+        layout.postings(docs, "text", id_col="doc_id"), path))
+    cand = layout.match_ids(post, MATCH_QUERY)
+    small = search.sized_broadcast(cand)
+    vec = tables.vectors(spark, sf_dir)
+    query = query_vector(spark, sf_dir)
+    if small is not None:
+        vec = vec.join(small, "id", "left_semi")
+        return search.knn(vec, query, k=K, payload=tables.payload(spark, sf_dir))
+    scored = search.score_split(vec, tables.payload(spark, sf_dir), query).join(cand, "id", "left_semi")
+    return search.top_k(scored, K, payload=tables.payload(spark, sf_dir))
 
 
 # ---- LSH ---------------------------------------------------------------------
@@ -163,73 +169,63 @@ qsig AS (SELECT table_no, sig AS qs FROM sigs WHERE id = 0),
 ham AS (SELECT s.id, min(bit_count(xor(s.sig, q.qs))) AS h FROM sigs s JOIN qsig q USING (table_no) GROUP BY s.id)"""
 
 
-def lsh_vectors(spark, sf_dir):
-    return tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
-                                                                 F.col("embedding").alias("vector"))
-
-
-def lsh_payload(spark, sf_dir):
-    return tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *tables.PAYLOAD_COLS)
-
-
-def lsh_sigs(spark, sf_dir, q):
-    """Signatures computed where the vectors are read (a superset of the points;
-    candidates are intersected with the payload ids before re-ranking)."""
-    return ann.signatures(lsh_vectors(spark, sf_dir), LSH, len(q))
+def lsh_sigs(spark, sf_dir, dim):
+    """Stored signatures of every vector, sorted by (table_no, sig)."""
+    return indexes.stored(spark, f"lsh-{LSH.bits}-{LSH.tables}-{dim}", sf_dir, lambda path: ann.write_signatures(
+        ann.signatures(tables.vectors(spark, sf_dir), LSH, dim), path))
 
 
 @register("lsh_signatures", f"WITH {PTS_SQL}, {_sig_sql()} SELECT id, table_no, sig FROM sigs")
 def lsh_signatures(spark, sf_dir):
-    """ANN-1 build: 4 tables x 8-bit random-hyperplane signatures of every point.
-
-    Signatures are computed where the vectors are read; only the small
-    ``(id, table_no, sig)`` rows are semi-joined to the payload ids."""
-    q = query_vector(spark, sf_dir)
-    ids = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    return lsh_sigs(spark, sf_dir, q).join(ids, "id", "left_semi")
+    """ANN-1 build: 4 tables x 8-bit random-hyperplane signatures of every vector, where it is read."""
+    return ann.signatures(tables.vectors(spark, sf_dir), LSH, len(query_vector(spark, sf_dir)))
 
 
 def _ann_sql(where: str = "TRUE") -> str:
     return f"""
 WITH {PTS_SQL}, {QV_SQL}, {_sig_sql()},
-s AS (SELECT p.id, {sql_score("p.vector", "qv.q")} AS score, p.lang, p.source, p.n_chars
-      FROM pts p JOIN ham USING (id), qv WHERE ham.h <= {LSH.radius} AND {where})
-SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score, lang, source, n_chars
+el AS (SELECT p.id, ham.h FROM pts p JOIN ham USING (id) WHERE {where}),
+rad AS (SELECT min(r)::INTEGER AS radius FROM range({LSH.radius}, {LSH.bits} + 1) t(r)
+        WHERE r = {LSH.bits} OR (SELECT count(*) FROM el WHERE el.h <= r) >= {K}),
+s AS (SELECT p.id, {sql_score("p.vector", "qv.q")} AS score, p.lang, p.source, p.n_chars, rad.radius
+      FROM pts p JOIN el USING (id), qv, rad WHERE el.h <= rad.radius)
+SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score, lang, source, n_chars, radius
 FROM s WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {K}"""
 
 
+def _ann(spark, sf_dir, where=None):
+    q = query_vector(spark, sf_dir)
+    return ann.ann_search_split(tables.vectors(spark, sf_dir), tables.payload(spark, sf_dir),
+                                lsh_sigs(spark, sf_dir, len(q)), q, LSH, k=K, where=where, keep=tables.PAYLOAD_COLS)
+
+
 @register("ann_search", _ann_sql())
 def ann_search(spark, sf_dir):
-    """ANN-1 search: probe radius 1 around the query signature, exact re-rank of candidates."""
-    q = query_vector(spark, sf_dir)
-    return ann.ann_search_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir), lsh_sigs(spark, sf_dir, q),
-                                q, LSH, k=K, keep=tables.PAYLOAD_COLS)
+    """ANN-1 search: signatures near the query's, radius widened to k candidates, exact re-rank."""
+    return _ann(spark, sf_dir)
+
+
+def _filter():
+    return flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
 
 
 @register("ann_filtered", _ann_sql(FILTERED_WHERE))
 def ann_filtered(spark, sf_dir):
     """ANN-2: the payload filter restricts the candidates before the exact re-rank."""
-    q = query_vector(spark, sf_dir)
-    cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    return ann.ann_search_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir), lsh_sigs(spark, sf_dir, q),
-                                q, LSH, k=K, where=cond, keep=tables.PAYLOAD_COLS)
+    return _ann(spark, sf_dir, _filter())
 
 
 @register("ann_switch", f"""
-WITH {PTS_SQL}, {QV_SQL}, {_sig_sql()},
-n AS (SELECT count(*) AS n FROM pts p WHERE {FILTERED_WHERE}),
+WITH {PTS_SQL}, {QV_SQL},
 s AS (SELECT p.id, {sql_score("p.vector", "qv.q")} AS score, p.lang, p.source, p.n_chars
-      FROM pts p LEFT JOIN ham USING (id), qv, n
-      WHERE {FILTERED_WHERE} AND (n.n < {ann.FULL_SCAN_THRESHOLD} OR ham.h <= {LSH.radius}))
+      FROM pts p, qv WHERE {FILTERED_WHERE})
 SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score, lang, source, n_chars
 FROM s WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT {K}""")
 def ann_switch(spark, sf_dir):
-    """ANN-3: exact search below the 10,000-row full-scan threshold, ANN above it."""
+    """ANN-3: the caller's mode decides; here the exact answer (``ann_filtered`` is the other mode)."""
     q = query_vector(spark, sf_dir)
-    cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    df, _mode = ann.search_auto_split(lsh_vectors(spark, sf_dir), lsh_payload(spark, sf_dir),
-                                      lsh_sigs(spark, sf_dir, q), q, LSH, k=K, where=cond, keep=tables.PAYLOAD_COLS)
-    return df
+    return ann.search_by_mode(tables.vectors(spark, sf_dir), tables.payload(spark, sf_dir), None, q, LSH,
+                              mode="exact", k=K, where=_filter(), keep=tables.PAYLOAD_COLS)
 
 
 @register("ann_recall", f"""
@@ -248,9 +244,8 @@ FROM radii LEFT JOIN f USING (radius)""")
 def ann_recall(spark, sf_dir):
     """ANN-4: recall@10 of the LSH answer against exact search at every probe radius."""
     q = query_vector(spark, sf_dir)
-    ids = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    scored = search.score_split(lsh_vectors(spark, sf_dir), ids, q)
-    return ann.recall_by_radius(None, lsh_sigs(spark, sf_dir, q), q, LSH, k=K, scored=scored)
+    scored = search.score_split(tables.vectors(spark, sf_dir), tables.payload(spark, sf_dir), q)
+    return ann.recall_by_radius(None, lsh_sigs(spark, sf_dir, len(q)), q, LSH, k=K, scored=scored)
 
 
 # ---- timing summary ----------------------------------------------------------

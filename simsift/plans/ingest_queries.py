@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from simsift.operators import ingest
 from simsift.plans.registry import register, sql_norm
-from simsift.plans.search_queries import NAMED_SPLIT, PTS_SQL
+from simsift.plans.search_queries import NAMED_SPLIT
 from simsift.sources import tables
 
 
@@ -57,7 +57,7 @@ def vector_profile(spark, sf_dir):
     return ingest.vector_profile(named, ["embedding", "vec_head", "vec_tail"])
 
 
-@register("table_count", f"WITH {PTS_SQL} SELECT count(*) AS n_points FROM pts")
+@register("table_count", "SELECT count(*) AS n_points FROM embeddings")
 def table_count(spark, sf_dir):
-    """SNK-7: exact row count of the point table."""
-    return tables.points(spark, sf_dir, payload=()).agg(F.count(F.lit(1)).alias("n_points"))
+    """SNK-7: exact row count of the point table (one row per vector, payload or not)."""
+    return tables.vectors(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_points"))

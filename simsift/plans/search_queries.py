@@ -18,17 +18,14 @@ FILTER_MIN_CHARS = 1000
 
 PTS_SQL = """pts AS (
   SELECT e.vec_id AS id, e.embedding AS vector, d.lang, d.source, d.n_chars
-  FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)"""
+  FROM embeddings e LEFT JOIN documents d ON e.vec_id = d.doc_id)"""
 QV_SQL = f"qv AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_ID})"
 
 
-def split_scores(spark, sf_dir, where=None, keep=tables.PAYLOAD_COLS, metric=COSINE, payload_cols=None):
-    """Scores over the two test tables kept apart (vectors in embeddings, payload in documents)."""
-    emb = tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
-                                                                F.col("embedding").alias("vector"))
-    cols = payload_cols or tables.PAYLOAD_COLS
-    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *cols)
-    return search.score_split(emb, docs, query_vector(spark, sf_dir), where=where, keep=keep, metric=metric)
+def split_scores(spark, sf_dir, where=None, keep=(), metric=COSINE, payload_cols=()):
+    """Scores of all vectors (embeddings), filtered by the payload (documents) when ``where`` is given."""
+    return search.score_split(tables.vectors(spark, sf_dir), tables.payload(spark, sf_dir, *payload_cols),
+                              query_vector(spark, sf_dir), where=where, keep=keep, metric=metric)
 
 
 def query_vector(spark, sf_dir, qid=QUERY_ID):
@@ -55,18 +52,18 @@ FILTERED_WHERE = f"p.lang = '{FILTER_LANG}' AND p.n_chars >= {FILTER_MIN_CHARS}"
 def knn_filtered(spark, sf_dir):
     """Minimum slice: keyword + range filter, cosine top-10, payload incl. text."""
     cond = flt.must(flt.match_value("lang", FILTER_LANG), flt.range_("n_chars", gte=FILTER_MIN_CHARS))
-    return search.top_k(split_scores(spark, sf_dir, where=cond), K, keep=tables.PAYLOAD_COLS,
-                        payload=tables.doc_text(spark, sf_dir))
+    return search.top_k(split_scores(spark, sf_dir, where=cond), K,
+                        payload=tables.payload(spark, sf_dir, *tables.PAYLOAD_COLS, "text"))
 
 
 @register("knn_cosine", _topk_sql(sql_score("p.vector", "qv.q")))
 def knn_cosine(spark, sf_dir):
-    return search.top_k(split_scores(spark, sf_dir), K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir), K, payload=tables.payload(spark, sf_dir))
 
 
 @register("knn_dot", _topk_sql(sql_score("p.vector", "qv.q", DOT)))
 def knn_dot(spark, sf_dir):
-    return search.top_k(split_scores(spark, sf_dir, metric=DOT), K, keep=tables.PAYLOAD_COLS)
+    return search.top_k(split_scores(spark, sf_dir, metric=DOT), K, payload=tables.payload(spark, sf_dir))
 
 
 # Named vectors: the 64-dim embedding is split into two named vectors.
@@ -86,10 +83,7 @@ def knn_named(spark, sf_dir):
     q = query_vector(spark, sf_dir)[NAMED_SPLIT:2 * NAMED_SPLIT]
     emb = tables.read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.slice("embedding", NAMED_SPLIT + 1, NAMED_SPLIT).alias("vec_tail"))
-    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *tables.PAYLOAD_COLS)
-    scored = search.score_split(emb.where(F.col("vec_tail").isNotNull()), docs, q, vector="vec_tail",
-                                keep=tables.PAYLOAD_COLS)
-    return search.top_k(scored, NAMED_K, keep=tables.PAYLOAD_COLS)
+    return search.knn(emb, q, vector="vec_tail", k=NAMED_K, payload=tables.payload(spark, sf_dir))
 
 
 GROUP_LIMIT = 4
@@ -136,10 +130,7 @@ def knn_multi_strategy(spark, sf_dir):
     arms = F.array(*[F.struct(F.lit(s).alias("strategy"), F.slice("embedding", a, n).alias("vector"))
                      for s, (a, n) in STRATEGIES.items()])
     long = emb.select(F.col("vec_id").alias("id"), F.inline(arms))
-    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    scored = search.score_split(long, docs, search.strategy_queries(queries), vector_keep=("strategy",),
-                                metric=COSINE)
-    return search.top_k_per(scored, "strategy", K)
+    return search.knn_by_strategy(long, queries, k=K)
 
 
 def label_queries(spark, sf_dir):
@@ -162,10 +153,7 @@ def knn_batch(spark, sf_dir):
     """KNN-11: many queries in one kNN join (Arrow matrix-product kernel)."""
     from simsift.operators.knn_join import knn_join
 
-    emb = tables.read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
-                                                                F.col("embedding").alias("vector"))
-    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    return knn_join(emb, label_queries(spark, sf_dir), k=K, members=docs)
+    return knn_join(tables.vectors(spark, sf_dir), label_queries(spark, sf_dir), k=K)
 
 
 @register("knn_group_best", f"""

@@ -46,12 +46,14 @@ def get_session(master: str | None = None, app: str = "simsift",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is unset (local tests) a private scratch folder is
-    created and registered; a cluster must always provide a shared one.
+    Unset, it is an error on a cluster; with a local master (tests, bench),
+    where driver and tasks share one machine, a private scratch folder is set.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="simsift-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

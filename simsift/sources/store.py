@@ -9,13 +9,9 @@ folder under the table root and then switches the table's LOCATION to it (one
 metastore update). A reader holding the old version keeps a consistent view; a
 failed write leaves the current version untouched.
 
-Bucketed tables (``buckets=N``) are partitioned by ``id_bucket = pmod(xxhash64(id), N)``
-and every partition has its own location. An upsert then reads (partition
-pruning) and rewrites only the buckets that occur in the incoming batch, writes
-them to a new version folder and re-points just those partitions, so the cost
-of a batch follows the batch, not the table. The per-partition switches are
-separate metastore updates; a crash between them leaves some buckets on the
-new version, and replaying the batch (seq-based, idempotent) completes it.
+Every write checks the declared vector sizes and fails on a row that breaks
+them; ``split_valid`` parts such rows off beforehand. Updating a huge table in
+place (``MERGE``) is the business of a table format, not of this module.
 """
 
 from __future__ import annotations
@@ -35,8 +31,6 @@ PROP_VECTORS = "simsift.vectors"
 PROP_SPARSE = "simsift.sparse"
 PROP_BUILD = "simsift.build"
 PROP_ID = "simsift.id_type"
-PROP_BUCKETS = "simsift.buckets"
-BUCKET_COL = "id_bucket"
 
 
 @dataclass(frozen=True)
@@ -59,7 +53,7 @@ class TableInfo:
     sparse: list[str]
     build: dict = field(default_factory=dict)
     created: bool = False
-    buckets: int | None = None
+    id_type: str = "long"
 
 
 SPARSE_TYPE = T.StructType([T.StructField("indices", T.ArrayType(T.LongType())),
@@ -102,26 +96,21 @@ def describe(spark: SparkSession, name: str) -> TableInfo:
     """SNK-9: read back the vector config of a table."""
     p = _props(spark, name)
     vectors = {k: VectorParams(**v) for k, v in json.loads(p.get(PROP_VECTORS, "{}")).items()}
-    b = p.get(PROP_BUCKETS)
     return TableInfo(name, _location(spark, name), vectors, json.loads(p.get(PROP_SPARSE, "[]")),
-                     json.loads(p.get(PROP_BUILD, "{}")), buckets=int(b) if b else None)
-
-
-def bucket_of(id_col: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
+                     json.loads(p.get(PROP_BUILD, "{}")), id_type=p.get(PROP_ID, "long"))
 
 
 def get_or_create_table(spark: SparkSession, name: str, root: str, *,
                         vectors: VectorParams | dict[str, VectorParams] | None = None,
                         sparse: list[str] | None = None, build: dict | None = None,
                         id_type: str = "long", payload: T.StructType | None = None,
-                        rebuild_on_change: bool = False, buckets: int | None = None,
-                        clean: bool = False) -> TableInfo:
+                        rebuild_on_change: bool = False, clean: bool = False) -> TableInfo:
     """SNK-4 (+SNK-6): return the existing table, or create it.
 
     ``vectors=None`` with ``sparse`` given makes a sparse-only table (no dense
     column); with neither, one unnamed size-4 cosine vector. An existing table
-    must carry the declared config, else ``ValueError``. When only the build
+    must carry the declared config (vectors, sparse vectors, id type, and the payload
+    columns when given), else ``ValueError``. When only the build
     parameters differ and ``rebuild_on_change`` is set, the table is dropped and
     recreated empty (a clean rebuild). ``clean=True`` always drops and recreates.
     """
@@ -138,33 +127,31 @@ def get_or_create_table(spark: SparkSession, name: str, root: str, *,
         if info.vectors != vectors or info.sparse != sparse:
             raise ValueError(f"table {name} exists with vectors={info.vectors}, sparse={info.sparse}; "
                              f"asked for vectors={vectors}, sparse={sparse}")
+        if info.id_type != id_type:
+            raise ValueError(f"table {name} exists with id type {info.id_type}; asked for {id_type}")
+        if payload is not None:
+            own = {f.name for f in point_schema(vectors, sparse, id_type).fields}
+            have = {f.name: f.dataType for f in spark.table(name).schema.fields if f.name not in own}
+            want = {f.name: f.dataType for f in payload.fields}
+            if have != want:
+                raise ValueError(f"table {name} exists with payload {have}; asked for {want}")
         if info.build == build or not build or not rebuild_on_change:
             return info
         spark.sql(f"DROP TABLE {name}")
     schema = point_schema(vectors, sparse, id_type, payload)
     props = {PROP_VECTORS: json.dumps({k: {"size": v.size, "metric": v.metric} for k, v in vectors.items()}),
              PROP_SPARSE: json.dumps(sparse), PROP_BUILD: json.dumps(build, sort_keys=True), PROP_ID: id_type}
-    if buckets:
-        if buckets <= 0:
-            raise ValueError("buckets must be positive")
-        props[PROP_BUCKETS] = str(buckets)
-        schema = T.StructType(list(schema.fields) + [T.StructField(BUCKET_COL, T.IntegerType())])
-        loc = os.path.join(root, name)
-        part = f" PARTITIONED BY ({BUCKET_COL})"
-    else:
-        loc = os.path.join(root, name, f"v-{uuid.uuid4().hex}")
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(loc)
-        part = ""
+    loc = os.path.join(root, name, f"v-{uuid.uuid4().hex}")
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(loc)
     ddl = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{loc}' TBLPROPERTIES ({ddl})")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{loc}' TBLPROPERTIES ({ddl})")
     info = describe(spark, name)
     info.created = True
     return info
 
 
-def validate(df: DataFrame, info: TableInfo) -> DataFrame:
-    """FLT-7: rows whose every declared vector is NULL or has exactly the declared size."""
+def _sizes_hold(df: DataFrame, info: TableInfo):
     from simsift.functions.vectors import valid_vector
 
     cond = F.lit(True)
@@ -172,7 +159,21 @@ def validate(df: DataFrame, info: TableInfo) -> DataFrame:
         c = vector_column(n)
         if c in df.columns:
             cond = cond & (F.col(c).isNull() | valid_vector(c, p.size))
-    return df.where(cond)
+    return cond
+
+
+def split_valid(df: DataFrame, info: TableInfo) -> tuple[DataFrame, DataFrame]:
+    """FLT-7: ``(accepted, quarantined)``: every declared vector is NULL or has exactly the declared size, or not."""
+    ok = _sizes_hold(df, info)
+    return df.where(ok), df.where(~ok)
+
+
+def validate(df: DataFrame, info: TableInfo) -> DataFrame:
+    """FLT-7: ``df`` itself, failing whatever consumes it on a vector of the wrong size."""
+    guarded = F.when(_sizes_hold(df, info), F.col("id")).otherwise(F.raise_error(F.concat(
+        F.lit(f"wrong vector size for table {info.name}, id "), F.coalesce(F.col("id").cast("string"), F.lit("NULL")))
+    ).cast(df.schema["id"].dataType))
+    return df.withColumn("id", guarded)
 
 
 def commit(spark: SparkSession, name: str, df: DataFrame, *, max_records_per_file: int | None = None) -> dict:
@@ -182,12 +183,11 @@ def commit(spark: SparkSession, name: str, df: DataFrame, *, max_records_per_fil
     ``Observation`` on the write itself (no second pass).
     """
     info = describe(spark, name)
-    if info.buckets:
-        return _commit_buckets(spark, name, info, df, replace_all=True, max_records_per_file=max_records_per_file)
     root = os.path.dirname(info.location.rstrip("/"))
     loc = os.path.join(root, f"v-{uuid.uuid4().hex}")
     target = spark.table(name).schema
     obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
+    df = validate(df, info)
     out = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                       else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
     w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
@@ -199,89 +199,29 @@ def commit(spark: SparkSession, name: str, df: DataFrame, *, max_records_per_fil
     return {"rows": obs.get["rows"], "location": loc}
 
 
-def _existing_partitions(spark: SparkSession, name: str) -> set[int]:
-    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()          # at most `buckets` rows
-    return {int(r[0].split("=", 1)[1]) for r in rows}
-
-
-def _commit_buckets(spark: SparkSession, name: str, info: TableInfo, df: DataFrame, *,
-                    replace_all: bool, max_records_per_file: int | None = None,
-                    touched: list[int] | None = None) -> dict:
-    """Write ``df`` (which carries ``id_bucket``) to a new version folder and re-point the
-    partitions it covers; with ``replace_all`` partitions it does not cover are dropped."""
-    loc = os.path.join(info.location.rstrip("/"), f"v-{uuid.uuid4().hex}")
-    target = spark.table(name).schema
-    obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
-    out = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
-                      else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
-    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(BUCKET_COL)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(loc)
-    # every touched bucket receives at least its incoming rows; a full replace
-    # reads the written bucket values back (partition discovery, <= buckets rows)
-    written = sorted(touched) if touched is not None else \
-        sorted(r[0] for r in spark.read.parquet(loc).select(BUCKET_COL).distinct().collect())
-    have = _existing_partitions(spark, name)
-    for b in written:
-        ploc = f"{loc}/{BUCKET_COL}={b}"
-        if b in have:
-            spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET_COL}={b}) SET LOCATION '{ploc}'")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({BUCKET_COL}={b}) LOCATION '{ploc}'")
-    if replace_all:
-        for b in sorted(have - set(written)):
-            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET_COL}={b})")
-    spark.catalog.refreshTable(name)
-    return {"rows": obs.get["rows"], "location": loc, "buckets": written}
-
-
 def upsert_into(spark: SparkSession, name: str, new: DataFrame, *, seq_col: str = "seq") -> dict:
-    """SNK-1: merge ``new`` into table ``name`` (latest ``seq`` per id wins).
-
-    Plain tables are rewritten as a new version; bucketed tables rewrite only the
-    buckets present in ``new`` (their current rows are read with partition pruning).
-    """
+    """SNK-1: merge ``new`` into table ``name`` (latest ``seq`` per id wins) as a new version."""
     from simsift.operators.ingest import upsert
 
-    info = describe(spark, name)
     current = spark.table(name)
-    cols = [c for c in new.columns if c in current.columns and c != BUCKET_COL]
-    if not info.buckets:
-        merged = upsert(current, new.select(*cols), id_col="id", seq_col=seq_col, check="lazy")
-        return commit(spark, name, merged)
-    newb = new.select(*cols).withColumn(BUCKET_COL, bucket_of("id", info.buckets))
-    touched = sorted(r[0] for r in newb.select(BUCKET_COL).distinct().collect())   # <= buckets values
-    if not touched:
-        return {"rows": 0, "location": info.location, "buckets": []}
-    old = current.where(F.col(BUCKET_COL).isin(touched))
-    merged = upsert(old, newb, id_col="id", seq_col=seq_col, check="lazy")
-    return _commit_buckets(spark, name, info, merged, replace_all=False, touched=touched)
+    cols = [c for c in new.columns if c in current.columns]
+    return commit(spark, name, upsert(current, new.select(*cols), id_col="id", seq_col=seq_col, check="lazy"))
 
 
 def load_missing_into(spark: SparkSession, name: str, new: DataFrame, *,
                       max_records_per_file: int | None = 10_000) -> dict:
-    """SNK-2/3/5: append only the ids the table lacks; skip entirely when complete.
+    """SNK-2/3/5: append only the ids the table lacks, one row per id; nothing is added when complete.
 
     Append-only: the missing rows are written as new files in the current
     version folder (existing files are never rewritten), in files of at most
     ``max_records_per_file`` rows. A crash mid-load leaves whole files of a
     subset; the next run's anti-join loads exactly the rest.
     """
-    from simsift.operators.ingest import load_missing
+    from simsift.operators.ingest import load_missing, one_row_per_id, upsert
 
-    current = spark.table(name)
-    missing = load_missing(new, current)
-    if missing.limit(1).count() == 0:
-        return {"rows": 0, "location": describe(spark, name).location, "skipped": True}
-    info = describe(spark, name)
-    if info.buckets:
-        # partitions have their own folders: rewrite just the touched buckets
-        newb = missing.withColumn(BUCKET_COL, bucket_of("id", info.buckets))
-        touched = sorted(r[0] for r in newb.select(BUCKET_COL).distinct().collect())
-        old = current.where(F.col(BUCKET_COL).isin(touched))
-        return _commit_buckets(spark, name, info, old.unionByName(newb, allowMissingColumns=True),
-                               replace_all=False, max_records_per_file=max_records_per_file, touched=touched)
+    current, info = spark.table(name), describe(spark, name)
+    new = upsert(None, new, seq_col="seq", check="lazy") if "seq" in new.columns else one_row_per_id(new)
+    missing = validate(load_missing(new, current), info)
     loc = info.location
     target = current.schema
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
@@ -292,4 +232,5 @@ def load_missing_into(spark: SparkSession, name: str, new: DataFrame, *,
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(loc)
     spark.catalog.refreshTable(name)
-    return {"rows": obs.get["rows"], "location": loc}
+    rows = obs.get["rows"]
+    return {"rows": rows, "location": loc, "skipped": rows == 0}

@@ -1,9 +1,9 @@
 """Schema'd readers for the test tables and the point tables derived from them.
 
-``points`` maps the driver test data onto the point model:
-``embeddings`` (vector) joined with ``documents`` (payload) on ``vec_id = doc_id``.
-Only narrow payload columns enter the join; ``text`` is read separately and
-joined after ranking (see ``operators.search.join_payload``).
+The driver test data maps onto the point model as ``embeddings`` (vector) and
+``documents`` (optional payload, ``vec_id = doc_id``), two tables that searches
+keep apart: payload is fetched for the hits after ranking (see
+``operators.search.join_payload``).
 """
 
 from __future__ import annotations
@@ -52,43 +52,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """SRC-1: read with an explicit schema (no inference) when one is known."""
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    df = reader.parquet(table_path(sf_dir, name))
-    return spread_small(df) if spread else df
+    return reader.parquet(table_path(sf_dir, name))
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give a scan at least as many partitions as the cluster has cores.
-
-    A file with one row group is read by one task, which would serialise all
-    per-row work (tokenising, chunking, scoring). When, and only when, the scan
-    has fewer splits than ``defaultParallelism``, rows are dealt round-robin over
-    that many partitions. A large multi-file input already has more splits than
-    cores and is returned unchanged, so no shuffle is added at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
-        return df
-    return df.repartition(target) if splits < target else df
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector: ``(id, vector)``."""
+    return read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def points(spark: SparkSession, sf_dir: str, payload=PAYLOAD_COLS) -> DataFrame:
-    """Point table ``(id, vector, *payload)``.
-
-    Filters applied on the result push through the join into the documents
-    scan; at scale both inputs are large, so the join is left to AQE
-    (sort-merge, or broadcast when the filtered side is small at runtime).
-    """
-    emb = read_table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *payload)
-    return emb.join(docs, "id")
+def payload(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Payload keyed by ``id``; a vector without a document simply has none."""
+    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), *(cols or PAYLOAD_COLS))
 
 
 def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:

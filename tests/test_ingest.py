@@ -182,51 +182,37 @@ def test_read_records(spark, scratch):
         rec.read_records(spark, bad)
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, scratch):
-    store.get_or_create_table(spark, "t_bk", scratch, buckets=8)
+def test_load_missing_resolves_and_validates(spark, scratch):
+    store.get_or_create_table(spark, "t_lm", scratch, vectors=store.VectorParams(2))
     mk = lambda rows: spark.createDataFrame(rows, "id long, vector array<float>, seq long")
-    first = [(i, [float(i), 0.0, 0.0, 1.0], 1) for i in range(200)]
-    r1 = store.upsert_into(spark, "t_bk", mk(first))
-    assert r1["rows"] == 200 and len(r1["buckets"]) == 8
-    locs = {r[0]: r for r in spark.sql("SHOW PARTITIONS t_bk").collect()}
-    assert len(locs) == 8
-    upd = [(3, [9.0, 9.0, 9.0, 9.0], 2), (3, [9.0, 9.0, 9.0, 9.0], 2), (500, [1.0, 1.0, 1.0, 1.0], 1)]
-    r2 = store.upsert_into(spark, "t_bk", mk(upd))
-    assert r2["rows"] < 200 and 1 <= len(r2["buckets"]) <= 2
-    got = {r.id: (r.seq, list(r.vector)) for r in spark.table("t_bk").collect()}
-    assert len(got) == 201 and got[3] == (2, [9.0, 9.0, 9.0, 9.0]) and got[500][0] == 1
-    plain = ingest.upsert(mk(first), mk(upd)).collect()
-    assert sorted((r.id, r.seq) for r in plain) == sorted((k, v[0]) for k, v in got.items())
-    # a pruned read of one bucket touches one partition folder
-    b = spark.table("t_bk").where("id_bucket = 0")
-    assert "PartitionFilters" in b._jdf.queryExecution().executedPlan().toString()
-
-
-def test_bucketed_load_missing_and_commit(spark, scratch):
-    store.get_or_create_table(spark, "t_bk2", scratch, buckets=4)
-    rows = spark.range(0, 30).select(F.col("id"), F.array(*[F.lit(1.0)] * 4).cast("array<float>").alias("vector"),
-                                     F.lit(0).cast("long").alias("seq"))
-    assert store.load_missing_into(spark, "t_bk2", rows)["rows"] == 30
-    assert store.load_missing_into(spark, "t_bk2", rows).get("skipped")
-    store.commit(spark, "t_bk2", spark.table("t_bk2").where("id < 5"))
-    assert sorted(r.id for r in spark.table("t_bk2").collect()) == [0, 1, 2, 3, 4]
+    r = store.load_missing_into(spark, "t_lm", mk([(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 2), (2, [1.0, 1.0], 1),
+                                                   (2, [1.0, 1.0], 1)]))
+    assert r["rows"] == 2
+    assert {x.id: list(x.vector) for x in spark.table("t_lm").collect()} == {1: [0.0, 1.0], 2: [1.0, 1.0]}
+    with pytest.raises(Exception, match="wrong vector size"):
+        store.load_missing_into(spark, "t_lm", mk([(3, [1.0, 0.0, 0.0], 1)]))
+    with pytest.raises(Exception, match="wrong vector size"):
+        store.upsert_into(spark, "t_lm", mk([(1, [1.0], 9)]))
+    with pytest.raises(Exception, match="upsert conflict"):
+        store.load_missing_into(spark, "t_lm", mk([(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1)]))
+    assert sorted(x.id for x in spark.table("t_lm").collect()) == [1, 2]
 
 
-def test_stream_into_bucketed_table(spark, scratch):
-    src = os.path.join(scratch, "incoming_b")
-    os.makedirs(src)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("vector", T.ArrayType(T.FloatType())),
-                           T.StructField("seq", T.LongType())])
-    batches = [[(i % 11, [float(i), 1.0, 0.0, 0.0], i) for i in range(b * 9, b * 9 + 9)] for b in range(3)]
-    for b, rows in enumerate(batches):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"b{b}"))
-    store.get_or_create_table(spark, "t_stream_b", scratch, buckets=4)
-    upsert_stream(spark, os.path.join(src, "*"), schema, "t_stream_b",
-                  checkpoint=os.path.join(scratch, "ckb"), max_files_per_trigger=1)
-    got = sorted((r.id, r.seq) for r in spark.table("t_stream_b").collect())
-    exp = sorted((r.id, r.seq) for r in ingest.upsert(
-        None, spark.createDataFrame([r for b in batches for r in b], schema)).collect())
-    assert got == exp
+def test_existing_table_must_match_in_full(spark, scratch):
+    pay = T.StructType([T.StructField("lang", T.StringType())])
+    store.get_or_create_table(spark, "t_full", scratch, payload=pay)
+    store.get_or_create_table(spark, "t_full", scratch, payload=pay)
+    with pytest.raises(ValueError, match="payload"):
+        store.get_or_create_table(spark, "t_full", scratch, payload=T.StructType([T.StructField("lang", T.LongType())]))
+    with pytest.raises(ValueError, match="id type"):
+        store.get_or_create_table(spark, "t_full", scratch, payload=pay, id_type="string")
+
+
+def test_one_row_per_id(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, x string")
+    assert sorted(map(tuple, ingest.one_row_per_id(df).collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="upsert conflict"):
+        ingest.one_row_per_id(df.union(spark.createDataFrame([(2, "c")], df.schema))).collect()
 
 
 def test_clean_rebuild(spark, scratch):
@@ -245,4 +231,8 @@ def test_validate_against_declared_sizes(spark, scratch):
 
     df = literal_points(spark, [(1, [1.0, 0.0], [1.0, 1.0, 1.0]), (2, [1.0], None), (3, None, [1.0, None, 1.0]),
                                 (4, None, None)], "id long, vec_a array<float>, vec_b array<float>")
-    assert sorted(r.id for r in store.validate(df, info).collect()) == [1, 4]
+    good, bad = store.split_valid(df, info)
+    assert sorted(r.id for r in good.collect()) == [1, 4] and sorted(r.id for r in bad.collect()) == [2, 3]
+    assert store.validate(good, info).count() == 2
+    with pytest.raises(Exception, match="wrong vector size"):
+        store.validate(df, info).collect()

@@ -12,7 +12,7 @@ def _plan(df):
 
 
 def test_keyword_partition_layout_prunes(spark, scratch):
-    pts = tables.points(spark, SF_SMALL)
+    pts = tables.vectors(spark, SF_SMALL).join(tables.payload(spark, SF_SMALL), "id")
     path = f"{scratch}/kw"
     layout.write_keyword_layout(pts, "lang", path)
     back = spark.read.parquet(path)
@@ -25,7 +25,7 @@ def test_keyword_partition_layout_prunes(spark, scratch):
 
 
 def test_range_layout_pushes_filter(spark, scratch):
-    pts = tables.points(spark, SF_SMALL)
+    pts = tables.vectors(spark, SF_SMALL).join(tables.payload(spark, SF_SMALL), "id")
     path = f"{scratch}/rng"
     layout.write_range_layout(pts, "n_chars", path, partitions=4)
     back = spark.read.parquet(path)
@@ -55,12 +55,3 @@ def test_dataset_report(spark):
     rep = tables.dataset_report(emb, "vec_id")
     assert rep["rows"] == 500 and rep["columns"] == ["vec_id", "embedding", "label"]
     assert rep["first"]["vec_id"] == 0 and len(rep["first"]["embedding"]) == 64
-
-
-def test_spread_small_only_for_few_splits(spark, scratch):
-    one = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
-    assert tables.spread_small(one).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    many_path = f"{scratch}/many"
-    spark.range(0, 1000).repartition(spark.sparkContext.defaultParallelism * 2).write.parquet(many_path)
-    many = spark.read.parquet(many_path)
-    assert tables.spread_small(many) is many          # already split: left untouched, no shuffle

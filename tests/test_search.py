@@ -151,7 +151,7 @@ def test_score_split_both_plans_equal(spark, items, monkeypatch):
     cond = flt.match_value("category", "gadgets")
     a = _rows(search.top_k(search.score_split(vec, pay, QUERY, where=cond, keep=("category",)), 3,
                            keep=("category",)))
-    monkeypatch.setattr(search, "MAX_BROADCAST_CANDIDATES", 0)
+    monkeypatch.setattr(search, "MAX_BROADCAST_BYTES", 0)
     b = _rows(search.top_k(search.score_split(vec, pay, QUERY, where=cond, keep=("category",)), 3,
                            keep=("category",)))
     assert a == b == brute.ranking(_pts(), QUERY, 3, where=lambda p: p["category"] == "gadgets")
@@ -244,3 +244,30 @@ def test_grouped_arrow_engine(items):
     a = search.knn_grouped(items, QUERY, group_by="category", limit=2, group_size=2).collect()
     b = search.knn_grouped(items, QUERY, group_by="category", limit=2, group_size=2, engine="arrow").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and a
+
+
+def test_payload_is_optional_and_fetched_for_hits_only(spark, items):
+    """Every vector is searched; a hit without payload keeps NULLs."""
+    pay = items.where("id <> 2").select("id", "category")
+    got = {r.id: r.category for r in search.top_k(search.score_split(items.select("id", "vector"), pay, QUERY),
+                                                  100, payload=pay).collect()}
+    assert set(got) == {r.id for r in items.collect()} and got[2] is None
+    kept = search.score_split(items.select("id", "vector"), pay, QUERY, keep=("category",)).collect()
+    assert len(kept) == items.count()
+
+
+def test_knn_join_ties_follow_the_rounded_score(spark):
+    """0.4731885 and 0.473189 round to one score, so the smaller id wins, as in a single search."""
+    rows = [(1, [0.4731885, 0.0]), (2, [0.473189, 0.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    q = spark.createDataFrame([(7, [1.0, 0.0])], "qid long, vector array<double>")
+    one = search.knn(df, [1.0, 0.0], metric="dot", k=1).collect()[0]
+    for block in (1, 100):
+        got = knn_join(df, q.union(q.selectExpr("qid + 1", "vector")), k=1, metric="dot", block_rows=block,
+                       point_block_rows=1).collect()
+        assert [(r.id, r.score) for r in got] == [(one.id, one.score)] * 2
+
+
+def test_results_json_keeps_null_fields(spark):
+    hits = spark.createDataFrame([(1, 5, 0.5, None)], "rank long, id long, score double, lang string")
+    assert search.results_as_json(hits, ["lang"]).collect()[0].json == '{"id":5,"score":0.5,"payload":{"lang":null}}'

@@ -76,7 +76,7 @@ def test_lsh_params_checked():
 
 @pytest.fixture(scope="module")
 def pts(spark):
-    return tables.points(spark, SF_SMALL).cache()
+    return tables.vectors(spark, SF_SMALL).join(tables.payload(spark, SF_SMALL), "id").cache()
 
 
 def test_query_signature_matches_spark(spark, pts):
@@ -111,13 +111,26 @@ def test_filter_restricts_candidates(spark, pts):
     assert got and all(r.lang == "en" for r in got)
 
 
-def test_switch_picks_exact_below_threshold(spark, pts):
-    params = ann.LshParams()
+def test_mode_is_the_callers(spark, pts):
+    params = ann.LshParams(bits=8, tables=2, radius=0)
+    vec, pay = tables.vectors(spark, SF_SMALL), tables.payload(spark, SF_SMALL)
     q = [float(x) for x in pts.where(F.col("id") == 1).collect()[0].vector]
-    _, mode = ann.search_auto(pts, ann.signatures(pts, params, 64), q, params, threshold=10_000)
-    assert mode == "exact"
-    _, mode = ann.search_auto(pts, ann.signatures(pts, params, 64), q, params, threshold=1)
-    assert mode == "ann"
+    exact = ann.search_by_mode(vec, pay, None, q, params, mode="exact", k=5).collect()
+    assert [r.id for r in exact] == [r.id for r in search.knn(vec, q, k=5).collect()]
+    with pytest.raises(ValueError):
+        ann.search_by_mode(vec, pay, None, q, params, mode="auto")
+
+
+def test_radius_widens_to_k(spark, pts):
+    params = ann.LshParams(bits=12, tables=1, radius=0)
+    vec, pay = tables.vectors(spark, SF_SMALL), tables.payload(spark, SF_SMALL)
+    q = [float(x) for x in pts.where(F.col("id") == 1).collect()[0].vector]
+    sigs = ann.signatures(vec, params, 64)
+    got = ann.ann_search_split(vec, pay, sigs, q, params, k=20).collect()
+    assert len(got) == 20 and got[0].radius > 0
+    cond = flt.match_value("lang", "fr")
+    some = ann.ann_search_split(vec, pay, sigs, q, params, k=10_000, where=cond, keep=("lang",)).collect()
+    assert len(some) == vec.join(pay.where(cond), "id", "left_semi").count() and some[0].radius == 12
 
 
 def test_postings_equal_text_match(spark):
@@ -154,17 +167,12 @@ def test_probe_fallback_equals_broadcast_probes(spark, pts, monkeypatch):
 
 def test_split_ann_equals_joined(spark, pts):
     params = ann.LshParams(bits=6, tables=3, radius=2)
-    vec = tables.read_table(spark, SF_SMALL, "embeddings").select(F.col("vec_id").alias("id"),
-                                                                  F.col("embedding").alias("vector"))
-    pay = tables.read_table(spark, SF_SMALL, "documents").select(F.col("doc_id").alias("id"), "lang")
+    vec, pay = tables.vectors(spark, SF_SMALL), tables.payload(spark, SF_SMALL, "lang")
     q = [float(x) for x in pts.where(F.col("id") == 4).collect()[0].vector]
     cond = flt.match_value("lang", "en")
     a = ann.ann_search(pts, ann.signatures(pts, params, 64), q, params, k=10, where=cond, keep=("lang",))
     b = ann.ann_search_split(vec, pay, ann.signatures(vec, params, 64), q, params, k=10, where=cond, keep=("lang",))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    c, mode = ann.search_auto_split(vec, pay, ann.signatures(vec, params, 64), q, params, k=10, where=cond,
-                                    keep=("lang",), threshold=1)
-    assert mode == "ann" and sorted(map(tuple, c.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_written_signatures_search_equals_in_memory(spark, pts, scratch):
