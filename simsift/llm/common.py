@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -80,12 +82,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps now.
 
     The cleaner acts when the driver's garbage is collected, which otherwise
-    happens every ``spark.cleaner.periodicGC.interval``.
+    happens every ``spark.cleaner.periodicGC.interval``. The last query's plan is
+    let go a moment after it ends, hence the second call.
     """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 BROADCAST_BYTES = 64 << 20

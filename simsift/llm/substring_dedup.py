@@ -4,9 +4,10 @@ A byte is removed when it lies in a string of ``LENGTH`` bytes that also starts
 in a document with a smaller id. The work goes in three steps.
 
 1. *Anchors.* In every window of ``LENGTH`` bytes the gram of ``GRAM`` bytes with
-   the smallest hash is its anchor; equal windows have equal anchors. Anchors
-   that occur in one document only cannot belong to a repeat; this takes one
-   narrow shuffle, sorted so that a hot anchor streams through.
+   the smallest hash is its anchor; equal windows have equal anchors, and agree
+   on 15 bytes on one side of them at least. Anchors that no other document
+   shares in this way cannot belong to a repeat; this takes one narrow shuffle,
+   sorted so that a hot anchor streams through.
 2. *Merged transforms.* The byte runs around the shared anchors (80 bytes at
    most) are grouped by anchor. A task cuts them into shards, sorts the
    suffixes of each shard, and merges the shard transforms by refining one
@@ -50,6 +51,8 @@ BLOCK = 60_000                  # suffixes merged at a time (fits 16-bit symbols
 GROUP_ROWS = 1 << 20            # a larger group goes the exact way for hot groups
 SYMBOL = 8
 NO_ID = -(1 << 63)              # NULL ids
+PLACE = 24                      # bits for positions while anchors are looked up
+HOLD = 1 << 18                  # rows of one anchor that are held
 
 
 # --- anchors -----------------------------------------------------------------
@@ -79,91 +82,133 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor value: (row, first window, windows, value), and all gram hashes.
+    """Runs of windows with one anchor: (row, first window, windows, anchor position, anchor hash).
 
-    Positions are absolute in ``raw``; a run has ``SPAN`` windows at most.
+    Positions are absolute in ``raw``; a run has ``SPAN`` windows at most. Of
+    equal smallest hashes (compared on their upper 40 bits) the leftmost gram
+    is the anchor.
     """
-    hashes = gram_hashes(raw)
-    empty = np.zeros(0, np.int64)
-    if len(raw) < LENGTH:
-        return empty, empty, empty, empty.astype(np.uint64), hashes
-    low = sliding_min(hashes, SPAN)
-    counts = np.maximum(0, np.diff(off) - LENGTH + 1)
-    row = np.repeat(np.arange(len(counts)), counts)
-    first = np.cumsum(counts) - counts
-    start = np.arange(len(row)) - first[row] + off[:-1][row]
-    if not len(row):
-        return empty, empty, empty, empty.astype(np.uint64), hashes
-    value = low[start]
-    new = np.ones(len(row), bool)
-    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-    head = np.flatnonzero(new)
-    size = np.diff(np.append(head, len(row)))
-    parts = -(-size // SPAN)
-    at = np.repeat(np.arange(len(head)), parts)
-    nth = np.arange(len(at)) - (np.cumsum(parts) - parts)[at]
-    begin = head[at] + nth * SPAN
-    return row[begin], start[begin], np.minimum(SPAN, size[at] - nth * SPAN), value[begin], hashes
+    parts = []
+    for c in range(0, max(len(raw) - LENGTH + 1, 0), 1 << (PLACE - 1)):
+        piece = raw[c:c + (1 << (PLACE - 1)) + LENGTH - 1]
+        hashes = gram_hashes(piece)
+        low = (1 << PLACE) - 1
+        packed = (hashes & np.uint64(~low & 0xFFFFFFFFFFFFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
+        place = (sliding_min(packed, SPAN) & np.uint64(low)).astype(np.int64)
+        start = np.arange(len(place)) + c
+        row = np.repeat(np.arange(len(off) - 1), np.diff(np.clip(off, c, c + len(start))))
+        inside = start + LENGTH <= off[1:][row]
+        row, start, place = row[inside], start[inside], place[inside]
+        if not len(row):
+            continue
+        head = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (row[1:] != row[:-1])))
+        parts.append((row[head], start[head], np.diff(np.append(head, len(row))), place[head] + c, hashes[place[head]]))
+    if not parts:
+        empty = np.zeros(0, np.int64)
+        return empty, empty, empty, empty, empty.astype(np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def side_marks(raw: np.ndarray, off: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """16-bit hashes of the ``HALF`` bytes before (upper) and after (lower) each anchor; 0 where the text ends."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+
+    def mark(at, ok):
+        at = np.where(ok, at, 0)
+        x = words[at] * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        x += words[np.minimum(at + HALF - 8, len(raw))]
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return np.where(ok, (x >> np.uint64(48)) | np.uint64(1), np.uint64(0)).astype(np.int64)
+
+    left = mark(place - HALF, place - HALF >= off[:-1][row])
+    right = mark(place + GRAM, place + GRAM + HALF <= off[1:][row])
+    return (left << 16 | right).astype(np.uint32).view(np.int32)
 
 
 def anchors(df: DataFrame) -> DataFrame:
-    """(h, id): the anchors of every text, once per document."""
+    """(h, id, sides): the anchors of every text with the marks of their surroundings."""
     def run(batches):
         for b in batches:
             raw, off = utf8(b.column(1))
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, hi in slices(off, 1 << 18):
                 o = off[lo:hi + 1]
-                row, _, _, value, _ = runs(raw[o[0]:o[-1]], o - o[0])
-                order = np.lexsort((value, row)) if len(row) else row
-                r, v = row[order], value[order]
-                keep = np.ones(len(r), bool)
-                keep[1:] = (r[1:] != r[:-1]) | (v[1:] != v[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(v[keep].view(np.int64)), pa.array(ids[lo + r[keep]], pa.int64())],
-                                                 ["h", "id"])
-
-    return df.select("id", "t").mapInArrow(run, "h bigint, id bigint")
-
-
-def shared_anchors(found: DataFrame) -> DataFrame:
-    """(id, h) of the anchors that occur under at least two ids.
-
-    Rows arrive sorted by anchor; only the first id of the current anchor is held.
+                part, o = raw[o[0]:o[-1]], o - o[0]
+                row, _, _, place, value = runs(part, o)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(value.view(np.int64)), pa.array(ids[lo + row], pa.int64()),
+                     pa.array(side_marks(part, o, row, place))], ["h", "id", "sides"])
+
+    return df.select("id", "t").mapInArrow(run, "h bigint, id bigint, sides int")
+
+
+def met_twice(h: np.ndarray, d: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Rows, sorted by ``h``, that share the anchor and one of its sides with another id."""
+    found = np.zeros(len(h), bool)
+    new = np.append(True, h[1:] != h[:-1])
+    size = np.diff(np.append(np.flatnonzero(new), len(h)))
+    several = np.flatnonzero(np.repeat(size > 1, size))
+    if not len(several):
+        return found
+    group = np.cumsum(new)[several].astype(np.int64)
+    s, d = sides[several].view(np.uint32).astype(np.int64), d[several]
+    for side in (s >> 16, s & 0xFFFF):
+        keep = np.flatnonzero(side > 0)
+        if not len(keep):
+            continue
+        key = group[keep] << 16 | side[keep]
+        order = np.argsort(key, kind="stable")
+        k, ids = key[order], d[keep][order]
+        head = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        many = np.minimum.reduceat(ids, head) != np.maximum.reduceat(ids, head)
+        found[several[keep[order[np.repeat(many, np.diff(np.append(head, len(k))))]]]] = True
+    return found
+
+
+def shared_anchors(found: DataFrame, hold: int = HOLD) -> DataFrame:
+    """(id, h) of the anchors that may belong to a repeat.
+
+    Two equal windows agree on their anchor and on ``HALF`` bytes on one side of
+    it. Rows arrive sorted by anchor, and the current anchor's rows are held; an
+    anchor with more than ``hold`` rows passes without the test of its sides.
     """
     def run(batches):
-        last_h, last_id, several = None, None, False
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        passing = None
+
+        def pack(ids, hs):
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64())], ["id", "h"])
+
         for b in batches:
-            h, d = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if not len(h):
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if not len(cols[0]):
                 continue
-            new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
-            head = np.flatnonzero(new)
-            low, high = np.minimum.reduceat(d, head), np.maximum.reduceat(d, head)
-            many = low != high
-            out_h, out_d = [], []
-            if last_h is not None and h[0] == last_h:
-                if several or low[0] != last_id or high[0] != last_id:
-                    many[0] = True
-                    if not several:
-                        out_h.append(np.array([last_h], np.int64))
-                        out_d.append(np.array([last_id], np.int64))
-            last_h, last_id, several = int(h[-1]), int(low[-1]), bool(many[-1])
-            keep = np.repeat(many, np.diff(np.append(head, len(h))))
-            out_h.append(h[keep])
-            out_d.append(d[keep])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_d), pa.int64()),
-                                              pa.array(np.concatenate(out_h), pa.int64())], ["id", "h"])
+            if passing is not None:
+                n = int(np.searchsorted(cols[0], passing, side="right"))
+                yield pack(cols[1][:n], cols[0][:n])
+                cols = [c[n:] for c in cols]
+                if not len(cols[0]):
+                    continue
+                passing = None
+            h, d, s = (np.concatenate([a, c]) for a, c in zip(held, cols))
+            last = int(np.searchsorted(h, h[-1], side="left"))
+            hit = met_twice(h[:last], d[:last], s[:last])
+            yield pack(d[:last][hit], h[:last][hit])
+            held = [h[last:], d[last:], s[last:]]
+            if len(held[0]) > hold:
+                passing = int(h[-1])
+                yield pack(held[1], held[0])
+                held = [x[:0] for x in held]
+        hit = met_twice(*held)
+        yield pack(held[1][hit], held[0][hit])
 
     return found.repartition("h").sortWithinPartitions("h").mapInArrow(run, "id bigint, h bigint")
 
 
 def shared_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """(h, seg, id, th, start, anchor): the byte runs around shared anchors.
-
-    ``anchor`` is the offset of the anchor gram in the run, -1 where the gram
-    occurs more than once.
-    """
+    """(h, seg, id, th, start, anchor): the byte runs around shared anchors; ``anchor`` is its offset in the run."""
     def run(batches):
         for b in batches:
             raw, off = utf8(b.column(2))
@@ -173,18 +218,14 @@ def shared_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
             ids, th = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, hi in slices(off, 1 << 18):
                 o = off[lo:hi + 1]
-                part = raw[o[0]:o[-1]]
-                row, start, n, value, hashes = runs(part, o - o[0])
-                wanted = np.repeat(np.arange(hi - lo, dtype=np.uint64), np.diff(hit_off[lo:hi + 1])) * np.uint64(0xD6E8FEB86659FD93)
-                known = np.isin(value ^ (row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)),
-                                hit_val[hit_off[lo]:hit_off[hi]] ^ wanted)
-                row, start, n, value = row[known], start[known], n[known], value[known]
+                part, o = raw[o[0]:o[-1]], o - o[0]
+                row, start, n, place, value = runs(part, o)
+                mix = np.uint64(0xD6E8FEB86659FD93)
+                wanted = np.repeat(np.arange(hi - lo, dtype=np.uint64), np.diff(hit_off[lo:hi + 1])) * mix
+                known = np.isin(value ^ (row.astype(np.uint64) * mix), hit_val[hit_off[lo]:hit_off[hi]] ^ wanted)
+                row, start, n, place, value = row[known], start[known], n[known], place[known], value[known]
                 if not len(row):
                     continue
-                reach = np.arange(2 * SPAN - 1)
-                at = start[:, None] + reach
-                same = (hashes[np.minimum(at, len(hashes) - 1)] == value[:, None]) & (reach < (n + SPAN - 1)[:, None])
-                anchor = np.where(same.sum(axis=1) == 1, same.argmax(axis=1), -1)
                 size = n + LENGTH - 1
                 ends = np.cumsum(size)
                 take = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
@@ -192,8 +233,8 @@ def shared_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
                     np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(part[take].tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value.view(np.int64)), seg, pa.array(ids[lo + row], pa.int64()),
-                     pa.array(th[lo + row], pa.int64()), pa.array((start - (o - o[0])[row]).astype(np.int32)),
-                     pa.array(anchor.astype(np.int32))], ["h", "seg", "id", "th", "start", "anchor"])
+                     pa.array(th[lo + row], pa.int64()), pa.array((start - o[row]).astype(np.int32)),
+                     pa.array((place - start).astype(np.int32))], ["h", "seg", "id", "th", "start", "anchor"])
 
     sets = hits.groupBy("id").agg(F.collect_set("h").alias("hs"))
     return docs.join(sets, "id").select("id", "th", "t", "hs").mapInArrow(
