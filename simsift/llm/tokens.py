@@ -20,7 +20,11 @@ ids come first; an empty table gives empty files; further columns are ignored.
 
 from __future__ import annotations
 
+import re
+import sys
+import types
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +37,11 @@ from simsift.llm.common import fresh_path, slices, utf8
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
 BATCH_BYTES = 1 << 20
-CACHE_WORDS = 400_000           # words whose ids a task remembers before it starts afresh
+CACHE_WORDS = 500_000           # words whose ids a worker remembers before it starts afresh
+LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"       # of Latin-1, lower case
+#: How the vocabulary splits a text.
+UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
+
 
 ENCODED = "doc_id bigint, ids binary, n bigint, h bigint"
 BLOCKS = ("block bigint, before bigint, first_doc bigint, n_docs bigint, n_tokens bigint, doc_ids binary, known binary, "
@@ -41,62 +49,122 @@ BLOCKS = ("block bigint, before bigint, first_doc bigint, n_docs bigint, n_token
 DECODED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-class WordEncoder:
-    """Ids of whole texts, remembering the ids of blank-separated words.
+def byte_symbols() -> list[str]:
+    """The printable character by which byte-level vocabularies write each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
+
+
+def latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class WordEncoder(dict):
+    """Ids (as bytes) of blank-separated parts of a text, remembered as they come up.
 
     The vocabulary drops white space and no token crosses it, so the ids of a
-    text are the ids of its parts between ASCII spaces and line feeds in a row;
-    a part is encoded by the tokenizers library when it is first seen.
+    text are the ids of its parts between ASCII spaces and line feeds in a row.
+    A printable lower-case Latin-1 part is split here as the vocabulary splits
+    it, and its units go to the library's model directly; any other part goes
+    through the library's whole chain. Lower-casing beforehand is the chain's
+    own folding for Latin-1 texts, and is left to it otherwise.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.cache: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.symbols = byte_symbols()
+        self.code = "H" if dtype == "<u2" else "I"      # native order: little endian on the supported machines
+        self.room = CACHE_WORDS
+
+    def pack(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def unit(self, part: str) -> bytes:
+        if not part.isascii():
+            part = "".join([self.symbols[b] for b in part.encode()])
+        return self.pack([t.id for t in self.model.tokenize(part)])
+
+    def __missing__(self, part: str) -> bytes:
+        if part.isprintable() and latin_1(part) and part == part.lower() and "<|" not in part:
+            units = UNITS.findall(part)
+            found = self.unit(part) if units == [part] else b"".join([self[u] for u in units])
+        else:
+            found = self.pack(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        if self.room:
+            self.room -= 1
+            self[part] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        if latin_1(text):
+            text = text.lower()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def tidy(self) -> None:
+        """Start afresh once the memory is full."""
+        if not self.room:
+            self.clear()
+            self.room = CACHE_WORDS
+
+
+def process_encoder(spec: str, dtype: str) -> WordEncoder:
+    """The encoder of this Python worker, which Spark reuses for later tasks.
+
+    It hangs on a module of its own, as functions of this package reach a worker by value.
+    """
+    memo = sys.modules.setdefault("simsift_worker_memo", types.ModuleType("simsift_worker_memo"))
+    key = (zlib.crc32(spec.encode()), dtype)
+    if getattr(memo, "key", None) != key:
+        memo.key, memo.encoder = key, WordEncoder(spec, dtype)
+    return memo.encoder
+
+
+def id_type(spec: str) -> str:
+    """Two bytes per stored id where the vocabulary allows it, else four."""
+    from tokenizers import Tokenizer
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in cache})
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([cache[w] for w in words]) for words in split]
+    return "<u2" if Tokenizer.from_str(spec).get_vocab_size() <= 1 << 16 else "<u4"
 
 
 def encode_documents(df: DataFrame, spec: str, text: str = "text", key: str = "doc_id", end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids, n, h): little-endian 32-bit ids of every whole text with the end id, and a text hash."""
+    """(doc_id, ids, n, h): little-endian ids of every whole text with the end id, and a text hash."""
     src = df.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"),
                     F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
     shared = src.sparkSession.sparkContext.broadcast(spec)        # the vocabulary file: a fixed 2 MB
-    tail = np.array([end_id], "<u4").tobytes()
+    dtype = id_type(spec)
+    tail, width = np.array([end_id], dtype).tobytes(), int(dtype[-1])
 
     def run(batches):
-        encoder = WordEncoder(shared.value)
+        encoder = process_encoder(shared.value, dtype)
         for b in batches:
             _, off = utf8(b.column(1))
             for lo, hi in slices(off, BATCH_BYTES):
                 part = b.slice(lo, hi - lo)
-                ids = [x + tail for x in encoder.encode(part.column(1).to_pylist())]
+                ids = [encoder.encode(t) + tail for t in part.column(1).to_pylist()]
+                encoder.tidy()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), part.column(2)],
+                     pa.array([len(x) // width for x in ids], pa.int64()), part.column(2)],
                     ["doc_id", "ids", "n", "h"])
 
     return src.mapInArrow(run, ENCODED)
 
 
-def id_counts(encoded: DataFrame) -> DataFrame:
+def id_counts(encoded: DataFrame, dtype: str) -> DataFrame:
     """(id, n) over the whole corpus; each task sends one count per id of the vocabulary."""
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
             raw, _ = utf8(b.column(0))
-            c = np.bincount(raw.view("<u4"), minlength=len(total)) if len(raw) else np.zeros(0, np.int64)
+            c = np.bincount(raw.view(dtype), minlength=len(total)) if len(raw) else np.zeros(0, np.int64)
             c[:len(total)] += total
             total = c
         at = np.flatnonzero(total)
@@ -151,11 +219,12 @@ def write_token_files(df: DataFrame, spec: str, path: str, text: str = "text", k
                       end_id: int = END_ID, partitions: int | None = None) -> TokenFiles:
     """Encode every text and write the files; ids go out in ascending document order."""
     spark = df.sparkSession
-    raw_path = fresh_path(spark, "token-ids")
+    raw_path, dtype = fresh_path(spark, "token-ids"), id_type(spec)
+    width = int(dtype[-1])
     encode_documents(df, spec, text, key, end_id).write.mode("overwrite").parquet(raw_path)
     encoded = spark.read.parquet(raw_path)
     # the vocabulary bounds this table: 49,408 rows at most
-    counts = id_counts(encoded).toPandas().sort_values(["n", "id"], ascending=[False, True], kind="stable")
+    counts = id_counts(encoded, dtype).toPandas().sort_values(["n", "id"], ascending=[False, True], kind="stable")
     files = TokenFiles(f"{path}/blocks", f"{path}/ranks")
     spark.createDataFrame([(i, int(x), int(n)) for i, (x, n) in enumerate(zip(counts["id"], counts["n"]))],
                           "rank bigint, id bigint, n bigint").coalesce(1).write.mode("overwrite").parquet(files.ranks)
@@ -167,7 +236,7 @@ def write_token_files(df: DataFrame, spec: str, path: str, text: str = "text", k
         ranks, state = shared.value, {"block": 0, "before": 0, "docs": [], "sizes": [], "ids": [], "n": 0}
 
         def flush():
-            ids = np.frombuffer(b"".join(state["ids"]), "<u4")
+            ids = np.frombuffer(b"".join(state["ids"]), dtype)
             control, data = pack(ranks[ids])
             docs = state["docs"]
             row = [state["block"], state["before"], docs[0], len(docs), len(ids),
@@ -182,9 +251,9 @@ def write_token_files(df: DataFrame, spec: str, path: str, text: str = "text", k
             for d, x in zip(b.column(0).to_pylist(), b.column(1)):
                 raw = x.as_py()
                 state["docs"].append(d)
-                state["sizes"].append(len(raw) // 4)
+                state["sizes"].append(len(raw) // width)
                 state["ids"].append(raw)
-                state["n"] += len(raw) // 4
+                state["n"] += len(raw) // width
                 if state["n"] >= BLOCK_TOKENS:
                     yield flush()
         if state["docs"]:
