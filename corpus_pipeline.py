@@ -13,14 +13,12 @@ from simsift.llm import decontaminate, jaccard_join, mixing, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.queries import vocabulary
 
-FLAG = "__rejected"
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     learn = crc_bucket(F.col("doc_id"), 5) != 0
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), learn)
-    return toxicity.mark(docs, model, FLAG).where(~F.col(FLAG)).drop(FLAG)
+    return toxicity.drop_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +29,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontaminate.mark(docs, items, FLAG).where(~F.col(FLAG)).drop(FLAG)
+    return decontaminate.drop_hits(docs, items)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ and one pass over the documents, so any number of items works.
 Defined results: NULL and empty texts and items match nothing; an item that
 occurs twice is reported under each of its ids; a hit is reported once per
 document row and item, with its smallest distance and the span in the
-normalised text; empty tables give no hits; further columns pass through
-:func:`mark` and are ignored by :func:`find_hits`.
+normalised text; empty tables give no hits; further columns stay in
+:func:`drop_hits` and are ignored by :func:`find_hits`.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from simsift.llm.common import slices, utf8
 
@@ -210,20 +209,19 @@ def find_hits(df: DataFrame, items: DataFrame, text: str = "text", key: str = "d
     return out if out is not None else spark.createDataFrame([], HITS)
 
 
-def mark(df: DataFrame, items: DataFrame, flag: str, text: str = "text", item_text: str = "text",
-         item_key: str = "item_id") -> DataFrame:
-    """``df`` with a boolean column ``flag``: the text holds a test item. Rows are passed through in place."""
+def drop_hits(df: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text",
+              item_key: str = "item_id") -> DataFrame:
+    """The rows of ``df`` that hold no test item, filtered in place with all their columns."""
     at = df.columns.index(text)
-    out = df.withColumn(flag, F.lit(False))
-    schema = T.StructType([*df.schema.fields, T.StructField(flag, T.BooleanType())])
+    out = df
     for block in item_blocks(items, item_text, item_key):
         shared = df.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
             for b in batches:
-                hit = np.array(b.column(b.num_columns - 1).to_pylist(), bool)
-                hit[[r[0] for r in matches(shared, b, at)]] = True
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(hit, pa.bool_())], schema.names)
+                clean = np.ones(b.num_rows, bool)
+                clean[[r[0] for r in matches(shared, b, at)]] = False
+                yield b.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(run, df.schema)
     return out

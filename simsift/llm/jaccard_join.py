@@ -292,13 +292,14 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options)
     classes = jaccard_join(df, text, key, **options)
     gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__k")).distinct()
     gone = cut(gone)
-    kept = df.join(sized_broadcast(gone, 16), F.col(key).cast("bigint").eqNullSafe(F.col("__k")), "left_anti")
-    repeated = cut(df.groupBy(F.col(key).cast("bigint").alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.select(F.struct(*df.columns).alias("__row"), F.col(key).cast("bigint").alias("__key"),
+                     F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__hash"))
+    same = F.col("__key").eqNullSafe(F.col("__k"))
+    kept = rows.join(sized_broadcast(gone, 16), same, "left_anti")
+    repeated = cut(rows.groupBy(F.col("__key").alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
                    .where(F.col("__n") > 1).select("__k"))
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, F.col(key).cast("bigint").eqNullSafe(F.col("__k")), "left_semi")
-    single = kept.join(repeated, F.col(key).cast("bigint").eqNullSafe(F.col("__k")), "left_anti")
-    h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(h))
-    return single.unionByName(again.withColumn("__r", nth).where(F.col("__r") == 1).drop("__r"))
+        return kept.select("__row.*")
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__hash"))
+    again = kept.join(repeated, same, "left_semi").withColumn("__r", nth).where(F.col("__r") == 1).drop("__r")
+    return kept.join(repeated, same, "left_anti").unionByName(again).select("__row.*")

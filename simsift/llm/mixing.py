@@ -163,11 +163,14 @@ def take(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed
     decided, _ = decide(df, weights, cap, seed, text, key, source)
     units = decided.select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("size").alias("__n"),
                            F.col("m").alias("__m"), F.col("k").alias("__k"))
-    met = df.join(sized_broadcast(units, 64), F.col(source).eqNullSafe(F.col("__s"))
-                  & F.col(key).cast("bigint").eqNullSafe(F.col("__d")) & (word_count(F.col(text)) == F.col("__n")))
+    rows = df.select(F.struct(*df.columns).alias("__row"), F.col(source).alias("__source"),
+                     F.col(key).cast("bigint").alias("__key"), word_count(F.col(text)).alias("__size"),
+                     F.xxhash64(F.col(text)).alias("__hash"))
+    met = rows.join(sized_broadcast(units, 64), F.col("__source").eqNullSafe(F.col("__s"))
+                    & F.col("__key").eqNullSafe(F.col("__d")) & (F.col("__size") == F.col("__n")))
     once = met.where(F.col("__m") == 1).withColumn("__c", F.col("__k"))
-    nth = F.row_number().over(Window.partitionBy("__s", "__d", "__n").orderBy(F.xxhash64(F.col(text))))
+    nth = F.row_number().over(Window.partitionBy("__s", "__d", "__n").orderBy("__hash"))
     again = met.where(F.col("__m") > 1).withColumn(
         "__c", F.expr("__k div __m") + (nth <= F.col("__k") % F.col("__m")).cast("bigint"))
     copies = once.unionByName(again).where(F.col("__c") > 0)
-    return copies.withColumn("__r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).select(*df.columns)
+    return copies.withColumn("__r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).select("__row.*")
