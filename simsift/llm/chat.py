@@ -71,7 +71,11 @@ def lines_of(pieces: list[str | None], after_blank: bool) -> list[tuple[int, int
 
 
 def estimate(transitions: dict[tuple[int, int], int], emissions: dict[tuple[int, int], int]) -> dict:
-    """Log probabilities from counts, with add-one smoothing; a turn goes on only in its own role."""
+    """Log probabilities from counts, smoothed; a turn goes on only in its own role.
+
+    Given the state, the marker (with the blank before it), the length class and
+    the question mark are taken as independent, so unseen combinations stay likely.
+    """
     t = np.full((STATES + 1, STATES), 0.0)
     for (a, b), n in transitions.items():
         t[a, b] += n
@@ -80,11 +84,15 @@ def estimate(transitions: dict[tuple[int, int], int], emissions: dict[tuple[int,
         for b in range(1, STATES, 2):
             allowed[a, b] = a < STATES and a // 2 == b // 2
     t = np.where(allowed, t + 1.0, 0.0)
-    e = np.full((STATES, SYMBOLS), 0.05)
+    e = np.zeros((STATES, SYMBOLS))
     for (s, o), n in emissions.items():
         e[s, o] += n
+    parts = e.reshape(STATES, 8, 6, 2)                      # marker and blank, length class, question mark
+    mark, size, asks = (parts.sum(axis=x) + a for x, a in (((2, 3), 0.01), ((1, 3), 1.0), ((1, 2), 1.0)))
+    mark, size, asks = (p / p.sum(axis=1, keepdims=True) for p in (mark, size, asks))
+    joint = mark[:, :, None, None] * size[:, None, :, None] * asks[:, None, None, :]
     with np.errstate(divide="ignore"):
-        return {"t": np.log(t / t.sum(axis=1, keepdims=True)), "e": np.log(e / e.sum(axis=1, keepdims=True))}
+        return {"t": np.log(t / t.sum(axis=1, keepdims=True)), "e": np.log(joint.reshape(STATES, SYMBOLS))}
 
 
 def matrix(model: dict, symbols: list[int], first: bool) -> np.ndarray:
