@@ -14,6 +14,7 @@ from simsift.plans.registry import register, sql_score
 from simsift.plans.search_queries import FILTER_LANG, FILTER_MIN_CHARS, GROUP_LIMIT, GROUP_SIZE, K, QV_SQL, query_vector, \
     split_scores
 from simsift.sources import indexes, tables
+from simsift.sources import records as rec
 
 KEEP = tables.PAYLOAD_COLS
 
@@ -201,3 +202,16 @@ def results_json_nulls(spark, sf_dir):
     pay = tables.payload(spark, sf_dir, "lang", "n_chars").where(F.col("id") % 2 == 0)
     hits = search.top_k(split_scores(spark, sf_dir), K, payload=pay)
     return search.results_as_json(hits, ("lang", "n_chars"))
+
+
+@register("records_file", """
+SELECT d.doc_id AS id, d.source AS name, d.lang AS cuisine,
+       CASE WHEN p.p_partkey IS NULL THEN NULL
+            ELSE list_filter([p.p_name, p.p_type], lambda x: x IS NOT NULL) END AS menu_items,
+       d.n_chars::DOUBLE AS rating, d.text AS description
+FROM documents d LEFT JOIN part p ON p.p_partkey = d.doc_id""")
+def records_file(spark, sf_dir):
+    """SRC-2: nested records written as JSON lines and read back through the checking reader."""
+    path = indexes.stored_path(spark, "records", sf_dir, lambda path: rec.records(spark, sf_dir).write
+                               .mode("overwrite").json(path))
+    return rec.read_records(spark, path)

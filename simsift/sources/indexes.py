@@ -20,10 +20,15 @@ _BUILT: dict[tuple[str, str, str], str] = {}
 
 def stored(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> DataFrame:
     """The index ``name`` over ``source``; ``write(path)`` builds it when this application has not yet."""
+    return spark.read.parquet(stored_path(spark, name, source, write))
+
+
+def stored_path(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
+    """Where :func:`stored` keeps the index; other formats than Parquet are read by the caller."""
     key = (spark.sparkContext.applicationId, name, source)
     if key not in _BUILT:
         digest = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
         path = f"{checkpoint_dir(spark).rstrip('/')}/simsift-index/{name}-{digest}"
         write(path)
         _BUILT[key] = path
-    return spark.read.parquet(_BUILT[key])
+    return _BUILT[key]

@@ -46,7 +46,7 @@ class RecordFileError(ValueError):
 def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """SRC-2: read JSON-lines records; fail clearly if missing, unreadable or misshapen."""
     from py4j.protocol import Py4JJavaError
-    from pyspark.errors import AnalysisException
+    from pyspark.errors import AnalysisException, PySparkException
 
     try:
         df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -55,12 +55,14 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD_S
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
         raise RecordFileError(f"record file {path} lacks required fields {missing}")
-    # One cheap pass that forces parsing (FAILFAST raises on a malformed line)
-    # and checks that required fields are present in every row.
+    # One pass over every field (FAILFAST raises on a malformed line or a field of
+    # another type only where the field is read) that also looks for missing values.
+    lacking = " OR ".join(f"{c} IS NULL" for c in REQUIRED)
     try:
-        bad = df.where(" OR ".join(f"{c} IS NULL" for c in REQUIRED)).limit(1).count()
-    except (Py4JJavaError, Exception) as e:  # noqa: BLE001
+        seen = df.agg(F.count_if(F.expr(lacking)).alias("bad"), F.max(F.xxhash64(*df.columns)).alias("all")).collect()[0]
+    except (Py4JJavaError, PySparkException) as e:
         raise RecordFileError(f"record file {path} is malformed: {str(e)[:300]}") from e
+    bad = seen["bad"]
     if bad:
         raise RecordFileError(f"record file {path} has rows without {list(REQUIRED)}")
     return df

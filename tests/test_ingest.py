@@ -180,6 +180,11 @@ def test_read_records(spark, scratch):
         f.write('{"id": 1, "name": "a"\n')
     with pytest.raises(rec.RecordFileError):
         rec.read_records(spark, bad)
+    typed = os.path.join(scratch, "typed.json")             # a field that is not required, of the wrong type
+    with open(typed, "w") as f:
+        f.write(json.dumps({"id": 1, "name": "a", "cuisine": "c", "description": "x", "rating": "high"}) + "\n")
+    with pytest.raises(rec.RecordFileError):
+        rec.read_records(spark, typed)
 
 
 def test_load_missing_resolves_and_validates(spark, scratch):
