@@ -1,8 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts are compared as lower-cased words with single blanks. A test item is
-covered by probes of 64 characters that start every 32 (a shorter item is one
-probe), so a passage of 96 characters holds a probe wherever it is cut. A probe
+covered by probes of 64 characters that start every 16 (a shorter item is one
+probe), so a passage of 79 characters holds a probe wherever it is cut. A probe
 of ``m`` characters may differ by ``k = 5 % of m`` edits; cut into ``k + 1``
 pieces, at least one piece must occur unchanged (pigeonhole). One automaton
 finds all piece hits of a text, and every hit is verified with Myers'
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from simsift.llm.common import slices, utf8
 
 PROBE = 64                      # characters of a probe: one machine word
-STEP = 32
+STEP = 16                       # the pieces of neighbouring probes coincide
 ERROR_PERCENT = 5
 BLOCK_CHARS = 1 << 19           # normalised test-item characters per pass
 WORDS = re.compile(r"\w+")

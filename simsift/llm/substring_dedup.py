@@ -1,7 +1,8 @@
 """Removal of repeated byte strings with merged Burrows-Wheeler transforms.
 
 A byte is removed when it lies in a string of ``LENGTH`` bytes that also starts
-in a document with a smaller id. The work goes in three steps.
+in a document with a smaller id. Of equal texts only the smallest id goes
+through the three steps below; the others lose everything (when long enough).
 
 1. *Anchors.* In every window of ``LENGTH`` bytes the gram of ``GRAM`` bytes with
    the smallest hash is its anchor; equal windows have equal anchors, and agree
@@ -21,7 +22,8 @@ in a document with a smaller id. The work goes in three steps.
    sorted together.
 3. *Cutting.* The removed ranges are joined to the texts.
 
-Equal runs enter a transform once, with the smallest id that has them. A group
+Equal runs enter a transform once, with the smallest id that has them, and only
+runs that share 15 bytes beside the anchor with another run do. A group
 of runs too large for a task is resolved by grouping its windows themselves
 (pre-aggregated, so it does not meet in one task): the exact way for hot groups.
 
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm.common import fresh_path, release, slices, utf8
+from simsift.llm.common import cut, fresh_path, release, sized_broadcast, slices, utf8
 
 LENGTH = 50
 GRAM = 20
@@ -48,7 +50,8 @@ HALF = (LENGTH - GRAM) // 2     # two equal windows share this much on one side
 SPAN = LENGTH - GRAM + 1        # grams of a window, and windows of a run
 SHARD = 1 << 13                 # suffixes of a shard
 BLOCK = 60_000                  # suffixes merged at a time (fits 16-bit symbols)
-GROUP_ROWS = 1 << 20            # a larger group goes the exact way for hot groups
+GROUP_ROWS = 1 << 19            # a larger group goes the exact way for hot groups
+ROWS = 1 << 16                  # rows whose groups are resolved together
 SYMBOL = 8
 NO_ID = -(1 << 63)              # NULL ids
 PLACE = 24                      # bits for positions while anchors are looked up
@@ -137,9 +140,15 @@ def anchors(df: DataFrame) -> DataFrame:
                 o = off[lo:hi + 1]
                 part, o = raw[o[0]:o[-1]], o - o[0]
                 row, _, _, place, value = runs(part, o)
+                sides = side_marks(part, o, row, place)
+                # repeats inside a text say nothing about other texts
+                order = np.lexsort((sides, value, row))
+                row, value, sides = row[order], value[order], sides[order]
+                keep = np.ones(len(row), bool)
+                keep[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1]) | (sides[1:] != sides[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(ids[lo + row], pa.int64()),
-                     pa.array(side_marks(part, o, row, place))], ["h", "id", "sides"])
+                    [pa.array(value[keep].view(np.int64)), pa.array(ids[lo + row[keep]], pa.int64()),
+                     pa.array(sides[keep])], ["h", "id", "sides"])
 
     return df.select("id", "t").mapInArrow(run, "h bigint, id bigint, sides int")
 
@@ -322,125 +331,138 @@ def merge_transforms(segs: list[bytes], shard: int = SHARD) -> tuple[np.ndarray,
     return seg[merged], offset[merged], block, prefix
 
 
-def first_owner(segs: list[bytes], owners: list[int]) -> list[np.ndarray]:
-    """For every window of every run, the smallest id that has these ``LENGTH`` bytes."""
+def first_owner(segs: list[bytes], owners: np.ndarray) -> np.ndarray:
+    """For every window of every run, run by run, the smallest id that has these ``LENGTH`` bytes."""
     sizes = np.array([len(s) for s in segs])
     seg, offset, block, _ = merge_transforms(segs)
     whole = offset + LENGTH <= sizes[seg]
     seg, offset, block = seg[whole], offset[whole], block[whole]
     head = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    low = np.minimum.reduceat(np.array(owners, np.int64)[seg], head)
-    value = np.repeat(low, np.diff(np.append(head, len(seg))))
-    out = [np.empty(s - LENGTH + 1, np.int64) for s in sizes]
+    low = np.minimum.reduceat(owners[seg], head)
     base = np.concatenate([[0], np.cumsum(sizes - LENGTH + 1)])
     flat = np.empty(base[-1], np.int64)
-    flat[base[seg] + offset] = value
-    return [flat[a:b] for a, b in zip(base, base[1:])] if len(out) else []
-
-
-class Group:
-    """Runs of one anchor: distinct bytes with their smallest id, and who holds them."""
-
-    def __init__(self):
-        self.segs, self.owners, self.anchor, self.holders = [], [], [], []
-
-    def add(self, seg: bytes, anchor: int, ident: int, th: int, start: int) -> None:
-        if not self.segs or self.segs[-1] != seg:           # rows come sorted by bytes, then id
-            self.segs.append(seg)
-            self.owners.append(ident)
-            self.anchor.append(anchor)
-        elif anchor != self.anchor[-1]:
-            self.anchor[-1] = -1
-        self.holders.append((len(self.segs) - 1, ident, th, start))
-
-    def candidates(self) -> list[int]:
-        """Runs that share ``HALF`` bytes beside the anchor with another run."""
-        if len(self.segs) < 2:
-            return []
-        seen: dict[bytes, int] = {}
-        keys = []
-        for s, a in zip(self.segs, self.anchor):
-            both = []
-            if a >= HALF:
-                both.append(b"l" + s[a - HALF:a + GRAM])
-            if a >= 0 and len(s) - a - GRAM >= HALF:
-                both.append(b"r" + s[a:a + GRAM + HALF])
-            keys.append(both)
-            for k in both:
-                seen[k] = seen.get(k, 0) + 1
-        loose = any(a < 0 for a in self.anchor)
-        return [i for i, both in enumerate(keys) if loose or any(seen[k] > 1 for k in both)]
-
-
-def spans(first: np.ndarray | None, owner: int, ident: int, start: int, size: int) -> list[tuple[int, int]]:
-    """Removed byte ranges of one held run."""
-    if first is None:
-        return [(start, start + size)] if owner < ident else []
-    gone = first < ident
-    if not gone.any():
-        return []
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-    return [(start + int(a), start + int(b) - 1 + LENGTH) for a, b in zip(edge[::2], edge[1::2])]
-
-
-def repeats(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    flat[base[seg] + offset] = np.repeat(low, np.diff(np.append(head, len(seg))))
+    return flat
+
+
+def shared_sides(padded: np.ndarray, size: np.ndarray, anchor: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Runs that share the ``HALF`` bytes on one side of the anchor, and the anchor, with another run of their group."""
+    found = np.zeros(len(size), bool)
+    width = HALF + GRAM
+    for first, ok in ((anchor - HALF, anchor >= HALF), (anchor, size - anchor >= width)):
+        at = np.flatnonzero(ok)
+        if not len(at):
+            continue
+        key = np.zeros((len(at), 8 + width), np.uint8)
+        key[:, :8] = group[at].astype(">i8").view(np.uint8).reshape(-1, 8)
+        key[:, 8:] = np.take_along_axis(padded[at], first[at][:, None] + np.arange(width), axis=1)
+        _, which, count = np.unique(key.view(f"V{8 + width}").ravel(), return_inverse=True, return_counts=True)
+        found[at[count[which] > 1]] = True
+    return found
+
+
+def resolve(h: np.ndarray, padded: np.ndarray, size: np.ndarray, ident: np.ndarray, start: np.ndarray,
+            anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Removed ranges (row, start, end) of complete groups; rows are sorted by anchor hash, bytes and id."""
+    n = len(h)
+    new_group = np.append(True, h[1:] != h[:-1])
+    new_seg = new_group.copy()
+    new_seg[1:] |= (size[1:] != size[:-1]) | (padded[1:] != padded[:-1]).any(axis=1)
+    head = np.flatnonzero(new_seg)
+    seg_of = np.cumsum(new_seg) - 1
+    owner = np.minimum.reduceat(ident, head)
+    group = (np.cumsum(new_group) - 1)[head]
+    alone = np.bincount(group)[group] == 1
+    pick = np.zeros(len(head), bool)
+    some = np.flatnonzero(~alone)
+    if len(some):
+        at = head[some]
+        pick[some[shared_sides(padded[at], size[at], anchor[at], group[some])]] = True
+    plain = ~pick[seg_of] & (owner[seg_of] < ident)         # an equal run with a smaller id, and no other link
+    rows = [np.flatnonzero(plain)]
+    begin, end = [start[rows[0]]], [start[rows[0]] + size[rows[0]]]
+    picked = np.flatnonzero(pick)
+    if len(picked):
+        windows = size[head[picked]] - LENGTH + 1
+        first, base, lo = [], np.concatenate([[0], np.cumsum(windows)]), 0
+        bytes_until = np.cumsum(size[head[picked]])
+        while lo < len(picked):                             # blocks of whole groups
+            hi = int(np.searchsorted(bytes_until, (bytes_until[lo - 1] if lo else 0) + BLOCK, side="right"))
+            hi = max(hi, lo + 1)
+            while hi < len(picked) and group[picked[hi]] == group[picked[hi - 1]]:
+                hi += 1
+            part = picked[lo:hi]
+            first.append(first_owner([padded[i, :k].tobytes() for i, k in zip(head[part], size[head[part]])], owner[part]))
+            lo = hi
+        first = np.concatenate(first)
+        number = np.full(len(head), -1)
+        number[picked] = np.arange(len(picked))
+        held = np.flatnonzero(pick[seg_of])
+        count = windows[number[seg_of[held]]]
+        ends = np.cumsum(count)
+        offset = np.arange(ends[-1]) - np.repeat(ends - count, count)
+        gone = first[np.repeat(base[number[seg_of[held]]], count) + offset] < np.repeat(ident[held], count)
+        edge = np.append(True, np.diff(np.repeat(held, count)) != 0)
+        rise = np.flatnonzero(gone & (edge | ~np.append(False, gone[:-1])))
+        fall = np.flatnonzero(gone & (np.append(edge[1:], True) | ~np.append(gone[1:], False)))
+        owner_row = np.repeat(held, count)
+        rows.append(owner_row[rise])
+        begin.append(start[owner_row[rise]] + offset[rise])
+        end.append(start[owner_row[fall]] + offset[fall] + LENGTH)
+    return tuple(np.concatenate(x) for x in (rows, begin, end))
+
+
+def repeats(found: DataFrame, group_rows: int = GROUP_ROWS, rows_at_once: int = ROWS) -> DataFrame:
     """(id, th, start, end, seg): removed ranges; rows with ``seg`` belong to groups left to :func:`hot_repeats`."""
+    names, width = ["id", "th", "start", "end", "seg"], SPAN + LENGTH - 1
+
     def run(batches):
-        out: list[tuple] = []
-        pending: list[tuple[Group, list[int]]] = []
-        waiting, current, group, hot = 0, None, None, False
-
-        def resolve():
-            nonlocal pending, waiting
-            segs = [g.segs[i] for g, pick in pending for i in pick]
-            firsts = first_owner(segs, [g.owners[i] for g, pick in pending for i in pick]) if segs else []
-            at = 0
-            for g, pick in pending:
-                known = {i: firsts[at + j] for j, i in enumerate(pick)}
-                at += len(pick)
-                for i, ident, th, start in g.holders:
-                    for a, b in spans(known.get(i), g.owners[i], ident, start, len(g.segs[i])):
-                        out.append((ident, th, a, b, None))
-            pending, waiting = [], 0
-
-        def close():
-            nonlocal waiting
-            if group is None:
-                return
-            pick = group.candidates()
-            pending.append((group, pick))
-            waiting += sum(len(group.segs[i]) for i in pick)
-
-        def drain():
-            cols = list(zip(*out)) if out else [()] * 5
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            rb = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "th", "start", "end", "seg"])
-            out.clear()
-            return rb
-
-        held = 0
+        def pack(ident, th, begin, end, segs=None):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ident, pa.int64()), pa.array(th, pa.int64()), pa.array(begin, pa.int32()),
+                 pa.array(end, pa.int32()), pa.array(segs if segs is not None else [None] * len(ident), pa.binary())], names)
+
+        def unpack(b):
+            raw, off = utf8(b.column(1))
+            size = np.diff(off)
+            padded = np.zeros((b.num_rows, width), np.uint8)
+            padded[np.arange(width) < size[:, None]] = raw
+            h, ident, th, start, anchor = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4, 5))
+            return [h, padded, size, ident, th, start.astype(np.int64), anchor.astype(np.int64)]
+
+        def emit(cols):
+            h, padded, size, ident, th, start, anchor = cols
+            if len(h):
+                row, begin, end = resolve(h, padded, size, ident, start, anchor)
+                yield pack(ident[row], th[row], begin, end)
+
+        held, passing = None, None
         for b in batches:
-            for h, seg, ident, th, start, anchor in zip(*(b.column(i).to_pylist() for i in range(6))):
-                if h != current:
-                    close()
-                    held += len(group.holders) if group else 0
-                    if waiting >= BLOCK or held >= BLOCK:
-                        resolve()
-                        held = 0
-                    current, group, hot = h, Group(), False
-                if not hot and len(group.holders) >= group_rows:
-                    hot = True
-                    out += [(i, t, s, s + len(group.segs[k]), group.segs[k]) for k, i, t, s in group.holders]
-                    group = Group()
-                if hot:
-                    out.append((ident, th, start, start + len(seg), seg))
-                else:
-                    group.add(seg, anchor, ident, th, start)
-                if len(out) >= 1 << 16:
-                    yield drain()
-        close()
-        resolve()
-        yield drain()
+            if not b.num_rows:
+                continue
+            cols = unpack(b)
+            if passing is not None:
+                n = int(np.searchsorted(cols[0], passing, side="right"))
+                segs = [cols[1][i, :cols[2][i]].tobytes() for i in range(n)]
+                yield pack(cols[3][:n], cols[4][:n], cols[5][:n], cols[5][:n] + cols[2][:n], segs)
+                cols = [c[n:] for c in cols]
+                if not len(cols[0]):
+                    continue
+                passing = None
+            held = cols if held is None else [np.concatenate([a, c]) for a, c in zip(held, cols)]
+            last = int(np.searchsorted(held[0], held[0][-1], side="left"))
+            if last >= rows_at_once:
+                yield from emit([c[:last] for c in held])
+                held = [c[last:] for c in held]
+                last = 0
+            if len(held[0]) - last > group_rows:
+                yield from emit([c[:last] for c in held])
+                h, padded, size, ident, th, start, _ = [c[last:] for c in held]
+                passing = int(h[-1])
+                yield pack(ident, th, start, start + size, [padded[i, :k].tobytes() for i, k in enumerate(size)])
+                held = None
+        if held is not None:
+            yield from emit(held)
 
     ordered = found.repartition("h").sortWithinPartitions("h", "seg", "id")
     return ordered.mapInArrow(run, "id bigint, th bigint, start int, end int, seg binary")
@@ -477,10 +499,17 @@ def dedup_substrings(df: DataFrame, text: str = "text", key: str = "doc_id", gro
     spark = df.sparkSession
     docs = df.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID).cast("bigint")).alias("id"),
                      F.xxhash64(F.col(text)).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    # whole copies: of equal texts only the smallest id goes on, the others lose everything (if long enough)
+    marked = docs.select("id", "th", F.sha2(F.col("t").cast("binary"), 256).alias("digest"))
+    first = marked.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")) \
+        .where(F.col("first") < F.col("last"))
+    copies = cut(marked.join(first, "digest").where(F.col("id") > F.col("first")).select("id", "th").distinct())
+    copies = sized_broadcast(copies, 32)
+    distinct = docs.join(copies, ["id", "th"], "left_anti")
     hits_at, ranges_at = fresh_path(spark, "anchors"), fresh_path(spark, "ranges")
-    shared_anchors(anchors(docs)).write.parquet(hits_at)
+    shared_anchors(anchors(distinct)).write.parquet(hits_at)
     release(spark)                                          # shuffle files of a finished step
-    repeats(shared_runs(docs, spark.read.parquet(hits_at)), group_rows).write.parquet(ranges_at)
+    repeats(shared_runs(distinct, spark.read.parquet(hits_at)), group_rows).write.parquet(ranges_at)
     release(spark)
     found = spark.read.schema("id bigint, th bigint, start int, end int, seg binary").parquet(ranges_at)
     ranges = found.where(F.col("seg").isNull()).drop("seg")
@@ -488,14 +517,17 @@ def dedup_substrings(df: DataFrame, text: str = "text", key: str = "doc_id", gro
         ranges = ranges.unionByName(hot_repeats(found.where(F.col("seg").isNotNull())))
     # as many ranges as a text has windows at most
     per_text = ranges.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    whole = copies.withColumn("copy", F.lit(True))
 
     def cut_texts(batches):
         for b in batches:
             raw, off = utf8(b.column(1))
             rows = []
-            for i, cuts in enumerate(b.column(2).to_pylist()):
+            for i, (cuts, copy) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 body = raw[off[i]:off[i + 1]]
                 gone = joined([(c["start"], c["end"]) for c in cuts]) if cuts else []
+                if copy:
+                    gone = [(0, len(body))] if len(body) >= LENGTH else []
                 digest, kept, at = hashlib.sha256(), [], 0
                 for a, z in [*gone, (len(body), len(body))]:
                     digest.update(body[at:a].tobytes())
@@ -510,6 +542,6 @@ def dedup_substrings(df: DataFrame, text: str = "text", key: str = "doc_id", gro
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_bytes
-    return (docs.join(per_text, ["id", "th"], "left")
-            .select(F.when(F.col("id") != F.lit(NO_ID).cast("bigint"), F.col("id")).alias("doc_id"), "t", "cuts")
+    return (docs.join(whole, ["id", "th"], "left").join(per_text, ["id", "th"], "left")
+            .select(F.when(F.col("id") != F.lit(NO_ID).cast("bigint"), F.col("id")).alias("doc_id"), "t", "cuts", "copy")
             .mapInArrow(cut_texts, schema))

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from simsift.llm.common import slices, utf8
 
-TRAIN_DOCS = (4000, 1500)       # bound of the labelled sample: clean, toxic
+TRAIN_DOCS = (2500, 1200)       # bound of the labelled sample: clean, toxic
 CALIBRATE = 4                   # one sampled text in four sets the cut and is not fitted
-TRAIN_DOC_BYTES = 20_000        # longer texts are scored but not learned from
+TRAIN_DOC_BYTES = 8_000         # longer texts are scored but not learned from
 LANDMARKS = 96                  # per class
 DECAY = 0.75
 SPAN = 6
@@ -208,12 +208,14 @@ def grams(word: bytes) -> list[bytes]:
 
 
 def gram_counts(docs: list[list[bytes]], y: np.ndarray) -> list[dict[bytes, int]]:
-    """In how many clean and toxic texts each gram occurs."""
+    """In how many clean and toxic texts each gram of the toxic texts occurs."""
     out: list[dict[bytes, int]] = [{}, {}]
-    for words, label in zip(docs, y):
+    for label in (1, 0):
         d = out[label]
-        for g in {g for w in words for g in grams(w)}:
-            d[g] = d.get(g, 0) + 1
+        for words in (w for w, c in zip(docs, y) if c == label):
+            for g in {g for w in words for g in grams(w)}:
+                if label or g in out[1]:
+                    d[g] = d.get(g, 0) + 1
     return out
 
 
@@ -261,12 +263,10 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
     keep = vals > 1e-6 * vals.max()
     whiten = vecs[:, keep] / np.sqrt(vals[keep])            # Nyström map
 
-    flat = [w for d in docs for w in d]
-    vocab = sorted(set(flat))
+    vocab = sorted(set(df[0]) | set(df[1]))
     pos_of = {w: i for i, w in enumerate(vocab)}
-    doc_words = [np.array(sorted({pos_of[w] for w in d}), np.int64) for d in docs]
-    suspects = {i: d for i, d in ((i, np.array([j for j in d if vocab[j] in telling], np.int64))
-                                  for i, d in enumerate(doc_words) if y[i] == 1) if len(d)}
+    suspects = {i: np.array(sorted({pos_of[w] for w in d if w in telling}), np.int64)
+                for i, d in enumerate(docs) if y[i] == 1 and any(w in telling for w in d)}
     if not suspects:
         return None
     rank = np.array([telling[w][0] if w in telling else -np.inf for w in vocab])
@@ -277,7 +277,6 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
     rng = np.random.default_rng(11)
     neg = set(sorted(clean_vocab, key=lambda i: -df[0][vocab[i]])[:2000])
     neg |= set(int(i) for i in rng.permutation(clean_vocab)[:4000])
-    vsym, vstarts = frame(vocab)
     beta, bias, f = None, 0.0, None
     for _ in range(rounds):
         pos_words, pos_n = np.unique([*wit.values(), *strong], return_counts=True)
@@ -290,7 +289,7 @@ def train(docs: list[list[bytes]], y: np.ndarray, rounds: int = ROUNDS) -> dict
         beta = np.zeros(SYMBOLS ** 3, np.float32)
         beta[used] = table @ (whiten @ w[:-1])
         bias = float(w[-1])
-        f = word_sums(vsym, vstarts, beta) + bias
+        f = np.concatenate([word_sums(*frame(vocab[a:a + 20_000]), beta) for a in range(0, len(vocab), 20_000)]) + bias
         wit = {i: int(d[f[d].argmax()]) for i, d in suspects.items()}
         worst = np.array(clean_vocab)[np.argsort(-f[clean_vocab])[:3000]]
         neg |= set(int(i) for i in worst)
