@@ -8,9 +8,9 @@ in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simsift.functions.text import point_id
@@ -24,10 +24,13 @@ def vector_of(strategy: str) -> str:
 
 
 def chunk_points(df: DataFrame, text: str, *, key: str = "id", keep: Sequence[str] = (), size=chunking.MAX_TOKENS,
-                 dim: int = embed.EMBED_DIM, percentile: float = chunking.SEMANTIC_PERCENTILE) -> DataFrame:
+                 dim: int = embed.EMBED_DIM, percentile: float = chunking.SEMANTIC_PERCENTILE,
+                 dress: Callable[[Column], Column] | None = None) -> DataFrame:
     """``(id, key, chunking, chunk_index, chunk, *keep, vec_fixed, vec_sentence, vec_semantic)``.
 
-    Narrow from the document scan to the points: nothing is shuffled.
+    Narrow from the document scan to the points: nothing is shuffled. ``dress``
+    adds to a chunk what goes with it (a menu, say) before it is embedded; it may
+    use the ``keep`` columns.
     """
     cols = (key, *keep)
     narrow = chunking.tagged_chunks(df, {chunking.FIXED: chunking.fixed_chunk_array(text, size),
@@ -35,6 +38,8 @@ def chunk_points(df: DataFrame, text: str, *, key: str = "id", keep: Sequence[st
     semantic = chunking.semantic_chunks(df, text, key=key, percentile=percentile, dim=dim, keep=tuple(keep)) \
         .withColumn("chunking", F.lit(chunking.SEMANTIC))
     points = narrow.unionByName(semantic)
+    if dress is not None:
+        points = points.withColumn("chunk", dress(F.col("chunk")))
     points = points.withColumn("_pid", point_id(F.col(key), F.col("chunking"), F.col("chunk_index")))
     points = embed.embed(points, "chunk", [key, "chunking", "chunk_index"], dim=dim, out="_v")
     vectors = [F.when(F.col("chunking") == s, F.col("_v")).alias(vector_of(s)) for s in STRATEGIES]

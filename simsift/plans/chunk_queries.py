@@ -162,7 +162,7 @@ def chunk_budgeted_df(spark, sf_dir):
                     tx.prepend_menu("chunk", "menu_text").alias("chunk"))
 
 
-def _budgeted_sql() -> str:
+def budgeted_sql() -> str:
     menu = ("CASE WHEN len(coalesce(menu_items, []::VARCHAR[])) > 0 THEN "
             f"'{tx.MENU_PREFIX}' || array_to_string(menu_items, '{tx.MENU_SEP}') || '{tx.MENU_END}' ELSE '' END")
     key = "id::VARCHAR || '|' || chunking || '|' || chunk_index::VARCHAR"
@@ -188,7 +188,7 @@ SELECT u.id, u.chunking, u.chunk_index, {_uuid5_sql(key)} AS point_id,
 FROM u JOIN rb USING (id)"""
 
 
-@register("chunk_budgeted", _budgeted_sql())
+@register("chunk_budgeted", budgeted_sql())
 def chunk_budgeted(spark, sf_dir):
     """CHK-7: records chunked with the menu-adjusted budget; every chunk carries the menu."""
     return chunk_budgeted_df(spark, sf_dir)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from simsift.functions import filters as flt
+from simsift.functions import text as tx
 from simsift.operators import chunk_points as cp
 from simsift.operators import chunking, embed, layout, search
-from simsift.plans.chunk_queries import EMBED_DIM, sql_semantic_chunks, sql_sentence_chunks
+from simsift.plans.chunk_queries import EMBED_DIM, budgeted_sql, sql_semantic_chunks, sql_sentence_chunks
 from simsift.plans.feature_queries import FIXED_SQL, _uuid5_sql
 from simsift.plans.index_queries import TEXT_K, TEXT_QUERY, sql_dense, sql_terms
 from simsift.plans.registry import register, sql_score
@@ -55,6 +56,29 @@ def chunk_points(spark, sf_dir):
     return built_points(spark, sf_dir)
 
 
+_B_KEYS = "id, chunking, chunk_index"
+
+
+@register("chunk_points_budgeted", f"""
+WITH b AS ({budgeted_sql()}),
+ev AS ({sql_dense(sql_terms("b", _B_KEYS, "chunk"), _B_KEYS)}),
+v AS (SELECT b.*, coalesce(ev.vector, list_transform(range({EMBED_DIM}), lambda x: 0::FLOAT)) AS v
+      FROM b LEFT JOIN ev USING (id, chunking, chunk_index))
+SELECT point_id AS id, v.id AS record_id, chunking, chunk_index, chunk, d.source AS name, d.lang AS cuisine,
+       d.n_chars::DOUBLE AS rating,
+       CASE WHEN chunking = '{chunking.FIXED}' THEN v END AS vec_fixed,
+       CASE WHEN chunking = '{chunking.SENTENCE}' THEN v END AS vec_sentence,
+       CASE WHEN chunking = '{chunking.SEMANTIC}' THEN v END AS vec_semantic
+FROM v JOIN documents d ON d.doc_id = v.id""")
+def chunk_points_budgeted(spark, sf_dir):
+    """CHK-7 + EMB-1: records chunked within the budget their menu leaves; menu and chunk are embedded together."""
+    r = (rec.records(spark, sf_dir).withColumn("menu_text", tx.menu_highlights("menu_items"))
+            .withColumn("budget", tx.chunk_budget("menu_text")).withColumnRenamed("id", "record_id"))
+    pts = cp.chunk_points(r, "description", key="record_id", keep=("menu_text", "name", "cuisine", "rating"),
+                          size=F.col("budget"), dim=EMBED_DIM, dress=lambda c: tx.prepend_menu(c, "menu_text"))
+    return pts.drop("menu_text")
+
+
 @register("chunk_search_strategies", f"""
 WITH {POINTS_SQL},
 s AS (SELECT chunking AS strategy, id, {sql_score("v", _Q)} AS score FROM cpts),

@@ -271,3 +271,20 @@ def test_knn_join_ties_follow_the_rounded_score(spark):
 def test_results_json_keeps_null_fields(spark):
     hits = spark.createDataFrame([(1, 5, 0.5, None)], "rank long, id long, score double, lang string")
     assert search.results_as_json(hits, ["lang"]).collect()[0].json == '{"id":5,"score":0.5,"payload":{"lang":null}}'
+
+
+def test_worker_functions_do_not_need_the_package():
+    """What runs on executors loads where this package is not on the path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from simsift.operators import chunking, knn_join as kj
+
+    for fn in (kj._functions(3, "cosine")[1], chunking._semantic_pass(0.95, 64)):
+        code = ("import pickle, sys; from pyspark import cloudpickle; "
+                f"f = pickle.loads(bytes.fromhex('{cloudpickle.dumps(fn).hex()}')); "
+                "assert not any(m.startswith('simsift') for m in sys.modules); print('loaded')")
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", env={"PATH": ""})
+        assert out.stdout.strip() == "loaded", out.stderr
