@@ -100,3 +100,9 @@ def sized_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES)
     The join's result is the same either way. ``df`` should be cheap to count.
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm.common import fresh_path, slices, utf8
+from simsift.llm.common import drop_path, fresh_path, slices, utf8
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
@@ -263,6 +263,7 @@ def write_token_files(df: DataFrame, spec: str, path: str, text: str = "text", k
     ordered = encoded.repartitionByRange(*count, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "ids")
     placed = ordered.mapInArrow(blocks, BLOCKS).select(F.spark_partition_id().cast("bigint").alias("part"), "*")
     placed.write.mode("overwrite").parquet(files.blocks)
+    drop_path(spark, raw_path)
     return files
 
 
