@@ -39,7 +39,8 @@ TREES = 16
 DEPTH = 8                       # full length of a label
 RECALL = 0.999                  # of pairs at the threshold
 BLOCK_SHINGLES = 1_000_000      # of one block of a large trie node
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+ROWS = 256                      # of a batch that are Python objects at a time
 NO_ID = -(1 << 63)
 
 
@@ -193,7 +194,7 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
         side_b = side_a if i == j else [r for r in order if r[0] == 1]
         if not side_a or not side_b:
             return []
-        keys_a, keys_b = (np.array([r[3] for r in s], np.int64) for s in (side_a, side_b))
+        keys_a, keys_b = (np.stack([r[3] for r in s]) for s in (side_a, side_b))
         pairs = linked([r[4] for r in side_a], [r[4] for r in side_b], keys_a, keys_b, tree, i == j, similarity)
         shift = 0 if i == j else len(side_a)
         both = side_a if i == j else side_a + side_b
@@ -219,18 +220,20 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
 
         for b in batches:
             out = []
-            for node, tree, i, j, side, ident, copies, set_key, nodes, text in zip(
-                    *(b.column(k).to_pylist() for k in range(10))):
-                if cell is None or cell["key"] != (node, i, j):
-                    if cell is not None:
-                        out += solve(cell)
-                    cell = {"key": (node, i, j), "tree": tree, "i": i, "j": j, "rows": [], "seen": set()}
-                s = shingle_set(text, hashes)
-                # a repeated id may carry another text: only the member's own set counts
-                if (ident, side) in cell["seen"] or set_digest(s) != set_key:
-                    continue
-                cell["seen"].add((ident, side))
-                cell["rows"].append((side, ident, copies, nodes, s))
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                for node, tree, i, j, side, ident, copies, set_key, nodes, text in zip(
+                        *(part.column(k).to_pylist() for k in range(10))):
+                    if cell is None or cell["key"] != (node, i, j):
+                        if cell is not None:
+                            out += solve(cell)
+                        cell = {"key": (node, i, j), "tree": tree, "i": i, "j": j, "rows": [], "seen": set()}
+                    s = shingle_set(text, hashes)
+                    # a repeated id may carry another text: only the member's own set counts
+                    if (ident, side) in cell["seen"] or set_digest(s) != set_key:
+                        continue
+                    cell["seen"].add((ident, side))
+                    cell["rows"].append((side, ident, copies, np.array(nodes, np.int64), s))
             yield pack(out)
         if cell is not None:
             yield pack(solve(cell))
