@@ -1,5 +1,6 @@
 """Mixing, sharding, token files, decontamination, chat formatting and the pipeline."""
 
+import functools
 import random
 import re
 import zlib
@@ -69,13 +70,13 @@ def test_duels_keep_the_expectation(spark):
     rows = [(i, " ".join(["w"] * (i % 7 + 1)), "ab"[i % 2]) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).cache()
     hits = Counter()
-    seeds = 12
+    seeds = 6
     for seed in range(seeds):
         for r in mixing.mix(df, seed=seed * 100).collect():
             hits[r.source] += r.taken / r.size / seeds
     share = {r.source: r.target / r.source_size for r in mixing.mix(df).collect()}
     for s in "ab":
-        assert hits[s] / 30 == pytest.approx(share[s], abs=0.12)
+        assert hits[s] / 30 == pytest.approx(share[s], abs=0.15)
 
 
 def test_mix_of_awkward_rows(spark):
@@ -176,14 +177,18 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(fast.encode(t), "<u2").tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+@functools.cache
+def encoders():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(vocabulary()), tokens.WordEncoder(vocabulary(), "<u2")
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_encoder_equals_the_library_on_any_text(text):
-    from tokenizers import Tokenizer
-
-    pair = test_encoder_equals_the_library_on_any_text.__dict__.setdefault(
-        "pair", (Tokenizer.from_str(vocabulary()), tokens.WordEncoder(vocabulary(), "<u2")))
-    assert np.frombuffer(pair[1].encode(text), "<u2").tolist() == pair[0].encode(text, add_special_tokens=False).ids
+    whole, fast = encoders()
+    assert np.frombuffer(fast.encode(text), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
 def check_files(rows, got):
@@ -375,7 +380,7 @@ def test_pipeline_stages(spark, scratch):
         if name == "benchmark_decontamination":
             bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
             rows = [(r.doc_id, r.text) for r in docs.where(F.length("text") < 1500).collect()]
-            dirty = {d for d, _ in hits_brute(rows[:60], bench[:12])}
+            dirty = {d for d, _ in hits_brute(rows[:25], bench[:6])}
             assert not dirty & {r.doc_id for r in kept.collect()}
         if i < len(corpus_pipeline.STAGES) - 1:
             assert kept.columns == columns and 0 < kept.count() <= 3 * before
