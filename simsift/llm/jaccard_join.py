@@ -39,7 +39,7 @@ TREES = 16
 DEPTH = 8                       # full length of a label
 RECALL = 0.999                  # of pairs at the threshold
 BLOCK_SHINGLES = 1_000_000      # of one block of a large trie node
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 ROWS = 256                      # of a batch that are Python objects at a time
 NO_ID = -(1 << 63)
 

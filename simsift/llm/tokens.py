@@ -37,7 +37,7 @@ from simsift.llm.common import drop_path, fresh_path, slices, utf8
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
 BATCH_BYTES = 1 << 20
-CACHE_WORDS = 500_000           # words whose ids a worker remembers before it starts afresh
+CACHE_WORDS = 150_000           # words whose ids a worker remembers before it starts afresh
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"       # of Latin-1, lower case
 #: How the vocabulary splits a text.
 UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
