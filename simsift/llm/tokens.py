@@ -37,7 +37,7 @@ from simsift.llm.common import drop_path, fresh_path, slices, utf8
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
 BATCH_BYTES = 1 << 20
-CACHE_WORDS = 150_000           # words whose ids a worker remembers before it starts afresh
+CACHE_WORDS = 150_000           # words of one generation that a worker remembers; there are two
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"       # of Latin-1, lower case
 #: How the vocabulary splits a text.
 UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
@@ -83,6 +83,7 @@ class WordEncoder(dict):
         self.symbols = byte_symbols()
         self.code = "H" if dtype == "<u2" else "I"      # native order: little endian on the supported machines
         self.room = CACHE_WORDS
+        self.older: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -93,7 +94,10 @@ class WordEncoder(dict):
         return self.pack([t.id for t in self.model.tokenize(part)])
 
     def __missing__(self, part: str) -> bytes:
-        if part.isprintable() and latin_1(part) and part == part.lower() and "<|" not in part:
+        found = self.older.get(part)
+        if found is not None:
+            pass
+        elif part.isprintable() and latin_1(part) and part == part.lower() and "<|" not in part:
             units = UNITS.findall(part)
             found = self.unit(part) if units == [part] else b"".join([self[u] for u in units])
         else:
@@ -109,8 +113,9 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def tidy(self) -> None:
-        """Start afresh once the memory is full."""
+        """Once the memory is full, start a new one; words that come up again are taken over from the old."""
         if not self.room:
+            self.older = dict(self)
             self.clear()
             self.room = CACHE_WORDS
 
