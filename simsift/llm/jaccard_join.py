@@ -17,8 +17,10 @@ components of the links.
 
 Defined results: NULL texts and texts without words have no links and are
 their own class; texts of one to four words are one shingle; texts with equal
-sets are linked; NULL ids count as smaller than any other; rows that repeat an id
-are further copies; an empty table gives no rows; further columns are ignored.
+sets are linked; NULL ids count as smaller than any other; a class is named by its
+smallest id, but its members are named by their sets, so rows that share an id or
+have none are told apart by their texts; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -106,26 +108,31 @@ def identity(key: str) -> Column:
     return F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID).cast("bigint"))
 
 
+def text_key(text: str) -> Column:
+    """Digest of the text, which tells rows under one id (or none) apart."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
 def features(docs: DataFrame, prefix: int) -> DataFrame:
-    """(id, set_key, n, nodes) of every text; without words the key is NULL and there is no node."""
+    """(id, th, set_key, n, nodes) of every text; without words the key is NULL and there is no node."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            _, off = utf8(b.column(1))
+            _, off = utf8(b.column(2))
             for lo, hi in slices(off, 1 << 20):
                 part = b.slice(lo, hi - lo)
-                sets = [shingle_set(t, hashes) for t in part.column(1).to_pylist()]
+                sets = [shingle_set(t, hashes) for t in part.column(2).to_pylist()]
                 full = [s for s in sets if len(s)]
                 nodes = trie_keys(full, prefix).view(np.int64).ravel() if full else np.zeros(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum([TREES * (len(s) > 0) for s in sets])])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0),
+                    [part.column(0), part.column(1),
                      pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(nodes))],
-                    ["id", "set_key", "n", "nodes"])
+                    ["id", "th", "set_key", "n", "nodes"])
 
-    return docs.select("id", "t").mapInArrow(run, "id bigint, set_key binary, n int, nodes array<bigint>")
+    return docs.select("id", "th", "t").mapInArrow(run, "id bigint, th binary, set_key binary, n int, nodes array<bigint>")
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray], keys_a: np.ndarray, keys_b: np.ndarray, tree: int,
@@ -182,14 +189,15 @@ def roots(n: int, pairs: list[tuple[int, int]]) -> list[int]:
 
 
 def verify(cells: DataFrame, similarity: float) -> DataFrame:
-    """(id, root, links): per cell and linked member, its links and the smallest member it is connected with.
+    """(id, set_key, root_id, root_key, links): per cell and linked member, its links and the smallest member it is connected with.
 
     ``cells`` holds (node, tree, i, j, side, id, copies, set_key, nodes, t), a cell being
-    the pair of blocks ``i``, ``j`` of a trie node.
+    the pair of blocks ``i``, ``j`` of a trie node, with one row per member and side.
+    Members are named by their sets; ids only order them.
     """
     def solve(cell):
         tree, i, j = cell["tree"], cell["i"], cell["j"]
-        order = sorted(cell["rows"], key=lambda r: (r[0], r[1]))      # side, id
+        order = sorted(cell["rows"], key=lambda r: r[:2])             # side, (id, set_key)
         side_a = [r for r in order if r[0] == 0]
         side_b = side_a if i == j else [r for r in order if r[0] == 1]
         if not side_a or not side_b:
@@ -198,7 +206,7 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
         pairs = linked([r[4] for r in side_a], [r[4] for r in side_b], keys_a, keys_b, tree, i == j, similarity)
         shift = 0 if i == j else len(side_a)
         both = side_a if i == j else side_a + side_b
-        rank = sorted(range(len(both)), key=lambda x: both[x][1])     # number members by id
+        rank = sorted(range(len(both)), key=lambda x: both[x][1])     # number members by (id, set_key)
         at = {x: k for k, x in enumerate(rank)}
         links = [0] * len(both)
         joined = []
@@ -208,15 +216,15 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
             links[y] += both[x][2]
             joined.append((at[x], at[y]))
         root = roots(len(both), joined)
-        return [(both[x][1], both[rank[root[at[x]]]][1], links[x]) for x in range(len(both)) if links[x]]
+        return [(*both[x][1], *both[rank[root[at[x]]]][1], links[x]) for x in range(len(both)) if links[x]]
 
     def run(batches):
         hashes, cell = WordHashes(), None
-        names = ["id", "root", "links"]
+        types = {"id": pa.int64(), "set_key": pa.binary(), "root_id": pa.int64(), "root_key": pa.binary(), "links": pa.int64()}
 
         def pack(rows):
-            cols = list(zip(*rows)) if rows else [()] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+            cols = list(zip(*rows)) if rows else [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types.values())], list(types))
 
         for b in batches:
             out = []
@@ -227,82 +235,106 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
                     if cell is None or cell["key"] != (node, i, j):
                         if cell is not None:
                             out += solve(cell)
-                        cell = {"key": (node, i, j), "tree": tree, "i": i, "j": j, "rows": [], "seen": set()}
-                    s = shingle_set(text, hashes)
-                    # a repeated id may carry another text: only the member's own set counts
-                    if (ident, side) in cell["seen"] or set_digest(s) != set_key:
-                        continue
-                    cell["seen"].add((ident, side))
-                    cell["rows"].append((side, ident, copies, np.array(nodes, np.int64), s))
+                        cell = {"key": (node, i, j), "tree": tree, "i": i, "j": j, "rows": []}
+                    cell["rows"].append((side, (ident, set_key), copies, np.array(nodes, np.int64), shingle_set(text, hashes)))
             yield pack(out)
         if cell is not None:
             yield pack(solve(cell))
 
     dealt = cells.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return dealt.mapInArrow(run, "id bigint, root bigint, links bigint")
+    return dealt.mapInArrow(run, "id bigint, set_key binary, root_id bigint, root_key binary, links bigint")
 
 
-def jaccard_join(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY,
-                 recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc_id, class_id, n_links): one row per row of ``df``.
+def member(key: str, set_key: str) -> Column:
+    """Name of a member: its set, ordered by its smallest id."""
+    return F.struct(F.col(key).alias("rep"), F.col(set_key).alias("set_key"))
 
-    ``class_id`` is the smallest id of the class; ``n_links`` counts the other
-    documents with a similarity of at least ``similarity``, copies included.
-    """
+
+def classes(df: DataFrame, text: str, key: str, similarity: float = SIMILARITY, recall: float = RECALL,
+            block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(id, th, class, n_links) of every row; ``class`` is the smallest member, NULL for a text without words."""
     spark = df.sparkSession
-    docs = df.select(identity(key).alias("id"), F.col(text).alias("t"))
+    docs = df.select(identity(key).alias("id"), text_key(text).alias("th"), F.col(text).alias("t"))
     path = fresh_path(spark, "shingles")
     features(docs, prefix_length(similarity, recall)).write.parquet(path)
     stored = spark.read.parquet(path)
     found = stored.where(F.col("set_key").isNotNull())
-    # one member per set; the rest of a set's rows are copies
+    # one member per set; the rest of a set's rows are copies, ``again`` of them under the same id
     sets = cut(found.groupBy("set_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    members = found.join(sets, "set_key").where(F.col("id") == F.col("rep")).dropDuplicates(["set_key"]) \
-        .select("id", "set_key", "n", "nodes", "copies")
-    placed = members.select("id", "n", F.posexplode("nodes").alias("tree", "node"))
+    members = (found.join(sets, "set_key").where(F.col("id") == F.col("rep")).groupBy("set_key")
+               .agg(F.first("id").alias("id"), F.first("th").alias("th"), F.first("n").alias("n"),
+                    F.first("nodes").alias("nodes"), F.first("copies").alias("copies"), F.count(F.lit(1)).alias("again")))
+    placed = members.select("set_key", "n", F.posexplode("nodes").alias("tree", "node"))
     busy = (placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
             .where(F.col("size") > 1).select("node", F.ceil(F.col("weight") / F.lit(block_shingles)).cast("int").alias("blocks")))
-    met = cut(placed.select("id", "tree", "node").join(busy, "node"))
-    block = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
+    met = cut(placed.select("set_key", "tree", "node").join(busy, "node"))
+    block = F.pmod(F.xxhash64("set_key", "node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = (met.withColumn("block", block).withColumn("other", other)
-             .select("id", "tree", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+             .select("set_key", "tree", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      (F.col("block") > F.col("other")).cast("int").alias("side")))
-    wanted = cut(members.join(met.select("id").distinct(), "id", "left_semi"))
-    texts = docs.join(sized_broadcast(wanted, 300), "id").select("id", "set_key", "nodes", "copies", "t")
-    full = texts.join(sized_broadcast(cells, 60), "id") \
+    wanted = cut(members.join(met.select("set_key").distinct(), "set_key", "left_semi"))
+    texts = docs.join(sized_broadcast(wanted.drop("n"), 320), ["id", "th"])
+    if not wanted.where(F.col("again") > 1).isEmpty():
+        # rows that repeat both id and text: one of them shows the member's text
+        texts = texts.where(F.col("again") == 1).unionByName(texts.where(F.col("again") > 1).dropDuplicates(["set_key"]))
+    full = texts.join(sized_broadcast(cells, 80), "set_key") \
         .select("node", "tree", "i", "j", "side", "id", "copies", "set_key", "nodes", "t")
     links = cut(verify(full, similarity))
-    total = links.groupBy("id").agg(F.sum("links").alias("links"))
-    named = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    by_set = (sets.join(total, sets["rep"] == total["id"], "left").drop("id")
-              .join(named, F.col("rep") == F.col("id"), "left")
+    total = links.groupBy("set_key").agg(F.sum("links").alias("links"))
+    named = components(links.select(member("id", "set_key").alias("a"), member("root_id", "root_key").alias("b"))) \
+        .select(F.col("id.set_key").alias("set_key"), F.col("component").alias("class"))
+    by_set = (sets.join(total, "set_key", "left").join(named, "set_key", "left")
               .select("set_key", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-                      F.coalesce("component", "rep").alias("class_id")))
-    linked_rows = found.select("id", "set_key").join(by_set, "set_key").select(
-        "id", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    alone = stored.where(F.col("set_key").isNull()).select("id", F.col("id").alias("class_id"),
-                                                           F.lit(0).cast("bigint").alias("n_links"))
-    known = lambda c: F.when(F.col(c) != F.lit(NO_ID).cast("bigint"), F.col(c))
-    return linked_rows.unionByName(alone).select(known("id").alias("doc_id"), known("class_id").alias("class_id"), "n_links")
+                      F.coalesce("class", member("rep", "set_key")).alias("class")))
+    linked_rows = found.select("id", "th", "set_key").join(by_set, "set_key").select(
+        "id", "th", "class", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    alone = stored.where(F.col("set_key").isNull()).select(
+        "id", "th", F.lit(None).cast("struct<rep: bigint, set_key: binary>").alias("class"), F.lit(0).cast("bigint").alias("n_links"))
+    return linked_rows.unionByName(alone)
 
 
-def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` without near copies: of each class the row with the smallest id stays.
+def jaccard_join(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY,
+                 recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(doc_id, class_id, n_links): one row per row of ``df``.
+
+    ``class_id`` is the smallest id of the class; ``n_links`` counts the other
+    documents with a similarity of at least ``similarity``, copies included.
+    """
+    known = lambda c: F.when(c != F.lit(NO_ID).cast("bigint"), c)
+    return classes(df, text, key, similarity, recall, block_shingles).select(
+        known(F.col("id")).alias("doc_id"), known(F.coalesce(F.col("class.rep"), F.col("id"))).alias("class_id"), "n_links")
+
 
-    Of rows that repeat an id, the one with the smallest text hash stands for all.
+def keep_classes(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``df`` without near copies: of each class the row with the smallest (id, text digest) stays.
+
+    Rows of different classes all stay, also under one id or without an id; so do
+    texts without words. Of rows that repeat both id and text one stays.
     """
-    classes = jaccard_join(df, text, key, **options)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__k")).distinct()
-    gone = cut(gone)
-    rows = df.select(F.struct(*df.columns).alias("__row"), F.col(key).cast("bigint").alias("__key"),
-                     F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__hash"))
-    same = F.col("__key").eqNullSafe(F.col("__k"))
-    kept = rows.join(sized_broadcast(gone, 16), same, "left_anti")
-    repeated = cut(rows.groupBy(F.col("__key").alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-                   .where(F.col("__n") > 1).select("__k"))
-    if repeated.isEmpty():
+    crowd = cut(classes(df, text, key, **options).where(F.col("n_links") > 0).select("id", "th", "class"))
+    best = cut(crowd.groupBy("class").agg(F.min(F.struct("id", "th")).alias("best")))
+    judged = crowd.join(sized_broadcast(best, 96), "class").select("id", "th", (F.struct("id", "th") == F.col("best")).alias("stays"))
+    name = [F.col("id").alias("__id"), F.col("th").alias("__th")]
+    gone = cut(judged.where(~F.col("stays")).select(*name).distinct())
+    again = cut(judged.where("stays").groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select(*name))
+    rows = df.select(F.struct(*df.columns).alias("__row"), identity(key).alias("__id"), text_key(text).alias("__th"),
+                     F.xxhash64(*df.columns).alias("__hash"))
+    kept = rows.join(sized_broadcast(gone, 40), ["__id", "__th"], "left_anti")
+    if again.isEmpty():
         return kept.select("__row.*")
+    again = sized_broadcast(again, 40)
+    once = kept.join(again, ["__id", "__th"], "left_semi").groupBy("__id", "__th").agg(F.min_by("__row", "__hash").alias("__row"))
+    return kept.join(again, ["__id", "__th"], "left_anti").select("__row").unionByName(once.select("__row")).select("__row.*")
+
+
+def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """``keep_classes`` for tables that hold one row per id: of rows that repeat an id, the one with the smallest text hash stands for all.
+
+    It drops texts that are no copies where ids repeat or are missing; the pipeline uses ``keep_classes``.
+    """
+    rows = keep_classes(df, text, key, **options).select(
+        F.struct(*df.columns).alias("__row"), F.col(key).cast("bigint").alias("__key"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__hash"))
     nth = F.row_number().over(Window.partitionBy("__key").orderBy("__hash"))
-    again = kept.join(repeated, same, "left_semi").withColumn("__r", nth).where(F.col("__r") == 1).drop("__r")
-    return kept.join(repeated, same, "left_anti").unionByName(again).select("__row.*")
+    return rows.withColumn("__r", nth).where(F.col("__r") == 1).select("__row.*")

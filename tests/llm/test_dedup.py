@@ -153,6 +153,35 @@ def test_keep_one(spark):
     assert jaccard_join.keep_one(empty(spark)).count() == 0
 
 
+def test_texts_under_one_id_or_none_are_told_apart(spark):
+    rng = random.Random(21)
+    texts = [prose(rng, 30) for _ in range(6)]
+    near = texts[0].split()
+    near[3] = "other"
+    near = " ".join(near)                                             # 5 of 26 shingles differ: no link
+    long = prose(rng, 200).split()
+    edited = " ".join(long[:100] + ["changed"] + long[101:])
+    long = " ".join(long)
+    rows = [(None, t) for t in texts] + [(7, texts[0].upper()), (7, long), (9, edited), (9, near), (9, "alone"),
+                                         (None, ""), (None, None), (5, edited), (None, texts[1]), (7, long)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for block in (jaccard_join.BLOCK_SHINGLES, 60):
+        assert joined(df, block_shingles=block) == join_brute(rows)
+    got = sorted((tuple(r) for r in jaccard_join.keep_classes(df).collect()), key=repr)
+    want = [(None, t) for t in texts] + [(5, edited), (9, near), (9, "alone"), (None, ""), (None, None)]
+    assert got == sorted(want, key=repr)
+
+
+def test_pipeline_stage_keeps_clean_texts_without_id(spark):
+    import corpus_pipeline
+
+    rng = random.Random(22)
+    rows = [(None, prose(rng, 20)) for _ in range(40)] + [(1, prose(rng, 20)) for _ in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted(rows, key=repr)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(30), 100 + rng.randrange(30)) for _ in range(25)] + [(7, 7)]
