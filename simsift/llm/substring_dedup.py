@@ -131,11 +131,11 @@ def side_marks(raw: np.ndarray, off: np.ndarray, row: np.ndarray, place: np.ndar
 
 
 def anchors(df: DataFrame) -> DataFrame:
-    """(h, id, sides): the anchors of every text with the marks of their surroundings."""
+    """(h, id, sides, th): the anchors of every text with the marks of their surroundings; ``th`` is its hash."""
     def run(batches):
         for b in batches:
-            raw, off = utf8(b.column(1))
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            raw, off = utf8(b.column(2))
+            ids, th = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, hi in slices(off, 1 << 18):
                 o = off[lo:hi + 1]
                 part, o = raw[o[0]:o[-1]], o - o[0]
@@ -148,9 +148,9 @@ def anchors(df: DataFrame) -> DataFrame:
                 keep[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1]) | (sides[1:] != sides[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value[keep].view(np.int64)), pa.array(ids[lo + row[keep]], pa.int64()),
-                     pa.array(sides[keep])], ["h", "id", "sides"])
+                     pa.array(sides[keep]), pa.array(th[lo + row[keep]], pa.int64())], ["h", "id", "sides", "th"])
 
-    return df.select("id", "t").mapInArrow(run, "h bigint, id bigint, sides int")
+    return df.select("id", F.xxhash64("t").alias("th"), "t").mapInArrow(run, "h bigint, id bigint, sides int, th bigint")
 
 
 def met_twice(h: np.ndarray, d: np.ndarray, sides: np.ndarray) -> np.ndarray:
@@ -177,43 +177,48 @@ def met_twice(h: np.ndarray, d: np.ndarray, sides: np.ndarray) -> np.ndarray:
 
 
 def shared_anchors(found: DataFrame, hold: int = HOLD) -> DataFrame:
-    """(id, h) of the anchors that may belong to a repeat.
+    """(id, th, h) of the anchors that may belong to a repeat.
 
     Two equal windows agree on their anchor and on ``HALF`` bytes on one side of
     it. Rows arrive sorted by anchor, and the current anchor's rows are held; an
     anchor with more than ``hold`` rows passes without the test of its sides.
     """
     def run(batches):
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int64)]
         passing = None
 
-        def pack(ids, hs):
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64())], ["id", "h"])
+        def pack(ids, th, hs):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, th, hs)], ["id", "th", "h"])
 
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if not len(cols[0]):
                 continue
             if passing is not None:
                 n = int(np.searchsorted(cols[0], passing, side="right"))
-                yield pack(cols[1][:n], cols[0][:n])
+                yield pack(cols[1][:n], cols[3][:n], cols[0][:n])
                 cols = [c[n:] for c in cols]
                 if not len(cols[0]):
                     continue
                 passing = None
-            h, d, s = (np.concatenate([a, c]) for a, c in zip(held, cols))
+            h, d, s, th = (np.concatenate([a, c]) for a, c in zip(held, cols))
             last = int(np.searchsorted(h, h[-1], side="left"))
             hit = met_twice(h[:last], d[:last], s[:last])
-            yield pack(d[:last][hit], h[:last][hit])
-            held = [h[last:], d[last:], s[last:]]
+            yield pack(d[:last][hit], th[:last][hit], h[:last][hit])
+            held = [h[last:], d[last:], s[last:], th[last:]]
             if len(held[0]) > hold:
                 passing = int(h[-1])
-                yield pack(held[1], held[0])
+                yield pack(held[1], held[3], held[0])
                 held = [x[:0] for x in held]
-        hit = met_twice(*held)
-        yield pack(held[1][hit], held[0][hit])
+        hit = met_twice(*held[:3])
+        yield pack(held[1][hit], held[3][hit], held[0][hit])
+
+    return found.repartition("h").sortWithinPartitions("h").mapInArrow(run, "id bigint, th bigint, h bigint")
+
 
-    return found.repartition("h").sortWithinPartitions("h").mapInArrow(run, "id bigint, h bigint")
+def anchor_sets(hits: DataFrame) -> DataFrame:
+    """(id, th, hs): the shared anchors of each text, bounded by the text also where ids repeat or are missing."""
+    return hits.groupBy("id", "th").agg(F.collect_set("h").alias("hs"))
 
 
 def shared_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
@@ -245,8 +250,7 @@ def shared_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
                      pa.array(th[lo + row], pa.int64()), pa.array((start - o[row]).astype(np.int32)),
                      pa.array((place - start).astype(np.int32))], ["h", "seg", "id", "th", "start", "anchor"])
 
-    sets = hits.groupBy("id").agg(F.collect_set("h").alias("hs"))
-    return docs.join(sets, "id").select("id", "th", "t", "hs").mapInArrow(
+    return docs.join(anchor_sets(hits), ["id", "th"]).select("id", "th", "t", "hs").mapInArrow(
         run, "h bigint, seg binary, id bigint, th bigint, start int, anchor int")
 
 

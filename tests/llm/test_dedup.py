@@ -261,6 +261,17 @@ def test_anchor_shared_by_many_passes_whole(spark):
     assert some <= more
 
 
+def test_texts_without_id_carry_their_own_anchors(spark):
+    rows = [(None if i % 3 else 5 if i % 2 else d, t) for i, (d, t) in enumerate(passages(6, 60))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    docs = df.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("th"), F.col("text").alias("t"))
+    found = substring_dedup.anchors(docs)
+    own = {(r.id, r.th): r.n for r in found.groupBy("id", "th").agg(F.countDistinct("h").alias("n")).collect()}
+    sets = substring_dedup.anchor_sets(substring_dedup.shared_anchors(found)).collect()
+    assert len(sets) > 30 and all(len(r.hs) <= own[r.id, r.th] for r in sets)
+    assert sorted((tuple(r) for r in substring_dedup.dedup_substrings(df).collect()), key=repr) == cut_brute(rows)
+
+
 @pytest.mark.parametrize("shard", [40, 700, 10 ** 6])
 def test_merged_transform_is_the_sorted_order(shard):
     rng = np.random.default_rng(shard)
