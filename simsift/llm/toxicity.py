@@ -17,7 +17,8 @@ A text's score is the calibrated maximum over its words.
 
 Symbols: letters are folded to lower case; blanks end a word; single letters
 parted by blanks count as one word ("i d i o t"); words longer than 24 symbols
-are scored in pieces of 24.
+are scored in pieces that overlap, so that what lies across a cut stands whole in
+another piece; only the ends of the word itself count as word ends.
 
 Defined results: NULL and empty texts have no word and take the score of a text
 without evidence (below 0.5); without labelled rows of both classes every text
@@ -42,10 +43,12 @@ DECAY = 0.75
 SPAN = 6
 SYMBOLS = 64
 PIECE = 24
+STEP = 6                        # between the pieces of a longer word: they share 20 symbols, an insult of 14 and SPAN
 ROUNDS = 3
 TELLING = 8                     # times more frequent in toxic texts
 STRONG = 0.02                   # share of toxic texts
 BLANK, MARK = 0, 27             # word end; any other ASCII sign or digit
+CUT = b"\xff"                   # stands for a side of a piece that is not a word end
 SCHEMA = "doc_id bigint, score double, predicted int"
 
 PAIRS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]       # offsets of the 2nd and 3rd symbol
@@ -77,7 +80,8 @@ def word_symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Symbols of all words, each framed by BLANK: (symbols, word starts, row of each word).
 
     ``starts`` has one more entry than there are words; word ``i`` occupies
-    ``symbols[starts[i]:starts[i + 1]]`` with its frame.
+    ``symbols[starts[i]:starts[i + 1]]`` with its frame. A word beyond ``PIECE``
+    symbols gives overlapping pieces, framed at the ends of the word only.
     """
     table = symbol_table()
     n = len(raw)
@@ -103,18 +107,22 @@ def word_symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     body = sym[~blank]
     word_len = np.add.reduceat(length, head)
     word_row = row[head]
-    pieces = -(-word_len // PIECE)
-    first = np.cumsum(pieces) - pieces
-    idx = np.repeat(np.arange(len(head)), pieces)
-    part = np.arange(len(idx)) - first[idx]
-    piece_len = np.minimum(PIECE, word_len[idx] - part * PIECE)
-    starts = np.concatenate([[0], np.cumsum(piece_len + 2)])
+    starts = np.concatenate([[0], np.cumsum(word_len + 2)])
     out = np.zeros(starts[-1], np.uint8)
     inside = np.ones(starts[-1], bool)
     inside[starts[:-1]] = False
     inside[starts[1:] - 1] = False
     out[inside] = body
-    return out, starts, word_row[idx]
+    if word_len.max() <= PIECE:
+        return out, starts, word_row
+    pieces = 1 + -(-np.maximum(word_len - PIECE, 0) // STEP)
+    first = np.cumsum(pieces) - pieces
+    idx = np.repeat(np.arange(len(head)), pieces)
+    begin = starts[idx] + (np.arange(len(idx)) - first[idx]) * STEP
+    piece_len = np.minimum(PIECE + 2, starts[idx + 1] - begin)
+    ends = np.cumsum(piece_len)
+    take = np.arange(ends[-1]) + np.repeat(begin - (ends - piece_len), piece_len)
+    return out[take], np.concatenate([[0], ends]), word_row[idx]
 
 
 def norms() -> np.ndarray:
@@ -164,9 +172,21 @@ def features(sym: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(idx)[order], np.concatenate(val)[order], word[order]
 
 
+def framed(word: bytes) -> bytes:
+    """The word between blanks; a side marked ``CUT`` gets none."""
+    left, right = word[:1] == CUT, word[-1:] == CUT
+    return b"\0" * (not left) + word[left:len(word) - right] + b"\0" * (not right)
+
+
+def unframed(piece: bytes) -> bytes:
+    """Inverse of ``framed``: frames go, a side without one is marked ``CUT``."""
+    return CUT * (piece[0] != BLANK) + piece.strip(b"\0") + CUT * (piece[-1] != BLANK)
+
+
 def frame(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.concatenate([[0], np.cumsum([len(w) + 2 for w in words])]).astype(np.int64)
-    return np.frombuffer(b"".join(b"\0" + w + b"\0" for w in words), np.uint8), starts
+    whole = [framed(w) for w in words]
+    starts = np.concatenate([[0], np.cumsum([len(w) for w in whole])]).astype(np.int64)
+    return np.frombuffer(b"".join(whole), np.uint8), starts
 
 
 def kernel_rows(words: list[bytes], lookup: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -203,7 +223,7 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, steps
 
 def grams(word: bytes) -> list[bytes]:
     """Runs of four symbols of the framed word (the whole word when it is shorter)."""
-    w = b"\0" + word + b"\0"
+    w = framed(word)
     return [w[i:i + 4] for i in range(max(1, len(w) - 3))]
 
 
@@ -344,7 +364,7 @@ def labelled_words(df: DataFrame, labels: DataFrame, learn: Column, text: str, k
             for i in range(b.num_rows):
                 sym, starts, _ = word_symbols(raw[off[i]:off[i + 1]], np.array([0, off[i + 1] - off[i]]))
                 blob = sym.tobytes()
-                out.append(sorted({blob[s + 1:e - 1] for s, e in zip(starts[:-1], starts[1:])}))
+                out.append(sorted({unframed(blob[s:e]) for s, e in zip(starts[:-1], starts[1:])}))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.binary()))], ["k", "w"])
 
     got = sorted(((r["k"], r["w"]) for r in sample.mapInArrow(words, "k bigint, w array<binary>").toLocalIterator()),

@@ -100,6 +100,29 @@ def test_word_symbols_join_single_letters():
     assert words[2] == bytes(toxicity.word_symbols(low, np.array([0, len(low)]))[0][1:-1])
 
 
+@pytest.mark.parametrize("insult", ["idiot", "nincompooptwit"])
+@pytest.mark.parametrize("spaced", [False, True])
+def test_insult_at_every_offset_of_a_long_word(insult, spaced):
+    table = toxicity.symbol_table()
+    code = lambda t: bytes(table[np.frombuffer(t.encode(), np.uint8)])
+    weight = np.zeros(toxicity.SYMBOLS ** 3, np.float32)
+    bad = np.frombuffer(code(insult), np.uint8).astype(np.int64)
+    for j, k in toxicity.PAIRS:
+        for i in range(len(bad) - k):
+            weight[(bad[i] * toxicity.SYMBOLS + bad[i + j]) * toxicity.SYMBOLS + bad[i + k]] = 1
+    net = {"beta": weight, "bias": 0.0, "b": 0.0}
+    whole = toxicity.word_sums(*toxicity.frame([code("xyz" + insult + "x" * (21 - len(insult)))]), weight)[0]
+    for offset in range(80):
+        word = "x" * offset + insult + "x" * (80 - offset)
+        raw = np.frombuffer((" ".join(word) if spaced else word).encode(), np.uint8)
+        sym, starts, row = toxicity.word_symbols(raw, np.array([0, len(raw)]))
+        parts = [sym[a:b].tobytes() for a, b in zip(starts, starts[1:])]
+        assert any(code(insult) in p for p in parts) and max(map(len, parts)) <= toxicity.PIECE + 2
+        assert sum(p.count(0) for p in parts) == 2 and parts[0][0] == parts[-1][-1] == 0
+        assert [toxicity.framed(toxicity.unframed(p)) for p in parts] == parts
+        assert toxicity.worst_words(net, raw, np.array([0, len(raw)]))[0] >= whole - 1e-5
+
+
 def test_toxicity_held_out(spark):
     out = registry.QUERIES["op8_toxicity"](spark, SF_SMALL.replace("0.001", "0.1"))
     labels = spark.read.parquet(SF_SMALL.replace("0.001", "0.1") + "/labels.parquet").select("doc_id", "toxic")
