@@ -8,12 +8,14 @@ question mark. Start, transition and emission probabilities are counted on
 labelled conversations; Viterbi finds the most likely states, and every run of
 lines of one turn is rendered under a canonical header, markers removed.
 
-A conversation is handled in chunks of 64 pieces, so that none has to fit in
-one task. A chunk of a longer conversation first gives its max-plus matrix (best
-log probability from each state before it to each state at its end); the
-matrices of a conversation, 36 numbers each, are folded to the states at the
-chunk borders, and the chunks are then decoded between known borders. The result
-is the exact Viterbi path of the whole conversation.
+All pieces are sorted by conversation, number and text over ranges of that order, and
+each sorted partition is cut into chunks of at most 64 pieces and about a megabyte, so
+that no conversation has to fit in one task, whatever its numbers. A chunk of a longer
+conversation first gives its max-plus matrix (best log probability from each state
+before it to each state at its end), 36 numbers. The matrices are multiplied up a
+tree, 64 at a time; going down again gives the states at the chunk borders, and the
+chunks are then decoded between known borders. The result is the exact Viterbi path
+of the whole conversation.
 
 Defined results: NULL or empty pieces add a blank line; conversations without any
 text give no turn; pieces with the same number are ordered by their text; a NULL
@@ -31,8 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from simsift.llm.common import cut, fresh_path, sized_broadcast
+
 ROLES = ("system", "user", "assistant")
 CHUNK = 64                      # pieces decoded at a time
+CHUNK_BYTES = 1 << 20           # a chunk takes no further piece beyond
+FAN_IN = 64                     # matrices multiplied at a time
 MARKS = {
     "system": ("system", "context", "instructions"),
     "user": ("user", "human", "q", "question", "prompt", "instruction"),
@@ -126,14 +132,22 @@ def viterbi(model: dict, symbols: list[int], before: int | None, end: int | None
     return path[::-1]
 
 
-def borders(matrices: list[np.ndarray]) -> list[int]:
-    """State at the end of each chunk on the best path."""
-    score, back = matrices[0][0], []
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    """Max-plus product."""
+    m = matrices[0]
+    for step in matrices[1:]:
+        m = (m[:, :, None] + step[None]).max(axis=1)
+    return m
+
+
+def borders(matrices: list[np.ndarray], before: int | None = None, end: int | None = None) -> list[int]:
+    """State at the end of each chunk on the best path between an optional state before and an optional last state."""
+    score, back = matrices[0][before or 0], []
     for m in matrices[1:]:
         s = score[:, None] + m
         back.append(s.argmax(axis=0))
         score = s.max(axis=0)
-    state = int(score.argmax())
+    state = int(score.argmax()) if end is None else end
     out = [state]
     for arg in reversed(back):
         state = int(arg[state])
@@ -196,6 +210,111 @@ def learn(df: DataFrame, conv: str, order: str, text: str, role: str) -> dict:
                     {(r["a"], r["b"]): r["n"] for r in counts if r["kind"] == "e"})
 
 
+def chunked(df: DataFrame, conv: str, order: str, text: str) -> DataFrame:
+    """(conv_id, part, seq, first, blank, last, tail, ps): chunks of pieces in order, written and read again.
+
+    ``(part, seq)`` orders the chunks. ``first`` and ``last`` say whether the conversation begins and
+    ends with the chunk as far as its partition shows, ``blank`` and ``tail`` whether a blank line
+    stands before it and at its end.
+    """
+    src = df.select(F.col(conv).alias("conv_id"), F.col(order).cast("bigint").alias("o"), F.col(text).alias("t"))
+    conv_type = src.schema["conv_id"].dataType.simpleString()
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, seq, ps, size, c, first, blank = TaskContext.get().partitionId(), 0, [], 0, None, True, True
+        names = ["conv_id", "part", "seq", "first", "blank", "last", "tail", "ps"]
+        conv_arrow = None
+
+        def close(last):
+            nonlocal seq, ps, size, first, blank
+            tail = not (ps[-1]["t"] or "").rsplit("\n", 1)[-1].strip()
+            row = (c, part, seq, first, blank, last, tail, ps)
+            seq, ps, size, first, blank = seq + 1, [], 0, last, last or tail
+            return row
+
+        def pack(rows):
+            types = [conv_arrow, pa.int64(), pa.int64(), *[pa.bool_()] * 4, pa.list_(pa.struct([("o", pa.int64()), ("t", pa.string())]))]
+            cols = list(zip(*rows)) if rows else [()] * 8
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names)
+
+        for b in batches:
+            out, conv_arrow = [], b.column(0).type
+            for ident, o, t in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if ps and (ident != c or len(ps) == CHUNK or size >= CHUNK_BYTES):
+                    out.append(close(ident != c))
+                c = ident
+                ps.append({"o": o, "t": t})
+                size += len(t or "")
+            yield pack(out)
+        if ps:
+            yield pack([close(True)])
+
+    at = fresh_path(df.sparkSession, "chat-chunks")
+    # rows equal in all columns may lie in any order: the last column only spreads them
+    (src.withColumn("spread", F.monotonically_increasing_id()).repartitionByRange("conv_id", "o", "t", "spread")
+     .sortWithinPartitions("conv_id", "o", "t").select("conv_id", "o", "t")
+     .mapInArrow(run, f"conv_id {conv_type}, part bigint, seq bigint, first boolean, blank boolean, last boolean, "
+                      "tail boolean, ps array<struct<o: bigint, t: string>>").write.parquet(at))
+    return df.sparkSession.read.parquet(at)
+
+
+def crossings(chunks: DataFrame) -> tuple[dict[int, bool], set[tuple[int, int]], int, int]:
+    """What no partition sees by itself, from one narrow row per partition.
+
+    The partitions that begin inside a conversation (with the blank line before them), the chunks (part, seq) that
+    it goes on from, the number of parts and the most chunks of one.
+    """
+    edges = (chunks.groupBy("part").agg(F.min_by("conv_id", "seq").alias("head"), F.max_by("conv_id", "seq").alias("end"),
+                                        F.max_by("tail", "seq").alias("tail"), F.max("seq").alias("seq"))
+             .orderBy("part").collect())
+    inside, left = {}, set()
+    for a, b in zip(edges, edges[1:]):
+        if a["end"] == b["head"]:
+            inside[b["part"]] = a["tail"]
+            left.add((a["part"], a["seq"]))
+    return inside, left, max((e["part"] for e in edges), default=-1) + 1, max((e["seq"] for e in edges), default=-1) + 1
+
+
+def border_states(ms: DataFrame, conv_type: str, count: int, fan_in: int = FAN_IN) -> DataFrame:
+    """(n, before, last) of the chunks ``ms`` (conv_id, n, m), ``n`` below ``count``: up a tree of products and down again."""
+    square = lambda x: np.array(x).reshape(STATES, STATES)
+
+    def multiply(batches):
+        for b in batches:
+            got = [product([square(x["m"]) for x in kids.as_py()]).ravel().tolist() for kids in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.float64()))],
+                                             ["conv_id", "n", "m"])
+
+    def descend(batches):
+        for b in batches:
+            rows = []
+            for c, kids, before, last in zip(*(b.column(i).to_pylist() for i in range(4))):
+                end = borders([square(x["m"]) for x in kids], before, last)
+                rows += [(c, x["n"], end[i - 1] if i else before, e) for i, (x, e) in enumerate(zip(kids, end))]
+            cols = list(zip(*rows)) if rows else [()] * 4
+            types = [b.column(0).type, pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], ["conv_id", "n", "before", "last"])
+
+    levels = []
+    while count > 1 or not levels:
+        kids = cut(ms.groupBy("conv_id", F.expr(f"n div {fan_in}").alias("up"))
+                   .agg(F.sort_array(F.collect_list(F.struct("n", "m"))).alias("kids")))
+        levels.append(kids)
+        ms = kids.mapInArrow(multiply, f"conv_id {conv_type}, n bigint, m array<double>")
+        count = -(-count // fan_in)
+    none = F.lit(None).cast("int")
+    ready = levels[-1].select("conv_id", "kids", none.alias("before"), none.alias("last"))
+    for i in range(len(levels) - 1, -1, -1):
+        states = ready.mapInArrow(descend, f"conv_id {conv_type}, n bigint, before int, last int")
+        if i:
+            x, s = levels[i - 1].alias("x"), states.alias("s")
+            ready = x.join(s, F.col("x.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("x.up") == F.col("s.n"))) \
+                .select("x.conv_id", "x.kids", "s.before", "s.last")
+    return states.drop("conv_id")
+
+
 def parse(df: DataFrame, model: dict, conv: str = "conv_id", order: str = "turn", text: str = "text") -> DataFrame:
     """(conv_id, piece, line, role, begins, text, rendered): one row per run of lines of one turn.
 
@@ -204,52 +323,38 @@ def parse(df: DataFrame, model: dict, conv: str = "conv_id", order: str = "turn"
     canonical transcript.
     """
     model_of = df.sparkSession.sparkContext.broadcast(model)
-    chunks = (df.select(F.col(conv).alias("conv_id"), F.floor(F.col(order) / CHUNK).alias("chunk"),
-                        F.struct(F.col(order).cast("bigint").alias("o"), F.col(text).alias("t")).alias("p"))
-              .groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list("p")).alias("ps")))
-    long = chunks.select("conv_id", "chunk").groupBy("conv_id").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")) \
-        .where(F.col("hi") > F.col("lo"))
+    chunks = chunked(df, conv, order, text)
+    conv_type = chunks.schema["conv_id"].dataType.simpleString()
+    inside, left, parts, most = crossings(chunks)
 
     def matrices(batches):
         m = model_of.value
         for b in batches:
-            out = []
-            for ps, first in zip(b.column(2), b.column(3).to_pylist()):
-                symbols = [x[2] for x in lines_of([p["t"] for p in ps.as_py()], first)]
+            ids, nums, out = [], [], []
+            for i, (c, part, seq, first, blank, last) in enumerate(zip(*(b.column(k).to_pylist() for k in range(6)))):
+                if seq == 0 and part in inside:
+                    first, blank = False, inside[part]
+                if first and last and (part, seq) not in left:
+                    continue                                # a whole conversation
+                symbols = [x[2] for x in lines_of([p["t"] for p in b.column(6)[i].as_py()], blank)]
+                ids.append(c)
+                nums.append(part * most + seq)
                 out.append(matrix(m, symbols, first).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.float64()))],
-                                             ["conv_id", "chunk", "m"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(nums, pa.int64()),
+                                              pa.array(out, pa.list_(pa.float64()))], ["conv_id", "n", "m"])
 
-    def fold(batches):
-        for b in batches:
-            ids, nums, states = [], [], []
-            for c, ms in zip(b.column(0).to_pylist(), b.column(1)):
-                got = ms.as_py()
-                end = borders([np.array(x["m"]).reshape(STATES, STATES) for x in got])
-                ids += [c] * len(got)
-                nums += [x["chunk"] for x in got]
-                states += [(end[i - 1] if i else None, s) for i, s in enumerate(end)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, b.column(0).type), pa.array(nums, pa.int64()),
-                 pa.array([s[0] for s in states], pa.int32()), pa.array([s[1] for s in states], pa.int32())],
-                ["conv_id", "chunk", "before", "last"])
-
-    conv_type = chunks.schema["conv_id"].dataType.simpleString()
-    pieces = chunks.alias("x").join(long.alias("l"), F.col("x.conv_id").eqNullSafe(F.col("l.conv_id"))) \
-        .select("x.conv_id", "chunk", "ps", (F.col("chunk") == F.col("lo")).alias("first"))
-    known = (pieces.mapInArrow(matrices, f"conv_id {conv_type}, chunk bigint, m array<double>")
-             .groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "m"))).alias("ms"))
-             .mapInArrow(fold, f"conv_id {conv_type}, chunk bigint, before int, last int"))
-    ready = chunks.alias("x").join(known.alias("k"), F.col("x.conv_id").eqNullSafe(F.col("k.conv_id"))
-                                   & F.col("x.chunk").eqNullSafe(F.col("k.chunk")), "left") \
-        .select("x.conv_id", "x.ps", "k.before", "k.last")
+    ms = cut(chunks.select("conv_id", "part", "seq", "first", "blank", "last", "ps")
+             .mapInArrow(matrices, f"conv_id {conv_type}, n bigint, m array<double>"))
+    known = cut(border_states(ms, conv_type, parts * most))
+    ready = chunks.withColumn("n", F.col("part") * most + F.col("seq")).drop("last") \
+        .join(sized_broadcast(known, 40), "n", "left").select("conv_id", "ps", "before", "last", "part", "seq", "blank")
 
     def decode(batches):
         m = model_of.value
         for b in batches:
             rows = []
-            for c, ps, before, last in zip(*(b.column(i).to_pylist() for i in range(4))):
-                lines = lines_of([p["t"] for p in ps], before is None)
+            for c, ps, before, last, part, seq, blank in zip(*(b.column(i).to_pylist() for i in range(7))):
+                lines = lines_of([p["t"] for p in ps], inside.get(part, blank) if seq == 0 else blank)
                 for p, n, role, begins, text_ in turns(lines, viterbi(m, [x[2] for x in lines], before, last)):
                     rows.append((c, ps[p]["o"], n, role, begins, text_, render(role, begins, text_)))
             cols = list(zip(*rows)) if rows else [()] * 7

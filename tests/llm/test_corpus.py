@@ -424,3 +424,33 @@ def test_functions_reach_workers_by_value():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", env={"PATH": ""})
     assert out.returncode == 0, out.stderr
     assert out.stdout.strip() == str(tokens.pack(np.array([1, 300], np.uint32)))
+
+
+def test_chunks_are_bounded_whatever_the_turn_numbers(spark, monkeypatch):
+    """NULL conversations, NULL and repeated turns, a long one: bounded chunks and the path of the whole."""
+    rows = [(None, None if i % 2 else 3, f"{'User' if i % 3 else 'AI'}: line {i:03d}" + "\n" * (i % 4 == 0)) for i in range(700)]
+    rows += [(4, 1, f"same turn {i:03d}") for i in range(200)] + [(5, None, f"Q: {i:03d}?") for i in range(150)]
+    rows += [(6, i, ("User: " if i % 2 else "") + f"long {i}") for i in range(500)] + [(7, 0, "AI: b" * 300)] * 3 + [(8, 0, "User: hi")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, text string").repartition(5)
+    known = spark.createDataFrame([(c, t, s, r) for c in range(30) for t, (s, r) in enumerate(
+        [("User: how\nare you?", "user"), ("AI: fine\nthanks", "assistant")])], "conv_id bigint, turn int, text string, role string")
+    model = chat.learn(known, "conv_id", "turn", "text", "role")
+    chunks = chat.chunked(df, "conv_id", "turn", "text")
+    assert max(len(r.ps) for r in chunks.collect()) <= chat.CHUNK
+    monkeypatch.setattr(chat, "CHUNK", 5)
+    border = chat.border_states
+    monkeypatch.setattr(chat, "border_states", lambda *a: border(*a, fan_in=3))
+    parsed = sorted(chat.parse(df, model).collect(), key=lambda r: (-1 if r.piece is None else r.piece, r.line))
+    got = [(r.conv_id, r.role, r.begins and n == 0, t) for r in parsed for n, t in enumerate(r.text.split("\n"))]
+    for c in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (-1 if r[1] is None else r[1], r[2]))
+        lines = chat.lines_of([r[2] for r in mine], True)
+        found = sorted((r for r in got if r[0] == c), key=repr) if c != 6 else [r for r in got if r[0] == c]
+        symbols = [x[2] for x in lines]
+        states = chat.viterbi(model, symbols, None, None)
+        if c == 6:                                          # several paths are equally likely: compare their values
+            path = [2 * chat.ROLES.index(role) + (not begins) for _, role, begins, _ in found]
+            assert [r[3] for r in found] == [x[3] for x in lines]
+            assert value(model, symbols, path) == pytest.approx(value(model, symbols, states))
+        else:
+            assert found == sorted(((c, chat.ROLES[s // 2], s % 2 == 0, x[3].strip()) for x, s in zip(lines, states)), key=repr)
