@@ -3,9 +3,10 @@
 A text is the set of its runs of five lower-cased words. Texts with the same set
 are one class member, however many copies there are. The forest has ``TREES``
 prefix tries; a set's label in a tree is a row of MinHash values, and two sets
-are candidates when their labels share a prefix in some tree. Labels start at
-full depth, and the matched prefix is shortened until a pair at the threshold
-is found with the target recall. Members of one trie node meet in a task and are
+are candidates when their labels share a prefix in some tree. The forest is
+reduced to one prefix depth, the deepest at which a pair at the threshold is found
+with the target recall; it follows from the constants, and only these values of
+a label are computed (banding of 16 x 4 values). Members of one trie node meet in a task and are
 verified on their exact shingle sets; a pair that meets in several trees counts
 in the first one only.
 
