@@ -6,7 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, mixing, sharding, substring_dedup, tokens, toxicity
+from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, licenses, mixing, sharding, \
+    substring_dedup, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.registry import register
 
@@ -96,3 +97,15 @@ def op10_suffix_dedup(spark, sf_dir):
 def op4_jaccard_join(spark, sf_dir):
     """Classes and numbers of links of all documents at a similarity of 0.8 on five-word shingles."""
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op11_licenses")
+def op11_licenses(spark, sf_dir):
+    """Base phrases and license templates in all documents; ``score`` is the share of words in such places."""
+    found = licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("places", lambda p: p["base"])
+    at = F.transform(base, lambda p: p["start"])
+    return found.select("doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
+                        F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
+                        licenses.names(base).alias("base_labels"), licenses.names(F.col("places")).alias("labels"),
+                        licenses.coverage(F.col("places"), F.col("n_words")).alias("score"))
