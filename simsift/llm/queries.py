@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, licenses, mixing, sharding, \
+from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, licenses, manifest, mixing, sharding, \
     substring_dedup, tokens, toxicity
 from simsift.llm.common import crc_bucket, fresh_path, table
 from simsift.llm.registry import register
@@ -109,3 +109,13 @@ def op11_licenses(spark, sf_dir):
                         F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
                         licenses.names(base).alias("base_labels"), licenses.names(F.col("places")).alias("labels"),
                         licenses.coverage(F.col("places"), F.col("n_words")).alias("score"))
+
+
+@register("op13_manifest")
+def op13_manifest(spark, sf_dir):
+    """Merkle manifest of all documents by language; every third id hash presents a lower-cased text."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    shown = F.when(crc_bucket(F.col("doc_id"), 3) == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    return manifest.manifest(docs, F.col("lang"), manifest.leaf(*fields, F.col("text")), manifest.leaf(*fields, shown))
