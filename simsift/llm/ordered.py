@@ -101,7 +101,7 @@ def numbered(rows: DataFrame, key: str, order: list, *, digest: str | None = Non
 
     With ``digest`` (a column of at least 32 hex digits) also ``chain``, which is equal
     for equal sequences of digests up to a row and, in practice, only for these, and
-    ``up``, the chain before the row. NULL is a key of its own and comes first. Rows
+    ``up``, the chain before the row; columns of these names are replaced. NULL is a key of its own and comes first. Rows
     that tie in ``order`` get numbers in any sequence. A lost executor changes
     nothing: the written table fixes which rows a partition holds.
     """
@@ -131,7 +131,8 @@ def numbered(rows: DataFrame, key: str, order: list, *, digest: str | None = Non
         before = spark.createDataFrame([(p, c[0]) for p, c in carry.items()], "_pid int, _n bigint")
         done = done.join(F.broadcast(before), "_pid", "left").withColumn(      # one row per partition at most
             "_i", F.col("_i") + F.when(F.col("_first"), F.coalesce("_n", F.lit(0))).otherwise(F.lit(0)))
-    names = [F.col(c) for c in rows.columns] + [F.col("_i").alias("pos")]
+    added = ("pos", "up", "chain") if digest else ("pos",)
+    names = [F.col(c) for c in rows.columns if c not in added] + [F.col("_i").alias("pos")]
     if digest:
         names += [F.col("_up").alias("up"), F.col("_chain").alias("chain")]
     return done.select(*names), path

@@ -6,9 +6,10 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, licenses, manifest, mixing, sharding, \
-    substring_dedup, tokens, toxicity
-from simsift.llm.common import crc_bucket, fresh_path, table
+from simsift.llm import chat, decontaminate, exact_dedup, jaccard_join, langid, licenses, manifest, mixing, \
+    prefix_trie, sharding, substring_dedup, tokens, toxicity
+from simsift.llm.common import crc_bucket, drop_path, fresh_path, table
+from simsift.llm.ordered import numbered
 from simsift.llm.registry import register
 
 
@@ -119,3 +120,25 @@ def op13_manifest(spark, sf_dir):
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     shown = F.when(crc_bucket(F.col("doc_id"), 3) == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
     return manifest.manifest(docs, F.col("lang"), manifest.leaf(*fields, F.col("text")), manifest.leaf(*fields, shown))
+
+
+@register("op12_prefix_trie")
+def op12_prefix_trie(spark, sf_dir):
+    """Trie of all conversations, each rebuilt on the first turns of the conversation that opens its twenty.
+
+    Rows without a conv_id belong to no conversation; turns of one number follow by digest.
+    """
+    given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").where("conv_id IS NOT NULL")
+    turns, path = numbered(given.select("conv_id", "turn", prefix_trie.turn_digest(F.col("role"), F.col("text")).alias("digest"),
+                                        mixing.word_count(F.col("text")).alias("words")),
+                           "conv_id", [F.col("turn").asc_nulls_first(), F.col("digest")], label="conversations")
+    shared = crc_bucket(F.col("conv_id"), 4)
+    convs = turns.select("conv_id").distinct()
+    heads = turns.where((F.col("pos") < 3) & (F.col("conv_id") % 20 == 0)).select(
+        F.col("conv_id").alias("base"), "pos", "digest", "words")                        # at most 3 turns are shared
+    taken = (convs.withColumn("base", F.col("conv_id") - F.col("conv_id") % 20).join(heads, "base")
+             .where(F.col("pos") < shared).select("conv_id", F.lit(0).alias("part"), "pos", "digest", "words"))
+    own = turns.where(F.col("pos") >= shared).select("conv_id", F.lit(1).alias("part"), "pos", "digest", "words")
+    nodes = prefix_trie.prefix_trie(taken.unionByName(own), [F.col("part"), F.col("pos")], convs)
+    drop_path(spark, path)
+    return nodes.drop("id", "up")
