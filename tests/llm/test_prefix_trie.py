@@ -82,7 +82,7 @@ def frames(spark, convs, partitions=5):
     return turns, spark.createDataFrame([(c,) for c in convs], "conv_id bigint")
 
 
-@pytest.mark.parametrize("seed,mass", [(1, 150), (2, 600), (3, 10**9)])
+@pytest.mark.parametrize("seed,mass", [(1, 300), (2, 900), (3, 10**9)])
 def test_rounds_of_centroids(spark, seed, mass):
     """Small components make many distributed rounds, also on long paths."""
     convs = random_convs(seed)
