@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
@@ -68,6 +69,26 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return memory that this Python worker has freed to the system; Spark reuses workers for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(run):
+    """The Arrow function ``run``, which gives back what it freed when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def slices(offsets: np.ndarray, budget: int):
     """Row ranges ``(a, b)`` holding about ``budget`` bytes each (at least one row)."""
     a, n = 0, len(offsets) - 1

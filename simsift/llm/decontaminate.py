@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm.common import slices, utf8
+from simsift.llm.common import slices, trimmed, utf8
 
 PROBE = 64                      # characters of a probe: one machine word
 STEP = 16                       # the pieces of neighbouring probes coincide
 ERROR_PERCENT = 5
+SLICE_BYTES = 1 << 20          # bytes of text searched at once
 BLOCK_CHARS = 1 << 19           # normalised test-item characters per pass
 WORDS = re.compile(r"\w+")
 HITS = ("doc_id bigint, item_id bigint, distance int, start int, end int")
@@ -180,7 +181,7 @@ def matches(shared, b: pa.RecordBatch, column: int) -> Iterator[tuple[int, int,
     matcher = Matcher(shared.value) if not hasattr(shared, "_matcher") else shared._matcher
     shared._matcher = matcher
     _, off = utf8(b.column(column))
-    for lo, hi in slices(off, 1 << 22):
+    for lo, hi in slices(off, SLICE_BYTES):
         texts = [normal(t) if t else "" for t in b.column(column).slice(lo, hi - lo).to_pylist()]
         for n, *rest in matcher.search(texts):
             yield lo + n, *rest
@@ -204,7 +205,7 @@ def find_hits(df: DataFrame, items: DataFrame, text: str = "text", key: str = "d
                      *[pa.array([r[i] for r in rows], pa.int32()) for i in (2, 3, 4)]],
                     ["doc_id", "item_id", "distance", "start", "end"])
 
-        found = src.mapInArrow(run, HITS)
+        found = src.mapInArrow(trimmed(run), HITS)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], HITS)
 
@@ -223,5 +224,5 @@ def drop_hits(df: DataFrame, items: DataFrame, text: str = "text", item_text: st
                 clean[[r[0] for r in matches(shared, b, at)]] = False
                 yield b.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, df.schema)
+        out = out.mapInArrow(trimmed(run), df.schema)
     return out

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simsift.llm.common import cut, fresh_path, sized_broadcast, slices, utf8
+from simsift.llm.common import cut, fresh_path, sized_broadcast, slices, trimmed, utf8
 from simsift.llm.graph import components
 
 WORDS = 5
@@ -133,7 +133,7 @@ def features(docs: DataFrame, prefix: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(nodes))],
                     ["id", "th", "set_key", "n", "nodes"])
 
-    return docs.select("id", "th", "t").mapInArrow(run, "id bigint, th binary, set_key binary, n int, nodes array<bigint>")
+    return docs.select("id", "th", "t").mapInArrow(trimmed(run), "id bigint, th binary, set_key binary, n int, nodes array<bigint>")
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray], keys_a: np.ndarray, keys_b: np.ndarray, tree: int,
@@ -243,7 +243,7 @@ def verify(cells: DataFrame, similarity: float) -> DataFrame:
             yield pack(solve(cell))
 
     dealt = cells.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return dealt.mapInArrow(run, "id bigint, set_key binary, root_id bigint, root_key binary, links bigint")
+    return dealt.mapInArrow(trimmed(run), "id bigint, set_key binary, root_id bigint, root_key binary, links bigint")
 
 
 def member(key: str, set_key: str) -> Column:

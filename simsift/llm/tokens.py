@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm.common import drop_path, fresh_path, slices, utf8
+from simsift.llm.common import drop_path, fresh_path, slices, trimmed, utf8
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
 BATCH_BYTES = 1 << 20
-CACHE_WORDS = 150_000           # words of one generation that a worker remembers; there are two
+CACHE_WORDS = 350_000           # words of one generation that a worker remembers; there are two
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"       # of Latin-1, lower case
 #: How the vocabulary splits a text.
 UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
@@ -160,7 +160,7 @@ def encode_documents(df: DataFrame, spec: str, text: str = "text", key: str = "d
                      pa.array([len(x) // width for x in ids], pa.int64()), part.column(2)],
                     ["doc_id", "ids", "n", "h"])
 
-    return src.mapInArrow(run, ENCODED)
+    return src.mapInArrow(trimmed(run), ENCODED)
 
 
 def id_counts(encoded: DataFrame, dtype: str) -> DataFrame:
@@ -175,7 +175,7 @@ def id_counts(encoded: DataFrame, dtype: str) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("ids").mapInArrow(trimmed(run), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def length_table() -> np.ndarray:
@@ -266,7 +266,7 @@ def write_token_files(df: DataFrame, spec: str, path: str, text: str = "text", k
 
     count = [partitions] if partitions else []
     ordered = encoded.repartitionByRange(*count, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "ids")
-    placed = ordered.mapInArrow(blocks, BLOCKS).select(F.spark_partition_id().cast("bigint").alias("part"), "*")
+    placed = ordered.mapInArrow(trimmed(blocks), BLOCKS).select(F.spark_partition_id().cast("bigint").alias("part"), "*")
     placed.write.mode("overwrite").parquet(files.blocks)
     drop_path(spark, raw_path)
     return files
@@ -304,4 +304,4 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return stored.select("part", "before", "n_docs", "n_tokens", "doc_ids", "known", "lengths", "control", "data") \
-        .mapInArrow(run, DECODED)
+        .mapInArrow(trimmed(run), DECODED)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm.common import slices, utf8
+from simsift.llm.common import slices, trimmed, utf8
 
 TRAIN_DOCS = (2500, 1200)       # bound of the labelled sample: clean, toxic
 CALIBRATE = 4                   # one sampled text in four sets the cut and is not fitted
@@ -367,7 +367,7 @@ def labelled_words(df: DataFrame, labels: DataFrame, learn: Column, text: str, k
                 out.append(sorted({unframed(blob[s:e]) for s, e in zip(starts[:-1], starts[1:])}))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.binary()))], ["k", "w"])
 
-    got = sorted(((r["k"], r["w"]) for r in sample.mapInArrow(words, "k bigint, w array<binary>").toLocalIterator()),
+    got = sorted(((r["k"], r["w"]) for r in sample.mapInArrow(trimmed(words), "k bigint, w array<binary>").toLocalIterator()),
                  key=lambda r: r[0])
     return [[bytes(w) for w in ws] for _, ws in got], np.array([y_of[k] for k, _ in got], np.int64)
 
@@ -389,7 +389,7 @@ def score(df: DataFrame, model: dict | None, text: str = "text", key: str = "doc
                                               pa.array((p >= 0.5).astype(np.int32), pa.int32())],
                                              ["doc_id", "score", "predicted"])
 
-    return src.mapInArrow(run, SCHEMA)
+    return src.mapInArrow(trimmed(run), SCHEMA)
 
 
 def drop_toxic(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
@@ -405,7 +405,7 @@ def drop_toxic(df: DataFrame, model: dict | None, text: str = "text") -> DataFra
             raw, off = utf8(b.column(at))
             yield b.filter(pa.array(net["a"] * (worst_words(net, raw, off) - net["b"]) < 0))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(trimmed(run), df.schema)
 
 
 def worst_words(net: dict, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
