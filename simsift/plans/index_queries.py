@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from simsift.functions import filters as flt
-from simsift.operators import ann, chunking, embed, layout, search, sparse, summary
+from simsift.operators import ann, chunking, embed, impacts, layout, search, sparse, summary
 from simsift.plans.chunk_queries import EMBED_DIM, sql_sentence_chunks
 from simsift.plans.feature_queries import FIXED_SQL, MATCH_QUERY, _filtered_sql, _uuid5_sql, sql_tokens, sql_words
 from simsift.plans.registry import register, sql_dot, sql_score
@@ -108,13 +108,29 @@ s AS (SELECT lp.id, round(sum(lp.val * q.qval), 6) AS score FROM lp JOIN q USING
 SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score FROM s ORDER BY score DESC, id LIMIT {K}"""
 
 
+def sparse_points(spark, sf_dir):
+    """The sparse vector of every document, folded once and stored by id."""
+    def write(path):
+        pts = sparse.collect_vectors(sparse_terms(spark, sf_dir))
+        pts.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(path)
+
+    return indexes.stored(spark, "sparse-points", sf_dir, write)
+
+
 @register("sparse_knn_scan", SPARSE_SQL)
 def sparse_knn_scan(spark, sf_dir):
-    """KNN-9/10 full-scan path: each row folds its own arrays of all its terms against the query."""
-    docs = tables.read_table(spark, sf_dir, "documents")
-    pts = sparse.collect_vectors(sparse.term_counts(docs, "text", "doc_id"))
+    """KNN-9/10 full-scan path: each stored row folds its own arrays of all its terms against the query."""
+    qi, qv = sparse.query_terms(TEXT_QUERY)
+    return sparse.knn_scan(sparse_points(spark, sf_dir), "sp", qi, qv, k=K)
+
+
+@register("sparse_knn_blocks", SPARSE_SQL)
+def sparse_knn_blocks(spark, sf_dir):
+    """KNN-10 by impact: the greatest postings first, until no other point can reach the top-10."""
+    blocks = indexes.stored(spark, "sparse-blocks", sf_dir, lambda path: impacts.write_blocks(
+        impacts.posting_blocks(sparse_terms(spark, sf_dir)), path))
     qi, qv = sparse.query_terms(TEXT_QUERY)
-    return sparse.knn_scan(pts, "sp", qi, qv, k=K)
+    return impacts.knn_block_max(blocks, sparse_points(spark, sf_dir), qi, qv, k=K)[0]
 
 
 @register("sparse_knn_inverted", SPARSE_SQL)
