@@ -8,6 +8,7 @@ from conftest import SF_SMALL
 from simsift.operators import cells
 from simsift.operators.knn_join import knn_join
 from simsift.plans import QUERIES
+from simsift.plans.cell_queries import cell_recall
 
 PARAMS = cells.CellParams(cells=40, rounds=4, part_dims=2)
 
@@ -114,5 +115,8 @@ def test_no_queries_and_wrong_parameters(spark, built):
 
 def test_registered_queries(spark):
     assert told(QUERIES["knn_pruned"](spark, SF_SMALL)) == told(QUERIES["knn_batch"](spark, SF_SMALL))
-    rows = QUERIES["ann_cells_recall"](spark, SF_SMALL).collect()
+    rows = cell_recall(spark, SF_SMALL).collect()
     assert sum(r.recall for r in rows) / len(rows) >= 0.9
+    hits = QUERIES["ann_cells"](spark, SF_SMALL).collect()
+    true = {(r.qid, r.id, r.score) for r in QUERIES["knn_batch"](spark, SF_SMALL).collect()}
+    assert len(true & {(r.qid, r.id, r.score) for r in hits}) >= 0.9 * len(true) and len(hits) == len(true)
