@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simsift.llm.common import cut, drop_path, sized_broadcast
+from simsift.llm.common import cut, drop_path, fresh_path, sized_broadcast
 from simsift.llm.ordered import numbered
 
 FANOUT = 8
@@ -193,7 +193,11 @@ def manifest(rows: DataFrame, group: Column, hashed: Column, claimed: Column, *,
     """
     lean = rows.select(F.col(id_col).cast("bigint").alias("id"), F.hex(group.cast("string").cast("binary")).alias("grp"),
                        hashed.alias("leaf"), claimed.alias("claimed"))       # hex digits sort like bytes
-    at, _ = numbered(lean, "grp", [F.col("id").asc_nulls_first(), F.col("leaf"), F.col("claimed")], label="manifest")
+    held = fresh_path(rows.sparkSession, "manifest-leaves")
+    lean.write.parquet(held)                                     # the sort samples its input; texts are hashed once
+    at, _ = numbered(rows.sparkSession.read.parquet(held), "grp", [F.col("id").asc_nulls_first(), F.col("leaf"), F.col("claimed")],
+                     label="manifest")
+    drop_path(rows.sparkSession, held)
     sizes = at.groupBy("grp").agg((F.max("pos") + 1).alias("n")).withColumn("all", F.lit(0))
     groups, path = numbered(sizes, "all", [F.col("grp").asc_nulls_first()], label="manifest-groups")
     groups = cut(groups.select(F.col("pos").alias("g"), F.col("grp").alias("name"), "n"))
