@@ -124,16 +124,32 @@ def test_insult_at_every_offset_of_a_long_word(insult, spaced):
 
 
 def test_toxicity_held_out(spark):
-    out = registry.QUERIES["op8_toxicity"](spark, SF_SMALL.replace("0.001", "0.1"))
-    labels = spark.read.parquet(SF_SMALL.replace("0.001", "0.1") + "/labels.parquet").select("doc_id", "toxic")
-    english = spark.read.parquet(SF_SMALL.replace("0.001", "0.1") + "/documents.parquet").where("lang = 'en'").select("doc_id")
-    rows = out.join(labels, "doc_id").join(english, "doc_id").where("held_out").collect()
-    toxic = [r for r in rows if r.toxic == 1]
-    clean = [r for r in rows if r.toxic == 0]
-    assert len(toxic) > 50
-    assert np.mean([r.predicted for r in toxic]) > 0.85        # some labels mark texts without an insult
-    assert np.mean([r.predicted for r in clean]) < 0.02
+    """Every language has the same bound on false alarms; a label that no word bears out cannot be found."""
+    sf = SF_SMALL.replace("0.001", "0.1")
+    out = registry.QUERIES["op8_toxicity"](spark, sf).cache()
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    rows = out.join(labels, "doc_id").join(docs, "doc_id").collect()
     assert all(r.predicted == int(r.score >= 0.5) for r in rows)
+    for lang in {r.lang for r in rows}:
+        for held in (True, False):
+            clean = [r.predicted for r in rows if r.lang == lang and r.toxic == 0 and r.held_out == held]
+            assert len(clean) > 50 and np.mean(clean) < 0.02
+    insults = "trash idiot pathetic worthless loser disgusting scum moron clown stupid".split()
+    toxic = [r for r in rows if r.held_out and r.toxic == 1]
+    found = [r for r in toxic if any(w in r.text.lower() for w in insults)]
+    assert len(found) > 40 and np.mean([r.predicted for r in found]) > 0.95
+    english = [r.predicted for r in toxic if r.lang == "en"]
+    assert len(english) > 50 and np.mean(english) > 0.85        # some labels mark texts without an insult
+    assert out.where("predicted = 1").join(docs, "doc_id").where("lang <> 'en'").count() < 40
+
+
+def test_labels_without_evidence_teach_nothing():
+    rng = np.random.default_rng(5)
+    docs = [[bytes(rng.integers(1, 27, 6).astype(np.uint8)) for _ in range(30)] for _ in range(200)]
+    assert toxicity.fit_sample(docs, (np.arange(200) % 5 == 0).astype(int)) is None
+    assert toxicity.chance(3, 1, 0.5) == pytest.approx(5 / 16)
+    assert toxicity.chance(0, 4, 0.3) == pytest.approx(1)
 
 
 @pytest.mark.parametrize("text", ["you IDIOT", "an id-iot", "i d i o t", "such an idi.ot"])
