@@ -6,9 +6,13 @@ a copy probability. Pairs of documents duel: mass (probability times words)
 moves from one to the other, in a random direction whose odds keep both
 expectations, until one of the two probabilities is 0 or 1. The expected words
 of a source are therefore kept by every duel, and only the last document of a
-source is rounded by itself, to the nearer count. Long documents duel first, so
-that a short one tends to be left: the words taken miss the target by half of
-the source's longest document at most, and by less as a rule.
+source is rounded by itself, to the nearer count. As mass is probability times
+words, a duel mostly decides the shorter document, so the last one is long and
+leaves its source up to half its words off. ``settle`` spreads that residue over
+whole copies of other documents of the source, the longest that fit first, down
+to its short ones: the words taken then miss the target by at most half of the
+shortest document that can still move towards it, and by less where shorter ones
+can move the other way.
 
 Duels run inside buckets of about 64 documents of one source (an ordered fold
 over a bounded array); the one undecided document of each bucket goes on to the
@@ -102,6 +106,54 @@ def play(units: DataFrame, level: int, seed: int) -> DataFrame:
     return cut(folded.select("source", "bucket", "r.done", "r.cur"))
 
 
+def settle(decided: DataFrame, per_source: DataFrame, seed: int) -> DataFrame:
+    """``decided`` with single copies added or dropped so that each source comes nearer its target.
+
+    Only a document rounded down can gain a copy and only one rounded up can lose one.
+    Per source the sizes of the documents that can move the right way are counted; a
+    fold over the distinct sizes, longest first, says how many of each size move, and
+    the documents with the smallest hash of a size are the ones. Where shorter
+    documents can move the other way, one more moves and the next call, the other way
+    round, takes back what was too much. What reaches one task is a source's distinct
+    sizes and the documents that move.
+    """
+    shares = per_source.select(F.col("source").alias("s"), "target",
+                               F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).alias("share"))
+    moves = decided.join(sized_broadcast(shares, 64), F.col("source").eqNullSafe(F.col("s"))).drop("s") \
+        .withColumn("gap", F.when(F.col("size") > 0, F.col("m") * F.col("share") - F.col("k")))
+    off = cut(moves.groupBy(F.col("source").alias("s")).agg(
+        (F.max("target") - F.sum(F.col("size") * F.col("k"))).alias("miss"),
+        F.min(F.when(F.col("gap") > 1e-9, F.col("size"))).alias("up"),
+        F.min(F.when(F.col("gap") < -1e-9, F.col("size"))).alias("down"))
+        .select("s", F.abs("miss").alias("need"), F.when(F.col("miss") > 0, 1).otherwise(-1).cast("bigint").alias("sign"),
+                F.when(F.col("miss") > 0, F.col("down")).otherwise(F.col("up")).alias("back")))
+    free = moves.join(sized_broadcast(off, 64), F.col("source").eqNullSafe(F.col("s"))) \
+        .where((F.col("sign") * F.col("gap") > 1e-9)
+               & ((F.col("size") < 2 * F.col("need")) | (F.col("back") < 2 * F.col("need"))))
+    by_size = free.groupBy("source", "need", "back", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = by_size.groupBy("source", "need", "back").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("hist"))
+    q = "least(e.n, cast(floor(acc.rest / e.size) AS bigint))"
+    fold = ("aggregate(hist, named_struct('rest', need, 'took', cast(array() AS array<struct<size:bigint,q:bigint>>), "
+            "'spare', cast(null AS bigint)), (acc, e) -> named_struct("
+            f"'rest', acc.rest - {q} * e.size, "
+            f"'took', IF({q} > 0, concat(acc.took, array(named_struct('size', e.size, 'q', {q}))), acc.took), "
+            f"'spare', IF({q} < e.n, e.size, acc.spare)))")              # the least size with a document left
+    picks = sizes.select("source", "back", F.expr(fold).alias("f"))
+    last = ("IF(f.spare < 2 * f.rest OR (f.spare IS NOT NULL AND back < 2 * f.rest), array(named_struct('size', f.spare, 'q', 1L)), "
+            "cast(array() AS array<struct<size:bigint,q:bigint>>))")
+    quota = cut(picks.select("source", F.expr(f"explode(concat(f.took, {last}))").alias("c"))
+                .groupBy("source", "c.size").agg(F.sum("c.q").alias("q"))
+                .select(F.col("source").alias("qs"), F.col("size").alias("qn"), "q"))
+    most = quota.agg(F.max("q")).collect()[0][0] or 0
+    hashed = Window.partitionBy("source", "size").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id"), "doc_id")
+    chosen = free.join(sized_broadcast(quota, 48), F.col("source").eqNullSafe(F.col("qs")) & (F.col("size") == F.col("qn"))) \
+        .withColumn("rn", F.row_number().over(hashed)).where(F.col("rn") <= most).where(F.col("rn") <= F.col("q"))
+    chosen = cut(chosen.select(F.col("source").alias("cs"), F.col("doc_id").alias("cd"), F.col("size").alias("cn"), "sign"))
+    return decided.join(sized_broadcast(chosen, 64), F.col("source").eqNullSafe(F.col("cs"))
+                        & F.col("doc_id").eqNullSafe(F.col("cd")) & (F.col("size") == F.col("cn")), "left") \
+        .select("source", "doc_id", "size", "m", (F.col("k") + F.coalesce("sign", F.lit(0))).alias("k"))
+
+
 def decide(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 20, text: str = "text",
            key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """Units (source, doc_id, size, m, k), ``m`` equal rows taken ``k`` times in all, and the table of sources."""
@@ -142,6 +194,8 @@ def decide(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
     decided = parts[0]
     for p in parts[1:]:
         decided = decided.unionByName(p)
+    for _ in range(2):                                     # there and back
+        decided = settle(decided, per_source, seed)
     return decided, per_source
 
 
