@@ -6,7 +6,9 @@ a line begins or goes on in a turn. A line is observed through its speaker
 marker, whether a blank line came before it, its length class and a closing
 question mark. Start, transition and emission probabilities are counted on
 labelled conversations; Viterbi finds the most likely states, and every run of
-lines of one turn is rendered under a canonical header, markers removed.
+lines of one turn is rendered under a canonical header. The marker of the line that
+begins a turn is removed; other lines that look like markers, and blank lines inside
+a turn, stay as they are.
 
 All pieces are sorted by conversation, number and text over ranges of that order, and
 each sorted partition is cut into chunks of at most 64 pieces and about a megabyte, so
@@ -17,7 +19,8 @@ tree, 64 at a time; going down again gives the states at the chunk borders, and
 chunks are then decoded between known borders. The result is the exact Viterbi path
 of the whole conversation.
 
-Defined results: NULL or empty pieces add a blank line; conversations without any
+Defined results: NULL or empty pieces add a blank line; blank lines around a turn
+are dropped (and, inside a turn, those that fill a whole sorted partition); conversations without any
 text give no turn; pieces with the same number are ordered by their text; a NULL
 conversation id is a conversation of its own; roles outside the learned set are
 not learned; without labelled rows every line continues one ``user`` turn; further
@@ -62,20 +65,34 @@ def observe(line: str, after_blank: bool) -> tuple[int, str]:
     return ((mark * 2 + after_blank) * 6 + size) * 2 + rest.rstrip().endswith("?"), rest
 
 
-def lines_of(pieces: list[str | None], after_blank: bool) -> list[tuple[int, int, int, str]]:
-    """(piece, line, symbol, text) of the lines with content."""
+def lines_of(pieces: list[str | None], after_blank: bool, blanks: int = 0) -> list[tuple[int, int, int, str, str, int]]:
+    """(piece, line, symbol, text without a marker, whole line, blank lines before it) of the lines with content.
+
+    ``blanks`` blank lines stand before the pieces; ``after_blank`` also holds at the start of a conversation.
+    """
     out = []
     for p, piece in enumerate(pieces):
         for n, line in enumerate((piece or "").split("\n")):
             if not line.strip():
-                after_blank = True
+                blanks += 1
                 continue
-            symbol, rest = observe(line, after_blank)
-            out.append((p, n, symbol, rest))
-            after_blank = False
+            symbol, rest = observe(line, after_blank if not out and not blanks else blanks > 0)
+            out.append((p, n, symbol, rest, line, blanks))
+            blanks = 0
     return out
 
 
+def blank_tail(pieces: list[str | None]) -> int:
+    """Blank lines at the end of the pieces (of all their lines when none has content)."""
+    n = 0
+    for piece in reversed(pieces):
+        for line in reversed((piece or "").split("\n")):
+            if line.strip():
+                return n
+            n += 1
+    return n
+
+
 def estimate(transitions: dict[tuple[int, int], int], emissions: dict[tuple[int, int], int]) -> dict:
     """Log probabilities from counts, smoothed; a turn goes on only in its own role.
 
@@ -155,15 +172,21 @@ def borders(matrices: list[np.ndarray], before: int | None = None, end: int | No
     return out[::-1]
 
 
-def turns(lines: list[tuple[int, int, int, str]], states: list[int]) -> list[tuple[int, int, str, bool, str]]:
-    """(piece, line, role, begins, text) of each run of lines of one turn."""
+def turns(lines: list[tuple[int, int, int, str, str, int]], states: list[int]) -> list[tuple[int, int, str, bool, str]]:
+    """(piece, line, role, begins, text) of each run of lines of one turn.
+
+    Only the line that begins a turn loses its marker; the others, and the blank
+    lines between them, stay as they are.
+    """
     out: list[list] = []
-    for (p, n, _, rest), s in zip(lines, states):
-        if s % 2 == 0 or not out:
-            out.append([p, n, ROLES[s // 2], s % 2 == 0, [rest]])
+    for (p, n, _, rest, line, blanks), s in zip(lines, states):
+        if s % 2 == 0:
+            out.append([p, n, ROLES[s // 2], True, [rest] if rest.strip() else []])
+        elif not out:
+            out.append([p, n, ROLES[s // 2], False, [""] * blanks + [line]])
         else:
-            out[-1][4].append(rest)
-    return [(p, n, r, b, "\n".join(x).strip()) for p, n, r, b, x in out]
+            out[-1][4].extend([""] * (blanks if out[-1][4] else 0) + [line])
+    return [(p, n, r, b, "\n".join(x)) for p, n, r, b, x in out]
 
 
 def render(role: str, begins: bool, text: str) -> str:
@@ -192,7 +215,7 @@ def learn(df: DataFrame, conv: str, order: str, text: str, role: str) -> dict:
                     continue
                 begin = 2 * ROLES.index(r)
                 prev = START if before is None else 2 * ROLES.index(before) + 1
-                for i, (_, _, o, _) in enumerate(got):
+                for i, (_, _, o, *_) in enumerate(got):
                     s = begin if i == 0 else begin + 1
                     # a turn of one line ends in its first state: both forms lead to the next turn
                     for a in ((prev, prev - 1) if i == 0 and prev != START else (prev,)):
@@ -214,8 +237,9 @@ def chunked(df: DataFrame, conv: str, order: str, text: str) -> DataFrame:
     """(conv_id, part, seq, first, blank, last, tail, ps): chunks of pieces in order, written and read again.
 
     ``(part, seq)`` orders the chunks. ``first`` and ``last`` say whether the conversation begins and
-    ends with the chunk as far as its partition shows, ``blank`` and ``tail`` whether a blank line
-    stands before it and at its end.
+    ends with the chunk as far as its partition shows, ``blank`` and ``tail`` how many blank lines
+    stand before it and at its end. Blank pieces before the first line of a chunk are only counted,
+    so every chunk holds a line.
     """
     src = df.select(F.col(conv).alias("conv_id"), F.col(order).cast("bigint").alias("o"), F.col(text).alias("t"))
     conv_type = src.schema["conv_id"].dataType.simpleString()
@@ -223,19 +247,19 @@ def chunked(df: DataFrame, conv: str, order: str, text: str) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        part, seq, ps, size, c, first, blank = TaskContext.get().partitionId(), 0, [], 0, None, True, True
+        part, seq, ps, size, c, first, blank = TaskContext.get().partitionId(), 0, [], 0, None, True, 0
         names = ["conv_id", "part", "seq", "first", "blank", "last", "tail", "ps"]
         conv_arrow = None
 
         def close(last):
             nonlocal seq, ps, size, first, blank
-            tail = not (ps[-1]["t"] or "").rsplit("\n", 1)[-1].strip()
+            tail = blank_tail([p["t"] for p in ps])
             row = (c, part, seq, first, blank, last, tail, ps)
-            seq, ps, size, first, blank = seq + 1, [], 0, last, last or tail
+            seq, ps, size, first, blank = seq + 1, [], 0, last, 0 if last else tail
             return row
 
         def pack(rows):
-            types = [conv_arrow, pa.int64(), pa.int64(), *[pa.bool_()] * 4, pa.list_(pa.struct([("o", pa.int64()), ("t", pa.string())]))]
+            types = [conv_arrow, pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.struct([("o", pa.int64()), ("t", pa.string())]))]
             cols = list(zip(*rows)) if rows else [()] * 8
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names)
 
@@ -244,7 +268,12 @@ def chunked(df: DataFrame, conv: str, order: str, text: str) -> DataFrame:
             for ident, o, t in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if ps and (ident != c or len(ps) == CHUNK or size >= CHUNK_BYTES):
                     out.append(close(ident != c))
+                elif not ps and ident != c:
+                    first, blank = True, 0
                 c = ident
+                if not ps and not (t or "").strip():
+                    blank += (t or "").count("\n") + 1
+                    continue
                 ps.append({"o": o, "t": t})
                 size += len(t or "")
             yield pack(out)
@@ -255,8 +284,8 @@ def chunked(df: DataFrame, conv: str, order: str, text: str) -> DataFrame:
     # rows equal in all columns may lie in any order: the last column only spreads them
     (src.withColumn("spread", F.monotonically_increasing_id()).repartitionByRange("conv_id", "o", "t", "spread")
      .sortWithinPartitions("conv_id", "o", "t").select("conv_id", "o", "t")
-     .mapInArrow(run, f"conv_id {conv_type}, part bigint, seq bigint, first boolean, blank boolean, last boolean, "
-                      "tail boolean, ps array<struct<o: bigint, t: string>>").write.parquet(at))
+     .mapInArrow(run, f"conv_id {conv_type}, part bigint, seq bigint, first boolean, blank bigint, last boolean, "
+                      "tail bigint, ps array<struct<o: bigint, t: string>>").write.parquet(at))
     return df.sparkSession.read.parquet(at)
 
 
@@ -333,10 +362,10 @@ def parse(df: DataFrame, model: dict, conv: str = "conv_id", order: str = "turn"
             ids, nums, out = [], [], []
             for i, (c, part, seq, first, blank, last) in enumerate(zip(*(b.column(k).to_pylist() for k in range(6)))):
                 if seq == 0 and part in inside:
-                    first, blank = False, inside[part]
+                    first, blank = False, blank + inside[part]
                 if first and last and (part, seq) not in left:
                     continue                                # a whole conversation
-                symbols = [x[2] for x in lines_of([p["t"] for p in b.column(6)[i].as_py()], blank)]
+                symbols = [x[2] for x in lines_of([p["t"] for p in b.column(6)[i].as_py()], first or blank > 0, blank)]
                 ids.append(c)
                 nums.append(part * most + seq)
                 out.append(matrix(m, symbols, first).ravel().tolist())
@@ -347,14 +376,16 @@ def parse(df: DataFrame, model: dict, conv: str = "conv_id", order: str = "turn"
              .mapInArrow(matrices, f"conv_id {conv_type}, n bigint, m array<double>"))
     known = cut(border_states(ms, conv_type, parts * most))
     ready = chunks.withColumn("n", F.col("part") * most + F.col("seq")).drop("last") \
-        .join(sized_broadcast(known, 40), "n", "left").select("conv_id", "ps", "before", "last", "part", "seq", "blank")
+        .join(sized_broadcast(known, 40), "n", "left").select("conv_id", "ps", "before", "last", "part", "seq", "first", "blank")
 
     def decode(batches):
         m = model_of.value
         for b in batches:
             rows = []
-            for c, ps, before, last, part, seq, blank in zip(*(b.column(i).to_pylist() for i in range(7))):
-                lines = lines_of([p["t"] for p in ps], inside.get(part, blank) if seq == 0 else blank)
+            for c, ps, before, last, part, seq, first, blank in zip(*(b.column(i).to_pylist() for i in range(8))):
+                if seq == 0 and part in inside:
+                    first, blank = False, blank + inside[part]
+                lines = lines_of([p["t"] for p in ps], first or blank > 0, blank)
                 for p, n, role, begins, text_ in turns(lines, viterbi(m, [x[2] for x in lines], before, last)):
                     rows.append((c, ps[p]["o"], n, role, begins, text_, render(role, begins, text_)))
             cols = list(zip(*rows)) if rows else [()] * 7

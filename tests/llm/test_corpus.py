@@ -451,6 +451,30 @@ def test_functions_reach_workers_by_value():
     assert out.stdout.strip() == str(tokens.pack(np.array([1, 300], np.uint32)))
 
 
+def test_chat_keeps_the_lines_of_a_body(spark, monkeypatch):
+    """Blank lines and lines that look like markers inside a turn come back as they were, across chunk borders too."""
+    bodies = ["see\ncontext: keep this word\n\n  indented\n\n\nend", "one line", "list:\n\ninstructions: first\nsystem: second", "fine\n\nthanks"]
+    turns = [(c, t, ("User: " if t % 2 == 0 else "AI: ") + bodies[(c + t) % 4], "user" if t % 2 == 0 else "assistant")
+             for c in range(40) for t in range(8)]
+    known = spark.createDataFrame([(c, t, "\n" + text, r) for c, t, text, r in turns],
+                                  "conv_id bigint, turn int, text string, role string")
+    model = chat.learn(known, "conv_id", "turn", "text", "role")
+    pieces = []
+    for c in range(6):                                      # a piece for each line, and blank ones between the turns
+        text = "\n\n".join(t[2] for t in turns if t[0] == c)
+        pieces += [(c, i, line or None) for i, line in enumerate(text.split("\n"))]
+    df = spark.createDataFrame(pieces, "conv_id bigint, turn int, text string").repartition(4)
+    for chunk in (64, 3):
+        monkeypatch.setattr(chat, "CHUNK", chunk)
+        out = defaultdict(list)
+        for r in sorted(chat.parse(df, model).collect(), key=lambda r: (r.conv_id, r.piece, r.line)):
+            if r.begins:
+                out[r.conv_id].append([r.role, r.text])
+            else:
+                out[r.conv_id][-1][1] += "\n" + r.text
+        assert dict(out) == {c: [[t[3], bodies[(c + t[1]) % 4]] for t in turns if t[0] == c] for c in range(6)}
+
+
 def test_chunks_are_bounded_whatever_the_turn_numbers(spark, monkeypatch):
     """NULL conversations, NULL and repeated turns, a long one: bounded chunks and the path of the whole."""
     rows = [(None, None if i % 2 else 3, f"{'User' if i % 3 else 'AI'}: line {i:03d}" + "\n" * (i % 4 == 0)) for i in range(700)]
