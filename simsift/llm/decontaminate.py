@@ -11,6 +11,9 @@ bit-parallel edit distance, vectorised over the hits of a batch.
 The test items are taken in blocks of bounded size; each block is one broadcast
 and one pass over the documents, so any number of items works.
 
+With ``word_borders`` an item too short for an edit (19 characters or fewer) must
+stand between word borders, as the registered query and the pipeline ask.
+
 Defined results: NULL and empty texts and items match nothing; an item that
 occurs twice is reported under each of its ids; a hit is reported once per
 document row and item, with its smallest distance and the span in the
@@ -124,7 +127,7 @@ class Matcher:
             points[ord(c)] = i
         self.points = points
 
-    def search(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+    def search(self, texts: list[str], word_borders: bool = False) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item, distance, start, end) for every item found in normalised texts."""
         if not self.owner:
             return
@@ -154,6 +157,8 @@ class Matcher:
                 n, probe = int(part[i, 0]), int(part[i, 1])
                 stop = int(first[i] + end[i])
                 start = max(0, stop - int(self.lengths[probe]))
+                if word_borders and k[i] == 0 and (texts[n][max(0, start - 1):start].strip() or texts[n][stop:stop + 1].strip()):
+                    continue                                # an exact item inside longer words
                 row = best.setdefault((n, self.owner[probe]), [int(distance[i]), start, stop])
                 row[:] = min(row[0], int(distance[i])), min(row[1], start), max(row[2], stop)
         for (n, item), (d, s, e) in best.items():
@@ -176,19 +181,19 @@ def item_blocks(items: DataFrame, text: str, key: str, limit: int = BLOCK_CHARS)
         yield block
 
 
-def matches(shared, b: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, int, int, int]]:
+def matches(shared, b: pa.RecordBatch, column: int, word_borders: bool) -> Iterator[tuple[int, int, int, int, int]]:
     """Hits of one Arrow batch as (row, item, distance, start, end)."""
     matcher = Matcher(shared.value) if not hasattr(shared, "_matcher") else shared._matcher
     shared._matcher = matcher
     _, off = utf8(b.column(column))
     for lo, hi in slices(off, SLICE_BYTES):
         texts = [normal(t) if t else "" for t in b.column(column).slice(lo, hi - lo).to_pylist()]
-        for n, *rest in matcher.search(texts):
+        for n, *rest in matcher.search(texts, word_borders):
             yield lo + n, *rest
 
 
 def find_hits(df: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id",
-              item_text: str = "text", item_key: str = "item_id") -> DataFrame:
+              item_text: str = "text", item_key: str = "item_id", word_borders: bool = False) -> DataFrame:
     """(doc_id, item_id, distance, start, end): every test item found in every document."""
     spark = df.sparkSession
     src = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("t"))
@@ -198,7 +203,7 @@ def find_hits(df: DataFrame, items: DataFrame, text: str = "text", key: str = "d
 
         def run(batches, shared=shared):
             for b in batches:
-                rows = list(matches(shared, b, 1))
+                rows = list(matches(shared, b, 1, word_borders))
                 ids = b.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array([r[1] for r in rows], pa.int64()),
@@ -211,7 +216,7 @@ def find_hits(df: DataFrame, items: DataFrame, text: str = "text", key: str = "d
 
 
 def drop_hits(df: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text",
-              item_key: str = "item_id") -> DataFrame:
+              item_key: str = "item_id", word_borders: bool = False) -> DataFrame:
     """The rows of ``df`` that hold no test item, filtered in place with all their columns."""
     at = df.columns.index(text)
     out = df
@@ -221,7 +226,7 @@ def drop_hits(df: DataFrame, items: DataFrame, text: str = "text", item_text: st
         def run(batches, shared=shared):
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                clean[[r[0] for r in matches(shared, b, at)]] = False
+                clean[[r[0] for r in matches(shared, b, at, word_borders)]] = False
                 yield b.filter(pa.array(clean))
 
         out = out.mapInArrow(trimmed(run), df.schema)

@@ -69,7 +69,7 @@ def op3_mixing(spark, sf_dir):
 def op7_decontamination(spark, sf_dir):
     """Every benchmark item found in every document."""
     return decontaminate.find_hits(table(spark, sf_dir, "documents", "doc_id", "text"),
-                                   table(spark, sf_dir, "benchmark", "item_id", "text"))
+                                   table(spark, sf_dir, "benchmark", "item_id", "text"), word_borders=True)
 
 
 @register("op9_sharding")

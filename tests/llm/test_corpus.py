@@ -451,6 +451,21 @@ def test_functions_reach_workers_by_value():
     assert out.stdout.strip() == str(tokens.pack(np.array([1, 300], np.uint32)))
 
 
+def test_short_items_stand_between_word_borders(spark):
+    """Items of 1 to 19 characters against a search for whole words."""
+    rng = random.Random(4)
+    texts = ["I know nothing", "no", "oh no!", "clean an", "a" * 19, "b" + "a" * 19, "", None, "no-one, an"] + [
+        " ".join(rng.choice(["no", "an", "know", "nothing", "clean", "now"]) for _ in range(6)) for _ in range(40)]
+    items = ["no", "an", "know nothing", "a" * 19, "now no", "nothing clean now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    want = {(i, j) for i, t in enumerate(texts) for j, x in enumerate(items)
+            if f" {x} " in f" {decontaminate.normal(t or '')} "}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_hits(df, bench, word_borders=True).collect()} == want
+    kept = {r.doc_id for r in decontaminate.drop_hits(df, bench, word_borders=True).collect()}
+    assert kept == set(range(len(texts))) - {i for i, _ in want} and 0 not in {i for i, j in want if j == 0}
+
+
 def test_chat_keeps_the_lines_of_a_body(spark, monkeypatch):
     """Blank lines and lines that look like markers inside a turn come back as they were, across chunk borders too."""
     bodies = ["see\ncontext: keep this word\n\n  indented\n\n\nend", "one line", "list:\n\ninstructions: first\nsystem: second", "fine\n\nthanks"]
