@@ -29,7 +29,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontaminate.drop_hits(docs, items)
+    return decontaminate.drop_hits(docs, items, word_borders=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ STAGES = [
     ("token_files", token_files),
 ]
 
-#: The trained model and the rounding of the mix have no SQL form; see tests/llm/test_pipeline.py.
+#: The trained model and the rounding of the mix have no SQL form; see tests/llm/.
 ORACLE_SQL = None
 
 
