@@ -24,7 +24,9 @@ Searches take many queries at once:
 
 Up to ``block_rows`` queries are broadcast to where the index is read. More of them
 are cut into blocks by a hash of their id and meet the index in a cogrouped shuffle,
-points repeated once a block. Scores follow the library's contract: rounded to 6
+points repeated once a block. A task scores about ``SLICE_SCORES`` (point, query) pairs at
+once and carries every query's last score that still counts, so its memory depends on the
+queries of a block, not on batches or cells. Scores follow the library's contract: rounded to 6
 places by Spark, ties by id.
 """
 
@@ -39,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from simsift.functions.vectors import COSINE, SCORE_DIGITS, score
+from simsift.operators.batches import pieces, trimmed
 from simsift.session import checkpoint_dir
 
 # functions of this module run in Arrow tasks; they travel by value, so executors need not have the package
@@ -46,6 +49,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Queries of one broadcast block, points of one block of the cogrouped form.
 BLOCK_ROWS, POINT_BLOCK_ROWS = 2048, 50_000
+# Scores computed at once; rows assigned to centroids, and queries to cells, at once.
+SLICE_SCORES, SLICE_ROWS = 1 << 19, 512
 MAX_CELLS = 4096
 CODES = 256
 # Rounding room of an angle (arc cosine near 1 keeps half the digits).
@@ -115,7 +120,7 @@ def _lloyd(sample: DataFrame, start: np.ndarray, rounds: int, spherical: bool) -
     def partial(block):
         def run(batches):
             sums, n = np.zeros((parts * k, sub)), np.zeros(parts * k, np.int64)
-            for rb in batches:
+            for rb in pieces(batches, SLICE_ROWS):
                 _, x, _ = _matrix(rb.column(0), dim)
                 for p in range(parts):
                     piece = x[:, p * sub:(p + 1) * sub]
@@ -142,7 +147,7 @@ def _lloyd(sample: DataFrame, start: np.ndarray, rounds: int, spherical: bool) -
     out = "cell int, n bigint, total array<double>"
     for _ in range(rounds):
         block = spark.sparkContext.broadcast(at)
-        rows = sample.mapInArrow(partial(block), out).repartition("cell").mapInArrow(merged, out).collect()   # parts * k rows
+        rows = sample.mapInArrow(trimmed(partial(block)), out).repartition("cell").mapInArrow(merged, out).collect()   # parts * k rows
         moved = at.reshape(parts * k, sub).copy()
         for r in rows:
             mean = np.round(np.array(r.total) / r.n, 9)
@@ -188,7 +193,7 @@ def build(points: DataFrame, model: CellModel, *, vector: str = "vector", id_col
 
     def run(batches):
         cents, parts = block.value
-        for rb in batches:
+        for rb in pieces(batches, SLICE_ROWS):
             good, x, _ = _matrix(rb.column(1), dim)
             cell = _nearest(x, cents, True)
             angle = np.arccos(np.clip((x * cents[cell]).sum(axis=1), -1.0, 1.0))
@@ -203,7 +208,7 @@ def build(points: DataFrame, model: CellModel, *, vector: str = "vector", id_col
 
     rows = points.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("vector"))
     kind = rows.schema["vector"].dataType.simpleString()
-    return rows.mapInArrow(run, f"cell int, angle double, id long, codes binary, vector {kind}")
+    return rows.mapInArrow(trimmed(run), f"cell int, angle double, id long, codes binary, vector {kind}")
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -242,6 +247,14 @@ def nearest_cells(t, sizes, points: int):
     return out & (sizes > 0)
 
 
+def _probed(t, sizes, points: int):
+    """:func:`nearest_cells` of many queries, some at once."""
+    out = np.zeros(t.shape, bool)
+    for a in range(0, len(t), SLICE_ROWS):
+        out[a:a + SLICE_ROWS] = nearest_cells(t[a:a + SLICE_ROWS], sizes, points)
+    return out
+
+
 def _rows(qids, ids, values):
     import pyarrow as pa
 
@@ -249,14 +262,23 @@ def _rows(qids, ids, values):
                                       names=["qid", "id", "raw"])
 
 
-def _best(out, keep: int, slack: float):
-    """Of ``(query row, id, score)`` arrays, every query's rows within ``slack`` of its ``keep``-th best score."""
+def _best(out, keep: int, slack: float, low):
+    """Of ``(query row, id, score)`` arrays, every query's rows within ``slack`` of its ``keep``-th best score.
+
+    That score becomes the query's ``low``. Of equal scores of a query only the ``keep`` smallest ids can count.
+    """
     q, i, s = (np.concatenate(c) for c in zip(*out))
     order = np.lexsort((i, -s, q))
     q, i, s = q[order], i[order], s[order]
-    first = np.searchsorted(q, q)                              # start of the query's run
-    last = np.minimum(first + keep, np.searchsorted(q, q, side="right")) - 1
-    fine = s >= s[last] - slack
+    new = np.ones(len(q), bool)
+    new[1:] = (q[1:] != q[:-1]) | (s[1:] != s[:-1])
+    place = np.arange(len(q))
+    fine = place - np.maximum.accumulate(np.where(new, place, 0)) < keep
+    q, i, s = q[fine], i[fine], s[fine]
+    first, after = np.searchsorted(q, q), np.searchsorted(q, q, side="right")      # of the query's run
+    full = after - first >= keep
+    low[q[full]] = s[np.minimum(first + keep, after) - 1][full]
+    fine = s >= low[q] - slack
     return q[fine], i[fine], s[fine]
 
 
@@ -269,6 +291,7 @@ def _scan(queries, cells, column, probe, prepare, evaluate, keep: int, slack: fl
     tells how many points were scored for a query.
     """
     held, scored, waiting = [], np.zeros(len(queries), np.int64), 0
+    low, room = np.full(len(queries), -np.inf), 2 * keep * len(queries) + SLICE_SCORES
     for rb in column:
         cell = rb.column(0).to_numpy(zero_copy_only=False)
         if not len(cell):
@@ -281,11 +304,9 @@ def _scan(queries, cells, column, probe, prepare, evaluate, keep: int, slack: fl
             who = np.flatnonzero(probe[:, c])
             if not len(who):
                 continue
-            rows = order[a:b]
+            rows, lo, hi = order[a:b], None, None
             if prune is None:
-                s = evaluate(values[rows], who)
                 scored[who] += len(rows)
-                fine = np.ones(s.shape, bool)
             else:
                 least, t = prune
                 reach = np.arccos(np.clip(least[who], -1.0, 1.0)) + ANGLE_SLACK
@@ -295,21 +316,29 @@ def _scan(queries, cells, column, probe, prepare, evaluate, keep: int, slack: fl
                 who, lo, hi = who[some], lo[some], hi[some]
                 if not len(who):
                     continue
-                rows, base = rows[lo.min():hi.max()], lo.min()
-                s = evaluate(values[rows], who)
                 scored[who] += hi - lo
-                at = np.arange(len(rows))[:, None] + base
-                fine = (at >= lo) & (at < hi) & (s >= least[who] - slack)
-            if s.shape[0] > keep:
-                kth = np.partition(s, s.shape[0] - keep, axis=0)[s.shape[0] - keep]
-                fine &= s >= kth - slack
-            r, w = np.nonzero(fine)
-            held.append((who[w], ids[rows][r], s[r, w]))
-            waiting += len(r)
-        if waiting > 40 * keep * max(1, len(queries)):
-            held, waiting = [_best(held, keep, slack)], 0
-    if held:
-        q, i, s = _best(held, keep, slack)
+            # the whole run, or the points that any of its queries reaches, in slices of bounded size
+            start, stop = (0, len(rows)) if lo is None else (lo.min(), hi.max())
+            step = max(1, SLICE_SCORES // len(who))
+            for at in range(start, stop, step):
+                part = rows[at:min(at + step, stop)]
+                s = evaluate(values[part], who)
+                fine = s >= low[who] - slack
+                if lo is not None:
+                    row = np.arange(at, at + len(part))[:, None]
+                    fine &= (row >= lo) & (row < hi) & (s >= least[who] - slack)
+                if len(part) > keep and np.isneginf(low[who]).any():
+                    kth = np.partition(s, len(part) - keep, axis=0)[len(part) - keep]
+                    fine &= s >= kth - slack
+                r, w = np.nonzero(fine)
+                held.append((who[w], ids[part][r], s[r, w]))
+                waiting += len(r)
+                if waiting > room:
+                    held = [_best(held, keep, slack, low)]
+                    waiting = len(held[0][0])
+                    room = waiting + keep * len(queries) + SLICE_SCORES
+    if waiting:
+        q, i, s = _best(held, keep, slack, low)
         yield _rows(queries[q], i, s)
     told = np.flatnonzero(scored)
     import pyarrow as pa
@@ -331,7 +360,7 @@ def _against(index: DataFrame, column: str, queries: DataFrame, block_rows: int,
         def run(batches):
             yield from make(block.value)(batches)
 
-        return data.mapInArrow(run, out)
+        return data.mapInArrow(trimmed(run), out)
     nq, np_ = -(-n // block_rows), max(1, -(-data.count() // point_block_rows))
 
     def both(points, asked):
@@ -387,9 +416,11 @@ def scan_approximate(index: DataFrame, model: CellModel, queries: DataFrame, *,
         def run(batches):
             cents, parts, size = block.value
             qids, unit = _asked(asked, dim)
-            probe = nearest_cells(np.arccos(np.clip(unit @ cents.T, -1.0, 1.0)), size, share * size.sum())
+            probe = _probed(np.arccos(np.clip(unit @ cents.T, -1.0, 1.0)), size, share * size.sum())
             if codes:
-                tables = np.stack([unit[:, p * sub:(p + 1) * sub] @ parts[p].T for p in range(len(parts))], axis=1).astype(np.float32)
+                tables = np.empty((len(unit), len(parts), parts.shape[1]), np.float32)
+                for p in range(len(parts)):
+                    tables[:, p] = unit[:, p * sub:(p + 1) * sub] @ parts[p].T
 
                 def prepare(col):
                     return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(len(col), len(parts))
@@ -442,7 +473,7 @@ def scan_exact(index: DataFrame, model: CellModel, queries: DataFrame, *, k: int
         cents, size, far = block.value
         t = np.arccos(np.clip(unit @ cents.T, -1.0, 1.0))
         if first:
-            probe, prune = nearest_cells(t, size, k), None
+            probe, prune = _probed(t, size, k), None
         else:
             reach = np.arccos(np.clip(least_of, -1.0, 1.0)) + ANGLE_SLACK
             probe, prune = (t - far <= reach[:, None]) & (size > 0), (least_of, t)

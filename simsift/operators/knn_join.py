@@ -11,8 +11,13 @@ passes through the driver; its blocks meet the point blocks in a cogrouped
 shuffle, points repeated once per query block. The work is inherently
 queries x points; blocks only bound memory.
 
+A task scores points in slices of about ``SLICE_SCORES`` scores and carries, for each
+query, the k-th best score so far; only rows that reach it are held. So its memory
+depends on queries x k, not on how many points a batch or a block holds.
+
 Ranking is decided by Spark's own rounding: a task keeps every row within half a
-rounding step of its k-th best raw score, and the final window breaks ties by id.
+rounding step of its k-th best raw score, and the final window breaks ties by id. Of
+rows with one and the same raw score only the k smallest ids can be hits.
 """
 
 from __future__ import annotations
@@ -21,33 +26,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsift.functions.vectors import COSINE, DOT, SCORE_DIGITS
+from simsift.operators.batches import trimmed
 
 # A block of 4,096 queries x 1,536 float64 dims is 48 MiB inside each task.
 DEFAULT_BLOCK_ROWS = 4096
 # Points of one block of the cogrouped form.
 POINT_BLOCK_ROWS = 50_000
+# Scores that a task computes at once (float64).
+SLICE_SCORES = 1 << 19
 
 _PARTIAL = "qid long, id long, raw_score double"
 
 
 def _scorer(k: int, metric: str):
-    """Returns ``best(qids, qmat, ids, x) -> (qid, id, raw)``; self-contained, as it runs on executors."""
-    cosine, slack = metric == COSINE, 10.0 ** -SCORE_DIGITS
+    """Returns ``best(qids, qmat, blocks) -> (qid, id, raw)`` over a stream of ``(ids, x)``; self-contained, as it
+    runs on executors."""
+    cosine, slack, slice_scores = metric == COSINE, 10.0 ** -SCORE_DIGITS, SLICE_SCORES
+
+    def cut(held, low):
+        """The rows of each query within ``slack`` of its k-th best, which becomes its ``low``."""
+        import numpy as np
 
-    def best(qids, qmat, ids, x):
+        q, i, s = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((i, -s, q))
+        q, i, s = q[order], i[order], s[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1]) | (s[1:] != s[:-1])
+        place = np.arange(len(q))
+        fine = place - np.maximum.accumulate(np.where(new, place, 0)) < k          # of equal scores the k smallest ids
+        q, i, s = q[fine], i[fine], s[fine]
+        first, after = np.searchsorted(q, q), np.searchsorted(q, q, side="right")
+        full = after - first >= k
+        low[q[full]] = s[np.minimum(first + k, after) - 1][full]
+        fine = s >= low[q] - slack
+        return q[fine], i[fine], s[fine]
+
+    def best(qids, qmat, blocks):
         import numpy as np
 
-        s = x @ qmat.T
-        if cosine:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                s = s / (np.sqrt((x * x).sum(axis=1))[:, None] * np.sqrt((qmat * qmat).sum(axis=1))[None, :])
-        s = np.where(np.isfinite(s), s, -np.inf)
-        if len(ids) > k:
-            kth = np.partition(s, len(ids) - k, axis=0)[len(ids) - k]
-            rows, cols = np.nonzero((s >= kth - slack) & (s > -np.inf))
-        else:
-            rows, cols = np.nonzero(s > -np.inf)
-        return qids[cols], ids[rows], s[rows, cols]
+        nq, held, waiting = len(qids), [], 0
+        low, qnorm = np.full(nq, -np.inf), np.sqrt((qmat * qmat).sum(axis=1))
+        step, room = max(1, slice_scores // max(1, nq)), 2 * k * nq + slice_scores
+        for all_ids, points in blocks:
+            for a in range(0, len(all_ids), step):
+                ids, x = all_ids[a:a + step], points[a:a + step].astype(np.float64)
+                s = x @ qmat.T
+                if cosine:
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        s /= np.sqrt((x * x).sum(axis=1))[:, None] * qnorm[None, :]
+                s[~np.isfinite(s)] = -np.inf
+                least = low
+                if len(ids) > k and np.isneginf(low).any():
+                    least = np.maximum(low, np.partition(s, len(ids) - k, axis=0)[len(ids) - k])
+                rows, cols = np.nonzero((s >= least - slack) & (s > -np.inf))
+                held.append((cols, ids[rows], s[rows, cols]))
+                waiting += len(rows)
+                if waiting > room:
+                    held = [cut(held, low)]
+                    waiting = len(held[0][0])
+                    room = waiting + k * nq + slice_scores
+        if not waiting:
+            return [], [], []
+        q, i, s = cut(held, low)
+        return qids[q], i, s
 
     return best
 
@@ -69,34 +110,36 @@ def _functions(k: int, metric: str):
             dim = int(lens.max()) if len(lens) else 0
         good = lens == dim
         flat = pc.list_flatten(pc.filter(col, pa.array(good))).to_numpy(zero_copy_only=False)
-        return good, flat.astype(np.float64).reshape(int(good.sum()), dim)
+        return good, flat.reshape(int(good.sum()), dim)
+
+    def table(got):
+        import pyarrow as pa
+
+        return pa.table([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
+                        names=["qid", "id", "raw_score"])
 
     def against(block):
         def run(batches):
-            import pyarrow as pa
-
             qids, qmat = block.value
-            for rb in batches:
-                good, x = matrix(rb.column(1), qmat.shape[1])
-                ids = rb.column(0).to_numpy(zero_copy_only=False)[good]
-                got = best(qids, qmat, ids, x) if len(ids) else ([], [], [])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
-                    names=["qid", "id", "raw_score"])
-        return run
+
+            def blocks():
+                for rb in batches:
+                    good, x = matrix(rb.column(1), qmat.shape[1])
+                    yield rb.column(0).to_numpy(zero_copy_only=False)[good], x
+
+            yield from table(best(qids, qmat, blocks())).to_batches(max_chunksize=100_000)
+        return trimmed(run)
 
     def cogroup(points, queries):
-        import pyarrow as pa
+        import numpy as np
 
         got = ([], [], [])
         if points.num_rows and queries.num_rows:
             known, qmat = matrix(queries.column("qv"), None)
             good, x = matrix(points.column("v"), qmat.shape[1])
             ids = points.column("id").to_numpy()[good]
-            if len(ids):
-                got = best(queries.column("qid").to_numpy()[known], qmat, ids, x)
-        return pa.table([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
-                        names=["qid", "id", "raw_score"])
+            got = best(queries.column("qid").to_numpy()[known], qmat.astype(np.float64), [(ids, x)])
+        return table(got)
 
     return against, cogroup
 
