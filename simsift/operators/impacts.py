@@ -14,40 +14,85 @@ exactly from the stored vectors, so the answer equals the full scan's. An index
 with a negative query value, or with negative stored values, bounds nothing and
 is read whole. Points of the answer share an index with the query, as in the scan.
 
-Blocks come from one global sort numbered without a single-partition window, so a
-hot index spreads over tasks; the driver sees one row per query index a round.
+Blocks are cut from one global sort where its partitions lie (a hot index spreads over
+tasks), and numbered by the blocks of the partitions before; postings are shuffled once.
+The driver sees one row per query index a round.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsift.functions.vectors import SCORE_DIGITS
 from simsift.operators import sparse
-from simsift.operators.ids import sequential_ids
+from simsift.operators.batches import trimmed
 from simsift.operators.search import sized_broadcast
+from simsift.session import checkpoint_dir
 
 BLOCK_ROWS = 128
 FIRST_DEPTH = 4
 
 
+def _cut(block_rows: int):
+    """Arrow function: a partition's ``(idx, id, val)``, sorted, to its blocks, numbered from 0."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def blocks(idx, ids, vals, first):
+            at = idx.to_numpy(zero_copy_only=False)
+            no = first + np.arange(len(at)) // block_rows
+            new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (no[1:] != no[:-1])])
+            v = vals.to_numpy(zero_copy_only=False)
+            entries = pa.ListArray.from_arrays(pa.array(np.r_[new, len(at)].astype(np.int32)),
+                                               pa.StructArray.from_arrays([ids, vals], ["id", "val"]))
+            return pa.RecordBatch.from_arrays(
+                [idx.take(pa.array(new)), pa.array(no[new]), pa.array(np.maximum.reduceat(v, new)),
+                 pa.array(np.minimum.reduceat(v, new)), entries], names=["idx", "_local", "top", "least", "entries"])
+
+        rest, done = None, 0
+        for rb in batches:
+            cols = list(rb.columns) if rest is None else [pa.concat_arrays([a, b]) for a, b in zip(rest, rb.columns)]
+            full = len(cols[0]) // block_rows * block_rows         # what is left begins a block with the next batch
+            if full:
+                yield blocks(*(c.slice(0, full) for c in cols), done)
+            done += full // block_rows
+            rest = [pc.take(c, pa.array(np.arange(full, len(c)))) for c in cols]
+        if rest is not None and len(rest[0]):
+            yield blocks(*rest, done)
+
+    return trimmed(run)
+
+
 def posting_blocks(long: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(idx, block, top, least, entries)`` of a long ``(idx, id, val)`` table; blocks of an index are consecutive."""
+    """``(idx, block, top, least, entries)`` of a long ``(idx, id, val)`` table; blocks of an index are consecutive.
+
+    The blocks lie in order of (idx, block), as cut, and are checkpointed: range bounds come from sampling.
+    """
     if block_rows < 1:
         raise ValueError("block_rows must be positive")
-    rows = sequential_ids(long.select("idx", "id", F.col("val").cast("double").alias("val"),
-                                      (-F.col("val").cast("double")).alias("_down")).where("val IS NOT NULL"),
-                          ["idx", "_down", "id"], name="_n")
-    return (rows.groupBy("idx", F.floor(F.col("_n") / block_rows).alias("block"))
-            .agg(F.max("val").alias("top"), F.min("val").alias("least"), F.collect_list(F.struct("id", "val")).alias("entries")))
+    checkpoint_dir(long.sparkSession)
+    val = F.col("val").cast("double")
+    rows = long.select("idx", "id", val.alias("val"), (-val).alias("_down")).where("val IS NOT NULL")
+    ranged = rows.repartitionByRange("idx", "_down", "id").sortWithinPartitions("idx", "_down", "id").select("idx", "id", "val")
+    kinds = {f.name: f.dataType.simpleString() for f in ranged.schema}
+    cut = ranged.mapInArrow(_cut(block_rows), f"idx {kinds['idx']}, _local bigint, top double, least double, "
+                            f"entries array<struct<id:{kinds['id']},val:double>>")
+    held = cut.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.groupBy("_pid").agg((F.max("_local") + 1).alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))               # one row per partition
+    return held.join(F.broadcast(before), "_pid").select("idx", (F.col("_off") + F.col("_local")).alias("block"), "top",
+                                                         "least", "entries")
 
 
 def write_blocks(blocks: DataFrame, path: str) -> None:
-    """Files sorted by (idx, block), so that a search skips what it does not read."""
-    blocks.repartitionByRange("idx", "block").sortWithinPartitions("idx", "block").write.mode("overwrite").parquet(path)
+    """Files of :func:`posting_blocks`, which lie in order of (idx, block), so that a search skips what it does not read."""
+    blocks.write.mode("overwrite").parquet(path)
 
 
 @dataclass

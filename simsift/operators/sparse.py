@@ -68,6 +68,38 @@ def term_counts(df: DataFrame, text: str, id_col: str = "id") -> DataFrame:
     return tok.groupBy(idx.alias("idx"), "id").agg(F.count(F.lit(1)).cast("float").alias("val"))
 
 
+def term_vectors(df: DataFrame, text: str, id_col: str = "id", out: str = "sp") -> DataFrame:
+    """``(id, out struct<indices, values>)`` of texts, as :func:`term_counts` and :func:`collect_vectors` give them.
+
+    A text is one row, so its tokens are hashed, sorted and counted where it is read, without a shuffle.
+    Only texts that share an id meet: they are counted together in long form.
+    """
+    from simsift.functions.text import tokens
+    from simsift.operators.chunking import let
+    from simsift.operators.search import sized_broadcast
+
+    rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("_text"))
+
+    def counted(h):
+        starts = F.when(F.size(h) > 0, F.filter(F.sequence(F.lit(0), F.size(h) - 1),
+                                                lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1))))
+        return let(F.coalesce(starts, F.array().cast("array<int>")), lambda s: F.struct(
+            F.transform(s, lambda i: F.get(h, i)).alias("indices"),
+            F.transform(s, lambda i, n: (F.coalesce(F.get(s, n + 1), F.size(h)) - i).cast("float")).alias("values")))
+
+    hashes = F.sort_array(F.transform(tokens("_text"), lambda t: F.conv(
+        F.substring(F.md5(F.lower(t)), 1, 8), 16, 10).cast("long")))
+    lone = lambda r: r.select("id", let(hashes, counted).alias(out)).where(F.size(F.col(out)["indices"]) > 0)
+    twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("id").alias("_id"))
+    if twice.isEmpty():
+        return lone(rows)
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    few = sized_broadcast(twice)
+    twice = twice if few is None else few
+    shared = collect_vectors(term_counts(rows.join(twice, same, "left_semi"), "_text"), out)
+    return lone(rows.join(twice, same, "left_anti")).unionByName(shared)
+
+
 def query_terms(text: str) -> tuple[list[int], list[float]]:
     """A query text as ``(indices, values)``, hashed and counted like :func:`term_counts`."""
     import hashlib

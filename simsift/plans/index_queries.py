@@ -88,14 +88,9 @@ def text_search(spark, sf_dir):
 # ---- sparse ------------------------------------------------------------------
 
 def sparse_terms(spark, sf_dir):
-    """Inverted index over every term of every document, stored sorted by index."""
-    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-
-    def write(path):
-        long = sparse.term_counts(docs, "text")
-        long.repartitionByRange("idx", "id").sortWithinPartitions("idx", "id").write.mode("overwrite").parquet(path)
-
-    return indexes.stored(spark, "sparse", sf_dir, write)
+    """Inverted index over every term of every document, stored sorted by index; made from the stored vectors."""
+    return indexes.stored(spark, "sparse", sf_dir, lambda path: sparse.build_inverted(
+        sparse_points(spark, sf_dir), "sp", path))
 
 
 _Q_TERMS = ", ".join(f"({i}::BIGINT, {v}::DOUBLE)" for i, v in zip(*sparse.query_terms(TEXT_QUERY)))
@@ -109,12 +104,10 @@ SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id, score FROM s ORD
 
 
 def sparse_points(spark, sf_dir):
-    """The sparse vector of every document, folded once and stored by id."""
-    def write(path):
-        pts = sparse.collect_vectors(sparse_terms(spark, sf_dir))
-        pts.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(path)
-
-    return indexes.stored(spark, "sparse-points", sf_dir, write)
+    """The sparse vector of every document, counted where the document is read and stored."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return indexes.stored(spark, "sparse-points", sf_dir, lambda path: sparse.term_vectors(
+        docs, "text", id_col="doc_id").write.mode("overwrite").parquet(path))
 
 
 @register("sparse_knn_scan", SPARSE_SQL)
@@ -128,7 +121,7 @@ def sparse_knn_scan(spark, sf_dir):
 def sparse_knn_blocks(spark, sf_dir):
     """KNN-10 by impact: the greatest postings first, until no other point can reach the top-10."""
     blocks = indexes.stored(spark, "sparse-blocks", sf_dir, lambda path: impacts.write_blocks(
-        impacts.posting_blocks(sparse_terms(spark, sf_dir)), path))
+        impacts.posting_blocks(sparse.to_long(sparse_points(spark, sf_dir), "sp")), path))
     qi, qv = sparse.query_terms(TEXT_QUERY)
     return impacts.knn_block_max(blocks, sparse_points(spark, sf_dir), qi, qv, k=K)[0]
 
