@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simsift.functions.text import MAX_TOKENS, tokens
+from simsift.operators.batches import runs, trimmed
 
 # Sentence boundary and overlap of the sentence splitter; the
 # semantic splitter's breakpoint percentile and its neighbour buffer (one
@@ -25,6 +26,9 @@ SENTENCE_OVERLAP = 40
 SEMANTIC_PERCENTILE = 0.95
 SEMANTIC_BUFFER = 1
 
+# Tokens that the semantic pass holds at once, and tokens whose hash it remembers.
+SLICE_TOKENS, MEMO_TOKENS = 100_000, 200_000
+
 FIXED, SENTENCE, SEMANTIC = "fixed", "sentence", "semantic"
 
 
@@ -72,9 +76,9 @@ def fixed_chunks(df: DataFrame, text: str, *, size=MAX_TOKENS, keep=("id",)) ->
 
 
 def sentences(text) -> Column:
-    """Sentences of a text, empties dropped."""
+    """Sentences of a text as token arrays, each split once; empties dropped."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(c, SENTENCE_SPLIT), lambda s: F.size(tokens(s)) > 0)
+    return F.filter(F.transform(F.split(c, SENTENCE_SPLIT), lambda s: tokens(s)), lambda t: F.size(t) > 0)
 
 
 _BOUNDS = "array<struct<s:int,e:int>>"
@@ -90,7 +94,7 @@ def _pieces(toks: Column, size: Column) -> Column:
 def sentence_units(text, size) -> Column:
     """Sentences as token arrays; a sentence longer than ``size`` is cut by CHK-3."""
     sz = _size_col(size)
-    return F.flatten(F.transform(sentences(text), lambda s: _pieces(tokens(s), sz)))
+    return F.flatten(F.transform(sentences(text), lambda toks: _pieces(toks, sz)))
 
 
 def _pack(units: Column, counts: Column, size: Column, overlap: int) -> Column:
@@ -182,15 +186,19 @@ def semantic_chunks(df: DataFrame, text: str, *, key: str = "id", percentile: fl
     from simsift.operators.embed import EMBED_DIM
 
     cols = (key, *keep)
-    src = df.select(*cols, F.transform(sentences(text), lambda s: tokens(s)).alias("_sentences"))
-    chunked = src.mapInArrow(_semantic_pass(percentile, dim or EMBED_DIM),
+    src = df.select(*cols, sentences(text).alias("_sentences"))
+    chunked = src.mapInArrow(trimmed(_semantic_pass(percentile, dim or EMBED_DIM)),
                              T.StructType([*[src.schema[c] for c in cols],
                                            T.StructField("_chunks", T.ArrayType(T.StringType()))]))
     return chunked.select(key, F.posexplode("_chunks").alias("chunk_index", "chunk"), *keep)
 
 
 def _semantic_pass(percentile: float, dim: int):
-    """Arrow function: ``(.., sentences)`` -> ``(.., chunks)``. Self-contained, as it runs on executors."""
+    """Arrow function: ``(.., sentences)`` -> ``(.., chunks)``. Self-contained, as it runs on executors.
+
+    A batch is worked in slices of about ``SLICE_TOKENS`` tokens, whatever rows it holds.
+    """
+    slice_tokens, memo_tokens = SLICE_TOKENS, MEMO_TOKENS
 
     def run(batches):
         import hashlib
@@ -199,6 +207,7 @@ def _semantic_pass(percentile: float, dim: int):
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         step = Decimal("0.000001")
 
@@ -214,7 +223,7 @@ def _semantic_pass(percentile: float, dim: int):
             """Squared norms of the windows and products of neighbours, block by block."""
             m = len(ends)
             n2, dot = np.zeros(m, np.int64), np.zeros(max(m - 1, 0), np.int64)
-            block = 2048
+            block = 512
             for lo in range(0, m, block):
                 hi = min(m, lo + block)
                 a, z = max(0, lo - 1), min(m, hi + 2)        # sentences that the windows lo..hi need
@@ -234,43 +243,59 @@ def _semantic_pass(percentile: float, dim: int):
             return n2, dot
 
         memo = {}
+
+        def code(tok):
+            c = memo.get(tok)
+            if c is None:
+                c = memo[tok] = signed_bucket(tok)
+            return c
+
+        def breaks(codes, ends):
+            """The sentences after which a document breaks."""
+            n2, dot = window_products(codes, ends)
+            d = []
+            for i in range(len(ends) - 1):
+                den = math.sqrt(float(n2[i])) * math.sqrt(float(n2[i + 1]))
+                d.append(half_up(1.0 - float(dot[i]) / den) if den else None)
+            known = sorted(x for x in d if x is not None)
+            if not known:
+                return []
+            at = (len(known) - 1) * percentile
+            lo, hi = math.floor(at), math.ceil(at)
+            cut = half_up(known[lo] if lo == hi or known[lo] == known[hi]
+                          else (hi - at) * known[lo] + (at - lo) * known[hi])
+            return [i for i, x in enumerate(d) if x is not None and x > cut]
+
+        def chunks(col, held, words):
+            """The chunks of every row of ``col``; tokens stay in Arrow's buffers."""
+            if len(memo) > memo_tokens:
+                memo.clear()
+            flat = pc.list_flatten(pc.list_flatten(col))
+            enc = flat.dictionary_encode()
+            of = np.array([code(t) for t in enc.dictionary.to_pylist()], np.int64)
+            codes = of[enc.indices.to_numpy()]
+            ends = np.cumsum(words, dtype=np.int64)
+            ats, rows, a = [0], [0], 0
+            for m in held.tolist():
+                if m:
+                    first, mine = ats[-1], ends[a:a + m]
+                    ats += [int(mine[i]) for i in breaks(codes[first:mine[-1]], mine - first)]
+                    ats.append(int(mine[-1]))
+                    a += m
+                rows.append(len(ats) - 1)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ats, pa.int32()), flat), " ")
+            return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), joined)
+
         for b in batches:
-            out = []
-            for st in b.column(b.num_columns - 1).to_pylist():
-                if not st:
-                    out.append([])
-                    continue
-                if len(memo) > 500_000:
-                    memo.clear()
-                codes = []
-                for toks in st:
-                    for tok in toks:
-                        c = memo.get(tok)
-                        if c is None:
-                            c = memo[tok] = signed_bucket(tok)
-                        codes.append(c)
-                n2, dot = window_products(np.array(codes, np.int64), np.cumsum([len(t) for t in st]))
-                d = []
-                for i in range(len(st) - 1):
-                    den = math.sqrt(float(n2[i])) * math.sqrt(float(n2[i + 1]))
-                    d.append(half_up(1.0 - float(dot[i]) / den) if den else None)
-                known = sorted(x for x in d if x is not None)
-                cut = None
-                if known:
-                    at = (len(known) - 1) * percentile
-                    lo, hi = math.floor(at), math.ceil(at)
-                    cut = half_up(known[lo] if lo == hi or known[lo] == known[hi]
-                                  else (hi - at) * known[lo] + (at - lo) * known[hi])
-                chunks, open_ = [], list(st[0])
-                for i in range(1, len(st)):
-                    if cut is not None and d[i - 1] is not None and d[i - 1] > cut:
-                        chunks.append(" ".join(open_))
-                        open_ = []
-                    open_ += st[i]
-                chunks.append(" ".join(open_))
-                out.append(chunks)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(pa.string()))],
-                                             names=[*b.schema.names[:-1], "_chunks"])
+            col = b.column(b.num_columns - 1)
+            held = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = pc.list_value_length(pc.list_flatten(col)).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(held)])
+            until = np.concatenate([[0], np.cumsum(words)]).astype(np.int64)[ends[1:]]
+            for lo, hi in runs(1 + np.diff(until, prepend=0), slice_tokens):
+                part = b.slice(lo, hi - lo)
+                out = chunks(part.column(b.num_columns - 1), held[lo:hi], words[ends[lo]:ends[hi]])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], out], names=[*b.schema.names[:-1], "_chunks"])
 
     return run
 
@@ -297,7 +322,7 @@ def _semantic_native(df: DataFrame, text: str, *, key: str = "id", percentile: f
     keep = tuple(keep)
     docs = df.select(key, text, *keep)
     docs = docs.repartition(partitions, key) if partitions else docs.repartition(key)
-    rows = let(F.struct(F.transform(sentences(text), lambda s: tokens(s)).alias("st")),
+    rows = let(F.struct(sentences(text).alias("st")),
                lambda v: F.transform(v["st"], lambda x, i: F.struct(
                    i.alias("si"), x.alias("toks"), F.size(v["st"]).alias("m"))))
     sent = docs.select(key, *keep, F.inline(rows))

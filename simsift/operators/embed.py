@@ -16,7 +16,7 @@ is loaded once per Python worker), for when a real encoder is installed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simsift.functions.text import tokens
+from simsift.operators.batches import runs, trimmed
 
 # Fixed value: dimension of the built-in hashing embedder.
 EMBED_DIM = 256
+# Characters whose tokens a task holds at once, and tokens whose hash it remembers.
+SLICE_CHARS, MEMO_TOKENS = 1 << 18, 200_000
 
 
 def hashed_terms(df: DataFrame, keys: Sequence[str], text: str | Column, dim: int = EMBED_DIM,
@@ -53,35 +56,51 @@ def densify(terms: DataFrame, keys: Sequence[str], dim: int = EMBED_DIM, out: st
     return m.select(*keys, dense.alias(out))
 
 
-_WS = r"[ \t\n\x0b\f\r]+"
-
-
 def hashed_vector_udf(dim: int = EMBED_DIM):
     """Arrow-batched hashing embedder: narrow, one pass, no shuffle.
 
-    The distinct tokens of a batch are hashed once (md5 -> bucket and sign); the
-    vectors are summed by one scatter-add over (row, bucket). Same contract as
-    the native long form below. Non-deterministic only for the optimizer, so
-    that a plan that uses the vector twice still computes it once.
+    A task remembers the hashes (md5 -> bucket and sign) of up to ``MEMO_TOKENS``
+    tokens; the vectors are summed by one weighted count over (row, bucket). A batch
+    is worked in slices of about ``SLICE_CHARS`` characters, so that a task's memory
+    does not depend on how many rows a batch holds. Same contract as the native long
+    form below. Non-deterministic only for the optimizer, so that a plan that uses
+    the vector twice still computes it once.
     """
     import hashlib
-    import re
 
-    split = re.compile(_WS).split
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def hashed(texts: pd.Series) -> pd.Series:
-        parts = [[x for x in split(t) if x] if t is not None else [] for t in texts]
-        flat = [x for p in parts for x in p]
-        known = {}
-        for x in set(flat):
+    slice_chars, memo_tokens = SLICE_CHARS, MEMO_TOKENS
+
+    def vectors(texts, known):
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))           # at the same six characters as ``tokens``
+        row = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+        enc = pc.list_flatten(words).dictionary_encode()
+        if len(known) > memo_tokens:
+            known.clear()
+        for x in set(found := enc.dictionary.to_pylist()).difference(known):
             h = int(hashlib.md5(x.lower().encode("utf-8")).hexdigest()[:8], 16)
             known[x] = (h % dim) * 2 + (h // dim) % 2
-        code = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        out = np.zeros((len(parts), dim), np.float32)
-        np.add.at(out, (row, code >> 1), 1 - 2 * (code & 1))
-        return pd.Series(list(out))
+        code = np.array([known[x] for x in found], np.int64)
+        sign = np.where([x != "" for x in found], 1 - 2 * (code & 1), 0)           # white space at an end is no token
+        at = enc.indices.to_numpy()
+        return np.bincount(row * dim + (code >> 1)[at], sign[at], len(texts) * dim).reshape(len(texts), dim)
+
+    def run(batches):
+        known = {}
+        for texts in batches:
+            out = np.zeros((len(texts), dim), np.float32)
+            # a vector counts like 4 characters a value, so that many short texts are cut as well
+            for a, b in runs([4 * dim + (len(t) if t is not None else 0) for t in texts], slice_chars):
+                out[a:b] = vectors(texts.iloc[a:b].tolist(), known)
+            yield pd.Series(list(out))
+
+    whole = trimmed(run)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return whole(batches)
 
     return hashed.asNondeterministic()
 
