@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
 import tempfile
 import time
+import types
 import uuid
 
 import numpy as np
@@ -78,9 +80,29 @@ def give_back() -> None:
         trim(0)
 
 
-def trimmed(run):
-    """The Arrow function ``run``, which gives back what it freed when its task ends."""
+MEMO = "simsift_worker_memo"
+
+
+def worker_memo() -> types.ModuleType:
+    """What a step keeps in this Python worker between its tasks.
+
+    It is a module of its own, as functions of this package reach a worker by value.
+    """
+    return sys.modules.setdefault(MEMO, types.ModuleType(MEMO))
+
+
+def trimmed(run, keeps: str | None = None):
+    """The Arrow function ``run``, which gives back what it freed when its task ends.
+
+    The worker's memo belongs to one step at a time, named by ``keeps``; what
+    another step left there goes before the task begins.
+    """
     def wrapped(batches):
+        if getattr(sys.modules.get(MEMO), "owner", None) != keeps:
+            sys.modules.pop(MEMO, None)
+            give_back()
+            if keeps:
+                worker_memo().owner = keeps
         try:
             yield from run(batches)
         finally:

@@ -21,8 +21,6 @@ ids come first; an empty table gives empty files; further columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -32,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm.common import drop_path, fresh_path, slices, trimmed, utf8
+from simsift.llm.common import drop_path, fresh_path, slices, trimmed, utf8, worker_memo
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 16          # a block closes once it holds this many ids
 BATCH_BYTES = 1 << 20
-CACHE_WORDS = 350_000           # words of one generation that a worker remembers; there are two
+CACHE_WORDS = 200_000           # words of one generation that a worker remembers; there are two
+CACHE_LETTERS = 100             # of the longest word that is remembered
+SEEN_BYTES = 1 << 22            # marks of the words met in a generation, a byte each
+ENCODER = "token encoder"       # what a worker keeps between the tasks that encode
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"       # of Latin-1, lower case
 #: How the vocabulary splits a text.
 UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
@@ -64,8 +65,23 @@ def latin_1(text: str) -> bool:
     return True
 
 
-class WordEncoder(dict):
-    """Ids (as bytes) of blank-separated parts of a text, remembered as they come up.
+class Remembered(dict):
+    """Word -> ids; a word that is not held is asked of the encoder."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        return self.encode(part)
+
+
+class WordEncoder:
+    """Ids (as bytes) of blank-separated parts of a text, remembered once they come up again.
+
+    Most distinct words of a corpus come up once only. A word is therefore
+    remembered when its mark is already there, so that the bounded memory holds
+    words that repeat; a mark that two words share only makes one of them
+    remembered early.
 
     The vocabulary drops white space and no token crosses it, so the ids of a
     text are the ids of its parts between ASCII spaces and line feeds in a row.
@@ -82,8 +98,12 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.symbols = byte_symbols()
         self.code = "H" if dtype == "<u2" else "I"      # native order: little endian on the supported machines
-        self.room = CACHE_WORDS
         self.older: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """A new generation of words without any."""
+        self.words, self.seen, self.room = Remembered(self.ids), bytearray(SEEN_BYTES), CACHE_WORDS
 
     def pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -93,39 +113,39 @@ class WordEncoder(dict):
             part = "".join([self.symbols[b] for b in part.encode()])
         return self.pack([t.id for t in self.model.tokenize(part)])
 
-    def __missing__(self, part: str) -> bytes:
+    def ids(self, part: str) -> bytes:
         found = self.older.get(part)
+        mark = hash(part) % SEEN_BYTES
+        again = found is not None or self.seen[mark]
         if found is not None:
             pass
         elif part.isprintable() and latin_1(part) and part == part.lower() and "<|" not in part:
             units = UNITS.findall(part)
-            found = self.unit(part) if units == [part] else b"".join([self[u] for u in units])
+            found = self.unit(part) if units == [part] else b"".join([self.words[u] for u in units])
         else:
             found = self.pack(self.tokenizer.encode(part, add_special_tokens=False).ids)
-        if self.room:
+        if not again:
+            self.seen[mark] = 1
+        elif self.room and len(part) <= CACHE_LETTERS:
             self.room -= 1
-            self[part] = found
+            self.words[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
         if latin_1(text):
             text = text.lower()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
     def tidy(self) -> None:
         """Once the memory is full, start a new one; words that come up again are taken over from the old."""
         if not self.room:
-            self.older = dict(self)
-            self.clear()
-            self.room = CACHE_WORDS
+            self.older = self.words
+            self.forget()
 
 
 def process_encoder(spec: str, dtype: str) -> WordEncoder:
-    """The encoder of this Python worker, which Spark reuses for later tasks.
-
-    It hangs on a module of its own, as functions of this package reach a worker by value.
-    """
-    memo = sys.modules.setdefault("simsift_worker_memo", types.ModuleType("simsift_worker_memo"))
+    """The encoder of this Python worker, which Spark reuses for later tasks."""
+    memo = worker_memo()
     key = (zlib.crc32(spec.encode()), dtype)
     if getattr(memo, "key", None) != key:
         memo.key, memo.encoder = key, WordEncoder(spec, dtype)
@@ -160,7 +180,7 @@ def encode_documents(df: DataFrame, spec: str, text: str = "text", key: str = "d
                      pa.array([len(x) // width for x in ids], pa.int64()), part.column(2)],
                     ["doc_id", "ids", "n", "h"])
 
-    return src.mapInArrow(trimmed(run), ENCODED)
+    return src.mapInArrow(trimmed(run, ENCODER), ENCODED)
 
 
 def id_counts(encoded: DataFrame, dtype: str) -> DataFrame:

@@ -16,6 +16,7 @@ import corpus_pipeline
 from conftest import SF_SMALL
 from helpers_llm import awkward, awkward_rows, empty, prose
 from simsift.llm import chat, decontaminate, mixing, registry, sharding, tokens
+from simsift.llm.common import trimmed, worker_memo
 from simsift.llm.queries import vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -248,6 +249,57 @@ def test_token_files_of_nothing(spark, scratch):
     assert tokens.read_token_files(spark, files).collect() == []
 
 
+def test_encoder_remembers_words_that_come_up_again_within_bounds(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    encoder = tokens.WordEncoder(vocabulary(), "<u2")
+    once = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}q" for i in range(600)]
+    want = [encoder.encode(w) for w in once]
+    assert len(encoder.words) < 20                          # few share a mark
+    for _ in range(3):
+        for a in range(0, 600, 40):
+            assert [encoder.encode(w) for w in once[a:a + 40]] == want[a:a + 40]
+            encoder.tidy()
+            assert len(encoder.words) + len(encoder.older) <= 100
+    assert len(encoder.older) == 50
+    long = "日本語" * 200
+    assert encoder.encode(long) == encoder.encode(long) == encoder.encode(long)
+    assert long not in encoder.words
+    older = encoder.older
+    encoder.room = 0
+    current = encoder.words
+    encoder.tidy()
+    assert encoder.older is current and encoder.older is not older        # no copy is made
+
+
+def test_workers_let_the_encoder_go_once_texts_are_encoded(spark, scratch):
+    def left(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([hasattr(sys.modules.get("simsift_worker_memo"), "encoder")])], ["left"])
+
+    cores = spark.sparkContext.defaultParallelism
+    held = lambda: [r["left"] for r in spark.range(0, 8 * cores, 1, 8 * cores).mapInArrow(left, "left boolean").collect()]
+    encoded = tokens.encode_documents(awkward(spark), vocabulary())
+    encoded.write.parquet(f"{scratch}/ids")
+    assert any(held())
+    stored = spark.read.parquet(f"{scratch}/ids").repartition(8 * cores)
+    tokens.id_counts(stored, "<u2").collect()
+    assert not any(held())
+
+
+def test_memo_of_a_worker_belongs_to_one_step():
+    first = tokens.process_encoder(vocabulary(), "<u2")
+    worker_memo().owner = tokens.ENCODER
+    assert list(trimmed(iter, tokens.ENCODER)([1, 2])) == [1, 2]
+    assert tokens.process_encoder(vocabulary(), "<u2") is first
+    assert list(trimmed(iter)([1, 2])) == [1, 2]
+    assert tokens.process_encoder(vocabulary(), "<u2") is not first
+    assert list(trimmed(iter)([])) == []
+
+
 # --- decontamination -----------------------------------------------------------
 
 def edit_in(pattern, text):
