@@ -9,8 +9,10 @@ Later runs with the same checkpoint go on from the stored state.
 A digest seen more than once is a hit, and hits are checked on full bytes: the
 normalised texts themselves are the grouping key of a second aggregate over the
 hit rows only, so two different texts under one digest would be told apart and
-become two groups. Copies collapse in each task before that shuffle, which
-keeps a hot text from meeting in one task.
+become two groups. As long as the digests of the hits fit a broadcast, other texts
+are left out where they are read and copies collapse in each task before that
+shuffle, which keeps a hot text from meeting in one task; beyond that every
+text is shuffled once to be compared with them.
 
 Everything is DataFrame functions; the state is read back as a table.
 
@@ -26,9 +28,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsift.llm.common import cut, fresh_path
+from simsift.llm.common import cut, fresh_path, sized_broadcast
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DIGEST_BYTES = 420              # of one digest in a broadcast table, as Spark counts it
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,6 +84,13 @@ def update_state(stream: DataFrame, checkpoint: str, text: str = "text", key: st
                          F.col(f"{kept}.location").alias("location"), F.col(size).alias("group_size"))
 
 
+def hit_texts(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """(digest, normal, keep_id, group_size): the distinct texts of ``docs`` (doc_id, normal, digest) under the digests of ``hits``."""
+    digests = sized_broadcast(hits.distinct(), DIGEST_BYTES)
+    return (docs.join(digests, "digest", "left_semi")
+            .groupBy("digest", "normal").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+
+
 def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, text: str = "text", key: str = "doc_id",
                 digest: Callable[[Column], Column] = sha256, max_bytes: int | None = None) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row for every row below ``path``."""
@@ -91,12 +101,7 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, t
     tagged = cut(rows.join(state.select("digest", "keep_id", "group_size"), "digest"))
 
     hits = tagged.where(F.col("group_size") > 1)
-    hit_digests = hits.select("digest").distinct()
-    # full bytes of the hits; equal texts of a task collapse before the shuffle
-    verified = cut(docs.select("doc_id", "normal", digest(F.col("normal")).alias("digest"))
-                   .join(hit_digests, "digest", "left_semi")
-                   .groupBy("digest", "normal")
-                   .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    verified = cut(hit_texts(docs.select("doc_id", "normal", digest(F.col("normal")).alias("digest")), hits.select("digest"))
                    .select("digest", sha256(F.col("normal")).alias("text_sha256"), "keep_id", "group_size",
                            F.count(F.lit(1)).over(_by_digest()).alias("texts")))
     single = tagged.where(F.col("group_size") == 1)

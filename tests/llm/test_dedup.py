@@ -62,6 +62,28 @@ def test_exact_dedup_of_nothing(spark, scratch):
     assert exact_dedup.exact_dedup(spark, f"{scratch}/docs", f"{scratch}/ckpt").collect() == []
 
 
+def test_only_hits_are_shuffled_with_their_texts(spark):
+    """While the digests of the hits fit a broadcast, other texts are left out where they are read."""
+    docs = spark.createDataFrame([(i, f"text {i % 7}", f"d{i % 7}") for i in range(9)], "doc_id bigint, normal string, digest string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exact_dedup.hit_texts(docs, docs.where("doc_id >= 7").select("digest"))
+        got = sorted(tuple(r) for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [("d0", "text 0", 7, 2), ("d1", "text 1", 8, 2)]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_hits_beyond_a_broadcast(spark, scratch, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "DIGEST_BYTES", 1 << 40)
+    awkward(spark).write.parquet(f"{scratch}/docs")
+    got = exact_dedup.exact_dedup(spark, f"{scratch}/docs", f"{scratch}/ckpt")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == exact_brute(awkward_rows())
+
+
 # --- Jaccard join --------------------------------------------------------------
 
 def shingles(t):
